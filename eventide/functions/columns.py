@@ -61,7 +61,7 @@ def utc_to_epoch(c) -> Column:
 def ntz_from_epoch(c="timestamp") -> Column:
     """Epoch seconds as a zone-less timestamp (wall clock in UTC), so that
     formatting does not depend on the session time zone."""
-    return F.timestampadd("SECOND", _c(c), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", _c(c), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def utc_text(c="parsed_timestamp") -> Column:

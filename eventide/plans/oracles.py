@@ -70,3 +70,101 @@ SELECT * FROM (
   SELECT window_start, window_end, wiki, edits,
          CAST(row_number() OVER (PARTITION BY window_start ORDER BY edits DESC, wiki) AS BIGINT) AS rank
   FROM c) WHERE rank <= 3""")
+
+UTC_TS = "make_timestamp(CAST({c} AS BIGINT) * 1000000)"
+DT = "strftime(" + UTC_TS.format(c="timestamp") + ", '%Y-%m-%d')"
+HOUR = "strftime(" + UTC_TS.format(c="timestamp") + ", '%H')"
+
+oracle("event_key", f"""
+WITH {CE}
+SELECT id, concat(coalesce(wiki, ''), '/', coalesce(title, '')) AS event_key FROM ce""")
+
+oracle("stored_row", f"""
+WITH {CE}
+SELECT id, namespace, parsed_timestamp,
+       strftime({UTC_TS.format(c='parsed_timestamp')}, '%Y-%m-%d %H:%M:%S') AS parsed_utc,
+       true AS round_trip
+FROM ce""")
+
+oracle("estimated_bytes", f"""
+WITH {CE}
+SELECT id, CAST(64 + octet_length(encode(type)) + octet_length(encode(title))
+  + octet_length(encode(title_url)) + octet_length(encode(comment)) + octet_length(encode("user"))
+  + octet_length(encode(server_url)) + octet_length(encode(server_name))
+  + octet_length(encode(server_script_url)) + octet_length(encode(wiki)) AS BIGINT) AS estimated_bytes
+FROM ce""")
+
+oracle("partition_counts", f"""
+WITH {CE}
+SELECT {DT} AS dt, {HOUR} AS hour, count(*) AS events FROM ce GROUP BY 1, 2""")
+
+oracle("replay_range", f"""
+WITH {CE}
+SELECT id, concat(wiki, '/', title) AS event_key, {DT} AS dt, {HOUR} AS hour
+FROM ce WHERE {DT} BETWEEN '2024-01-08' AND '2024-01-14'""")
+
+DUPS = f"""{CE},
+d0 AS (SELECT {CE_COLS} FROM ce
+       UNION ALL
+       SELECT id, type, namespace, title, title_url, comment, timestamp + 5 AS timestamp, "user", bot,
+              server_url, server_name, server_script_url, wiki, parsed_timestamp
+       FROM ce WHERE id % 10 = 0),
+dups AS (SELECT CASE WHEN id % 97 = 0 THEN CAST(0 AS BIGINT) ELSE id END AS id, type, namespace, title,
+                title_url, comment, timestamp, "user", bot, server_url, server_name, server_script_url,
+                wiki, parsed_timestamp FROM d0)"""
+
+oracle("dedup_events", f"""
+WITH {DUPS}
+SELECT {CE_COLS} FROM dups WHERE id = 0
+UNION ALL
+SELECT {CE_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY wiki, id ORDER BY timestamp, title, "user", comment) AS rn
+  FROM dups WHERE id <> 0) WHERE rn = 1""")
+
+PARSE_ERROR = "json unmarshal: payload is not a valid change event"
+MISSING_TS_ERROR = "parse: timestamp field is missing"
+
+oracle("parse_change_event", f"""
+WITH {CE}
+SELECT id AS source_id, NOT (id % 50 IN (0, 1)) AS is_valid,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE id END AS id,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL WHEN id % 50 = 4 THEN '' ELSE type END AS type,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE namespace END AS namespace,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE title END AS title,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE title_url END AS title_url,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE comment END AS comment,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL WHEN id % 50 = 2 THEN 0 ELSE timestamp END AS timestamp,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE "user" END AS "user",
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE bot END AS bot,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE server_url END AS server_url,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE server_name END AS server_name,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL ELSE server_script_url END AS server_script_url,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL WHEN id % 50 = 3 THEN '' ELSE wiki END AS wiki,
+  CASE WHEN id % 50 IN (0, 1) THEN NULL WHEN id % 50 = 2 THEN 0 ELSE parsed_timestamp END
+    AS parsed_timestamp,
+  CASE WHEN id % 50 IN (0, 1) THEN '{PARSE_ERROR}' ELSE NULL END AS error_message
+FROM ce""")
+
+oracle("parse_defaults", f"""
+WITH {CE}
+SELECT id AS source_id, NOT (id % 50 IN (0, 2)) AS is_valid,
+  CASE WHEN id % 50 IN (0, 2) THEN NULL WHEN id % 50 = 3 THEN 'unknown' ELSE wiki END AS wiki,
+  CASE WHEN id % 50 IN (0, 2) THEN NULL WHEN id % 50 = 4 THEN 'unknown' ELSE type END AS type,
+  CASE WHEN id % 50 IN (0, 2) THEN NULL ELSE timestamp END AS timestamp,
+  CASE WHEN id % 50 = 0 THEN '{PARSE_ERROR}' WHEN id % 50 = 2 THEN '{MISSING_TS_ERROR}'
+       ELSE NULL END AS error_message
+FROM ce""")
+
+oracle("sse_frames", f"""
+WITH {CE}
+SELECT {CE_COLS} FROM ce""")
+
+oracle("evolve_v1_v2", f"""
+WITH {CE}
+SELECT {CE_COLS}, CASE WHEN id % 2 = 0 THEN CAST(namespace % 2 AS INT) ELSE 0 END AS minor,
+       CASE WHEN id % 2 = 0 THEN id ELSE NULL END AS page_id
+FROM ce""")
+
+oracle("evolve_v2_v1", f"""
+WITH {CE}
+SELECT {CE_COLS} FROM ce""")

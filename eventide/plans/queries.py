@@ -50,3 +50,124 @@ def q_window_counts_json(spark, sf_dir):
 def q_window_top_wikis(spark, sf_dir):
     counts = windows.window_wiki_counts(change_events(spark, sf_dir))
     return windows.top_per_window(counts, k=3)
+
+
+# ---- stored rows, partitioned sink, replay (P1, P2, P8, K3, K5, S5, P7, D1) --------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from eventide.functions import columns as C  # noqa: E402
+from eventide.operators.dedup import dedup_events  # noqa: E402
+from eventide.plans import inject  # noqa: E402
+from eventide.session import scratch_path  # noqa: E402
+from eventide.sinks.parquet import write_events  # noqa: E402
+from eventide.sources.replay import read_events  # noqa: E402
+from eventide.sources.tables import ce_columns  # noqa: E402
+
+REPLAY_FROM, REPLAY_TO = "2024-01-08", "2024-01-14"
+
+
+@query("event_key")
+def q_event_key(spark, sf_dir):
+    ce = change_events(spark, sf_dir)
+    return ce.select("id", C.event_key().alias("event_key"))
+
+
+@query("stored_row")
+def q_stored_row(spark, sf_dir):
+    ce = change_events(spark, sf_dir)
+    back = C.utc_to_epoch(C.epoch_to_utc("parsed_timestamp"))
+    return ce.select("id", F.col("namespace").cast("int").alias("namespace"), "parsed_timestamp",
+                     C.utc_text("parsed_timestamp").alias("parsed_utc"),
+                     (back == F.col("parsed_timestamp")).alias("round_trip"))
+
+
+@query("estimated_bytes")
+def q_estimated_bytes(spark, sf_dir):
+    ce = change_events(spark, sf_dir)
+    return ce.select("id", C.estimated_bytes().alias("estimated_bytes"))
+
+
+def _stored(spark, sf_dir):
+    path = scratch_path(spark, "events")
+    write_events(ce_columns(change_events(spark, sf_dir)), path)
+    return path
+
+
+@query("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    back = read_events(spark, _stored(spark, sf_dir))
+    return back.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("replay_range")
+def q_replay_range(spark, sf_dir):
+    back = read_events(spark, _stored(spark, sf_dir), REPLAY_FROM, REPLAY_TO)
+    return back.select("id", C.event_key().alias("event_key"), "dt", "hour")
+
+
+@query("dedup_events")
+def q_dedup_events(spark, sf_dir):
+    return dedup_events(inject.with_duplicates(change_events(spark, sf_dir)))
+
+
+# ---- parsing and schema evolution (S1, S2, P6, E1, E2) -----------------------------------
+
+from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, align_schema  # noqa: E402
+from eventide.sources.json_events import parse_change_event, parse_defaults, sse_frames  # noqa: E402
+
+
+def _flagged(valid, rejected, cols):
+    """Valid rows and rejects as one frame with an ``is_valid`` flag."""
+    v = valid.select("source_id", F.lit(True).alias("is_valid"), *cols,
+                     F.lit(None).cast("string").alias("error_message"))
+    r = rejected.select("source_id", F.lit(False).alias("is_valid"),
+                        *[F.lit(None).cast(valid.schema[c].dataType).alias(c) for c in cols],
+                        "error_message")
+    return v.unionByName(r)
+
+
+@query("parse_change_event")
+def q_parse_change_event(spark, sf_dir):
+    payloads = inject.json_payloads(change_events(spark, sf_dir))
+    valid, rejected = parse_change_event(payloads, keep=("source_id",))
+    return _flagged(valid, rejected, list(CHANGE_EVENT_V1.fieldNames()))
+
+
+@query("parse_defaults")
+def q_parse_defaults(spark, sf_dir):
+    payloads = inject.json_payloads(change_events(spark, sf_dir))
+    valid, rejected = parse_defaults(payloads, keep=("source_id",))
+    return _flagged(valid, rejected, ["wiki", "type", "timestamp"])
+
+
+@query("sse_frames")
+def q_sse_frames(spark, sf_dir):
+    path = scratch_path(spark, "capture")
+    inject.sse_capture(change_events(spark, sf_dir)).write.text(path)
+    valid, _ = parse_change_event(sse_frames(spark, path))
+    return valid
+
+
+def _mixed_versions(spark, sf_dir):
+    """Even ids written with the v2 writer schema, odd ids with v1."""
+    ce = ce_columns(change_events(spark, sf_dir))
+    path = scratch_path(spark, "versions")
+    ce.where(F.col("id") % 2 != 0).write.parquet(path)
+    (ce.where(F.col("id") % 2 == 0)
+       .withColumn("minor", (F.col("namespace") % 2).cast("int"))
+       .withColumn("page_id", F.col("id"))
+       .write.mode("append").parquet(path))
+    return path
+
+
+@query("evolve_v1_v2")
+def q_evolve_v1_v2(spark, sf_dir):
+    df = spark.read.schema(CHANGE_EVENT_V2).parquet(_mixed_versions(spark, sf_dir))
+    return align_schema(df, CHANGE_EVENT_V2)
+
+
+@query("evolve_v2_v1")
+def q_evolve_v2_v1(spark, sf_dir):
+    df = spark.read.schema(CHANGE_EVENT_V2).parquet(_mixed_versions(spark, sf_dir))
+    return align_schema(df, CHANGE_EVENT_V1)

@@ -34,6 +34,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in SCALE_CONFS.items():
         builder = builder.config(k, v)
