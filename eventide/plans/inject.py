@@ -49,3 +49,45 @@ def sse_capture(ce: DataFrame) -> DataFrame:
                      F.lit("\n"))
     beat = F.when(F.col("id") % 30 == 0, F.lit(": heartbeat\n\n")).otherwise(F.lit(""))
     return ce.select(F.concat(beat, frame).alias("value"))
+
+
+TOPIC = "recentchanges"
+WIKI_PARTITION = {"enwiki": 0, "dewiki": 1, "frwiki": 2, "wikidata": 3}
+
+
+def wire_messages(ce: DataFrame) -> DataFrame:
+    """Broker envelopes of every event, Avro-encoded: odd ids with writer
+    schema 1 (v1), even ids with schema 2 (v2).  Damaged on purpose:
+    id % 40 = 0 three bytes, 1 magic byte 0xFF, 2 unknown schema id 999,
+    3 the body cut by 3 bytes.  Offset = id, partition by wiki, and messages
+    with id % 80 = 0 already carry an older error header."""
+    from eventide.functions.columns import event_key
+    from eventide.sinks.wire import encode_wire, to_envelope
+    from eventide.sources.wire import SCHEMA_V1_JSON, SCHEMA_V2_JSON
+
+    v1 = encode_wire(ce.where(F.col("id") % 2 != 0), 1, SCHEMA_V1_JSON)
+    v2 = encode_wire(ce.where(F.col("id") % 2 == 0), 2, SCHEMA_V2_JSON)
+    enc = v1.unionByName(v2)
+    m = F.col("id") % 40
+    v = F.col("value")
+    damaged = (F.when(m == 0, F.unhex(F.lit("000102")))
+               .when(m == 1, F.concat(F.unhex(F.lit("FF")), F.expr("substring(value, 2)")))
+               .when(m == 2, F.concat(F.unhex(F.lit("00000003E7")), F.expr("substring(value, 6)")))
+               .when(m == 3, F.expr("substring(value, 1, octet_length(value) - 3)"))
+               .otherwise(v))
+    part = F.when(F.col("wiki") == "enwiki", 0).when(F.col("wiki") == "dewiki", 1) \
+            .when(F.col("wiki") == "frwiki", 2).otherwise(3)
+    env = to_envelope(enc.withColumn("value", damaged), TOPIC, event_key(),
+                      partition=part, offset=F.col("id"),
+                      timestamp=F.timestamp_seconds(F.col("timestamp")))
+    old = F.array(F.struct(F.lit("x-error-type").alias("key"),
+                           F.lit("sink_error").cast("binary").alias("value")))
+    return env.withColumn("headers", F.when(F.col("offset") % 80 == 0, old)
+                          .otherwise(F.col("headers")))
+
+
+def legacy_dlq(dlq: DataFrame) -> DataFrame:
+    """Dead-letter rows from an older writer lack ``x-original-topic`` (offset % 80 = 3)."""
+    stripped = F.filter("headers", lambda h: h["key"] != F.lit("x-original-topic"))
+    return dlq.withColumn("headers", F.when(F.col("offset") % 80 == 3, stripped)
+                          .otherwise(F.col("headers")))

@@ -168,3 +168,80 @@ FROM ce""")
 oracle("evolve_v2_v1", f"""
 WITH {CE}
 SELECT {CE_COLS} FROM ce""")
+
+M40 = "id % 40"
+WIRE_ERR = (f"CASE WHEN {M40} = 0 THEN 'short message: 3 bytes' WHEN {M40} = 1 THEN 'bad magic byte: 0xff' "
+            f"WHEN {M40} = 2 THEN 'get schema 999: schema not found' "
+            f"WHEN {M40} = 3 THEN 'avro unmarshal: unexpected end of data' END")
+
+oracle("wire_envelope", f"""
+WITH {CE}
+SELECT id AS source_id,
+  CASE WHEN {M40} = 1 THEN 255 ELSE 0 END AS magic,
+  CASE WHEN {M40} = 0 THEN NULL WHEN {M40} = 2 THEN 999 WHEN id % 2 = 1 THEN 1 ELSE 2 END AS schema_id,
+  CASE WHEN {M40} = 0 THEN 'short message: 3 bytes' WHEN {M40} = 1 THEN 'bad magic byte: 0xff'
+       ELSE NULL END AS envelope_error
+FROM ce""")
+
+oracle("schema_lookup", f"""
+WITH {CE},
+m AS (SELECT id, CASE WHEN {M40} = 0 THEN NULL WHEN {M40} = 2 THEN 999 WHEN id % 2 = 1 THEN 1 ELSE 2 END
+        AS schema_id FROM ce)
+SELECT id AS source_id, schema_id,
+  CASE WHEN schema_id IN (1, 2) THEN 'recentchanges-value' END AS subject,
+  CASE WHEN schema_id IN (1, 2) THEN schema_id END AS version,
+  coalesce(schema_id IN (1, 2), false) AS found
+FROM m""")
+
+_V = f"{M40} > 3"
+oracle("decode_wire", f"""
+WITH {CE}
+SELECT id AS source_id, {_V} AS is_valid,
+""" + ",\n".join(f"  CASE WHEN {_V} THEN {c} END AS {c}" for c in CE_COLS.split(", ")) + f""",
+  {WIRE_ERR} AS error_message
+FROM ce""")
+
+oracle("wire_round_trip", f"""
+WITH {CE}
+SELECT {CE_COLS} FROM ce""")
+
+oracle("error_type", f"""
+WITH {CE}
+SELECT 'wire' AS source, id AS source_id, {WIRE_ERR} AS error_message,
+  CASE WHEN {M40} = 3 THEN 'decode_error' ELSE 'unknown' END AS error_type
+FROM ce WHERE {M40} <= 3
+UNION ALL
+SELECT 'json' AS source, id AS source_id, '{PARSE_ERROR}' AS error_message, 'decode_error' AS error_type
+FROM ce WHERE id % 50 IN (0, 1)""")
+
+DLQ_ROWS = f"""{CE},
+d AS (SELECT id, concat(wiki, '/', title) AS key, {WIRE_ERR} AS error_message,
+        CASE WHEN {M40} = 3 THEN 'decode_error' ELSE 'unknown' END AS error_type,
+        strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d %H:%M:%S') AS ts
+      FROM ce WHERE {M40} <= 3)"""
+
+oracle("dlq_route", f"""
+WITH {DLQ_ROWS}
+SELECT id AS source_id, key, 'recentchanges-dlq' AS topic, error_type, error_message,
+  'recentchanges' AS original_topic, '0' AS retry_count, ts AS original_timestamp,
+  'decode' AS error_stage, CAST(CASE WHEN id % 80 = 0 THEN 7 ELSE 6 END AS INT) AS n_headers
+FROM d""")
+
+oracle("dlq_inspect", f"""
+WITH {DLQ_ROWS}
+SELECT CASE WHEN id % 80 = 3 THEN '' ELSE 'recentchanges' END AS original_topic, error_type,
+  error_message, key, id AS "offset"
+FROM d""")
+
+oracle("dlq_replay", f"""
+WITH {DLQ_ROWS}
+SELECT 'recentchanges' AS topic, key, id AS "offset" FROM d WHERE id % 80 <> 3""")
+
+oracle("retry_route", """
+WITH a AS (SELECT user_id AS part, event_id AS attempt,
+             event_type='error' OR event_type='view' AS failed FROM events),
+e AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END)
+             OVER (PARTITION BY part ORDER BY attempt) AS epoch FROM a),
+n AS (SELECT *, row_number() OVER (PARTITION BY part, epoch ORDER BY attempt) AS n
+      FROM e WHERE failed)
+SELECT attempt, CAST((n-1)%4 AS BIGINT) AS retry_count, (n-1)%4=3 AS to_dlq FROM n""")

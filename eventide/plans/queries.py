@@ -171,3 +171,103 @@ def q_evolve_v1_v2(spark, sf_dir):
 def q_evolve_v2_v1(spark, sf_dir):
     df = spark.read.schema(CHANGE_EVENT_V2).parquet(_mixed_versions(spark, sf_dir))
     return align_schema(df, CHANGE_EVENT_V1)
+
+
+# ---- wire format, dead letters, retries (S4, S7, K2, K7, P3-P5, R1-R4) --------------------
+
+from eventide.operators import reliability  # noqa: E402
+from eventide.sinks.wire import to_dlq  # noqa: E402
+from eventide.sources.json_events import parse_change_event as _parse  # noqa: E402
+from eventide.sources.wire import decode_wire, lookup_schema, registry_frame, wire_envelope  # noqa: E402
+
+
+def _messages(spark, sf_dir):
+    return inject.wire_messages(change_events(spark, sf_dir))
+
+
+def _decoded(spark, sf_dir):
+    msgs = _messages(spark, sf_dir).withColumnRenamed("timestamp", "broker_timestamp")
+    return decode_wire(msgs, registry_frame(spark),
+                       keep=("key", "topic", "partition", "offset", "broker_timestamp", "headers"))
+
+
+@query("wire_envelope")
+def q_wire_envelope(spark, sf_dir):
+    env = wire_envelope(_messages(spark, sf_dir))
+    return env.select(F.col("offset").alias("source_id"), "magic", "schema_id", "envelope_error")
+
+
+@query("schema_lookup")
+def q_schema_lookup(spark, sf_dir):
+    env = wire_envelope(_messages(spark, sf_dir)).select("offset", "schema_id")
+    out = lookup_schema(env, registry_frame(spark))
+    return out.select(F.col("offset").alias("source_id"), "schema_id", "subject", "version", "found")
+
+
+@query("decode_wire")
+def q_decode_wire(spark, sf_dir):
+    valid, rejected = _decoded(spark, sf_dir)
+    v = valid.withColumnRenamed("offset", "source_id")
+    r = rejected.withColumnRenamed("offset", "source_id")
+    return _flagged(v, r, list(CHANGE_EVENT_V1.fieldNames()))
+
+
+@query("wire_round_trip")
+def q_wire_round_trip(spark, sf_dir):
+    """K2 then S4 on undamaged messages: every event comes back unchanged."""
+    from eventide.sinks.wire import encode_wire
+    from eventide.sources.wire import SCHEMA_V1_JSON
+    ce = ce_columns(change_events(spark, sf_dir))
+    enc = encode_wire(ce, 1, SCHEMA_V1_JSON)
+    valid, _ = decode_wire(enc.select("value"), registry_frame(spark))
+    return valid
+
+
+@query("error_type")
+def q_error_type(spark, sf_dir):
+    _, wire_rej = _decoded(spark, sf_dir)
+    _, json_rej = _parse(inject.json_payloads(change_events(spark, sf_dir)), keep=("source_id",))
+    rej = (wire_rej.select(F.lit("wire").alias("source"), F.col("offset").alias("source_id"),
+                           "error_message")
+           .unionByName(json_rej.select(F.lit("json").alias("source"), "source_id", "error_message")))
+    return rej.withColumn("error_type", C.error_type("error_message"))
+
+
+def _dlq(spark, sf_dir):
+    _, rejected = _decoded(spark, sf_dir)
+    return to_dlq(rejected, ts_col="broker_timestamp")
+
+
+@query("dlq_route")
+def q_dlq_route(spark, sf_dir):
+    dlq = _dlq(spark, sf_dir)
+    return dlq.select(
+        F.col("offset").alias("source_id"), F.col("key").cast("string").alias("key"), "topic",
+        C.header(C.H_ERROR_TYPE).alias("error_type"),
+        C.header(C.H_ERROR_MESSAGE).alias("error_message"),
+        C.header(C.H_ORIGINAL_TOPIC).alias("original_topic"),
+        C.header(C.H_RETRY_COUNT).alias("retry_count"),
+        C.header(C.H_ORIGINAL_TIMESTAMP).alias("original_timestamp"),
+        C.header(C.H_ERROR_STAGE).alias("error_stage"),
+        F.size("headers").cast("int").alias("n_headers"))
+
+
+@query("dlq_inspect")
+def q_dlq_inspect(spark, sf_dir):
+    return reliability.dlq_inspect(inject.legacy_dlq(_dlq(spark, sf_dir)))
+
+
+@query("dlq_replay")
+def q_dlq_replay(spark, sf_dir):
+    out = reliability.dlq_replay(inject.legacy_dlq(_dlq(spark, sf_dir)))
+    return out.select("topic", F.col("key").cast("string").alias("key"), "offset")
+
+
+@query("retry_route")
+def q_retry_route(spark, sf_dir):
+    from eventide.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events")
+    attempts = ev.select(F.col("user_id").alias("part"), F.col("event_id").alias("attempt"),
+                         F.col("event_type").isin("error", "view").alias("failed"))
+    return reliability.retry_route(attempts, ["part"], "attempt", "failed") \
+                      .select("attempt", "retry_count", "to_dlq")

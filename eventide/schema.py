@@ -84,14 +84,15 @@ def _compatible(src: T.DataType, dst: T.DataType) -> bool:
 
 
 def align_schema(df: DataFrame, target: T.StructType,
-                 defaults: dict | None = None) -> DataFrame:
+                 defaults: dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project ``df`` onto ``target``.
 
     Missing fields take their default (E1); a missing field without a default
     or a narrowing type change raises :class:`SchemaMismatch` (E3); extra
     fields are dropped (E2) -- the projection prunes them from the scan.
     Fields present but NULL in some files (mixed-version Parquet read under
-    the target schema) get the default as well.
+    the target schema) get the default as well.  ``keep`` columns are
+    passed through in front.
     """
     defaults = dict(V2_DEFAULTS if defaults is None else defaults)
     present = {f.name: f.dataType for f in df.schema.fields}
@@ -110,4 +111,4 @@ def align_schema(df: DataFrame, target: T.StructType,
             cols.append(F.lit(defaults[f.name]).cast(f.dataType).alias(f.name))
         else:
             raise SchemaMismatch(f"field {f.name} is missing and has no default")
-    return df.select(*cols)
+    return df.select(*keep, *cols)
