@@ -245,3 +245,44 @@ e AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END)
 n AS (SELECT *, row_number() OVER (PARTITION BY part, epoch ORDER BY attempt) AS n
       FROM e WHERE failed)
 SELECT attempt, CAST((n-1)%4 AS BIGINT) AS retry_count, (n-1)%4=3 AS to_dlq FROM n""")
+
+EDIT_STATS = f"""{CE},
+h AS (SELECT wiki, CAST(floor(timestamp/3600) AS BIGINT) AS hr, count(*) AS n,
+             count(DISTINCT "user") AS u, sum(CASE WHEN bot THEN 1 ELSE 0 END) AS b
+      FROM ce GROUP BY 1,2),
+k AS (SELECT CAST(range AS BIGINT) AS k FROM range(24)),
+g AS (SELECT wiki, hr+k AS hr, sum(n) AS n24 FROM h CROSS JOIN k GROUP BY 1,2),
+f AS (SELECT g.wiki AS wiki, CAST((g.hr+1)*3600 AS BIGINT) AS feature_ts,
+        CAST(coalesce(h.n,0) AS BIGINT) AS edits_last_hour,
+        CAST(g.n24 AS BIGINT) AS edits_last_24h, CAST(coalesce(h.u,0) AS BIGINT) AS unique_users_last_hour,
+        round(CAST(h.b AS DOUBLE)/h.n,6) AS bot_fraction,
+        round(CAST(h.n AS DOUBLE)/h.u,6) AS avg_edits_per_user
+      FROM g LEFT JOIN h ON g.wiki=h.wiki AND g.hr=h.hr)"""
+
+oracle("feature_events", f"""
+WITH {CE}
+SELECT id AS event_id, wiki, type, namespace, title, "user", CAST(bot AS INT) AS bot, timestamp,
+       server_name, comment, timestamp AS feature_ts
+FROM ce""")
+
+oracle("feature_edit_stats", f"""
+WITH {EDIT_STATS}
+SELECT * FROM f""")
+
+_FCOLS = ["feature_ts", "edits_last_hour", "edits_last_24h", "unique_users_last_hour", "bot_fraction",
+          "avg_edits_per_user"]
+oracle("feature_asof", f"""
+WITH {EDIT_STATS},
+j AS (SELECT ce.id, ce.wiki, ce.timestamp, {", ".join("f." + c + " AS f_" + c for c in _FCOLS)}
+      FROM ce ASOF LEFT JOIN f ON ce.wiki = f.wiki AND ce.timestamp >= f.feature_ts)
+SELECT id, wiki, timestamp,
+""" + ",\n".join(f"  CASE WHEN timestamp - f_feature_ts <= 7200 THEN f_{c} END AS {c}" for c in _FCOLS)
+       + """
+FROM j""")
+
+oracle("feature_latest", f"""
+WITH {EDIT_STATS}
+SELECT wiki, feature_ts, edits_last_hour, edits_last_24h, unique_users_last_hour, bot_fraction,
+       avg_edits_per_user
+FROM (SELECT *, row_number() OVER (PARTITION BY wiki ORDER BY feature_ts DESC) AS rn
+      FROM f WHERE feature_ts >= 1704844800 AND feature_ts < 1705708800) WHERE rn = 1""")

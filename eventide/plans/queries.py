@@ -271,3 +271,35 @@ def q_retry_route(spark, sf_dir):
                          F.col("event_type").isin("error", "view").alias("failed"))
     return reliability.retry_route(attempts, ["part"], "attempt", "failed") \
                       .select("attempt", "retry_count", "to_dlq")
+
+
+# ---- features (F1-F8) ---------------------------------------------------------------------
+
+from eventide.operators import features  # noqa: E402
+
+ASOF_TTL = 7200                       # seconds, the TTL the as-of check uses
+LATEST_FROM, LATEST_TO = 1704844800, 1705708800   # [2024-01-10, 2024-01-20) UTC
+
+
+@query("feature_events")
+def q_feature_events(spark, sf_dir):
+    return features.feature_events(change_events(spark, sf_dir))
+
+
+@query("feature_edit_stats")
+def q_feature_edit_stats(spark, sf_dir):
+    return features.edit_stats(change_events(spark, sf_dir))
+
+
+@query("feature_asof")
+def q_feature_asof(spark, sf_dir):
+    ce = change_events(spark, sf_dir)
+    stats = features.edit_stats(ce)
+    return features.asof_join(ce.select("id", "wiki", "timestamp"), stats, ["wiki"],
+                              "timestamp", "feature_ts", ttl=ASOF_TTL)
+
+
+@query("feature_latest")
+def q_feature_latest(spark, sf_dir):
+    stats = features.edit_stats(change_events(spark, sf_dir))
+    return features.latest_per_key(stats, ["wiki"], "feature_ts", LATEST_FROM, LATEST_TO)
