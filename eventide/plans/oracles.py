@@ -286,3 +286,97 @@ SELECT wiki, feature_ts, edits_last_hour, edits_last_24h, unique_users_last_hour
        avg_edits_per_user
 FROM (SELECT *, row_number() OVER (PARTITION BY wiki ORDER BY feature_ts DESC) AS rn
       FROM f WHERE feature_ts >= 1704844800 AND feature_ts < 1705708800) WHERE rn = 1""")
+
+BUCKETS = [("0.005", 0.005), ("0.01", 0.01), ("0.025", 0.025), ("0.05", 0.05), ("0.1", 0.1),
+           ("0.25", 0.25), ("0.5", 0.5), ("1", 1.0), ("2.5", 2.5), ("5", 5.0), ("10", 10.0)]
+
+oracle("metric_counters", f"""
+WITH {CE}
+SELECT 'events_published_total' AS metric, 'recentchanges' AS topic, '' AS type, count(*) AS value FROM ce
+UNION ALL
+SELECT 'events_consumed_total', 'recentchanges', '', count(*) FROM ce WHERE {M40} > 3
+UNION ALL
+SELECT 'events_failed_total', 'recentchanges',
+       CASE WHEN {M40} = 3 THEN 'decode_error' ELSE 'unknown' END, count(*)
+FROM ce WHERE {M40} <= 3 GROUP BY 3""")
+
+oracle("metric_histogram", f"""
+WITH {CE},
+b AS (SELECT * FROM (VALUES {", ".join(f"('{s}', {v})" for s, v in BUCKETS)}, ('+Inf', 'Infinity'::DOUBLE))
+      t(le, bound))
+SELECT ce.type, b.le, CAST(count(*) FILTER (WHERE ce.duration_s <= b.bound) AS BIGINT) AS count
+FROM ce CROSS JOIN b GROUP BY 1, 2""")
+
+oracle("metric_quantiles", f"""
+WITH {CE},
+b AS (SELECT * FROM (VALUES {", ".join(f"({i + 1}, {v})" for i, (_, v) in enumerate(BUCKETS))}) t(i, bound)),
+h AS (SELECT ce.type, b.i, b.bound, CAST(count(*) FILTER (WHERE ce.duration_s <= b.bound) AS DOUBLE) AS cum
+      FROM ce CROSS JOIN b GROUP BY 1, 2, 3),
+tot AS (SELECT type, CAST(count(*) AS DOUBLE) AS total FROM ce GROUP BY 1),
+q AS (SELECT * FROM (VALUES (0.5), (0.95), (0.99)) t(q)),
+r AS (SELECT tot.type, q.q, q.q * tot.total AS rank FROM tot CROSS JOIN q),
+f AS (SELECT r.type, r.q, r.rank, min(h.i) AS i FROM r LEFT JOIN h ON h.type = r.type AND h.cum >= r.rank
+      GROUP BY 1, 2, 3)
+SELECT f.type, CAST(f.q AS DOUBLE) AS q, round(CASE WHEN f.i IS NULL THEN 10.0
+  ELSE coalesce(p.bound, 0.0) + (c.bound - coalesce(p.bound, 0.0)) * (f.rank - coalesce(p.cum, 0.0))
+       / (c.cum - coalesce(p.cum, 0.0)) END, 6) AS value
+FROM f LEFT JOIN h c ON c.type = f.type AND c.i = f.i
+       LEFT JOIN h p ON p.type = f.type AND p.i = f.i - 1""")
+
+oracle("metric_rate", f"""
+WITH {CE}
+SELECT CAST((timestamp - timestamp % 60) * 1000 AS BIGINT) AS window_start, type,
+       round(count(*) / 60.0, 6) AS rate
+FROM ce GROUP BY 1, 2""")
+
+oracle("metric_error_rate", f"""
+WITH {CE}
+SELECT CAST((timestamp - timestamp % 60) * 1000 AS BIGINT) AS window_start,
+       CASE WHEN {M40} = 3 THEN 'decode_error' ELSE 'unknown' END AS error_type,
+       round(count(*) / 60.0, 6) AS rate
+FROM ce WHERE {M40} <= 3 GROUP BY 1, 2""")
+
+oracle("metric_lag", """
+SELECT CAST(user_id % 4 AS INT) AS partition, count(*) AS end_offset,
+       CAST(count(*) FILTER (WHERE event_type <> 'error') AS BIGINT) AS committed_offset,
+       CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS lag
+FROM events GROUP BY 1""")
+
+BATCH_BUCKETS = [(str(10 + 100 * i), 10 + 100 * i) for i in range(20)]
+oracle("metric_batch_size", f"""
+WITH {CE},
+per AS (SELECT wiki, timestamp - timestamp % 30 AS slot, count(*) AS n FROM ce GROUP BY 1, 2),
+sz AS (SELECT least(1000, n - (k - 1) * 1000) AS batch_size
+       FROM per, LATERAL (SELECT unnest(generate_series(1, CAST(ceil(n / 1000.0) AS BIGINT))) AS k)),
+b AS (SELECT * FROM (VALUES {", ".join(f"('{s}', {v})" for s, v in BATCH_BUCKETS)}, ('+Inf', 'Infinity'::DOUBLE))
+      t(le, bound))
+SELECT b.le, CAST(count(sz.batch_size) FILTER (WHERE sz.batch_size <= b.bound) AS BIGINT) AS count
+FROM b CROSS JOIN sz GROUP BY 1""")
+
+oracle("slo_report", f"""
+WITH {CE},
+x AS (SELECT wiki, timestamp, duration_s * 1000.0 AS latency_ms, type = 'error' AS is_error FROM ce),
+s AS (SELECT wiki,
+        round(quantile_cont(latency_ms, 0.5), 6) AS p50_ms,
+        round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms,
+        round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms,
+        round(avg(CAST(is_error AS DOUBLE)), 6) AS error_rate,
+        round(count(*) / CAST(max(timestamp) - min(timestamp) + 1 AS DOUBLE), 6) AS write_rate
+      FROM x GROUP BY 1)
+SELECT *, (p50_ms < 50 AND p95_ms < 200 AND p99_ms < 500) AS latency_ok,
+       error_rate < 0.01 AS error_rate_ok, write_rate > 100 AS write_rate_ok
+FROM s""")
+
+oracle("amplify_events", f"""
+WITH {CE},
+s AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS idx FROM ce),
+k AS (SELECT count(*) AS k FROM ce),
+r AS (SELECT range AS i FROM range((SELECT 2 * k FROM k)))
+SELECT CAST(r.i + 1000001 AS BIGINT) AS id, s.type, s.namespace,
+  'LoadTest_Page_' || CAST((r.i + 1000001) % 1000 AS VARCHAR) AS title,
+  'LoadTest_Page_' || CAST((r.i + 1000001) % 1000 AS VARCHAR) AS title_url, s.comment,
+  CAST(1704067200 + floor(r.i / 1000) AS BIGINT) AS timestamp,
+  'loadtester_' || CAST(((r.i + 1000001) * 7919) % 100 AS VARCHAR) AS "user", s.bot, s.server_url,
+  s.server_name, s.server_script_url, s.wiki,
+  CAST(1704067200 + floor(r.i / 1000) AS BIGINT) AS parsed_timestamp
+FROM r JOIN s ON s.idx = r.i % (SELECT k FROM k)""")

@@ -303,3 +303,76 @@ def q_feature_asof(spark, sf_dir):
 def q_feature_latest(spark, sf_dir):
     stats = features.edit_stats(change_events(spark, sf_dir))
     return features.latest_per_key(stats, ["wiki"], "feature_ts", LATEST_FROM, LATEST_TO)
+
+
+# ---- metrics (M1-M8) and load generation (G1) --------------------------------------------
+
+from eventide.operators import metrics  # noqa: E402
+from eventide.operators.generate import amplify  # noqa: E402
+from eventide.sources.tables import read_table  # noqa: E402
+
+QUANTILES = [0.5, 0.95, 0.99]
+
+
+@query("metric_counters")
+def q_metric_counters(spark, sf_dir):
+    msgs = _messages(spark, sf_dir)
+    valid, rejected = _decoded(spark, sf_dir)
+    failed = rejected.withColumn("error_type", C.error_type("error_message"))
+    return metrics.counters(msgs, valid, failed, inject.TOPIC)
+
+
+@query("metric_histogram")
+def q_metric_histogram(spark, sf_dir):
+    ce = change_events(spark, sf_dir, with_duration=True)
+    return metrics.histogram(ce, "duration_s", group=["type"])
+
+
+@query("metric_quantiles")
+def q_metric_quantiles(spark, sf_dir):
+    ce = change_events(spark, sf_dir, with_duration=True)
+    return metrics.histogram_quantiles(ce, "duration_s", QUANTILES, group=["type"])
+
+
+@query("metric_rate")
+def q_metric_rate(spark, sf_dir):
+    return metrics.rate_per_second(change_events(spark, sf_dir), "timestamp", ["type"])
+
+
+@query("metric_error_rate")
+def q_metric_error_rate(spark, sf_dir):
+    _, rejected = _decoded(spark, sf_dir)
+    failed = rejected.select(F.unix_seconds("broker_timestamp").alias("ts"),
+                             C.error_type("error_message").alias("error_type"))
+    return metrics.rate_per_second(failed, "ts", ["error_type"])
+
+
+@query("metric_lag")
+def q_metric_lag(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 4).cast("int").alias("partition"), "event_type")
+    latest = ev.groupBy("partition").agg(F.count(F.lit(1)).alias("end_offset"))
+    committed = ev.where(F.col("event_type") != "error").groupBy("partition") \
+                  .agg(F.count(F.lit(1)).alias("committed_offset"))
+    return metrics.consumer_lag(latest, committed, ["partition"])
+
+
+@query("metric_batch_size")
+def q_metric_batch_size(spark, sf_dir):
+    sizes = metrics.flush_batch_sizes(change_events(spark, sf_dir), "timestamp", ["wiki"])
+    return metrics.histogram(sizes, "batch_size", metrics.BATCH_SIZE_BUCKETS)
+
+
+@query("slo_report")
+def q_slo_report(spark, sf_dir):
+    ce = change_events(spark, sf_dir, with_duration=True).select(
+        "wiki", "timestamp", (F.col("duration_s") * 1000.0).alias("latency_ms"),
+        (F.col("type") == "error").alias("is_error"))
+    return metrics.slo_report(ce, ["wiki"], "latency_ms", "is_error", "timestamp")
+
+
+@query("amplify_events")
+def q_amplify_events(spark, sf_dir):
+    seed = ce_columns(change_events(spark, sf_dir))
+    n = 2 * seed.count()
+    return amplify(seed, n)
