@@ -13,19 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions import columns as C
-from eventide.operators.scan import running_sums
+from eventide.operators.scan import CHUNK_WIDTH, running_sums
 
 MAX_RETRIES = 3
 
 
 def retry_route(attempts: DataFrame, key: list[str], attempt: str, failed: str,
-                max_retries: int = MAX_RETRIES) -> DataFrame:
+                max_retries: int = MAX_RETRIES, chunk_width: int = CHUNK_WIDTH) -> DataFrame:
     """R1/P4 over an attempt log -> one row per failed attempt with
     ``retry_count`` (the count before this attempt) and ``to_dlq``."""
     s = running_sums(attempts, key, attempt, {
         "_succ": F.when(F.col(failed), 0).otherwise(1),
         "_fail": F.when(F.col(failed), 1).otherwise(0),
-    })
+    }, chunk_width=chunk_width)
     fails = s.where(F.col(failed)).withColumnRenamed("_succ", "_epoch")
     first = fails.groupBy(*key, "_epoch").agg(F.min("_fail").alias("_first"))
     n = fails.join(first, on=[*key, "_epoch"], how="inner") \
