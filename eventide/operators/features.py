@@ -110,3 +110,10 @@ def latest_per_key(df: DataFrame, key: list[str], ts: str, start: int | None = N
     rest = [c for c in df.columns if c not in key]
     best = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(ts)).alias("_b"))
     return best.select(*key, *[F.col(f"_b.{c}").alias(c) for c in rest])
+
+
+def feature_source(spark, path: str, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """The feature file source -- stored dt/hour Parquet read back (partition
+    pruned by day) with its event time as the feature timestamp (D7)."""
+    from eventide.sources.replay import read_events
+    return feature_events(read_events(spark, path, date_from, date_to))

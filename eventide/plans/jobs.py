@@ -126,3 +126,22 @@ def replay(spark: SparkSession, events_dir: str, date_from: str, date_to: str,
     env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
     publish(env, TOPIC, path=topic_dir)
     return totals
+
+
+def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str, files_per_trigger: int = 1,
+                       interval: str = "1 second", checkpoint: str | None = None,
+                       schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON, trigger: dict | None = None):
+    """Replay stored events as a paced stream -- at most ``files_per_trigger``
+    files every ``interval`` -- instead of a per-row timer."""
+    from eventide.sources.replay import STORED
+    from eventide.streaming.sources import read_event_files
+    stored = read_event_files(spark, events_dir, STORED, max_files_per_trigger=files_per_trigger)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        enc = encode_wire(df.drop("dt", "hour"), schema_id, schema_json)
+        env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
+        _write_batch(env, topic_dir, batch_id)
+
+    w = stored.writeStream.foreachBatch(batch).option("checkpointLocation",
+                                                      _checkpoint(spark, "replay", checkpoint))
+    return w.trigger(**(trigger or {"processingTime": interval})).start()

@@ -145,3 +145,41 @@ def test_ingest_job(spark, tmp):
     valid, rej = decode_wire(out.select("value"), registry_frame(spark))
     assert valid.count() == ce.count() and rej.count() == 0
     assert spark.read.parquet(dlq).count() == 1
+
+
+def test_store_restart_processes_only_new_files(spark, tmp):
+    msgs, topic = _topic_files(spark, tmp, n_files=2)
+    reg = registry_frame(spark)
+    events_dir, dlq_dir, ck = os.path.join(tmp, "events"), os.path.join(tmp, "dlq"), os.path.join(tmp, "ck")
+    run = lambda: jobs.start_store(spark, read_topic(spark, "recentchanges", path=topic), events_dir,
+                                   dlq_dir, reg, checkpoint=ck, trigger={"availableNow": True})
+    q = run()
+    q.awaitTermination()
+    first = read_events(spark, events_dir).count()
+    more = inject.wire_messages(change_events(spark, SF001).withColumn("id", F.col("id") + 10**6))
+    more.write.mode("append").parquet(topic)
+    q = run()                          # restart from the same checkpoint
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == more.count()
+    assert read_events(spark, events_dir).count() == 2 * first
+
+
+def test_replay_job_and_paced_replay(spark, tmp):
+    from eventide.sinks.parquet import write_events
+    ce = ce_columns(change_events(spark, SF001))
+    events_dir = os.path.join(tmp, "events")
+    write_events(ce, events_dir)
+    dry = jobs.replay(spark, events_dir, "2024-01-02", "2024-01-03", dry_run=True).first()
+    want = ce.where(F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd")
+                    .between("2024-01-02", "2024-01-03")).count()
+    assert dry.events == want and dry.files >= 2
+    topic = os.path.join(tmp, "topic")
+    jobs.replay(spark, events_dir, "2024-01-02", "2024-01-03", topic_dir=topic)
+    valid, _ = decode_wire(spark.read.parquet(topic).select("value"), registry_frame(spark))
+    assert valid.count() == want
+    paced = os.path.join(tmp, "paced")
+    q = jobs.start_replay_paced(spark, events_dir, paced, files_per_trigger=50,
+                                checkpoint=os.path.join(tmp, "ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) >= 2 and spark.read.parquet(paced).count() == ce.count()
