@@ -143,7 +143,7 @@ def decode_record(fields, buf: bytes, start: int = 0) -> dict:
     for name, t in fields:
         row[name], pos = _read(buf, pos, t)
     if pos != len(buf):
-        raise AvroError(f"{len(buf) - pos} trailing bytes")
+        raise AvroError("trailing bytes")
     return row
 
 
@@ -151,23 +151,52 @@ def decode_record(fields, buf: bytes, start: int = 0) -> dict:
 
 def encoder(fields, out_col: str = "body"):
     """``mapInArrow`` function appending the Avro body of each row."""
+    from eventide.functions import avro_vec
+
+    def scalar(rb):
+        cols = {n: rb.column(n).to_pylist() for n, _ in fields if n in rb.schema.names}
+        return pa.array([encode_record(fields, {k: v[i] for k, v in cols.items()})
+                         for i in range(rb.num_rows)], type=pa.binary())
+
     def run(batches):
         for rb in batches:
-            cols = {n: rb.column(n).to_pylist() for n, _ in fields if n in rb.schema.names}
-            n = rb.num_rows
-            bodies = [encode_record(fields, {k: v[i] for k, v in cols.items()}) for i in range(n)]
-            yield rb.append_column(out_col, pa.array(bodies, type=pa.binary()))
+            try:
+                body = avro_vec.encode_batch(rb, fields)
+            except (TypeError, ValueError, pa.ArrowException):
+                body = scalar(rb)
+            yield rb.append_column(out_col, body)
     return run
 
 
+def _decode_scalar(values, ids, fields_for, names):
+    out = {n: [] for n in names}
+    errors = []
+    for v, sid in zip(values.to_pylist(), ids):
+        try:
+            row = decode_record(fields_for(sid), v, 5)
+            err = None
+        except (AvroError, ValueError, KeyError, TypeError) as e:
+            row, err = {}, f"avro unmarshal: {e}"
+        for n in names:
+            out[n].append(row.get(n))
+        errors.append(err)
+    return out, errors
+
+
 def decoder(schemas: dict, out_fields, value_col: str = "value", id_col: str = "schema_id",
             keep=()):
     """``mapInArrow`` function decoding bodies (after the 5-byte header).
 
     ``schemas`` maps schema id -> schema JSON (a broadcast value);
     ``out_fields`` is the Arrow schema of the decoded columns.  A body that
-    does not decode yields NULL fields and an ``error_message``.
+    does not decode yields NULL fields and an ``error_message``.  Rows are
+    decoded column-at-a-time per schema id (``avro_vec``); a batch the fast
+    path cannot handle is decoded row by row.
     """
+    import numpy as np
+
+    from eventide.functions import avro_vec
+
     parsed: dict = {}
 
     def fields_for(sid):
@@ -177,23 +206,40 @@ def decoder(schemas: dict, out_fields, value_col: str = "value", id_col: str = "
 
     names = [f.name for f in out_fields]
 
+    def fast(values, ids):
+        uniq = sorted({i for i in ids if i is not None})
+        if len(uniq) != 1 or uniq[0] not in schemas or None in ids:
+            raise TypeError("fast path wants one known schema per call")
+        return avro_vec.decode_batch(values, fields_for(uniq[0]), out_fields)
+
+    def one_batch(values, ids):
+        try:
+            return fast(values, ids)
+        except (TypeError, ValueError, pa.ArrowException):
+            out, errors = _decode_scalar(values, ids, fields_for, names)
+            return [pa.array(out[f.name], type=f.type) for f in out_fields], errors
+
     def run(batches):
         for rb in batches:
-            values = rb.column(value_col).to_pylist()
+            values = rb.column(value_col)
             ids = rb.column(id_col).to_pylist()
-            out = {n: [] for n in names}
-            errors = []
-            for v, sid in zip(values, ids):
-                try:
-                    row = decode_record(fields_for(sid), v, 5)
-                    err = None
-                except (AvroError, ValueError, KeyError) as e:
-                    row, err = {}, f"avro unmarshal: {e}"
-                for n in names:
-                    out[n].append(row.get(n))
-                errors.append(err)
-            arrays = [rb.column(k) for k in keep]
-            arrays += [pa.array(out[f.name], type=f.type) for f in out_fields]
+            if len(set(ids)) <= 1:
+                cols, errors = one_batch(values, ids)
+            else:                       # several writer schemas: decode per schema, restore order
+                ids_np = np.array([-1 if i is None else i for i in ids])
+                order = np.argsort(ids_np, kind="stable")
+                parts, errs = [], []
+                for sid in np.unique(ids_np):
+                    sel = order[ids_np[order] == sid]
+                    c, e = one_batch(values.take(pa.array(sel)), [ids[i] for i in sel])
+                    parts.append(c)
+                    errs.extend(e)
+                inverse = np.argsort(np.concatenate([order[ids_np[order] == sid]
+                                                     for sid in np.unique(ids_np)]))
+                cols = [pa.concat_arrays([p[k] for p in parts]).take(pa.array(inverse))
+                        for k in range(len(out_fields))]
+                errors = [errs[i] for i in inverse]
+            arrays = [rb.column(k) for k in keep] + [c.cast(f.type) for c, f in zip(cols, out_fields)]
             arrays.append(pa.array(errors, type=pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=list(keep) + names + ["error_message"])
     return run

@@ -85,3 +85,31 @@ def test_dlq_headers_prepended(spark):
     assert keys[6] == "x-error-type" and bytes(dlq.headers[6].value) == b"sink_error"
     assert bytes(dlq.headers[4].value) == b"2024-06-10 06:13:20"
     assert bytes(dlq.key) == b"k" and bytes(dlq.value) == b"\x00\x01"
+
+
+def test_vectorized_codec_equals_scalar():
+    import random
+
+    import pyarrow as pa
+
+    from eventide.functions import avro_vec
+    random.seed(0)
+    for sj in (SCHEMA_V1_JSON, SCHEMA_V2_JSON):
+        fields = avro.parse_schema(sj)
+        rows = [dict(EVENT, id=random.choice([0, -1, 2**40, -2**62]), title="é" * random.randrange(0, 300),
+                     namespace=random.randrange(-2**31, 2**31), bot=random.random() < .5,
+                     minor=random.randrange(0, 3), page_id=random.choice([None, 5, -7, 2**50]))
+                for _ in range(300)]
+        ref = [avro.encode_record(fields, r) for r in rows]
+        assert avro_vec.encode_batch(pa.RecordBatch.from_pylist(rows), fields).to_pylist() == ref
+        hdr = b"\x00\x00\x00\x00\x01"
+        vals = pa.array([hdr + b for b in ref] + [hdr + ref[0][:-2], hdr + ref[1] + b"x"], type=pa.binary())
+        out_fields = [pa.field(f.name, {"long": pa.int64(), "integer": pa.int32(), "string": pa.string(),
+                                        "boolean": pa.bool_()}[f.dataType.typeName()])
+                      for f in CHANGE_EVENT_V2.fields]
+        cols, errs = avro_vec.decode_batch(vals, fields, out_fields)
+        names = [f.name for f in out_fields]
+        for i, b in enumerate(ref):
+            d = avro.decode_record(fields, b)
+            assert {k: cols[names.index(k)][i].as_py() for k in d} == d and errs[i] is None
+        assert errs[-2:] == ["avro unmarshal: unexpected end of data", "avro unmarshal: trailing bytes"]
