@@ -184,14 +184,15 @@ def _decode_scalar(values, ids, fields_for, names):
 
 
 def decoder(schemas: dict, out_fields, value_col: str = "value", id_col: str = "schema_id",
-            keep=()):
+            keep=(), err_col: str | None = None):
     """``mapInArrow`` function decoding bodies (after the 5-byte header).
 
     ``schemas`` maps schema id -> schema JSON (a broadcast value);
     ``out_fields`` is the Arrow schema of the decoded columns.  A body that
-    does not decode yields NULL fields and an ``error_message``.  Rows are
-    decoded column-at-a-time per schema id (``avro_vec``); a batch the fast
-    path cannot handle is decoded row by row.
+    does not decode yields NULL fields and an ``error_message``; rows whose
+    ``err_col`` is already set (envelope errors) pass through undecoded with
+    that message.  Rows are decoded column-at-a-time per schema id
+    (``avro_vec``); a batch the fast path cannot handle is decoded row by row.
     """
     import numpy as np
 
@@ -206,40 +207,51 @@ def decoder(schemas: dict, out_fields, value_col: str = "value", id_col: str = "
 
     names = [f.name for f in out_fields]
 
-    def fast(values, ids):
-        uniq = sorted({i for i in ids if i is not None})
-        if len(uniq) != 1 or uniq[0] not in schemas or None in ids:
-            raise TypeError("fast path wants one known schema per call")
-        return avro_vec.decode_batch(values, fields_for(uniq[0]), out_fields)
-
-    def one_batch(values, ids):
+    def one_schema(values, sid):
         try:
-            return fast(values, ids)
+            if sid not in schemas:
+                raise TypeError("unknown schema")
+            return avro_vec.decode_batch(values, fields_for(sid), out_fields)
         except (TypeError, ValueError, pa.ArrowException):
-            out, errors = _decode_scalar(values, ids, fields_for, names)
+            out, errors = _decode_scalar(values, [sid] * len(values), fields_for, names)
             return [pa.array(out[f.name], type=f.type) for f in out_fields], errors
 
+    def scatter(n, parts):
+        """parts: [(row indices, columns, errors)] -> full columns/errors in row order."""
+        mapping = np.full(n, -1, dtype=np.int64)
+        errors = [None] * n
+        base = 0
+        for rows, _, errs in parts:
+            mapping[rows] = base + np.arange(len(rows))
+            for i, e in zip(rows, errs):
+                errors[i] = e
+            base += len(rows)
+        mapping[mapping < 0] = base           # -> the trailing null row
+        cols = []
+        for k, f in enumerate(out_fields):
+            pieces = [p[1][k].cast(f.type) for p in parts] + [pa.nulls(1, f.type)]
+            cols.append(pa.concat_arrays(pieces).take(pa.array(mapping)))
+        return cols, errors
+
     def run(batches):
         for rb in batches:
+            n = rb.num_rows
             values = rb.column(value_col)
-            ids = rb.column(id_col).to_pylist()
-            if len(set(ids)) <= 1:
-                cols, errors = one_batch(values, ids)
-            else:                       # several writer schemas: decode per schema, restore order
-                ids_np = np.array([-1 if i is None else i for i in ids])
-                order = np.argsort(ids_np, kind="stable")
-                parts, errs = [], []
-                for sid in np.unique(ids_np):
-                    sel = order[ids_np[order] == sid]
-                    c, e = one_batch(values.take(pa.array(sel)), [ids[i] for i in sel])
-                    parts.append(c)
-                    errs.extend(e)
-                inverse = np.argsort(np.concatenate([order[ids_np[order] == sid]
-                                                     for sid in np.unique(ids_np)]))
-                cols = [pa.concat_arrays([p[k] for p in parts]).take(pa.array(inverse))
-                        for k in range(len(out_fields))]
-                errors = [errs[i] for i in inverse]
-            arrays = [rb.column(k) for k in keep] + [c.cast(f.type) for c, f in zip(cols, out_fields)]
+            ids = np.array([-1 if i is None else i for i in rb.column(id_col).to_pylist()], dtype=np.int64)
+            pre = rb.column(err_col).to_pylist() if err_col else [None] * n
+            todo = np.array([i for i in range(n) if pre[i] is None], dtype=np.int64)
+            parts = []
+            for sid in np.unique(ids[todo]) if len(todo) else []:
+                rows = todo[ids[todo] == sid]
+                sub = values if len(rows) == n else values.take(pa.array(rows))
+                c, e = one_schema(sub, int(sid))
+                parts.append((rows, c, e))
+            if len(parts) == 1 and len(parts[0][0]) == n:
+                cols, errors = [c.cast(f.type) for c, f in zip(parts[0][1], out_fields)], parts[0][2]
+            else:
+                cols, errors = scatter(n, parts)
+            errors = [pre[i] if pre[i] is not None else errors[i] for i in range(n)]
+            arrays = [rb.column(k) for k in keep] + cols
             arrays.append(pa.array(errors, type=pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=list(keep) + names + ["error_message"])
     return run

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventide.functions.columns import error_type
 from eventide.operators.quantiles import exact_quantiles
 
 # Default latency bucket bounds in seconds (upper bounds, "le").
@@ -34,17 +35,20 @@ SLO_ERROR_RATE = 0.01
 SLO_WRITE_RATE = 100.0
 
 
-def counters(published: DataFrame, consumed: DataFrame, failed: DataFrame,
-             topic: str, error_type: str = "error_type") -> DataFrame:
-    """M1: published / consumed / failed totals (failed by error type)."""
-    p = published.select(F.lit("events_published_total").alias("metric"), F.lit(topic).alias("topic"),
-                         F.lit("").alias("type"))
-    c = consumed.select(F.lit("events_consumed_total").alias("metric"), F.lit(topic).alias("topic"),
-                        F.lit("").alias("type"))
-    f = failed.select(F.lit("events_failed_total").alias("metric"), F.lit(topic).alias("topic"),
-                      F.col(error_type).alias("type"))
-    return (p.unionByName(c).unionByName(f)
-             .groupBy("metric", "topic", "type").agg(F.count(F.lit(1)).alias("value")))
+def counters(outcomes: DataFrame, topic: str, error: str = "error_message") -> DataFrame:
+    """M1: published / consumed / failed totals (failed by error type) in one pass.
+
+    ``outcomes`` holds one row per message with its error (NULL when it was
+    consumed).  Each row feeds two counters -- published, and consumed or
+    failed -- through one explode and one partial aggregate.
+    """
+    failed = F.struct(F.lit("events_failed_total").alias("metric"), error_type(F.col(error)).alias("type"))
+    consumed = F.struct(F.lit("events_consumed_total").alias("metric"), F.lit("").alias("type"))
+    published = F.struct(F.lit("events_published_total").alias("metric"), F.lit("").alias("type"))
+    outcome = F.when(F.col(error).isNull(), consumed).otherwise(failed)
+    return (outcomes.select(F.explode(F.array(published, outcome)).alias("c"))
+            .groupBy(F.col("c.metric").alias("metric"), F.lit(topic).alias("topic"), F.col("c.type").alias("type"))
+            .agg(F.count(F.lit(1)).alias("value")))
 
 
 def histogram(df: DataFrame, value: str, buckets=DEFAULT_BUCKETS, group: list[str] = ()) -> DataFrame:

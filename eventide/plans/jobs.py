@@ -24,7 +24,7 @@ from eventide.sinks.parquet import FLUSH_INTERVAL, FLUSH_MAX_ROWS, write_events
 from eventide.sinks.wire import encode_wire, publish, to_dlq, to_envelope
 from eventide.sources.json_events import parse_change_event, parse_defaults, sse_frames_stream
 from eventide.sources.replay import read_events
-from eventide.sources.wire import SCHEMA_V1_JSON, decode_wire
+from eventide.sources.wire import SCHEMA_V1_JSON, decode_all, rejected_rows, valid_rows
 
 TOPIC = "recentchanges"
 DLQ_TOPIC = "recentchanges-dlq"
@@ -71,18 +71,19 @@ def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str,
                 registry: DataFrame) -> None:
     """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup -> dt/hour files.
 
-    The batch is persisted because two sinks read it.  Both writes replace
+    The decoded batch is persisted because two sinks read it.  Both writes replace
     their own ``batch_id`` partition, so a replayed batch adds nothing twice.
     """
-    df.persist()
+    keep = ("key", "topic", "partition", "offset", "broker_timestamp", "headers")
     msgs = df.withColumnRenamed("timestamp", "broker_timestamp")
-    valid, rejected = decode_wire(msgs, registry, keep=("key", "topic", "partition", "offset",
-                                                        "broker_timestamp", "headers"))
-    _write_batch(to_dlq(rejected, DLQ_TOPIC, ts_col="broker_timestamp"), dlq_dir, batch_id)
-    events = dedup_events(valid.drop("key", "topic", "partition", "offset", "broker_timestamp",
-                                     "headers"))
-    write_events(events, events_dir, batch_id=batch_id, max_records_per_file=FLUSH_MAX_ROWS)
-    df.unpersist()
+    dec = decode_all(msgs, registry, keep=keep).persist()     # decoded once, read by both sinks
+    try:
+        _write_batch(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
+                     dlq_dir, batch_id)
+        events = dedup_events(valid_rows(dec))
+        write_events(events, events_dir, batch_id=batch_id, max_records_per_file=FLUSH_MAX_ROWS)
+    finally:
+        dec.unpersist()
 
 
 def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, dlq_dir: str,

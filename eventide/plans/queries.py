@@ -178,17 +178,25 @@ def q_evolve_v2_v1(spark, sf_dir):
 from eventide.operators import reliability  # noqa: E402
 from eventide.sinks.wire import to_dlq  # noqa: E402
 from eventide.sources.json_events import parse_change_event as _parse  # noqa: E402
-from eventide.sources.wire import decode_wire, lookup_schema, registry_frame, wire_envelope  # noqa: E402
+from eventide.sources.wire import (decode_all, decode_wire, lookup_schema, registry_frame,  # noqa: E402
+                                   rejected_rows, valid_rows, wire_envelope)
 
 
 def _messages(spark, sf_dir):
     return inject.wire_messages(change_events(spark, sf_dir))
 
 
-def _decoded(spark, sf_dir):
+ENVELOPE_KEEP = ("key", "topic", "partition", "offset", "broker_timestamp", "headers")
+
+
+def _decoded_all(spark, sf_dir):
     msgs = _messages(spark, sf_dir).withColumnRenamed("timestamp", "broker_timestamp")
-    return decode_wire(msgs, registry_frame(spark),
-                       keep=("key", "topic", "partition", "offset", "broker_timestamp", "headers"))
+    return decode_all(msgs, registry_frame(spark), keep=ENVELOPE_KEEP)
+
+
+def _decoded(spark, sf_dir):
+    dec = _decoded_all(spark, sf_dir)
+    return valid_rows(dec, keep=ENVELOPE_KEEP), rejected_rows(dec, keep=ENVELOPE_KEEP)
 
 
 @query("wire_envelope")
@@ -206,10 +214,13 @@ def q_schema_lookup(spark, sf_dir):
 
 @query("decode_wire")
 def q_decode_wire(spark, sf_dir):
-    valid, rejected = _decoded(spark, sf_dir)
-    v = valid.withColumnRenamed("offset", "source_id")
-    r = rejected.withColumnRenamed("offset", "source_id")
-    return _flagged(v, r, list(CHANGE_EVENT_V1.fieldNames()))
+    # valid rows and rejects from one decode pass: no branch re-runs the decoder
+    dec = _decoded_all(spark, sf_dir)
+    ok = F.col("error_message").isNull()
+    aligned = align_schema(dec, CHANGE_EVENT_V1, keep=("offset", "error_message"))
+    return aligned.select(F.col("offset").alias("source_id"), ok.alias("is_valid"),
+                          *[F.when(ok, F.col(c)).alias(c) for c in CHANGE_EVENT_V1.fieldNames()],
+                          "error_message")
 
 
 @query("wire_round_trip")
@@ -316,10 +327,7 @@ QUANTILES = [0.5, 0.95, 0.99]
 
 @query("metric_counters")
 def q_metric_counters(spark, sf_dir):
-    msgs = _messages(spark, sf_dir)
-    valid, rejected = _decoded(spark, sf_dir)
-    failed = rejected.withColumn("error_type", C.error_type("error_message"))
-    return metrics.counters(msgs, valid, failed, inject.TOPIC)
+    return metrics.counters(_decoded_all(spark, sf_dir), inject.TOPIC)
 
 
 @query("metric_histogram")

@@ -77,18 +77,18 @@ def lookup_schema(df: DataFrame, registry: DataFrame, id_col: str = "schema_id")
 _ARROW = {"long": pa.int64(), "integer": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
 
 
-def decode_wire(df: DataFrame, registry: DataFrame, target: T.StructType = CHANGE_EVENT_V1,
-                value: str = "value", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Messages -> (decoded change events under ``target``, rejected messages).
-
-    Rejects carry ``error_message`` in the source system's wording:
-    ``short message: N bytes``, ``bad magic byte: 0xNN``,
-    ``get schema N: schema not found`` or ``avro unmarshal: ...``.
+def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """S4 in one pass: every message -> ``keep`` + ``value`` + the decoded v2
+    field superset + ``error_message`` (NULL for a good message).
+
+    Envelope and registry checks are SQL expressions; the rows then make a
+    single trip through the Arrow-batched body decoder (envelope rejects ride
+    along undecoded), so valid rows and rejects come from the same scan.
     """
     schemas = collect_small(registry.select("schema_id", "schema"), max_rows=100_000)
     known = {int(r["schema_id"]): r["schema"] for r in schemas}
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(known)
+    bc = df.sparkSession.sparkContext.broadcast(known)
 
     env = wire_envelope(df, value)
     env = env.withColumn(
@@ -97,22 +97,40 @@ def decode_wire(df: DataFrame, registry: DataFrame, target: T.StructType = CHANG
          .when(~F.col("schema_id").isin(list(known) or [-1]),
                F.concat(F.lit("get schema "), F.col("schema_id").cast("string"),
                         F.lit(": schema not found"))))
-    bad_env = env.where(F.col("envelope_error").isNotNull()) \
-                 .withColumn("error_message", F.col("envelope_error"))
-    good = env.where(F.col("envelope_error").isNull())
-
     decoded_fields = list(CHANGE_EVENT_V2.fields)
     arrow_fields = [pa.field(f.name, _ARROW[f.dataType.typeName()]) for f in decoded_fields]
-    passthrough = list(keep) + [value, "schema_id"]
-    out_schema = T.StructType([good.schema[c] for c in passthrough] + decoded_fields
+    passthrough = list(keep) + [value]
+    inputs = env.select(*passthrough, "schema_id", "envelope_error")
+    out_schema = T.StructType([inputs.schema[c] for c in passthrough] + decoded_fields
                               + [T.StructField("error_message", T.StringType())])
 
     def run(batches):
-        return avro.decoder(bc.value, arrow_fields, value_col=value, keep=passthrough)(batches)
-
-    dec = good.select(*passthrough).mapInArrow(run, out_schema)
-    valid = align_schema(dec.where(F.col("error_message").isNull()), target, V2_DEFAULTS, keep=keep)
-    rejected = (bad_env.select(*keep, value, "error_message")
-                .unionByName(dec.where(F.col("error_message").isNotNull())
-                             .select(*keep, value, "error_message")))
-    return valid, rejected
+        return avro.decoder(bc.value, arrow_fields, value_col=value, keep=passthrough,
+                            err_col="envelope_error")(batches)
+
+    return inputs.mapInArrow(run, out_schema)
+
+
+def valid_rows(decoded: DataFrame, target: T.StructType = CHANGE_EVENT_V1,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """Good messages of ``decode_all`` under the reader schema ``target``."""
+    return align_schema(decoded.where(F.col("error_message").isNull()), target, V2_DEFAULTS, keep=keep)
+
+
+def rejected_rows(decoded: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bad messages of ``decode_all``, byte for byte, with their error message."""
+    return decoded.where(F.col("error_message").isNotNull()).select(*keep, value, "error_message")
+
+
+def decode_wire(df: DataFrame, registry: DataFrame, target: T.StructType = CHANGE_EVENT_V1,
+                value: str = "value", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Messages -> (decoded change events under ``target``, rejected messages).
+
+    Rejects carry ``error_message`` in the source system's wording:
+    ``short message: N bytes``, ``bad magic byte: 0xNN``,
+    ``get schema N: schema not found`` or ``avro unmarshal: ...``.  When both
+    outputs are used, persist ``decode_all`` once (as the store job does) or
+    use it directly; the two frames here each re-run the decode.
+    """
+    dec = decode_all(df, registry, value, keep)
+    return valid_rows(dec, target, keep), rejected_rows(dec, value, keep)
