@@ -36,3 +36,16 @@ def collect_small(df: DataFrame, max_rows: int) -> list:
     if len(rows) > max_rows:
         raise TooLarge(f"more than {max_rows} rows; refusing to collect to the driver")
     return rows
+
+
+def spread_for_python(df: DataFrame) -> DataFrame:
+    """Give an Arrow/Python stage at least one partition per core.
+
+    Python stages cost far more per row than JVM expressions, so an input
+    with fewer partitions than the cluster's default parallelism (one small
+    file, one row group) is spread round-robin first.  Inputs that already
+    have enough partitions -- every large scan or topic -- are left as they
+    are, so at scale this adds no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from eventide.functions import avro
 from eventide.functions import columns as C
+from eventide.operators.joins import spread_for_python
 
 
 def header_bytes(schema_id: int) -> bytes:
@@ -29,7 +30,7 @@ def encode_wire(df: DataFrame, schema_id: int, schema_json: str, out: str = "val
     """
     fields = avro.parse_schema(schema_json)
     body_schema = T.StructType(df.schema.fields + [T.StructField("_body", T.BinaryType())])
-    enc = df.mapInArrow(avro.encoder(fields, "_body"), body_schema)
+    enc = spread_for_python(df).mapInArrow(avro.encoder(fields, "_body"), body_schema)
     return enc.withColumn(out, F.concat(F.lit(bytearray(header_bytes(schema_id))), F.col("_body"))) \
               .drop("_body")
 

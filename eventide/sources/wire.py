@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions import avro
-from eventide.operators.joins import broadcast_if_small, collect_small
+from eventide.operators.joins import broadcast_if_small, collect_small, spread_for_python
 from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, REGISTRY, V2_DEFAULTS, align_schema
 
 # The two change-event schemas and the subject they are registered under.
@@ -108,7 +108,7 @@ def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
         return avro.decoder(bc.value, arrow_fields, value_col=value, keep=passthrough,
                             err_col="envelope_error")(batches)
 
-    return inputs.mapInArrow(run, out_schema)
+    return spread_for_python(inputs).mapInArrow(run, out_schema)
 
 
 def valid_rows(decoded: DataFrame, target: T.StructType = CHANGE_EVENT_V1,
