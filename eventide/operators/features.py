@@ -39,7 +39,7 @@ def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user") -> DataFram
 
     One aggregate per (key, hour) -- partial aggregation first, so a hot key
     is reduced per task -- then each hourly row is fanned out to the 24 grid
-    hours it feeds (a fixed factor) and summed.  Rows exist for every hour
+    hours it feeds (a fixed factor) and summed: one scan, no join.  Rows exist for every hour
     with ``edits_last_24h > 0``; quiet hours give 0 counts and NULL ratios.
     """
     hr = F.floor(F.col("timestamp") / F.lit(HOUR)).cast("long")
@@ -48,17 +48,23 @@ def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user") -> DataFram
            .agg(F.count(F.lit(1)).alias("n"),
                 F.count_distinct(user).alias("u"),
                 F.sum(F.col("bot").cast("int")).cast("long").alias("b")))
-    g = (h.select(key, F.explode(F.sequence(F.col("hr"), F.col("hr") + 23)).alias("hr"), "n")
-           .groupBy(key, "hr").agg(F.sum("n").cast("long").alias("n24")))
-    j = g.join(h, on=[key, "hr"], how="left")
-    return j.select(
+    # fan each hourly row out to the 24 grid hours it feeds; offset 0 also
+    # carries the hour's own counts, so one aggregate yields both windows
+    k = F.col("_k")
+    fan = h.select(key, "hr", "n", "u", "b", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_k")) \
+           .select(key, (F.col("hr") + k).alias("hr"), "n",
+                   F.when(k == 0, F.col("n")).alias("n1"), F.when(k == 0, F.col("u")).alias("u1"),
+                   F.when(k == 0, F.col("b")).alias("b1"))
+    g = fan.groupBy(key, "hr").agg(F.sum("n").cast("long").alias("n24"), F.max("n1").alias("n1"),
+                                   F.max("u1").alias("u1"), F.max("b1").alias("b1"))
+    return g.select(
         key,
         ((F.col("hr") + 1) * HOUR).cast("long").alias("feature_ts"),
-        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("edits_last_hour"),
+        F.coalesce(F.col("n1"), F.lit(0)).cast("long").alias("edits_last_hour"),
         F.col("n24").alias("edits_last_24h"),
-        F.coalesce(F.col("u"), F.lit(0)).cast("long").alias("unique_users_last_hour"),
-        F.round(F.col("b") / F.col("n"), 6).alias("bot_fraction"),
-        F.round(F.col("n") / F.col("u"), 6).alias("avg_edits_per_user"))
+        F.coalesce(F.col("u1"), F.lit(0)).cast("long").alias("unique_users_last_hour"),
+        F.round(F.col("b1") / F.col("n1"), 6).alias("bot_fraction"),
+        F.round(F.col("n1") / F.col("u1"), 6).alias("avg_edits_per_user"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
