@@ -47,5 +47,7 @@ def spread_for_python(df: DataFrame) -> DataFrame:
     have enough partitions -- every large scan or topic -- are left as they
     are, so at scale this adds no shuffle.
     """
+    if df.isStreaming:
+        return df
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from eventide.schema import CHANGE_EVENT_COLUMNS
 from eventide.session import table_path
 
-# Epoch seconds of a timestamp without zone, independent of the session zone.
-EPOCH_SECONDS_SQL = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+# Epoch seconds of a timestamp without zone, from zone-free date and time parts, so that
+# neither the session zone nor daylight saving can shift it (fraction of a second dropped).
+EPOCH_SECONDS_SQL = ("CAST(datediff(to_date(ts), DATE'1970-01-01') AS BIGINT) * 86400 "
+                     "+ hour(ts) * 3600 + minute(ts) * 60 + CAST(floor(second(ts)) AS BIGINT)")
 
 # Fixed values that shape the change-event view (chosen with the oracle SQL).
 WIKIS = ["enwiki", "dewiki", "frwiki", "wikidata"]          # by user_id % 4

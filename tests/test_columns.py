@@ -68,3 +68,18 @@ def test_estimated_bytes_counts_utf8(spark):
     cols = C.SIZE_STRING_COLUMNS
     df = spark.createDataFrame([tuple(["é"] + [""] * (len(cols) - 1))], ", ".join(f"{c} string" for c in cols))
     assert df.select(C.estimated_bytes()).first()[0] == 64 + 2
+
+
+def test_change_event_time_ignores_session_zone(spark):
+    from eventide.sources.tables import change_events_from
+    ev = spark.sql("""SELECT 1L AS event_id, TIMESTAMP_NTZ'2024-07-01 12:34:56.9' AS ts, 3L AS user_id,
+                             'edit' AS event_type, 1.0 AS value, '{"k": 5}' AS props""")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = []
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got.append(change_events_from(ev).select("timestamp").first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1719837296] * 3
