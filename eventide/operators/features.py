@@ -14,10 +14,11 @@ buckets, and the exploded side is bounded by keys x buckets in the time span.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.operators.joins import broadcast_if_small
+from eventide.operators.scan import next_in_order
 
 HOUR = 3600
 DAY = 24 * HOUR
@@ -68,20 +69,22 @@ def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user") -> DataFram
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
-              ttl: int | None = None, bucket: int = HOUR) -> DataFrame:
+              ttl: int | None = None, bucket: int = HOUR, chunk_width: int | None = None) -> DataFrame:
     """left join each left row to the newest right row of the same ``by`` key
     with ``right_ts <= left_ts`` and, with ``ttl``, ``left_ts - right_ts <= ttl``.
 
     ``right`` must have unique (by, right_ts).  Its other columns are added
-    (NULL when there is no match).  Implemented as interval explode + equi-join.
+    (NULL when there is no match).  Implemented as interval explode + equi-join;
+    the next right row per key comes from ``next_in_order`` (chunked, so a
+    key with very many right rows is not one task).
     """
-    w = Window.partitionBy(*by).orderBy(right_ts)
-    nxt = F.lead(F.col(right_ts)).over(w)
-    end = F.coalesce(nxt, F.lit(None).cast("long"))
+    iv = next_in_order(right, by, right_ts, out="_nxt", chunk_width=chunk_width or bucket * 1024)
+    nxt = F.col("_nxt")
+    end = nxt
     if ttl is not None:
         cap = F.col(right_ts) + F.lit(ttl + 1)
         end = F.least(F.coalesce(nxt, cap), cap)
-    iv = right.withColumn("_end", end)
+    iv = iv.withColumn("_end", end).drop("_nxt")
     if ttl is None:
         # open-ended last interval: bucket it up to the newest left timestamp
         hi = left.agg(F.max(left_ts)).first()[0]

@@ -60,9 +60,9 @@ def test_asof_join_brute_force(spark):
     left = [(i, random.choice("abc"), random.randrange(0, 25000)) for i in range(400)]
     r = spark.createDataFrame(right, "k string, fts long, val long")
     l_ = spark.createDataFrame(left, "id long, k string, ts long")
-    for ttl in (None, 700):
+    for ttl, chunk in ((None, None), (700, None), (700, 900), (None, 301)):   # small chunks: many per key
         got = {x.id: (x.fts, x.val) for x in
-               features.asof_join(l_, r, ["k"], "ts", "fts", ttl=ttl, bucket=300).collect()}
+               features.asof_join(l_, r, ["k"], "ts", "fts", ttl=ttl, bucket=300, chunk_width=chunk).collect()}
         for i, k, ts in left:
             cands = [(f, v) for kk, f, v in right if kk == k and f <= ts and (ttl is None or ts - f <= ttl)]
             best = max(cands) if cands else None
