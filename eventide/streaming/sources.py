@@ -48,3 +48,9 @@ def read_event_files(spark: SparkSession, path: str, schema, max_files_per_trigg
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.format(fmt).load(path)
+
+
+def payloads_from_topic(messages: DataFrame, value: str = "value") -> DataFrame:
+    """JSON payloads of a topic whose values are UTF-8 text (the windowing job's input)."""
+    from pyspark.sql import functions as F
+    return messages.select(F.col(value).cast("string").alias("payload"))

@@ -183,3 +183,24 @@ def test_replay_job_and_paced_replay(spark, tmp):
     q.awaitTermination()
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) >= 2 and spark.read.parquet(paced).count() == ce.count()
+
+
+def test_windows_job_from_topic_to_json_files(spark, tmp):
+    from eventide.streaming.sources import payloads_from_topic
+    from eventide.schema import ENVELOPE
+    topic = os.path.join(tmp, "topic")
+    rows = [(None, bytearray(_ev(t, typ).encode()), "recentchanges", 0, i, None, [])
+            for i, (t, typ) in enumerate([(1, "edit"), (59, "edit"), (66, "new"), (200, "log")])]
+    spark.createDataFrame(rows, ENVELOPE).coalesce(1).write.parquet(topic)
+    stream = payloads_from_topic(read_topic(spark, "recentchanges", path=topic))
+    out = os.path.join(tmp, "agg")
+    q = jobs.start_windows(spark, stream, out, checkpoint=os.path.join(tmp, "ck"),
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    got = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    # windows [0,60) and [60,120) are closed by the event at 200 s; [180,240) stays open
+    assert sorted(map(json.dumps, got)) == sorted(map(json.dumps, [
+        {"window": {"start": 0, "end": 60000}, "type": "edit", "count": 2},
+        {"window": {"start": 0, "end": 60000}, "wiki": "enwiki", "edits": 2},
+        {"window": {"start": 60000, "end": 120000}, "type": "new", "count": 1},
+        {"window": {"start": 60000, "end": 120000}, "wiki": "enwiki", "edits": 1}]))
