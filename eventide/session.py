@@ -66,3 +66,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def recommended_confs(total_cores: int, input_bytes: int,
+                      target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: partitions of about ``target_partition_bytes``.
+
+    * scan splits of that size (``maxPartitionBytes``), so a task's input fits
+      comfortably in executor memory and spills rarely;
+    * initial shuffle partitions = max(3 x cores, input / target), which AQE
+      then coalesces toward the same advisory size and splits when skewed;
+    * the automatic broadcast threshold stays at a fixed 64 MiB -- our own
+      broadcasts are additionally guarded by row counts.
+
+    Example: 100 TB on 1000 executors x 8 cores -> about 400,000 shuffle partitions.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
