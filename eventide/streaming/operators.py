@@ -91,3 +91,52 @@ def dropped_by_watermark(query) -> int:
     if not p:
         return 0
     return sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p.get("stateOperators", []))
+
+
+def observe_outcomes(decoded: DataFrame, name: str = "event_counters",
+                     error: str = "error_message") -> DataFrame:
+    """M1 live: published / consumed / failed counts of every micro-batch,
+    reported in ``StreamingQueryProgress.observedMetrics[name]`` without an
+    extra pass over the data."""
+    e = F.col(error)
+    return decoded.observe(name, F.count(F.lit(1)).alias("published"),
+                           F.count_if(e.isNull()).alias("consumed"),
+                           F.count_if(e.isNotNull()).alias("failed"))
+
+
+def observed(query, name: str = "event_counters") -> dict:
+    """Totals of an observed metric over the progress reports a query kept."""
+    tot: dict = {}
+    for p in query.recentProgress:
+        row = (p.get("observedMetrics") or {}).get(name)
+        if row is None:
+            continue
+        for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
+            tot[k] = tot.get(k, 0) + int(v)
+    return tot
+
+
+def _offsets(obj) -> dict:
+    import json
+    if isinstance(obj, str):
+        try:
+            obj = json.loads(obj)
+        except ValueError:
+            return {}
+    return obj if isinstance(obj, dict) else {}
+
+
+def consumer_lag_from_progress(progress: dict) -> int:
+    """M6 live: sum over topic partitions of (latest offset - end offset of the
+    last micro-batch), from a Kafka source's progress entry.  0 when the
+    source reports no offsets (file sources)."""
+    lag = 0
+    for src in progress.get("sources", []):
+        latest, end = _offsets(src.get("latestOffset")), _offsets(src.get("endOffset"))
+        for topic, parts in latest.items():
+            if not isinstance(parts, dict):
+                continue
+            done = end.get(topic, {}) if isinstance(end.get(topic), dict) else {}
+            for part, off in parts.items():
+                lag += max(int(off) - int(done.get(part, 0)), 0)
+    return lag

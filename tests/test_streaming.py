@@ -204,3 +204,25 @@ def test_windows_job_from_topic_to_json_files(spark, tmp):
         {"window": {"start": 0, "end": 60000}, "wiki": "enwiki", "edits": 2},
         {"window": {"start": 60000, "end": 120000}, "type": "new", "count": 1},
         {"window": {"start": 60000, "end": 120000}, "wiki": "enwiki", "edits": 1}]))
+
+
+def test_observed_counters_in_stream(spark, tmp):
+    from eventide.sources.wire import decode_all
+    from eventide.streaming.operators import observe_outcomes, observed
+    msgs, topic = _topic_files(spark, tmp, n_files=2)
+    stream = read_topic(spark, "recentchanges", path=topic, max_files_per_trigger=1)
+    dec = observe_outcomes(decode_all(stream, registry_frame(spark)))
+    q = (dec.writeStream.format("noop").option("checkpointLocation", os.path.join(tmp, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    tot = observed(q)
+    valid, rejected = decode_wire(msgs, registry_frame(spark))
+    assert tot == {"published": msgs.count(), "consumed": valid.count(), "failed": rejected.count()}
+
+
+def test_lag_from_progress():
+    from eventide.streaming.operators import consumer_lag_from_progress
+    p = {"sources": [{"latestOffset": {"recentchanges": {"0": 120, "1": 80}},
+                      "endOffset": '{"recentchanges": {"0": 100, "1": 80}}'}]}
+    assert consumer_lag_from_progress(p) == 20
+    assert consumer_lag_from_progress({"sources": [{"endOffset": {"logOffset": 3}}]}) == 0
