@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.functions.columns import event_time
-from eventide.operators.windows import WATERMARK
 
 DEDUP_WATERMARK = "10 minutes"
 
@@ -85,12 +84,12 @@ def throughput(query) -> float:
     return float(p.get("processedRowsPerSecond") or 0.0) if p else 0.0
 
 
-def dropped_by_watermark(query) -> int:
-    """T4: late rows dropped by stateful operators in the last micro-batch."""
-    p = query.lastProgress
-    if not p:
-        return 0
-    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p.get("stateOperators", []))
+def dropped_by_watermark(query, all_batches: bool = False) -> int:
+    """T4: late rows dropped by stateful operators in the last micro-batch
+    (or, with ``all_batches``, in every progress report the query kept)."""
+    reports = list(query.recentProgress) if all_batches else [query.lastProgress]
+    return sum(int(s.get("numRowsDroppedByWatermark", 0))
+               for p in reports if p for s in p.get("stateOperators", []))
 
 
 def observe_outcomes(decoded: DataFrame, name: str = "event_counters",

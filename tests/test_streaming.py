@@ -38,15 +38,11 @@ def _run_windows(spark, tmp, batches, name):
          .outputMode("append").option("checkpointLocation", os.path.join(tmp, "ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    dropped = sum(dropped_by_watermark_from(p) for p in q.recentProgress)
+    dropped = dropped_by_watermark(q, all_batches=True)
     rows = [json.loads(r.value) for r in spark.table(name).collect()]
     return rows, dropped
 
 
-def dropped_by_watermark_from(p):
-    return sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in p.get("stateOperators", []))
-
-
 def _type_counts(rows):
     return sorted((r["window"]["start"] // 60000, r["type"], r["count"]) for r in rows if "type" in r)
 
