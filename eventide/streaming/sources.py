@@ -54,3 +54,10 @@ def payloads_from_topic(messages: DataFrame, value: str = "value") -> DataFrame:
     """JSON payloads of a topic whose values are UTF-8 text (the windowing job's input)."""
     from pyspark.sql import functions as F
     return messages.select(F.col(value).cast("string").alias("payload"))
+
+
+def read_dlq(spark: SparkSession, topic: str = "recentchanges-dlq", path: str | None = None,
+             bootstrap_servers: str | None = None, starting_offsets: str = "latest") -> DataFrame:
+    """The dead-letter topic as a stream (new messages only by default)."""
+    return read_topic(spark, topic, path=path, bootstrap_servers=bootstrap_servers,
+                      starting_offsets=starting_offsets, max_offsets_per_trigger=None)
