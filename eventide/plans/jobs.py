@@ -67,12 +67,42 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
        .partitionBy("batch_id").parquet(path))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_stored(events: DataFrame, events_dir: str, batch_id: int) -> DataFrame:
+    """Remove events already stored by *other* batches (re-deliveries, replays of old
+    days, section 7.4).  Only the key columns of the days this batch touches are
+    read: the day list (bounded by the batch's time span) becomes a partition
+    filter.  The batch's own files are excluded, so re-running it still
+    replaces them instead of dropping everything."""
+    spark = events.sparkSession
+    if not _exists(spark, events_dir):
+        return events
+    from eventide.functions.columns import dt_col
+    from eventide.operators.dedup import anti_join_existing
+    from eventide.operators.joins import collect_small
+    from eventide.sources.replay import STORED
+    from pyspark.sql import types as T
+    days = [r[0] for r in collect_small(events.select(dt_col("timestamp")).distinct(), 100_000)]
+    if not days:
+        return events
+    schema = T.StructType(STORED.fields + [T.StructField("batch_id", T.LongType())])
+    stored = (spark.read.schema(schema).parquet(events_dir)
+              .where(F.col("dt").isin(days) & (F.col("batch_id") != F.lit(int(batch_id)))))
+    return anti_join_existing(events, stored.select("wiki", "id"))
+
+
 def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str,
                 registry: DataFrame) -> None:
-    """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup -> dt/hour files.
+    """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup (within the
+    batch and against stored days) -> dt/hour files.
 
-    The decoded batch is persisted because two sinks read it.  Both writes replace
-    their own ``batch_id`` partition, so a replayed batch adds nothing twice.
+    The decoded batch is persisted because several steps read it.  Both writes
+    replace their own ``batch_id`` partition, so a replayed batch adds nothing twice.
     """
     keep = ("key", "topic", "partition", "offset", "broker_timestamp", "headers")
     msgs = df.withColumnRenamed("timestamp", "broker_timestamp")
@@ -80,7 +110,7 @@ def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str,
     try:
         _write_batch(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
                      dlq_dir, batch_id)
-        events = dedup_events(valid_rows(dec))
+        events = drop_stored(dedup_events(valid_rows(dec)), events_dir, batch_id)
         write_events(events, events_dir, batch_id=batch_id, max_records_per_file=FLUSH_MAX_ROWS)
     finally:
         dec.unpersist()

@@ -222,3 +222,23 @@ def test_lag_from_progress():
                       "endOffset": '{"recentchanges": {"0": 100, "1": 80}}'}]}
     assert consumer_lag_from_progress(p) == 20
     assert consumer_lag_from_progress({"sources": [{"endOffset": {"logOffset": 3}}]}) == 0
+
+
+def test_store_drops_redelivered_events(spark, tmp):
+    msgs, topic = _topic_files(spark, tmp, n_files=1)
+    reg = registry_frame(spark)
+    valid, rejected = decode_wire(msgs, reg)
+    msgs.coalesce(1).write.mode("append").parquet(topic)      # the same messages delivered again
+    _order_files(topic)
+    events_dir, dlq_dir = os.path.join(tmp, "events"), os.path.join(tmp, "dlq")
+    q = jobs.start_store(spark, read_topic(spark, "recentchanges", path=topic, max_files_per_trigger=1),
+                         events_dir, dlq_dir, reg, checkpoint=os.path.join(tmp, "ck"),
+                         trigger={"availableNow": True})
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
+    stored = read_events(spark, events_dir)
+    n_zero = valid.where(F.col("id") == 0).count()
+    # identified events once; events without identity (id 0) are kept each time
+    assert stored.count() == valid.count() + n_zero
+    assert stored.where(F.col("id") != 0).select("wiki", "id").distinct().count() == \
+        stored.where(F.col("id") != 0).count()
