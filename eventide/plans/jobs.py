@@ -22,7 +22,7 @@ from eventide.operators.windows import WATERMARK, union_json, window_counts_unio
 from eventide.session import scratch_path
 from eventide.sinks.parquet import FLUSH_INTERVAL, FLUSH_MAX_ROWS, write_events
 from eventide.sinks.wire import encode_wire, publish, to_dlq, to_envelope
-from eventide.sources.json_events import parse_change_event, parse_defaults, sse_frames_stream
+from eventide.sources.json_events import frames_split, parse_change_event, parse_defaults
 from eventide.sources.replay import read_events
 from eventide.sources.wire import SCHEMA_V1_JSON, decode_all, rejected_rows, valid_rows
 
@@ -38,12 +38,15 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
 def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str, dlq_dir: str,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON):
-    """3.1: S1 -> S2 -> K2 -> K1; JSON rejects go to the dead-letter directory."""
-    payloads = sse_frames_stream(spark, capture_dir)
+    """3.1: S1 -> S2 -> K2 -> K1; over-long frames and JSON rejects go to the
+    dead-letter directory."""
+    frames = spark.readStream.option("lineSep", "\n\n").text(capture_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df.persist()
-        valid, rejected = parse_change_event(df)
+        payloads, too_long = frames_split(df)
+        valid, bad_json = parse_change_event(payloads)
+        rejected = bad_json.unionByName(too_long)
         enc = encode_wire(valid, schema_id, schema_json)
         env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
         _write_batch(env, topic_dir, batch_id)

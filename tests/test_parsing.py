@@ -100,3 +100,12 @@ def test_incompatible_schema_rejected(spark):
         assert "cannot be read" in str(e)
     else:
         raise AssertionError("narrowing must be rejected")
+
+
+def test_over_long_line_rejected(spark, tmp):
+    from eventide.sources.json_events import sse_frames_with_rejects
+    big = '{"id": 5, "comment": "' + "x" * (1024 * 1024) + '"}'
+    _write(tmp, f"data: {FRAME1}\n\ndata: {big}\n\n")
+    ok, bad = sse_frames_with_rejects(spark, tmp)
+    assert ok.count() == 1
+    assert [r.error_message for r in bad.collect()] == ["sse: line exceeds 1 MiB"]

@@ -132,7 +132,7 @@ def test_ingest_job(spark, tmp):
     cap = os.path.join(tmp, "capture")
     inject.sse_capture(ce).coalesce(2).write.text(cap)
     with open(os.path.join(cap, "zz-bad.txt"), "w") as f:
-        f.write("data: {broken\n\n")
+        f.write("data: {broken\n\n" + "data: " + "y" * (1 << 20) + "\n\n")
     topic, dlq = os.path.join(tmp, "topic"), os.path.join(tmp, "dlq")
     q = jobs.start_ingest(spark, cap, topic, dlq, checkpoint=os.path.join(tmp, "ck"),
                           trigger={"availableNow": True})
@@ -140,7 +140,7 @@ def test_ingest_job(spark, tmp):
     out = spark.read.parquet(topic)
     valid, rej = decode_wire(out.select("value"), registry_frame(spark))
     assert valid.count() == ce.count() and rej.count() == 0
-    assert spark.read.parquet(dlq).count() == 1
+    assert spark.read.parquet(dlq).count() == 2
 
 
 def test_store_restart_processes_only_new_files(spark, tmp):
