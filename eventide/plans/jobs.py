@@ -58,7 +58,7 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str, dlq_dir:
         _write_batch(to_dlq(rej, DLQ_TOPIC), dlq_dir, batch_id)
         df.unpersist()
 
-    w = payloads.writeStream.foreachBatch(batch).option("checkpointLocation",
+    w = frames.writeStream.foreachBatch(batch).option("checkpointLocation",
                                                         _checkpoint(spark, "ingest", checkpoint))
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
