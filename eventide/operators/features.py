@@ -35,7 +35,8 @@ def feature_events(ce: DataFrame) -> DataFrame:
         F.col("timestamp").alias("feature_ts"))
 
 
-def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user") -> DataFrame:
+def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user",
+               approx_users: float | None = None) -> DataFrame:
     """F2-F6 on the hourly grid.
 
     One aggregate per (key, hour) -- partial aggregation first, so a hot key
@@ -47,7 +48,8 @@ def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user") -> DataFram
     h = (ce.select(key, user, "bot", hr.alias("hr"))
            .groupBy(key, "hr")
            .agg(F.count(F.lit(1)).alias("n"),
-                F.count_distinct(user).alias("u"),
+                (F.approx_count_distinct(user, approx_users) if approx_users
+                 else F.count_distinct(user)).alias("u"),
                 F.sum(F.col("bot").cast("int")).cast("long").alias("b")))
     # fan each hourly row out to the 24 grid hours it feeds; offset 0 also
     # carries the hour's own counts, so one aggregate yields both windows

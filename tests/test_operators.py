@@ -102,3 +102,12 @@ def test_dense_index_and_amplify(spark):
     r0 = [r for r in out if r.id == 1000001][0]
     assert r0.title == "LoadTest_Page_1" and r0.title_url == r0.title and r0.user.startswith("loadtester_")
     assert {r.user for r in out} <= {f"loadtester_{i}" for i in range(100)}
+
+
+def test_edit_stats_approximate_users_close_to_exact(spark):
+    ce = change_events(spark, SF001)
+    exact = {(r.wiki, r.feature_ts): r.unique_users_last_hour for r in features.edit_stats(ce).collect()}
+    approx = {(r.wiki, r.feature_ts): r.unique_users_last_hour
+              for r in features.edit_stats(ce, approx_users=0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(1, 0.05 * v) for k, v in exact.items())
