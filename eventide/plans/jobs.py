@@ -21,7 +21,7 @@ from eventide.operators.dedup import dedup_events
 from eventide.operators.windows import WATERMARK, union_json, window_counts_union
 from eventide.session import scratch_path
 from eventide.sinks.parquet import FLUSH_INTERVAL, FLUSH_MAX_ROWS, write_events
-from eventide.sinks.wire import encode_wire, publish, to_dlq, to_envelope
+from eventide.sinks.wire import encode_wire, kafka_available, publish, to_dlq, to_envelope
 from eventide.sources.json_events import frames_split, parse_change_event, parse_defaults
 from eventide.sources.replay import read_events
 from eventide.sources.wire import SCHEMA_V1_JSON, decode_all, rejected_rows, valid_rows
@@ -35,9 +35,10 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or scratch_path(spark, f"ckpt-{name}")
 
 
-def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str, dlq_dir: str,
+def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, dlq_dir: str | None,
                  checkpoint: str | None = None, trigger: dict | None = None,
-                 schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON):
+                 schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON,
+                 bootstrap_servers: str | None = None):
     """3.1: S1 -> S2 -> K2 -> K1; over-long frames and JSON rejects go to the
     dead-letter directory."""
     frames = spark.readStream.option("lineSep", "\n\n").text(capture_dir)
@@ -49,13 +50,13 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str, dlq_dir:
         rejected = bad_json.unionByName(too_long)
         enc = encode_wire(valid, schema_id, schema_json)
         env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
-        _write_batch(env, topic_dir, batch_id)
+        _write_batch(env, topic_dir, batch_id, TOPIC, bootstrap_servers)
         rej = rejected.select(
             F.lit(None).cast("binary").alias("key"), F.col("payload").cast("binary").alias("value"),
             F.lit(TOPIC).alias("topic"), F.lit(None).cast("int").alias("partition"),
             F.lit(None).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"),
             F.array().cast("array<struct<key:string,value:binary>>").alias("headers"), "error_message")
-        _write_batch(to_dlq(rej, DLQ_TOPIC), dlq_dir, batch_id)
+        _write_batch(to_dlq(rej, DLQ_TOPIC), dlq_dir, batch_id, DLQ_TOPIC, bootstrap_servers)
         df.unpersist()
 
     w = frames.writeStream.foreachBatch(batch).option("checkpointLocation",
@@ -63,8 +64,18 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str, dlq_dir:
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent per-batch write: ``batch_id=`` partition, dynamic overwrite."""
+def _write_batch(df: DataFrame, path: str | None, batch_id: int, topic: str | None = None,
+                 bootstrap_servers: str | None = None) -> None:
+    """Per-batch write of envelope rows.
+
+    To Kafka (``topic``) when the connector and servers are given: at-least-once,
+    consumers deduplicate (T6/D1).  Otherwise Parquet under ``path`` in a
+    ``batch_id=`` partition with dynamic overwrite, so a re-run batch replaces
+    its own files.
+    """
+    if bootstrap_servers and kafka_available(df.sparkSession):
+        publish(df, topic, bootstrap_servers=bootstrap_servers)
+        return
     (df.withColumn("batch_id", F.lit(int(batch_id)))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("batch_id").parquet(path))
@@ -99,8 +110,8 @@ def drop_stored(events: DataFrame, events_dir: str, batch_id: int) -> DataFrame:
     return anti_join_existing(events, stored.select("wiki", "id"))
 
 
-def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str,
-                registry: DataFrame) -> None:
+def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str | None,
+                registry: DataFrame, bootstrap_servers: str | None = None) -> None:
     """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup (within the
     batch and against stored days) -> dt/hour files.
 
@@ -112,18 +123,19 @@ def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str,
     dec = decode_all(msgs, registry, keep=keep).persist()     # decoded once, read by both sinks
     try:
         _write_batch(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
-                     dlq_dir, batch_id)
+                     dlq_dir, batch_id, DLQ_TOPIC, bootstrap_servers)
         events = drop_stored(dedup_events(valid_rows(dec)), events_dir, batch_id)
         write_events(events, events_dir, batch_id=batch_id, max_records_per_file=FLUSH_MAX_ROWS)
     finally:
         dec.unpersist()
 
 
-def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, dlq_dir: str,
-                registry: DataFrame, checkpoint: str | None = None, trigger: dict | None = None):
+def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, dlq_dir: str | None,
+                registry: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
+                bootstrap_servers: str | None = None):
     """3.2 as a stream: offsets are committed by the checkpoint after ``store_batch`` returns."""
     w = topic_stream.writeStream.foreachBatch(
-        lambda df, bid: store_batch(df, bid, events_dir, dlq_dir, registry)
+        lambda df, bid: store_batch(df, bid, events_dir, dlq_dir, registry, bootstrap_servers)
     ).option("checkpointLocation", _checkpoint(spark, "store", checkpoint))
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
@@ -136,17 +148,24 @@ def windows_stream(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return union_json(counts)
 
 
-def start_windows(spark: SparkSession, payloads: DataFrame, out_dir: str,
-                  checkpoint: str | None = None, trigger: dict | None = None):
-    """3.3: write the JSON lines as text files (the file sink's commit log makes it exactly-once)."""
-    q = (windows_stream(payloads).writeStream.format("text").outputMode("append")
-         .option("path", out_dir).option("checkpointLocation", _checkpoint(spark, "windows", checkpoint)))
+def start_windows(spark: SparkSession, payloads: DataFrame, out_dir: str | None,
+                  checkpoint: str | None = None, trigger: dict | None = None,
+                  bootstrap_servers: str | None = None):
+    """3.3: JSON lines to the aggregate topic (Kafka sink, at-least-once) or, without
+    a broker, as text files (the file sink's commit log makes that exactly-once)."""
+    out = windows_stream(payloads).writeStream.outputMode("append") \
+        .option("checkpointLocation", _checkpoint(spark, "windows", checkpoint))
+    if bootstrap_servers and kafka_available(spark):
+        q = out.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", AGG_TOPIC)
+    else:
+        q = out.format("text").option("path", out_dir)
     return q.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
 def replay(spark: SparkSession, events_dir: str, date_from: str, date_to: str,
            topic_dir: str | None = None, dry_run: bool = False,
-           schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON) -> DataFrame:
+           schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON,
+           bootstrap_servers: str | None = None) -> DataFrame:
     """3.4/R5: stored days -> wire messages -> topic, as one distributed job.
 
     Returns the totals (events, files); with ``dry_run`` nothing is written.
@@ -158,13 +177,14 @@ def replay(spark: SparkSession, events_dir: str, date_from: str, date_to: str,
         return totals
     enc = encode_wire(stored.drop("dt", "hour"), schema_id, schema_json)
     env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
-    publish(env, TOPIC, path=topic_dir)
+    publish(env, TOPIC, path=topic_dir, bootstrap_servers=bootstrap_servers)
     return totals
 
 
-def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str, files_per_trigger: int = 1,
+def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str | None, files_per_trigger: int = 1,
                        interval: str = "1 second", checkpoint: str | None = None,
-                       schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON, trigger: dict | None = None):
+                       schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON, trigger: dict | None = None,
+                       bootstrap_servers: str | None = None):
     """Replay stored events as a paced stream -- at most ``files_per_trigger``
     files every ``interval`` -- instead of a per-row timer."""
     from eventide.sources.replay import STORED
@@ -174,7 +194,7 @@ def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str, fil
     def batch(df: DataFrame, batch_id: int) -> None:
         enc = encode_wire(df.drop("dt", "hour"), schema_id, schema_json)
         env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
-        _write_batch(env, topic_dir, batch_id)
+        _write_batch(env, topic_dir, batch_id, TOPIC, bootstrap_servers)
 
     w = stored.writeStream.foreachBatch(batch).option("checkpointLocation",
                                                       _checkpoint(spark, "replay", checkpoint))
