@@ -25,8 +25,28 @@ def row_count_at_most(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
+# Above this optimizer size estimate a side is not even counted: it is left to the
+# shuffle join, which AQE still turns into a broadcast if the measured side is small.
+COUNT_ONLY_BELOW_BYTES = 2 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven <= ``max_rows``; else ``df`` as is."""
+    """``F.broadcast(df)`` when its row count is proven <= ``max_rows``; else ``df`` as is.
+
+    A side whose estimated size is already far beyond broadcast range is not
+    counted at all (counting would compute it once more), so the check stays
+    cheap for large inputs."""
+    est = estimated_bytes(df)
+    if est is not None and est > COUNT_ONLY_BELOW_BYTES:
+        return df
     return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
 
 
