@@ -17,14 +17,18 @@ ORDER = ["timestamp", "title", "user", "comment"]
 
 
 def dedup_events(df: DataFrame, key=KEY, order=ORDER) -> DataFrame:
+    """One pass: rows with an identity group by ``key``; each row with ``id = 0``
+    gets a unique extra group value, so it forms a group of its own and is kept.
+    (The unique value only has to be unique within one evaluation: a retried
+    map task replaces its whole shuffle output.)"""
     cols = df.columns
     rest = [c for c in cols if c not in key and c not in order]
-    keep = df.where(F.col("id") == 0)
-    cand = df.where(F.col("id") != 0)
-    best = (cand.groupBy(*key)
-            .agg(F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_b"))
-            .select(*key, *[F.col(f"_b.{c}").alias(c) for c in order + rest]))
-    return keep.select(*cols).unionByName(best.select(*cols))
+    solo = F.when(F.col("id") == 0, F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
+    best = (df.withColumn("_solo", solo)
+              .groupBy(*key, "_solo")
+              .agg(F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_b"))
+              .select(*key, *[F.col(f"_b.{c}").alias(c) for c in order + rest]))
+    return best.select(*cols)
 
 
 def anti_join_existing(new: DataFrame, existing: DataFrame, key=KEY) -> DataFrame:
