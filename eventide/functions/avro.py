@@ -168,6 +168,35 @@ def encoder(fields, out_col: str = "body"):
     return run
 
 
+def encoder_by_schema(schemas: dict, id_col: str, out_col: str = "body"):
+    """``mapInArrow`` function appending the Avro body of each row under the
+    writer schema named by its ``id_col`` (schema id -> field list)."""
+    import numpy as np
+
+    from eventide.functions import avro_vec
+
+    def body(rb, fields):
+        try:
+            return avro_vec.encode_batch(rb, fields)
+        except (TypeError, ValueError, pa.ArrowException):
+            cols = {n: rb.column(n).to_pylist() for n, _ in fields if n in rb.schema.names}
+            return pa.array([encode_record(fields, {k: v[i] for k, v in cols.items()})
+                             for i in range(rb.num_rows)], type=pa.binary())
+
+    def run(batches):
+        for rb in batches:
+            ids = np.asarray(rb.column(id_col).to_numpy(zero_copy_only=False))
+            uniq = np.unique(ids)
+            if len(uniq) == 1:
+                yield rb.append_column(out_col, body(rb, schemas[int(uniq[0])]))
+                continue
+            order = np.argsort(ids, kind="stable")
+            parts = [body(rb.take(pa.array(order[ids[order] == u])), schemas[int(u)]) for u in uniq]
+            inverse = np.argsort(np.concatenate([order[ids[order] == u] for u in uniq]))
+            yield rb.append_column(out_col, pa.concat_arrays(parts).take(pa.array(inverse)))
+    return run
+
+
 def _decode_scalar(values, ids, fields_for, names):
     out = {n: [] for n in names}
     errors = []

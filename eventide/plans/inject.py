@@ -62,12 +62,11 @@ def wire_messages(ce: DataFrame) -> DataFrame:
     3 the body cut by 3 bytes.  Offset = id, partition by wiki, and messages
     with id % 80 = 0 already carry an older error header."""
     from eventide.functions.columns import event_key
-    from eventide.sinks.wire import encode_wire, to_envelope
+    from eventide.sinks.wire import encode_wire_by, to_envelope
     from eventide.sources.wire import SCHEMA_V1_JSON, SCHEMA_V2_JSON
 
-    v1 = encode_wire(ce.where(F.col("id") % 2 != 0), 1, SCHEMA_V1_JSON)
-    v2 = encode_wire(ce.where(F.col("id") % 2 == 0), 2, SCHEMA_V2_JSON)
-    enc = v1.unionByName(v2)
+    versioned = ce.withColumn("_writer", F.when(F.col("id") % 2 != 0, 1).otherwise(2))
+    enc = encode_wire_by(versioned, "_writer", {1: SCHEMA_V1_JSON, 2: SCHEMA_V2_JSON}).drop("_writer")
     m = F.col("id") % 40
     v = F.col("value")
     damaged = (F.when(m == 0, F.unhex(F.lit("000102")))

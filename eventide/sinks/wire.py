@@ -35,6 +35,18 @@ def encode_wire(df: DataFrame, schema_id: int, schema_json: str, out: str = "val
               .drop("_body")
 
 
+def encode_wire_by(df: DataFrame, schema_id_col: str, schemas: dict, out: str = "value") -> DataFrame:
+    """K2 with a writer schema per row: ``schema_id_col`` names the schema id
+    (``schemas``: id -> schema JSON).  One pass; the header carries each row's id."""
+    fields = {int(k): avro.parse_schema(v) for k, v in schemas.items()}
+    body_schema = T.StructType(df.schema.fields + [T.StructField("_body", T.BinaryType())])
+    enc = spread_for_python(df).mapInArrow(avro.encoder_by_schema(fields, schema_id_col, "_body"),
+                                           body_schema)
+    header = F.concat(F.unhex(F.lit("00")),
+                      F.unhex(F.lpad(F.hex(F.col(schema_id_col).cast("long")), 8, "0")))
+    return enc.withColumn(out, F.concat(header, F.col("_body"))).drop("_body")
+
+
 def to_envelope(df: DataFrame, topic: str, key: Column, value: str = "value",
                 partitions: int | None = None, partition: Column | None = None,
                 offset: Column | None = None, timestamp: Column | None = None) -> DataFrame:

@@ -113,3 +113,15 @@ def test_vectorized_codec_equals_scalar():
             d = avro.decode_record(fields, b)
             assert {k: cols[names.index(k)][i].as_py() for k in d} == d and errs[i] is None
         assert errs[-2:] == ["avro unmarshal: unexpected end of data", "avro unmarshal: trailing bytes"]
+
+
+def test_encode_by_schema_matches_single_schema(spark):
+    from eventide.sinks.wire import encode_wire_by
+    df = spark.createDataFrame([tuple(dict(EVENT, id=i)[f.name] for f in CHANGE_EVENT_V1.fields)
+                                for i in range(40)], CHANGE_EVENT_V1).withColumn(
+        "_w", F.when(F.col("id") % 3 == 0, 2).otherwise(1))
+    got = {r.id: bytes(r.value) for r in encode_wire_by(df, "_w", {1: SCHEMA_V1_JSON, 2: SCHEMA_V2_JSON})
+           .select("id", "value").collect()}
+    v1 = {r.id: bytes(r.value) for r in encode_wire(df.where("_w = 1").drop("_w"), 1, SCHEMA_V1_JSON).collect()}
+    v2 = {r.id: bytes(r.value) for r in encode_wire(df.where("_w = 2").drop("_w"), 2, SCHEMA_V2_JSON).collect()}
+    assert got == {**v1, **v2}
