@@ -114,31 +114,24 @@ def q_dedup_events(spark, sf_dir):
 # ---- parsing and schema evolution (S1, S2, P6, E1, E2) -----------------------------------
 
 from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, align_schema  # noqa: E402
-from eventide.sources.json_events import parse_change_event, parse_defaults, sse_frames  # noqa: E402
-
-
-def _flagged(valid, rejected, cols):
-    """Valid rows and rejects as one frame with an ``is_valid`` flag."""
-    v = valid.select("source_id", F.lit(True).alias("is_valid"), *cols,
-                     F.lit(None).cast("string").alias("error_message"))
-    r = rejected.select("source_id", F.lit(False).alias("is_valid"),
-                        *[F.lit(None).cast(valid.schema[c].dataType).alias(c) for c in cols],
-                        "error_message")
-    return v.unionByName(r)
+from eventide.sources.json_events import (parse_change_event, parse_change_event_all,  # noqa: E402
+                                          parse_defaults_all, sse_frames)
 
 
 @query("parse_change_event")
 def q_parse_change_event(spark, sf_dir):
     payloads = inject.json_payloads(change_events(spark, sf_dir))
-    valid, rejected = parse_change_event(payloads, keep=("source_id",))
-    return _flagged(valid, rejected, list(CHANGE_EVENT_V1.fieldNames()))
+    a = parse_change_event_all(payloads, keep=("source_id",))       # one pass, no branches
+    return a.select("source_id", F.col("error_message").isNull().alias("is_valid"),
+                    *CHANGE_EVENT_V1.fieldNames(), "error_message")
 
 
 @query("parse_defaults")
 def q_parse_defaults(spark, sf_dir):
     payloads = inject.json_payloads(change_events(spark, sf_dir))
-    valid, rejected = parse_defaults(payloads, keep=("source_id",))
-    return _flagged(valid, rejected, ["wiki", "type", "timestamp"])
+    a = parse_defaults_all(payloads, keep=("source_id",))
+    return a.select("source_id", F.col("error_message").isNull().alias("is_valid"),
+                    "wiki", "type", "timestamp", "error_message")
 
 
 @query("sse_frames")

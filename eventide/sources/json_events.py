@@ -71,9 +71,10 @@ def _parsed(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
                                              "columnNameOfCorruptRecord": CORRUPT}))
 
 
-def parse_change_event(df: DataFrame, payload: str = "payload",
-                       keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """JSON payloads -> (valid change events, rejected payloads).
+def parse_change_event_all(df: DataFrame, payload: str = "payload",
+                           keep: tuple[str, ...] = ()) -> DataFrame:
+    """S2 in one pass: every non-empty payload -> ``keep`` + payload + the 14
+    change-event columns (NULL for a reject) + ``error_message`` (NULL when valid).
 
     Absent or null fields take the zero value ("" / 0 / false); the parse
     time column ``parsed_timestamp`` equals ``timestamp``.  Malformed text or
@@ -81,19 +82,31 @@ def parse_change_event(df: DataFrame, payload: str = "payload",
     ``decode_error`` by P3).  An empty payload is no event at all.
     """
     p = _parsed(df, payload, JSON_PAYLOAD)
-    bad = F.col(f"_j.{CORRUPT}").isNotNull()
+    ok = F.col(f"_j.{CORRUPT}").isNull()
     zero = {"id": F.lit(0).cast("long"), "namespace": F.lit(0), "timestamp": F.lit(0).cast("long"),
             "bot": F.lit(False)}
     cols = []
     for c in CHANGE_EVENT_COLUMNS:
         if c == "parsed_timestamp":
-            cols.append(F.coalesce(F.col("_j.timestamp"), zero["timestamp"]).alias(c))
+            v = F.coalesce(F.col("_j.timestamp"), zero["timestamp"])
         elif c in STRING_COLUMNS:
-            cols.append(F.coalesce(F.col(f"_j.{c}"), F.lit("")).alias(c))
+            v = F.coalesce(F.col(f"_j.{c}"), F.lit(""))
         else:
-            cols.append(F.coalesce(F.col(f"_j.{c}"), zero[c]).alias(c))
-    valid = p.where(F.col("_j").isNotNull() & ~bad).select(*keep, *cols)
-    rejected = p.where(bad).select(*keep, F.col(payload), F.lit(PARSE_ERROR).alias("error_message"))
+            v = F.coalesce(F.col(f"_j.{c}"), zero[c])
+        cols.append(F.when(ok, v).alias(c))
+    return (p.where(F.col("_j").isNotNull())
+             .select(*keep, F.col(payload), *cols,
+                     F.when(ok, F.lit(None).cast("string")).otherwise(F.lit(PARSE_ERROR))
+                     .alias("error_message")))
+
+
+def parse_change_event(df: DataFrame, payload: str = "payload",
+                       keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """JSON payloads -> (valid change events, rejected payloads); see
+    ``parse_change_event_all``, of which these are the two halves."""
+    a = parse_change_event_all(df, payload, keep)
+    valid = a.where(F.col("error_message").isNull()).select(*keep, *CHANGE_EVENT_COLUMNS)
+    rejected = a.where(F.col("error_message").isNotNull()).select(*keep, payload, "error_message")
     return valid, rejected
 
 
@@ -104,19 +117,27 @@ TRANSFORM_FIELDS = T.StructType([
 ])
 
 
-def parse_defaults(df: DataFrame, payload: str = "payload",
-                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """The windowing job's parse: absent ``wiki``/``type`` -> "unknown";
-    an absent ``timestamp`` rejects the row (D6) instead of stamping it with now."""
+def parse_defaults_all(df: DataFrame, payload: str = "payload",
+                       keep: tuple[str, ...] = ()) -> DataFrame:
+    """P6 in one pass: the windowing job's parse.  Absent ``wiki``/``type`` ->
+    "unknown"; an absent ``timestamp`` rejects the row (D6) instead of
+    stamping it with now.  ``error_message`` is NULL for a valid row."""
     p = _parsed(df, payload, TRANSFORM_FIELDS)
     bad = F.col(f"_j.{CORRUPT}").isNotNull() | F.col("_j").isNull()
     no_ts = F.col("_j.timestamp").isNull()
-    valid = p.where(~bad & ~no_ts).select(
-        *keep,
-        F.coalesce(F.col("_j.wiki"), F.lit(UNKNOWN)).alias("wiki"),
-        F.coalesce(F.col("_j.type"), F.lit(UNKNOWN)).alias("type"),
-        F.col("_j.timestamp").alias("timestamp"))
-    rejected = p.where(bad | no_ts).select(
+    ok = ~bad & ~no_ts
+    return p.select(
         *keep, F.col(payload),
-        F.when(bad, F.lit(PARSE_ERROR)).otherwise(F.lit(MISSING_TS_ERROR)).alias("error_message"))
+        F.when(ok, F.coalesce(F.col("_j.wiki"), F.lit(UNKNOWN))).alias("wiki"),
+        F.when(ok, F.coalesce(F.col("_j.type"), F.lit(UNKNOWN))).alias("type"),
+        F.when(ok, F.col("_j.timestamp")).alias("timestamp"),
+        F.when(bad, F.lit(PARSE_ERROR)).when(no_ts, F.lit(MISSING_TS_ERROR)).alias("error_message"))
+
+
+def parse_defaults(df: DataFrame, payload: str = "payload",
+                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """P6 as (valid rows, rejects); see ``parse_defaults_all``."""
+    a = parse_defaults_all(df, payload, keep)
+    valid = a.where(F.col("error_message").isNull()).select(*keep, "wiki", "type", "timestamp")
+    rejected = a.where(F.col("error_message").isNotNull()).select(*keep, payload, "error_message")
     return valid, rejected
