@@ -242,3 +242,17 @@ def test_store_drops_redelivered_events(spark, tmp):
     assert stored.count() == valid.count() + n_zero
     assert stored.where(F.col("id") != 0).select("wiki", "id").distinct().count() == \
         stored.where(F.col("id") != 0).count()
+
+
+def test_top_wikis_stream(spark, tmp):
+    src = os.path.join(tmp, "in")
+    _files(src, [[_ev(1, "edit", 1, "enwiki"), _ev(2, "edit", 2, "dewiki"), _ev(3, "edit", 3, "dewiki"),
+                  _ev(4, "edit", 4, "frwiki"), _ev(5, "edit", 5, "wikidata"), _ev(6, "edit", 6, "frwiki")],
+                 [_ev(100, "edit", 7, "enwiki")]])
+    payloads = spark.readStream.option("maxFilesPerTrigger", 1).text(src).withColumnRenamed("value", "payload")
+    out = os.path.join(tmp, "top")
+    q = jobs.start_top_wikis(spark, payloads, out, k=2, checkpoint=os.path.join(tmp, "ck"),
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted((r.window_start, r.rank, r.wiki, r.edits) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 1, "dewiki", 2), (0, 2, "frwiki", 2)]     # minute 1 is still open
