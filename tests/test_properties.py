@@ -62,3 +62,48 @@ def test_error_type_matches_definition(spark, messages):
             return C.SINK_ERROR
         return C.UNKNOWN_ERROR
     assert got == [ref(m) for m in messages]
+
+
+ATTEMPTS = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.booleans()), min_size=1, max_size=60)
+
+
+@settings(max_examples=25, deadline=None)
+@given(ATTEMPTS, st.integers(min_value=1, max_value=9), st.integers(min_value=1, max_value=5))
+def test_retry_route_matches_loop(spark, seq, chunk, max_retries):
+    from eventide.operators.reliability import retry_route
+    rows = [(p, i, f) for i, (p, f) in enumerate(seq)]
+    state, want = {}, {}
+    for p, i, failed in rows:
+        n = state.get(p, 0)
+        if failed:
+            want[i] = (n, n >= max_retries)
+            state[p] = 0 if n >= max_retries else n + 1
+        else:
+            state[p] = 0
+    df = spark.createDataFrame(rows, "part string, attempt long, failed boolean")
+    got = retry_route(df, ["part"], "attempt", "failed", max_retries=max_retries, chunk_width=chunk)
+    assert {r.attempt: (r.retry_count, r.to_dlq) for r in got.collect()} == want
+
+
+EVENTS = st.lists(st.tuples(st.sampled_from(["enwiki", "dewiki"]), st.integers(min_value=0, max_value=6),
+                            st.integers(min_value=0, max_value=5), st.sampled_from(["x", "y"])),
+                  min_size=1, max_size=40)
+
+
+@settings(max_examples=25, deadline=None)
+@given(EVENTS)
+def test_dedup_matches_loop(spark, events):
+    from eventide.operators.dedup import dedup_events
+    rows = [(i, w, ts, t, "u", "c") for w, i, ts, t in events]
+    df = spark.createDataFrame(rows, "id long, wiki string, timestamp long, title string, user string, "
+                                     "comment string")
+    best, keep = {}, []
+    for r in rows:
+        if r[0] == 0:
+            keep.append(r)
+            continue
+        k = (r[1], r[0])
+        if k not in best or (r[2], r[3], r[4], r[5]) < (best[k][2], best[k][3], best[k][4], best[k][5]):
+            best[k] = r
+    got = sorted(tuple(r) for r in dedup_events(df).collect())
+    assert got == sorted(keep + list(best.values()))
