@@ -107,3 +107,46 @@ def test_dedup_matches_loop(spark, events):
             best[k] = r
     got = sorted(tuple(r) for r in dedup_events(df).collect())
     assert got == sorted(keep + list(best.values()))
+
+
+def _hist_quantile_ref(values, bounds, q):
+    """Cumulative-bucket quantile, written directly from the rule."""
+    total = len(values)
+    cum = [sum(1 for v in values if v <= b) for b in bounds]
+    rank = q * total
+    for i, c in enumerate(cum):
+        if c >= rank:
+            if i == 0 and bounds[0] <= 0:
+                return bounds[0]
+            start = 0.0 if i == 0 else bounds[i - 1]
+            prev = 0 if i == 0 else cum[i - 1]
+            return start + (bounds[i] - start) * (rank - prev) / (c - prev)
+    return bounds[-1]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.floats(min_value=0, max_value=15, allow_nan=False), min_size=1, max_size=50),
+       st.sampled_from([0.5, 0.9, 0.95, 0.99, 1.0]))
+def test_histogram_quantile_matches_rule(spark, values, q):
+    from eventide.operators import metrics
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = metrics.histogram_quantiles(df, "v", [q]).first().value
+    want = _hist_quantile_ref(values, [b for _, b in metrics.DEFAULT_BUCKETS], q)
+    assert abs(got - round(want, 6)) < 1e-6
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["g", "h"]), st.integers(min_value=0, max_value=8)),
+                min_size=1, max_size=60),
+       st.floats(min_value=0.5, max_value=4.0))
+def test_exact_quantiles_with_ties(spark, rows, width):
+    import numpy as np
+
+    from eventide.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, v double")
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.q): r.v for r in exact_quantiles(df, ["g"], "v", qs, chunk_width=width).collect()}
+    for g in {g for g, _ in rows}:
+        x = np.array([v for gg, v in rows if gg == g], dtype=float)
+        for q in qs:
+            assert abs(got[(g, q)] - np.quantile(x, q)) < 1e-9
