@@ -28,10 +28,12 @@ SCALE_CONFS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app: str = "eventide") -> SparkSession:
+                app: str = "eventide", driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:      # local mode: the driver JVM is the whole cluster; set before it starts
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
