@@ -89,24 +89,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def drop_stored(events: DataFrame, events_dir: str, batch_id: int) -> DataFrame:
     """Remove events already stored by *other* batches (re-deliveries, replays of old
-    days, section 7.4).  Only the key columns of the days this batch touches are
-    read: the day list (bounded by the batch's time span) becomes a partition
-    filter.  The batch's own files are excluded, so re-running it still
-    replaces them instead of dropping everything."""
+    days, section 7.4).  Only the key columns of the (day, hour) partitions this
+    batch touches are read -- a live batch spans an hour or two -- because the
+    list of those partitions (bounded by the batch's time span) becomes a
+    partition filter.  The batch's own files are excluded, so re-running it
+    still replaces them instead of dropping everything."""
     spark = events.sparkSession
     if not _exists(spark, events_dir):
         return events
-    from eventide.functions.columns import dt_col
+    from functools import reduce
+
+    from eventide.functions.columns import dt_col, hour_col
     from eventide.operators.dedup import anti_join_existing
     from eventide.operators.joins import collect_small
     from eventide.sources.replay import STORED
     from pyspark.sql import types as T
-    days = [r[0] for r in collect_small(events.select(dt_col("timestamp")).distinct(), 100_000)]
-    if not days:
+    touched = collect_small(events.select(dt_col("timestamp").alias("dt"), hour_col("timestamp").alias("hour"))
+                            .distinct(), 100_000)
+    if not touched:
         return events
+    prune = reduce(lambda a, b: a | b, [(F.col("dt") == r.dt) & (F.col("hour") == r.hour) for r in touched])
     schema = T.StructType(STORED.fields + [T.StructField("batch_id", T.LongType())])
     stored = (spark.read.schema(schema).parquet(events_dir)
-              .where(F.col("dt").isin(days) & (F.col("batch_id") != F.lit(int(batch_id)))))
+              .where(prune & (F.col("batch_id") != F.lit(int(batch_id)))))
     return anti_join_existing(events, stored.select("wiki", "id"))
 
 
