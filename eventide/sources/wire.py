@@ -32,7 +32,7 @@ def _schema_json(fields, doc: str) -> str:
             spec.append({"name": f.name, "type": "int", "default": 0})
         else:
             spec.append({"name": f.name, "type": t})
-    return json.dumps({"type": "record", "name": "ChangeEvent", "namespace": "meridian",
+    return json.dumps({"type": "record", "name": "ChangeEvent", "namespace": "eventide",
                        "doc": doc, "fields": spec})
 
 
