@@ -10,9 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from eventide.operators import windows
-from eventide.sources.tables import change_events
+from pyspark.sql import functions as F
+
+from eventide.functions import columns as C
+from eventide.operators import features, metrics, reliability, windows
+from eventide.operators.dedup import dedup_events
+from eventide.operators.generate import amplify
+from eventide.plans import inject
+from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, align_schema
+from eventide.session import scratch_path
+from eventide.sinks.parquet import write_events
+from eventide.sinks.wire import to_dlq
+from eventide.sources.json_events import (parse_change_event, parse_change_event_all, parse_defaults_all,
+                                          sse_frames)
+from eventide.sources.replay import read_events
+from eventide.sources.tables import ce_columns, change_events, read_table
+from eventide.sources.wire import (decode_all, decode_wire, lookup_schema, registry_frame, rejected_rows,
+                                   valid_rows, wire_envelope)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,16 +68,6 @@ def q_window_top_wikis(spark, sf_dir):
 
 # ---- stored rows, partitioned sink, replay (P1, P2, P8, K3, K5, S5, P7, D1) --------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from eventide.functions import columns as C  # noqa: E402
-from eventide.operators.dedup import dedup_events  # noqa: E402
-from eventide.plans import inject  # noqa: E402
-from eventide.session import scratch_path  # noqa: E402
-from eventide.sinks.parquet import write_events  # noqa: E402
-from eventide.sources.replay import read_events  # noqa: E402
-from eventide.sources.tables import ce_columns  # noqa: E402
-
 REPLAY_FROM, REPLAY_TO = "2024-01-08", "2024-01-14"
 
 
@@ -113,11 +117,6 @@ def q_dedup_events(spark, sf_dir):
 
 # ---- parsing and schema evolution (S1, S2, P6, E1, E2) -----------------------------------
 
-from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, align_schema  # noqa: E402
-from eventide.sources.json_events import (parse_change_event, parse_change_event_all,  # noqa: E402
-                                          parse_defaults_all, sse_frames)
-
-
 @query("parse_change_event")
 def q_parse_change_event(spark, sf_dir):
     payloads = inject.json_payloads(change_events(spark, sf_dir))
@@ -168,13 +167,6 @@ def q_evolve_v2_v1(spark, sf_dir):
 
 # ---- wire format, dead letters, retries (S4, S7, K2, K7, P3-P5, R1-R4) --------------------
 
-from eventide.operators import reliability  # noqa: E402
-from eventide.sinks.wire import to_dlq  # noqa: E402
-from eventide.sources.json_events import parse_change_event as _parse  # noqa: E402
-from eventide.sources.wire import (decode_all, decode_wire, lookup_schema, registry_frame,  # noqa: E402
-                                   rejected_rows, valid_rows, wire_envelope)
-
-
 def _messages(spark, sf_dir):
     return inject.wire_messages(change_events(spark, sf_dir))
 
@@ -230,7 +222,7 @@ def q_wire_round_trip(spark, sf_dir):
 @query("error_type")
 def q_error_type(spark, sf_dir):
     _, wire_rej = _decoded(spark, sf_dir)
-    _, json_rej = _parse(inject.json_payloads(change_events(spark, sf_dir)), keep=("source_id",))
+    _, json_rej = parse_change_event(inject.json_payloads(change_events(spark, sf_dir)), keep=("source_id",))
     rej = (wire_rej.select(F.lit("wire").alias("source"), F.col("offset").alias("source_id"),
                            "error_message")
            .unionByName(json_rej.select(F.lit("json").alias("source"), "source_id", "error_message")))
@@ -279,8 +271,6 @@ def q_retry_route(spark, sf_dir):
 
 # ---- features (F1-F8) ---------------------------------------------------------------------
 
-from eventide.operators import features  # noqa: E402
-
 ASOF_TTL = 7200                       # seconds, the TTL the as-of check uses
 LATEST_FROM, LATEST_TO = 1704844800, 1705708800   # [2024-01-10, 2024-01-20) UTC
 
@@ -311,10 +301,6 @@ def q_feature_latest(spark, sf_dir):
 
 # ---- metrics (M1-M8) and load generation (G1) --------------------------------------------
 
-from eventide.operators import metrics  # noqa: E402
-from eventide.operators.generate import amplify  # noqa: E402
-from eventide.sources.tables import read_table  # noqa: E402
-
 QUANTILES = [0.5, 0.95, 0.99]
 
 
