@@ -81,3 +81,31 @@ def test_anti_join_existing(spark):
     out = anti_join_existing(new, ce.where(F.col("id") < 500))
     assert out.where(F.col("id") == 0).count() == 10
     assert out.where((F.col("id") > 0) & (F.col("id") < 500)).count() == 0
+
+
+def _events(spark, ids, ts0=1718000000):
+    from eventide.schema import CHANGE_EVENT_V1
+    rows = [(i, "edit" if i % 2 else "new", 0, f"T{i}", f"T{i}", "", ts0 + i, "u", bool(i % 2), "s", "n", "w",
+             "enwiki", ts0 + i) for i in ids]
+    return spark.createDataFrame(rows, CHANGE_EVENT_V1)
+
+
+def test_flush_limits_keep_every_row(spark, tmp):
+    for n, limit in ((35, 10), (5, 100), (1, 1000)):
+        path = os.path.join(tmp, f"b{n}")
+        write_events(_events(spark, range(n)), path, max_records_per_file=limit)
+        back = read_events(spark, path)
+        assert back.count() == n
+        per_file = back.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0]
+        assert per_file <= limit
+
+
+def test_read_back_empty_and_100_rows(spark, tmp):
+    empty = os.path.join(tmp, "empty")
+    write_events(_events(spark, []), empty)
+    assert read_events(spark, empty).count() == 0
+    hundred = os.path.join(tmp, "hundred")
+    write_events(_events(spark, range(1000, 1100)), hundred)
+    back = read_events(spark, hundred)
+    assert sorted(r.id for r in back.select("id").collect()) == list(range(1000, 1100))
+    assert back.drop("dt", "hour").orderBy("id").collect() == _events(spark, range(1000, 1100)).orderBy("id").collect()
