@@ -125,10 +125,23 @@ def flush_batch_sizes(df: DataFrame, ts: str, group: list[str], interval_seconds
                               F.col("_n") - (F.col("_k") - 1) * max_rows).alias("batch_size"))
 
 
-def slo_report(df: DataFrame, group: list[str], latency_ms: str, is_error: str, ts: str) -> DataFrame:
-    """M8: exact latency percentiles, error rate and write rate against the thresholds."""
-    q = exact_quantiles(df.select(*group, latency_ms), group, latency_ms, [0.5, 0.95, 0.99],
-                        chunk_width=100.0)
+def slo_report(df: DataFrame, group: list[str], latency_ms: str, is_error: str, ts: str,
+               approx_accuracy: int | None = None) -> DataFrame:
+    """M8: latency percentiles, error rate and write rate against the thresholds.
+
+    Percentiles are exact by default (``exact_quantiles``); ``approx_accuracy``
+    switches to ``percentile_approx`` (a mergeable sketch, relative rank error
+    about 1/accuracy) for very high-cardinality latencies.
+    """
+    if approx_accuracy:
+        qs = F.percentile_approx(latency_ms, [0.5, 0.95, 0.99], approx_accuracy)
+        q = df.groupBy(*group).agg(qs.alias("_q")).select(
+            *group, F.explode(F.arrays_zip(F.array(*[F.lit(x) for x in (0.5, 0.95, 0.99)]).alias("q"),
+                                           F.col("_q").alias("v"))).alias("_z")) \
+            .select(*group, F.col("_z.q").alias("q"), F.col("_z.v").alias(latency_ms))
+    else:
+        q = exact_quantiles(df.select(*group, latency_ms), group, latency_ms, [0.5, 0.95, 0.99],
+                            chunk_width=100.0)
     p = q.groupBy(*group).agg(
         *[F.max(F.when(F.col("q") == F.lit(x), F.col(latency_ms))).alias(n)
           for x, n in ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms"))])

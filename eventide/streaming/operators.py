@@ -72,8 +72,18 @@ class RetryCounter(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def retry_stream(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
-    """R1 on a stream of attempts (topic, partition, offset, attempt, failed)."""
+    """R1 on a stream of attempts (topic, partition, offset, attempt, failed).
+
+    Keyed state needs the RocksDB state store; it is selected here when the
+    session has another provider (a new query records it in its checkpoint).
+    """
+    spark = attempts.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (attempts.groupBy("topic", "partition", "offset")
             .transformWithStateInPandas(RetryCounter(max_retries), RETRY_OUT, "append", "None"))
 

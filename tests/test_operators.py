@@ -111,3 +111,16 @@ def test_edit_stats_approximate_users_close_to_exact(spark):
               for r in features.edit_stats(ce, approx_users=0.01).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - v) <= max(1, 0.05 * v) for k, v in exact.items())
+
+
+def test_slo_report_approx_close_to_exact(spark):
+    ce = change_events(spark, SF001, with_duration=True).select(
+        "wiki", "timestamp", (F.col("duration_s") * 1000.0).alias("latency_ms"),
+        (F.col("type") == "error").alias("is_error"))
+    exact = {r.wiki: r for r in metrics.slo_report(ce, ["wiki"], "latency_ms", "is_error", "timestamp").collect()}
+    approx = {r.wiki: r for r in metrics.slo_report(ce, ["wiki"], "latency_ms", "is_error", "timestamp",
+                                                     approx_accuracy=10000).collect()}
+    assert exact.keys() == approx.keys()
+    for w in exact:
+        assert abs(exact[w].p50_ms - approx[w].p50_ms) <= 0.05 * exact[w].p50_ms + 60
+        assert exact[w].error_rate == approx[w].error_rate
