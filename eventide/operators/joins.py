@@ -69,5 +69,9 @@ def spread_for_python(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(want) if have < want else df

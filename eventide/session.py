@@ -48,19 +48,23 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect): use the setting only
+        sc = None
+    cur = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if cur:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(cur)
         return cur.rstrip("/")
     local = tempfile.mkdtemp(prefix="eventide-ckpt-")   # only when the cluster names none (tests)
-    sc.setCheckpointDir(local)
+    if sc:
+        sc.setCheckpointDir(local)
     try:
         spark.conf.set("spark.checkpoint.dir", local)
     except Exception:  # noqa: BLE001 -- core settings may be locked; the context dir suffices
         pass
-    return sc.getCheckpointDir() or local
+    return (sc.getCheckpointDir() if sc else None) or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -88,7 +88,11 @@ def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
     """
     schemas = collect_small(registry.select("schema_id", "schema"), max_rows=100_000)
     known = {int(r["schema_id"]): r["schema"] for r in schemas}
-    bc = df.sparkSession.sparkContext.broadcast(known)
+    try:
+        bc = df.sparkSession.sparkContext.broadcast(known)
+        get_known = lambda: bc.value
+    except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect): ship the bounded dict
+        get_known = lambda: known
 
     env = wire_envelope(df, value)
     env = env.withColumn(
@@ -105,7 +109,7 @@ def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
                               + [T.StructField("error_message", T.StringType())])
 
     def run(batches):
-        return avro.decoder(bc.value, arrow_fields, value_col=value, keep=passthrough,
+        return avro.decoder(get_known(), arrow_fields, value_col=value, keep=passthrough,
                             err_col="envelope_error")(batches)
 
     return spread_for_python(inputs).mapInArrow(run, out_schema)
