@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.columns import error_type
+from eventide.functions.columns import error_type, window_start_ms
 from eventide.operators.quantiles import exact_quantiles
 
 # Default latency bucket bounds in seconds (upper bounds, "le").
@@ -95,8 +95,7 @@ def histogram_quantiles(df: DataFrame, value: str, qs: list[float], buckets=DEFA
 
 def rate_per_second(df: DataFrame, ts: str, group: list[str], width_seconds: int = 60) -> DataFrame:
     """M3/M4: increase per aligned window divided by its length."""
-    t = F.col(ts).cast("long")
-    start = ((t - F.pmod(t, F.lit(width_seconds))) * 1000).alias("window_start")
+    start = window_start_ms(ts, width_seconds).alias("window_start")
     return (df.groupBy(start, *group)
               .agg(F.round(F.count(F.lit(1)) / F.lit(float(width_seconds)), 6).alias("rate")))
 
