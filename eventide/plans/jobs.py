@@ -7,8 +7,9 @@
 
 Streaming jobs write through ``foreachBatch`` or file sinks whose commit
 follows the batch's writes, so offsets are only committed after the data
-landed (T7); every write is keyed by ``batch_id`` so a re-run replaces
-instead of duplicating (K6, D13).
+landed (T7); every write is keyed by run and batch (``batch_key``) so a
+re-run replaces instead of duplicating, and a fresh checkpoint never
+overwrites an earlier run (K6, D13).
 """
 
 from __future__ import annotations
@@ -35,6 +36,16 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or scratch_path(spark, f"ckpt-{name}")
 
 
+def batch_key(checkpoint: str, batch_id: int) -> str:
+    """Partition value of one micro-batch: the run (a digest of the checkpoint
+    path, stable across restarts of that checkpoint) and the batch number.
+    A restart re-runs a batch under the same key and replaces its files; a
+    fresh checkpoint starts a new run and can never overwrite an old run's files."""
+    import hashlib
+    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    return f"{run}-{int(batch_id):010d}"
+
+
 def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, dlq_dir: str | None,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON,
@@ -42,29 +53,30 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, d
     """3.1: S1 -> S2 -> K2 -> K1; over-long frames and JSON rejects go to the
     dead-letter directory."""
     frames = spark.readStream.option("lineSep", "\n\n").text(capture_dir)
+    ckpt = _checkpoint(spark, "ingest", checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        key = batch_key(ckpt, batch_id)
         df.persist()
         payloads, too_long = frames_split(df)
         valid, bad_json = parse_change_event(payloads)
         rejected = bad_json.unionByName(too_long)
         enc = encode_wire(valid, schema_id, schema_json)
         env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
-        _write_batch(env, topic_dir, batch_id, TOPIC, bootstrap_servers)
+        _write_batch(env, topic_dir, key, TOPIC, bootstrap_servers)
         rej = rejected.select(
             F.lit(None).cast("binary").alias("key"), F.col("payload").cast("binary").alias("value"),
             F.lit(TOPIC).alias("topic"), F.lit(None).cast("int").alias("partition"),
             F.lit(None).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"),
             F.array().cast("array<struct<key:string,value:binary>>").alias("headers"), "error_message")
-        _write_batch(to_dlq(rej, DLQ_TOPIC), dlq_dir, batch_id, DLQ_TOPIC, bootstrap_servers)
+        _write_dlq(to_dlq(rej, DLQ_TOPIC), dlq_dir, key, bootstrap_servers)
         df.unpersist()
 
-    w = frames.writeStream.foreachBatch(batch).option("checkpointLocation",
-                                                        _checkpoint(spark, "ingest", checkpoint))
+    w = frames.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
 
-def _write_batch(df: DataFrame, path: str | None, batch_id: int, topic: str | None = None,
+def _write_batch(df: DataFrame, path: str | None, key: str, topic: str | None = None,
                  bootstrap_servers: str | None = None) -> None:
     """Per-batch write of envelope rows.
 
@@ -76,18 +88,47 @@ def _write_batch(df: DataFrame, path: str | None, batch_id: int, topic: str | No
     if bootstrap_servers and kafka_available(df.sparkSession):
         publish(df, topic, bootstrap_servers=bootstrap_servers)
         return
-    (df.withColumn("batch_id", F.lit(int(batch_id)))
+    (df.withColumn("batch_id", F.lit(key))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("batch_id").parquet(path))
 
 
+def _write_dlq(dlq: DataFrame, path: str | None, key: str, bootstrap_servers: str | None = None) -> None:
+    """Dead-letter rows of one batch, exactly once per original message.
+
+    Kafka: publish (at-least-once).  Parquet: partitioned by the failed
+    message's day and the batch key; a row whose original (topic, partition,
+    offset) is already stored for that day by another batch is dropped, so a
+    fresh checkpoint re-reading old messages adds no second copy.  Rows
+    without coordinates (JSON rejects) cannot be matched and are kept.
+    """
+    if bootstrap_servers and kafka_available(dlq.sparkSession):
+        publish(dlq, DLQ_TOPIC, bootstrap_servers=bootstrap_servers)
+        return
+    from eventide.functions.columns import H_ORIGINAL_TOPIC, dt_col, header
+    from eventide.operators.joins import collect_small
+    spark = dlq.sparkSession
+    rows = (dlq.withColumn("dt", dt_col(F.unix_seconds(F.col("timestamp"))))
+               .withColumn("_orig", header(H_ORIGINAL_TOPIC)))
+    if _exists(spark, path):
+        days = [r[0] for r in collect_small(rows.select("dt").distinct(), 100_000)]
+        if days:
+            stored = (spark.read.parquet(path).where(F.col("dt").cast("string").isin(days)
+                                                     & (F.col("batch_id") != F.lit(key)))
+                      .select(header(H_ORIGINAL_TOPIC).alias("_orig"), "partition", "offset").distinct())
+            rows = rows.join(stored, on=["_orig", "partition", "offset"], how="left_anti")
+    (rows.drop("_orig").withColumn("batch_id", F.lit(key))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt", "batch_id").parquet(path))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def drop_stored(events: DataFrame, events_dir: str, batch_id: int) -> DataFrame:
+def drop_stored(events: DataFrame, events_dir: str, key: str) -> DataFrame:
     """Remove events already stored by *other* batches (re-deliveries, replays of old
     days, section 7.4).  Only the key columns of the (day, hour) partitions this
     batch touches are read -- a live batch spans an hour or two -- because the
@@ -97,8 +138,6 @@ def drop_stored(events: DataFrame, events_dir: str, batch_id: int) -> DataFrame:
     spark = events.sparkSession
     if not _exists(spark, events_dir):
         return events
-    from functools import reduce
-
     from eventide.functions.columns import dt_col, hour_col
     from eventide.operators.dedup import anti_join_existing
     from eventide.operators.joins import collect_small
@@ -108,14 +147,16 @@ def drop_stored(events: DataFrame, events_dir: str, batch_id: int) -> DataFrame:
                             .distinct(), 100_000)
     if not touched:
         return events
-    prune = reduce(lambda a, b: a | b, [(F.col("dt") == r.dt) & (F.col("hour") == r.hour) for r in touched])
-    schema = T.StructType(STORED.fields + [T.StructField("batch_id", T.LongType())])
+    # one flat set-membership test over partition columns only (an OR chain of
+    # hundreds of terms would be deep); it is still a partition filter
+    prune = F.concat_ws(" ", F.col("dt"), F.col("hour")).isin([f"{r.dt} {r.hour}" for r in touched])
+    schema = T.StructType(STORED.fields + [T.StructField("batch_id", T.StringType())])
     stored = (spark.read.schema(schema).parquet(events_dir)
-              .where(prune & (F.col("batch_id") != F.lit(int(batch_id)))))
+              .where(prune & (F.col("batch_id") != F.lit(str(key)))))
     return anti_join_existing(events, stored.select("wiki", "id"))
 
 
-def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str | None,
+def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
                 registry: DataFrame, bootstrap_servers: str | None = None) -> None:
     """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup (within the
     batch and against stored days) -> dt/hour files.
@@ -127,10 +168,10 @@ def store_batch(df: DataFrame, batch_id: int, events_dir: str, dlq_dir: str | No
     msgs = df.withColumnRenamed("timestamp", "broker_timestamp")
     dec = decode_all(msgs, registry, keep=keep).persist()     # decoded once, read by both sinks
     try:
-        _write_batch(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
-                     dlq_dir, batch_id, DLQ_TOPIC, bootstrap_servers)
-        events = drop_stored(dedup_events(valid_rows(dec)), events_dir, batch_id)
-        write_events(events, events_dir, batch_id=batch_id, max_records_per_file=FLUSH_MAX_ROWS)
+        _write_dlq(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
+                   dlq_dir, key, bootstrap_servers)
+        events = drop_stored(dedup_events(valid_rows(dec)), events_dir, key)
+        write_events(events, events_dir, batch_id=key, max_records_per_file=FLUSH_MAX_ROWS)
     finally:
         dec.unpersist()
 
@@ -139,9 +180,10 @@ def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, d
                 registry: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
                 bootstrap_servers: str | None = None):
     """3.2 as a stream: offsets are committed by the checkpoint after ``store_batch`` returns."""
+    ckpt = _checkpoint(spark, "store", checkpoint)
     w = topic_stream.writeStream.foreachBatch(
-        lambda df, bid: store_batch(df, bid, events_dir, dlq_dir, registry, bootstrap_servers)
-    ).option("checkpointLocation", _checkpoint(spark, "store", checkpoint))
+        lambda df, bid: store_batch(df, batch_key(ckpt, bid), events_dir, dlq_dir, registry, bootstrap_servers)
+    ).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
 
@@ -195,14 +237,14 @@ def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str | No
     from eventide.sources.replay import STORED
     from eventide.streaming.sources import read_event_files
     stored = read_event_files(spark, events_dir, STORED, max_files_per_trigger=files_per_trigger)
+    ckpt = _checkpoint(spark, "replay", checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         enc = encode_wire(df.drop("dt", "hour"), schema_id, schema_json)
         env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
-        _write_batch(env, topic_dir, batch_id, TOPIC, bootstrap_servers)
+        _write_batch(env, topic_dir, batch_key(ckpt, batch_id), TOPIC, bootstrap_servers)
 
-    w = stored.writeStream.foreachBatch(batch).option("checkpointLocation",
-                                                      _checkpoint(spark, "replay", checkpoint))
+    w = stored.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": interval})).start()
 
 
@@ -218,11 +260,10 @@ def start_top_wikis(spark: SparkSession, payloads: DataFrame, out_dir: str, k: i
     valid, _ = parse_defaults(payloads, payload)
     counts = window_wiki_counts(valid, watermark=WATERMARK)
 
+    ckpt = _checkpoint(spark, "top", checkpoint)
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        (top_per_window(df, k=k).withColumn("batch_id", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_dir))
+        _write_batch(top_per_window(df, k=k), out_dir, batch_key(ckpt, batch_id))
 
-    w = counts.writeStream.outputMode("append").foreachBatch(batch) \
-        .option("checkpointLocation", _checkpoint(spark, "top", checkpoint))
+    w = counts.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

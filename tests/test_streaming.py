@@ -256,3 +256,28 @@ def test_top_wikis_stream(spark, tmp):
     q.awaitTermination()
     got = sorted((r.window_start, r.rank, r.wiki, r.edits) for r in spark.read.parquet(out).collect())
     assert got == [(0, 1, "dewiki", 2), (0, 2, "frwiki", 2)]     # minute 1 is still open
+
+
+def test_fresh_checkpoint_never_overwrites_an_earlier_run(spark, tmp):
+    reg = registry_frame(spark)
+    ce = change_events(spark, SF001)
+    first = inject.wire_messages(ce)
+    second = inject.wire_messages(ce.withColumn("id", F.col("id") + 10**6))   # other events, same hours
+    events_dir, dlq_dir = os.path.join(tmp, "events"), os.path.join(tmp, "dlq")
+    counts = []
+    for i, msgs in enumerate((first, second)):
+        topic = os.path.join(tmp, f"topic{i}")
+        msgs.coalesce(1).write.parquet(topic)
+        q = jobs.start_store(spark, read_topic(spark, "recentchanges", path=topic), events_dir, dlq_dir, reg,
+                             checkpoint=os.path.join(tmp, f"ck{i}"), trigger={"availableNow": True})
+        q.awaitTermination()
+        counts.append(decode_wire(msgs, reg)[0].count())
+    assert read_events(spark, events_dir).count() == sum(counts)
+    # the same messages again under a third, fresh checkpoint: nothing new anywhere
+    topic = os.path.join(tmp, "topic0")
+    q = jobs.start_store(spark, read_topic(spark, "recentchanges", path=topic), events_dir, dlq_dir, reg,
+                         checkpoint=os.path.join(tmp, "ck2"), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert read_events(spark, events_dir).count() == sum(counts)
+    rejects = decode_wire(first, reg)[1].count() + decode_wire(second, reg)[1].count()
+    assert spark.read.parquet(dlq_dir).count() == rejects
