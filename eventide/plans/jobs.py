@@ -67,7 +67,9 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, d
         rej = rejected.select(
             F.lit(None).cast("binary").alias("key"), F.col("payload").cast("binary").alias("value"),
             F.lit(TOPIC).alias("topic"), F.lit(None).cast("int").alias("partition"),
-            F.lit(None).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"),
+            # no broker time for a captured frame; NULL (not "now") keeps a retried
+            # batch's dead letters in the same partition
+            F.lit(None).cast("long").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
             F.array().cast("array<struct<key:string,value:binary>>").alias("headers"), "error_message")
         _write_dlq(to_dlq(rej, DLQ_TOPIC), dlq_dir, key, bootstrap_servers)
         df.unpersist()
@@ -111,10 +113,15 @@ def _write_dlq(dlq: DataFrame, path: str | None, key: str, bootstrap_servers: st
     rows = (dlq.withColumn("dt", dt_col(F.unix_seconds(F.col("timestamp"))))
                .withColumn("_orig", header(H_ORIGINAL_TOPIC)))
     if _exists(spark, path):
+        from pyspark.sql import types as T
+
+        from eventide.schema import ENVELOPE
+        schema = T.StructType(ENVELOPE.fields + [T.StructField("dt", T.StringType()),
+                                                 T.StructField("batch_id", T.StringType())])
         days = [r[0] for r in collect_small(rows.select("dt").distinct(), 100_000)]
         if days:
-            stored = (spark.read.parquet(path).where(F.col("dt").cast("string").isin(days)
-                                                     & (F.col("batch_id") != F.lit(key)))
+            stored = (spark.read.schema(schema).parquet(path)      # explicit: fine on an empty folder
+                      .where(F.col("dt").isin(days) & (F.col("batch_id") != F.lit(key)))
                       .select(header(H_ORIGINAL_TOPIC).alias("_orig"), "partition", "offset").distinct())
             rows = rows.join(stored, on=["_orig", "partition", "offset"], how="left_anti")
     (rows.drop("_orig").withColumn("batch_id", F.lit(key))
