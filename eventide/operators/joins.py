@@ -75,3 +75,15 @@ def spread_for_python(df: DataFrame) -> DataFrame:
     except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Spark Connect session): leave as is
         return df
     return df.repartition(want) if have < want else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a (compact) intermediate once to the shared checkpoint folder and
+    cut its lineage, so several later uses read it instead of recomputing it
+    from the input.  Reliable ``checkpoint`` only, never a local one."""
+    from eventide.session import ensure_checkpoint_dir
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    except Exception:  # noqa: BLE001 -- no checkpoint support: recompute instead
+        return df

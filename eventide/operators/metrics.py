@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.columns import error_type, window_start_ms
+from eventide.operators.joins import materialize
 from eventide.operators.quantiles import exact_quantiles
 
 # Default latency bucket bounds in seconds (upper bounds, "le").
@@ -138,15 +139,23 @@ def slo_report(df: DataFrame, group: list[str], latency_ms: str, is_error: str,
             *group, F.explode(F.arrays_zip(F.array(*[F.lit(x) for x in (0.5, 0.95, 0.99)]).alias("q"),
                                            F.col("_q").alias("v"))).alias("_z")) \
             .select(*group, F.col("_z.q").alias("q"), F.col("_z.v").alias(latency_ms))
+        r = df.groupBy(*group).agg(
+            F.avg(F.col(is_error).cast("double")).alias("error_rate"),
+            (F.count(F.lit(1)) / (F.max(ts) - F.min(ts) + 1).cast("double")).alias("write_rate"))
     else:
-        q = exact_quantiles(df.select(*group, latency_ms), group, latency_ms, [0.5, 0.95, 0.99],
-                            chunk_width=100.0)
+        # one compact pre-aggregate per (group, latency), materialized once, feeds both
+        # the quantiles and the rates: the input is scanned a single time
+        vc = materialize(df.groupBy(*group, latency_ms).agg(
+            F.count(F.lit(1)).alias("_c"), F.sum(F.col(is_error).cast("long")).alias("_e"),
+            F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax")))
+        q = exact_quantiles(None, group, latency_ms, [0.5, 0.95, 0.99], chunk_width=100.0,
+                            counts=vc.where(F.col(latency_ms).isNotNull()).select(*group, latency_ms, "_c"))
+        r = vc.groupBy(*group).agg(
+            (F.sum("_e") / F.sum("_c")).alias("error_rate"),
+            (F.sum("_c") / (F.max("_tmax") - F.min("_tmin") + 1).cast("double")).alias("write_rate"))
     p = q.groupBy(*group).agg(
         *[F.max(F.when(F.col("q") == F.lit(x), F.col(latency_ms))).alias(n)
           for x, n in ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms"))])
-    r = df.groupBy(*group).agg(
-        F.avg(F.col(is_error).cast("double")).alias("error_rate"),
-        (F.count(F.lit(1)) / (F.max(ts) - F.min(ts) + 1).cast("double")).alias("write_rate"))
     j = p.join(r, on=group, how="inner")
     return j.select(
         *group,

@@ -12,19 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.joins import broadcast_if_small
+from eventide.operators.joins import broadcast_if_small, materialize
 from eventide.operators.scan import running_sums
 
 
-def exact_quantiles(df: DataFrame, group: list[str], value: str, qs: list[float],
-                    chunk_width: float = 1.0) -> DataFrame:
+def exact_quantiles(df: DataFrame | None, group: list[str], value: str, qs: list[float],
+                    chunk_width: float = 1.0, counts: DataFrame | None = None) -> DataFrame:
     """-> (group..., q, value) with the exact continuous quantile of ``value``.
 
     ``chunk_width`` is the value span of one running-sum chunk; it only
-    affects parallelism, never the result.
+    affects parallelism, never the result.  The (group, value) -> count table
+    is used three times, so it is materialized once (a reliable checkpoint in
+    the shared folder): the input is scanned once.  Callers that already hold
+    that table (column ``_c``) pass it as ``counts``.
     """
-    vc = (df.where(F.col(value).isNotNull())
-            .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))
+    vc = counts if counts is not None else materialize(
+        df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))
     chunk = F.floor(F.col(value) / F.lit(chunk_width)).cast("long")
     cum = running_sums(vc, group, value, {"_cum": F.col("_c")}, chunk=chunk) \
         .withColumn("_before", F.col("_cum") - F.col("_c"))
