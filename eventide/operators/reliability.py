@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions import columns as C
-from eventide.operators.joins import broadcast_if_small
+from eventide.operators.joins import broadcast_if_small, materialize
 from eventide.operators.scan import CHUNK_WIDTH
 
 MAX_RETRIES = 3
 
 
 def retry_route(attempts: DataFrame, key: list[str], attempt: str, failed: str,
-                max_retries: int = MAX_RETRIES, chunk_width: int = CHUNK_WIDTH) -> DataFrame:
+                max_retries: int = MAX_RETRIES, chunk_width: int = CHUNK_WIDTH,
+                materialize_runs: bool = False) -> DataFrame:
     """R1/P4 over an attempt log -> one row per failed attempt with
     ``retry_count`` (the count before this attempt) and ``to_dlq``.
 
@@ -30,6 +31,9 @@ def retry_route(attempts: DataFrame, key: list[str], attempt: str, failed: str,
     done in chunks of the attempt order so that a hot message is never one
     task: a window per (key, chunk) gives the run inside the chunk, and a
     small per-chunk summary gives the run carried in from earlier chunks.
+    The windowed rows feed two branches; ``materialize_runs`` checkpoints them
+    so the sort runs once (worth it when sorting costs more than a write, as
+    on object stores; on local disks recomputing was faster).
     """
     fail = F.when(F.col(failed), 1).otherwise(0)
     b = attempts.withColumn("_chunk", F.floor(F.col(attempt) / F.lit(chunk_width)).cast("long"))
@@ -37,6 +41,8 @@ def retry_route(attempts: DataFrame, key: list[str], attempt: str, failed: str,
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     loc = (b.withColumn("_lf", F.sum(fail).over(w))                                # failures so far in chunk
             .withColumn("_m", F.max(F.when(~F.col(failed), F.col("_lf"))).over(w)))  # ... at its last success
+    if materialize_runs:      # the windowed rows feed two branches: sort once, read twice
+        loc = materialize(loc)
     summ = loc.groupBy(*key, "_chunk").agg(F.max("_lf").alias("_tot"), F.max("_m").alias("_mlast"))
     wc = Window.partitionBy(*key).orderBy("_chunk")
     upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -38,8 +38,8 @@ def test_retry_matches_brute_force_small_chunks(spark):
         F.col("user_id").alias("part"), F.col("event_id").alias("attempt"),
         F.col("event_type").isin("error", "view").alias("failed"))
     want = _retry_brute([tuple(r) for r in ev.collect()])
-    for width in (7, 1 << 20):          # many chunks per key, and one
-        got = reliability.retry_route(ev, ["part"], "attempt", "failed", chunk_width=width)
+    for width, mat in ((7, False), (1 << 20, False), (7, True)):   # many chunks per key, one; materialized
+        got = reliability.retry_route(ev, ["part"], "attempt", "failed", chunk_width=width, materialize_runs=mat)
         assert {r.attempt: (r.retry_count, r.to_dlq) for r in got.collect()} == want
 
 
