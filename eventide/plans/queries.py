@@ -16,6 +16,7 @@ from eventide.functions import columns as C
 from eventide.operators import features, metrics, reliability, windows
 from eventide.operators.dedup import dedup_events
 from eventide.operators.generate import amplify
+from eventide.operators.joins import materialize
 from eventide.plans import inject
 from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, align_schema
 from eventide.session import scratch_path
@@ -288,7 +289,9 @@ def q_feature_edit_stats(spark, sf_dir):
 @query("feature_asof")
 def q_feature_asof(spark, sf_dir):
     ce = change_events(spark, sf_dir)
-    stats = features.edit_stats(ce)
+    # the feature table is materialized once (as a feature store would) because
+    # the as-of join reads it in two branches
+    stats = materialize(features.edit_stats(ce))
     return features.asof_join(ce.select("id", "wiki", "timestamp"), stats, ["wiki"],
                               "timestamp", "feature_ts", ttl=ASOF_TTL)
 
