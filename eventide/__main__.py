@@ -34,7 +34,8 @@ def cmd_ingest(args):
     from eventide.plans import jobs
     spark = _session(args)
     q = jobs.start_ingest(spark, args.capture, args.topic_dir, args.dlq_dir, checkpoint=args.checkpoint,
-                          trigger=_trigger(args), bootstrap_servers=args.bootstrap_servers)
+                          trigger=_trigger(args), bootstrap_servers=args.bootstrap_servers,
+                          line_sep="\r\n\r\n" if args.crlf else "\n\n")
     q.awaitTermination()
 
 
@@ -118,6 +119,7 @@ def main(argv=None):
     s.add_argument("--capture", required=True)
     s.add_argument("--topic-dir")
     s.add_argument("--dlq-dir")
+    s.add_argument("--crlf", action="store_true", help="captures use CRLF line ends")
     s.add_argument("--once", action="store_true")
     s.set_defaults(fn=cmd_ingest)
 

@@ -49,10 +49,10 @@ def batch_key(checkpoint: str, batch_id: int) -> str:
 def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, dlq_dir: str | None,
                  checkpoint: str | None = None, trigger: dict | None = None,
                  schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON,
-                 bootstrap_servers: str | None = None):
+                 bootstrap_servers: str | None = None, line_sep: str = "\n\n"):
     """3.1: S1 -> S2 -> K2 -> K1; over-long frames and JSON rejects go to the
-    dead-letter directory."""
-    frames = spark.readStream.option("lineSep", "\n\n").text(capture_dir)
+    dead-letter directory.  ``line_sep`` is the frame separator ("\r\n\r\n" for CRLF captures)."""
+    frames = spark.readStream.option("lineSep", line_sep).text(capture_dir)
     ckpt = _checkpoint(spark, "ingest", checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:
