@@ -36,3 +36,15 @@ def test_without_connector_paths_are_required(spark):
     df = spark.createDataFrame([], ENVELOPE)
     with pytest.raises(ValueError):
         wire.publish(df, "recentchanges")
+
+
+def test_spark_avro_engine_is_requested_when_chosen(spark):
+    """Without Spark's Avro module the engine switch must fail on the missing
+    module (the default Arrow engine is the tested one)."""
+    from eventide.sources.wire import avro_available, decode_all, registry_frame
+    df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x01\x02"),)], "value binary")
+    assert avro_available(spark) is False
+    with pytest.raises(Exception) as e:
+        decode_all(df, registry_frame(spark), engine="spark-avro").collect()
+    assert "avro" in str(e.value).lower()
+    assert decode_all(df, registry_frame(spark), engine="auto").count() == 1
