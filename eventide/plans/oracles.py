@@ -380,3 +380,18 @@ SELECT CAST(r.i + 1000001 AS BIGINT) AS id, s.type, s.namespace,
   s.server_name, s.server_script_url, s.wiki,
   CAST(1704067200 + floor(r.i / 1000) AS BIGINT) AS parsed_timestamp
 FROM r JOIN s ON s.idx = r.i % (SELECT k FROM k)""")
+
+oracle("dlq_route_retries", """
+WITH a AS (SELECT user_id AS part, event_id AS attempt,
+             event_type='error' OR event_type='view' AS failed,
+             CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events),
+e AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END)
+             OVER (PARTITION BY part ORDER BY attempt) AS epoch FROM a),
+n AS (SELECT *, row_number() OVER (PARTITION BY part, epoch ORDER BY attempt) AS n
+      FROM e WHERE failed)
+SELECT attempt AS source_id, CAST(part AS VARCHAR) AS key, 'sink_error' AS error_type,
+  'write to sink failed: flush error' AS error_message, 'recentchanges' AS original_topic,
+  CAST((n-1)%4 AS VARCHAR) AS retry_count,
+  strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S') AS original_timestamp,
+  'sink' AS error_stage
+FROM n WHERE (n-1)%4 = 3""")

@@ -25,7 +25,7 @@ from eventide.sinks.wire import to_dlq
 from eventide.sources.json_events import (parse_change_event, parse_change_event_all, parse_defaults_all,
                                           sse_frames)
 from eventide.sources.replay import read_events
-from eventide.sources.tables import ce_columns, change_events, read_table
+from eventide.sources.tables import EPOCH_SECONDS_SQL, ce_columns, change_events, read_table
 from eventide.sources.wire import (decode_all, decode_wire, lookup_schema, registry_frame, rejected_rows,
                                    valid_rows, wire_envelope)
 
@@ -262,7 +262,6 @@ def q_dlq_replay(spark, sf_dir):
 
 @query("retry_route")
 def q_retry_route(spark, sf_dir):
-    from eventide.sources.tables import read_table
     ev = read_table(spark, sf_dir, "events")
     attempts = ev.select(F.col("user_id").alias("part"), F.col("event_id").alias("attempt"),
                          F.col("event_type").isin("error", "view").alias("failed"))
@@ -270,6 +269,33 @@ def q_retry_route(spark, sf_dir):
                       .select("attempt", "retry_count", "to_dlq")
 
 
+SINK_ERROR_MESSAGE = "write to sink failed: flush error"
+
+
+@query("dlq_route_retries")
+def q_dlq_route_retries(spark, sf_dir):
+    """R1 -> R2/K7 for sink failures: attempts whose retry count reached the
+    maximum go to the dead-letter topic with their real count and stage."""
+    ev = read_table(spark, sf_dir, "events")
+    attempts = ev.select(F.col("user_id").alias("part"), F.col("event_id").alias("attempt"),
+                         F.col("event_type").isin("error", "view").alias("failed"),
+                         F.expr(EPOCH_SECONDS_SQL).alias("ts"))
+    routed = reliability.retry_route(attempts, ["part"], "attempt", "failed").where("to_dlq")
+    env = routed.select(
+        F.col("part").cast("string").cast("binary").alias("key"), F.lit(None).cast("binary").alias("value"),
+        F.lit(inject.TOPIC).alias("topic"), (F.col("part") % 4).cast("int").alias("partition"),
+        F.col("attempt").alias("offset"), F.timestamp_seconds("ts").alias("timestamp"),
+        F.array().cast("array<struct<key:string,value:binary>>").alias("headers"),
+        F.lit(SINK_ERROR_MESSAGE).alias("error_message"), "retry_count")
+    dlq = to_dlq(env, stage="sink")
+    return dlq.select(
+        F.col("offset").alias("source_id"), F.col("key").cast("string").alias("key"),
+        C.header(C.H_ERROR_TYPE).alias("error_type"), C.header(C.H_ERROR_MESSAGE).alias("error_message"),
+        C.header(C.H_ORIGINAL_TOPIC).alias("original_topic"), C.header(C.H_RETRY_COUNT).alias("retry_count"),
+        C.header(C.H_ORIGINAL_TIMESTAMP).alias("original_timestamp"),
+        C.header(C.H_ERROR_STAGE).alias("error_stage"))
+
+
 # ---- features (F1-F8) ---------------------------------------------------------------------
 
 ASOF_TTL = 7200                       # seconds, the TTL the as-of check uses
