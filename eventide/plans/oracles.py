@@ -395,3 +395,15 @@ SELECT attempt AS source_id, CAST(part AS VARCHAR) AS key, 'sink_error' AS error
   strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S') AS original_timestamp,
   'sink' AS error_stage
 FROM n WHERE (n-1)%4 = 3""")
+
+oracle("stream_window_counts", f"""
+WITH {CE},
+p AS (SELECT CASE WHEN id % 50 = 3 THEN 'unknown' ELSE wiki END AS wiki,
+             CASE WHEN id % 50 = 4 THEN 'unknown' ELSE type END AS type, timestamp
+      FROM ce WHERE id % 50 NOT IN (0, 2)),
+c AS (SELECT {WSTART} AS window_start, {WSTART} + 60000 AS window_end, 'type' AS dim, type AS key,
+             count(*) AS count FROM p GROUP BY 1, 2, 3, 4
+      UNION ALL
+      SELECT {WSTART} AS window_start, {WSTART} + 60000 AS window_end, 'wiki' AS dim, wiki AS key,
+             count(*) AS count FROM p GROUP BY 1, 2, 3, 4)
+SELECT * FROM c WHERE window_end <= (SELECT (max(timestamp) - 5) * 1000 FROM p)""")
