@@ -407,3 +407,9 @@ c AS (SELECT {WSTART} AS window_start, {WSTART} + 60000 AS window_end, 'type' AS
       SELECT {WSTART} AS window_start, {WSTART} + 60000 AS window_end, 'wiki' AS dim, wiki AS key,
              count(*) AS count FROM p GROUP BY 1, 2, 3, 4)
 SELECT * FROM c WHERE window_end <= (SELECT (max(timestamp) - 5) * 1000 FROM p)""")
+
+oracle("stream_dedup", f"""
+WITH {DUPS}
+SELECT wiki, id FROM dups WHERE id = 0
+UNION ALL
+SELECT DISTINCT wiki, id FROM dups WHERE id <> 0""")

@@ -80,6 +80,24 @@ def q_stream_window_counts(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(out)
 
 
+@query("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """T6 as Structured Streaming: every event plus re-deliveries (a file
+    source), deduplicated on (wiki, id) within the watermark; id-0 rows pass.
+    Which copy survives inside one micro-batch is not fixed, so the result is
+    the surviving identities (wiki, id)."""
+    from eventide.streaming.operators import dedup_stream
+    src = scratch_path(spark, "dedup-stream-in")
+    inject.with_duplicates(change_events(spark, sf_dir)).write.parquet(src)
+    stream = spark.readStream.schema(CHANGE_EVENT_V1).parquet(src)
+    kept = dedup_stream(stream).select("wiki", "id")
+    out, ckpt = scratch_path(spark, "dedup-stream-out"), scratch_path(spark, "dedup-stream-ckpt")
+    q = (kept.writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(kept.schema).parquet(out)
+
+
 @query("window_top_wikis")
 def q_window_top_wikis(spark, sf_dir):
     counts = windows.window_wiki_counts(change_events(spark, sf_dir))
