@@ -413,3 +413,11 @@ WITH {DUPS}
 SELECT wiki, id FROM dups WHERE id = 0
 UNION ALL
 SELECT DISTINCT wiki, id FROM dups WHERE id <> 0""")
+
+oracle("store_job", f"""
+WITH {CE}
+SELECT {CE_COLS} FROM ce WHERE {M40} > 3""")
+
+oracle("ingest_job", f"""
+WITH {CE}
+SELECT {CE_COLS} FROM ce""")

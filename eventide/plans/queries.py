@@ -222,6 +222,39 @@ def _decoded(spark, sf_dir):
     return valid_rows(dec, keep=ENVELOPE_KEEP), rejected_rows(dec, keep=ENVELOPE_KEEP)
 
 
+@query("store_job")
+def q_store_job(spark, sf_dir):
+    """3.2 end to end as a stream: the wire messages of every event (a topic
+    directory) through the store job (decode, dead letters, dedup, dt/hour
+    Parquet with run-scoped batch keys); the result is what it stored."""
+    from eventide.plans import jobs
+    from eventide.streaming.sources import read_topic
+    topic = scratch_path(spark, "store-topic")
+    _messages(spark, sf_dir).write.parquet(topic)
+    events, dlq = scratch_path(spark, "store-events"), scratch_path(spark, "store-dlq")
+    q = jobs.start_store(spark, read_topic(spark, inject.TOPIC, path=topic), events, dlq,
+                         registry_frame(spark), checkpoint=scratch_path(spark, "store-ckpt"),
+                         trigger={"availableNow": True})
+    q.awaitTermination()
+    return ce_columns(read_events(spark, events))
+
+
+@query("ingest_job")
+def q_ingest_job(spark, sf_dir):
+    """3.1 end to end as a stream: an event-stream capture of every event
+    through the ingest job (frames, JSON, Avro wire, topic); the result is the
+    topic decoded back."""
+    from eventide.plans import jobs
+    capture = scratch_path(spark, "ingest-capture")
+    inject.sse_capture(change_events(spark, sf_dir)).write.text(capture)
+    topic, dlq = scratch_path(spark, "ingest-topic"), scratch_path(spark, "ingest-dlq")
+    q = jobs.start_ingest(spark, capture, topic, dlq, checkpoint=scratch_path(spark, "ingest-ckpt"),
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    valid, _ = decode_wire(spark.read.parquet(topic).select("value"), registry_frame(spark))
+    return valid
+
+
 @query("wire_envelope")
 def q_wire_envelope(spark, sf_dir):
     env = wire_envelope(_messages(spark, sf_dir))
