@@ -421,3 +421,5 @@ SELECT {CE_COLS} FROM ce WHERE {M40} > 3""")
 oracle("ingest_job", f"""
 WITH {CE}
 SELECT {CE_COLS} FROM ce""")
+
+ORACLES["stream_retry_route"] = ORACLES["retry_route"]

@@ -339,6 +339,26 @@ def q_retry_route(spark, sf_dir):
                       .select("attempt", "retry_count", "to_dlq")
 
 
+@query("stream_retry_route")
+def q_stream_retry_route(spark, sf_dir):
+    """R1 as keyed streaming state (``transformWithStateInPandas``): the attempt
+    log of every event (a file source) -> count before each failed attempt and
+    the dead-letter decision, per message (topic, partition, offset)."""
+    from eventide.streaming.operators import retry_stream
+    ev = read_table(spark, sf_dir, "events")
+    src = scratch_path(spark, "retry-stream-in")
+    ev.select(F.lit(inject.TOPIC).alias("topic"), F.lit(0).alias("partition"),
+              F.col("user_id").alias("offset"), F.col("event_id").alias("attempt"),
+              F.col("event_type").isin("error", "view").alias("failed")).write.parquet(src)
+    schema = "topic string, partition int, offset long, attempt long, failed boolean"
+    out_rows = retry_stream(spark.readStream.schema(schema).parquet(src))
+    out, ckpt = scratch_path(spark, "retry-stream-out"), scratch_path(spark, "retry-stream-ckpt")
+    q = (out_rows.writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(out_rows.schema).parquet(out).select("attempt", "retry_count", "to_dlq")
+
+
 SINK_ERROR_MESSAGE = "write to sink failed: flush error"
 
 
