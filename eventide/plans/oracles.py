@@ -423,3 +423,14 @@ WITH {CE}
 SELECT {CE_COLS} FROM ce""")
 
 ORACLES["stream_retry_route"] = ORACLES["retry_route"]
+
+oracle("stream_top_wikis", f"""
+WITH {CE},
+p AS (SELECT CASE WHEN id % 50 = 3 THEN 'unknown' ELSE wiki END AS wiki, timestamp
+      FROM ce WHERE id % 50 NOT IN (0, 2)),
+c AS (SELECT {WSTART} AS window_start, {WSTART} + 60000 AS window_end, wiki, count(*) AS edits
+      FROM p GROUP BY 1, 2, 3)
+SELECT * FROM (
+  SELECT window_start, window_end, wiki, edits,
+         CAST(row_number() OVER (PARTITION BY window_start ORDER BY edits DESC, wiki) AS BIGINT) AS rank
+  FROM c WHERE window_end <= (SELECT (max(timestamp) - 5) * 1000 FROM p)) WHERE rank <= 3""")

@@ -98,6 +98,21 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.schema(kept.schema).parquet(out)
 
 
+@query("stream_top_wikis")
+def q_stream_top_wikis(spark, sf_dir):
+    """A4 as a stream: per closed minute the 3 busiest wikis, ranked inside
+    ``foreachBatch`` over the windows the append-mode aggregate emits."""
+    from eventide.plans import jobs
+    src = scratch_path(spark, "top-stream-in")
+    inject.json_payloads(change_events(spark, sf_dir)).select("payload").write.text(src)
+    payloads = spark.readStream.text(src).withColumnRenamed("value", "payload")
+    out = scratch_path(spark, "top-stream-out")
+    q = jobs.start_top_wikis(spark, payloads, out, k=3, checkpoint=scratch_path(spark, "top-stream-ckpt"),
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(out).select("window_start", "window_end", "wiki", "edits", "rank")
+
+
 @query("window_top_wikis")
 def q_window_top_wikis(spark, sf_dir):
     counts = windows.window_wiki_counts(change_events(spark, sf_dir))
