@@ -434,3 +434,17 @@ SELECT * FROM (
   SELECT window_start, window_end, wiki, edits,
          CAST(row_number() OVER (PARTITION BY window_start ORDER BY edits DESC, wiki) AS BIGINT) AS rank
   FROM c WHERE window_end <= (SELECT (max(timestamp) - 5) * 1000 FROM p)) WHERE rank <= 3""")
+
+oracle("stream_window_json", f"""
+WITH {CE},
+p AS (SELECT CASE WHEN id % 50 = 3 THEN 'unknown' ELSE wiki END AS wiki,
+             CASE WHEN id % 50 = 4 THEN 'unknown' ELSE type END AS type, timestamp
+      FROM ce WHERE id % 50 NOT IN (0, 2)),
+lim AS (SELECT (max(timestamp) - 5) * 1000 AS w FROM p),
+t AS (SELECT {WSTART} AS s, type AS k, count(*) AS n FROM p GROUP BY 1, 2),
+w AS (SELECT {WSTART} AS s, wiki AS k, count(*) AS n FROM p GROUP BY 1, 2)
+SELECT '{{"window":{{"start":' || s || ',"end":' || (s + 60000) || '}},"type":"' || k || '","count":' || n || '}}' AS value
+FROM t WHERE s + 60000 <= (SELECT w FROM lim)
+UNION ALL
+SELECT '{{"window":{{"start":' || s || ',"end":' || (s + 60000) || '}},"wiki":"' || k || '","edits":' || n || '}}' AS value
+FROM w WHERE s + 60000 <= (SELECT w FROM lim)""")

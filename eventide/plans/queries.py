@@ -80,6 +80,21 @@ def q_stream_window_counts(spark, sf_dir):
     return spark.read.schema(counts.schema).parquet(out)
 
 
+@query("stream_window_json")
+def q_stream_window_json(spark, sf_dir):
+    """3.3 as the service runs it: JSON payloads of every event through the
+    windows job; the result is the JSON lines its (exactly-once) text sink wrote."""
+    from eventide.plans import jobs
+    src = scratch_path(spark, "json-lines-in")
+    inject.json_payloads(change_events(spark, sf_dir)).select("payload").write.text(src)
+    payloads = spark.readStream.text(src).withColumnRenamed("value", "payload")
+    out = scratch_path(spark, "json-lines-out")
+    q = jobs.start_windows(spark, payloads, out, checkpoint=scratch_path(spark, "json-lines-ckpt"),
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.text(out)
+
+
 @query("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """T6 as Structured Streaming: every event plus re-deliveries (a file
