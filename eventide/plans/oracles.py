@@ -448,3 +448,7 @@ FROM t WHERE s + 60000 <= (SELECT w FROM lim)
 UNION ALL
 SELECT '{{"window":{{"start":' || s || ',"end":' || (s + 60000) || '}},"wiki":"' || k || '","edits":' || n || '}}' AS value
 FROM w WHERE s + 60000 <= (SELECT w FROM lim)""")
+
+oracle("evolve_wire_v2", f"""
+WITH {CE}
+SELECT {CE_COLS}, 0 AS minor, CAST(NULL AS BIGINT) AS page_id FROM ce WHERE {M40} > 3""")

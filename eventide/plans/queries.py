@@ -309,6 +309,14 @@ def q_decode_wire(spark, sf_dir):
                           "error_message")
 
 
+@query("evolve_wire_v2")
+def q_evolve_wire_v2(spark, sf_dir):
+    """E1 over the wire: messages written with v1 and with v2 writer schemas,
+    decoded under the v2 reader schema (v1 bodies get minor = 0, page_id = NULL)."""
+    valid, _ = decode_wire(_messages(spark, sf_dir), registry_frame(spark), target=CHANGE_EVENT_V2)
+    return valid
+
+
 @query("wire_round_trip")
 def q_wire_round_trip(spark, sf_dir):
     """K2 then S4 on undamaged messages: every event comes back unchanged."""
