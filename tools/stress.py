@@ -70,7 +70,10 @@ def main():
                                      "timestamp", "feature_ts", ttl=7200).count() == rows)
     lat = ev.select("wiki", (F.col("duration_s") * 1000).alias("latency_ms"),
                     (F.col("type") == "error").alias("is_error"), "timestamp")
-    timed("slo_report", metrics.slo_report(lat, ["wiki"], "latency_ms", "is_error", "timestamp"))
+    t = time.perf_counter()      # slo_report materializes its count table when called: time that too
+    metrics.slo_report(lat, ["wiki"], "latency_ms", "is_error", "timestamp") \
+        .write.format("noop").mode("overwrite").save()
+    out["slo_report"] = round(time.perf_counter() - t, 2)
     out["hot_key_share"] = round(hot_share, 3)
     print(json.dumps(out))
     spark.stop()
