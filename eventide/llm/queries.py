@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from eventide.llm import packing, pii, simhash, toxicity
+from eventide.llm import chat, graph_search, kd_search, packing, pii, simhash, toxicity
 from eventide.llm.bpe_lexicon import encode_decode
 from eventide.llm.common import in_fold, read_table
 from eventide.llm.token_counts import token_counts
 
 
+def op1_graph_search(spark, sf_dir):
+    return graph_search.nearest_by_cosine(read_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, max_bits=4, seed=42)
 
 
+def op3_kd_search(spark, sf_dir):
+    return kd_search.top_by_product(read_table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts(read_table(spark, sf_dir, "documents"), limit=512).drop("fit_chars")
 
@@ -36,6 +44,29 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_token_counts, op5_best_fit_packing, op6_bpe_lexicon,
-                                   op8_pii_surrogates, op9_toxicity)}
-ORACLES: dict[str, str] = {}
+def op10_chat_formatting(spark, sf_dir):
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_graph_search, op2_simhash, op3_kd_search, op4_token_counts,
+                                   op5_best_fit_packing, op6_bpe_lexicon, op8_pii_surrogates, op9_toxicity,
+                                   op10_chat_formatting)}
+# Exact top-k by brute force, and maximal conversations by whole turn lists.
+ORACLES: dict[str, str] = {
+    "op3_kd_search": """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.e, c.e) AS BIGINT)) AS score
+  FROM v q JOIN v c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+""",
+    "op10_chat_formatting": chat.FORMAT_SQL,
+}
