@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventide.llm import chat, graph_search, kd_search, packing, pii, simhash, toxicity
+from eventide.llm import chat, graph_search, kd_search, lm_mixing, packing, pii, simhash, toxicity
 from eventide.llm.bpe_lexicon import encode_decode
 from eventide.llm.common import in_fold, read_table
 from eventide.llm.token_counts import token_counts
@@ -32,6 +32,10 @@ def op6_bpe_lexicon(spark, sf_dir):
     return encode_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op7_context_mixing(spark, sf_dir):
+    return lm_mixing.score(read_table(spark, sf_dir, "documents"))
+
+
 def op8_pii_surrogates(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace(docs, with_spans=True)
@@ -49,8 +53,8 @@ def op10_chat_formatting(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_graph_search, op2_simhash, op3_kd_search, op4_token_counts,
-                                   op5_best_fit_packing, op6_bpe_lexicon, op8_pii_surrogates, op9_toxicity,
-                                   op10_chat_formatting)}
+                                   op5_best_fit_packing, op6_bpe_lexicon, op7_context_mixing, op8_pii_surrogates,
+                                   op9_toxicity, op10_chat_formatting)}
 # Exact top-k by brute force, and maximal conversations by whole turn lists.
 ORACLES: dict[str, str] = {
     "op3_kd_search": """
