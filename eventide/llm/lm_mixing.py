@@ -15,6 +15,7 @@ The base score is a smoothed unigram model of whole words.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import math
 from collections import Counter
@@ -35,15 +36,17 @@ ORDERS = (1, 2, 3, 5)
 TABLE_BITS = 20               # slots of each order's table: fixed, so the model that is broadcast has a proven size
 RANGE_BITS = 16               # slots that are summed in one row
 FREQUENT_WORDS = 100_000      # words whose counts are broadcast; all others are joined
-FLUSH_WORDS = 200_000
+FLUSH_UNITS = 300_000
 FOLDS, HELD_OUT = 7, 2
 END = 255                     # a byte that UTF-8 never uses closes each text
+MARK = bytes([END])
 UNSEEN = -32768
 UNIT = 1024.0                 # of a stored stretched probability
 STEP = 1024                   # bits after which weights and refinement learn
 SEGMENT = 1 << 18             # bytes of one text that are laid out at once, and
 GROUP = 5 << 18               # of texts that step together, about
-GATES = len(ORDERS) + 1
+GATE_OF = (0, 1, 1, 2)        # by the longest known order; weights are kept for each gate
+GATES = 3
 RATE, DAMP = 2.0, 48.0
 REFINE_COUNT, BUCKETS = 160.0, 32
 
@@ -108,7 +111,7 @@ def bit_slots(units: list[bytes], code: Code) -> tuple[list[np.ndarray], np.ndar
 def cut(text: bytes) -> list[bytes]:
     """The units of a text, its end mark included: after each space a new one begins."""
     parts = text.split(b" ")
-    last = parts.pop() + bytes([END])
+    last = parts.pop() + MARK
     units = [p + b" " for p in parts]
     units.append(last)
     return units
@@ -148,7 +151,7 @@ def gather(train: DataFrame, code: Code, text_col: str) -> DataFrame:
     counts, and rows (order, span, task, blob) with the counts of the zeros
     and ones of each table slot, as far as a task has met them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        gc.disable()          # many small objects and no cycles
         units: Counter = Counter()
         tables = [np.zeros((1 << TABLE_BITS, 2), np.uint32) for _ in ORDERS]
 
@@ -162,30 +165,29 @@ def gather(train: DataFrame, code: Code, text_col: str) -> DataFrame:
                 pa.array(blob, pa.binary()) if len(order) else none(pa.binary())],
                 names=["word", "n", "ord", "span", "blob"]) if size else None
 
-        def learn() -> None:
+        def learn() -> pa.RecordBatch | None:
             names = list(units)
-            for i in range(0, len(names), 20_000):
-                part = names[i:i + 20_000]
+            for i in range(0, len(names), 50_000):
+                part = names[i:i + 50_000]
                 slots, bits, bits_of = bit_slots(part, code)
-                weight = np.repeat(np.fromiter((units[u] for u in part), np.int64, len(part)), bits_of)
+                weight = np.repeat(np.fromiter(map(units.__getitem__, part), np.float64, len(part)), bits_of)
                 for table, slot in zip(tables, slots):
                     both = np.bincount(slot.astype(np.int64) * 2 + bits, weight, 2 << TABLE_BITS)
                     table += both.astype(np.uint32).reshape(-1, 2)
+            words: dict[bytes, int] = {}       # no word crosses a space, so units hold whole words
+            for unit, n in units.items():
+                for word in unit.rstrip(MARK).lower().split():
+                    words[word] = words.get(word, 0) + n
             units.clear()
+            return rows([w.decode() for w in words], list(words.values()))
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                raw = text.encode()
-                words.update(raw.lower().split())
-                units.update(cut(raw))
-                if len(units) > FLUSH_WORDS:
-                    learn()
-                if len(words) > FLUSH_WORDS:
-                    yield rows([w.decode() for w in words], list(words.values()))
-                    words.clear()
-        learn()
-        if words:
-            yield rows([w.decode() for w in words], list(words.values()))
+                units.update(cut(text.encode()))
+                if len(units) > FLUSH_UNITS and (done := learn()):
+                    yield done
+        if done := learn():
+            yield done
         width = 1 << RANGE_BITS
         for o, table in enumerate(tables):
             spans = [s for s in range(len(table) // width) if table[s * width:(s + 1) * width].any()]
@@ -232,15 +234,11 @@ def tables(gathered: DataFrame) -> np.ndarray:
 class Mixer:
     """Scores texts with the gathered tables; texts of a batch step together."""
 
-    def __init__(self, code: Code, table: np.ndarray):
+    def __init__(self, code: Code, table: np.ndarray, top: dict[bytes, int]):
         self.code, self.table = code, table
-        start = np.full((GATES, len(ORDERS)), 0.12, np.float32)
-        for g in range(1, GATES):
-            start[g, g - 1] = 0.75
-            if g > 1:
-                start[g, g - 2] = 0.25
-        start[0] = 0.0
-        self.start = start
+        self.logs = {w: math.log10(n + 1) for w, n in top.items()}
+        # Most weight on the longest order that a gate stands for, to begin with.
+        self.start = np.array([[0.75, 0.12, 0.12, 0.12], [0.12, 0.3, 0.65, 0.12], [0.12, 0.12, 0.25, 0.75]], np.float32)
         middle = (np.arange(BUCKETS) - BUCKETS / 2 + 0.5) / 2.0
         self.identity = (1 / (1 + np.exp(-middle))).astype(np.float32)
 
@@ -254,17 +252,34 @@ class Mixer:
             value = self.table[k][slot]
             known = value != UNSEEN
             x[:-1, k] = value * (known * np.float32(1 / UNIT))
-            gate[:-1][known] = k + 1
+            gate[:-1][known] = GATE_OF[k]
         return x, gate, np.append(bits, np.int8(-1)), np.concatenate([[0], np.cumsum(bits_of)])
 
-    def score(self, texts: list[bytes]) -> list[float]:
-        """Natural log probability of each text."""
+    def words_of(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, list[str]]]:
+        """Of each unit: its words, the frequent ones, the sum of their
+        log10(count + 1); and the other words of the units that have some."""
+        logs, n, known, sums, rare = self.logs.get, [], [], [], {}
+        for i, unit in enumerate(units):
+            words = unit.rstrip(MARK).lower().split()
+            found = [x for w in words if (x := logs(w)) is not None]
+            n.append(len(words))
+            known.append(len(found))
+            sums.append(sum(found))
+            if len(found) < len(words):
+                rare[i] = [w.decode() for w in words if logs(w) is None]
+        return np.array(n, np.int64), np.array(known, np.int64), np.array(sums), rare
+
+    def score(self, texts: list[bytes]) -> list[tuple[float, int, int, float, list[str]]]:
+        """Of each text: natural log probability, words, frequent words, the
+        sum of their log10(count + 1), and the other words."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         ranked = [cut(texts[i]) for i in order]
         state = {"w": np.repeat(self.start[None], len(texts), 0),
                  "ones": np.repeat((REFINE_COUNT * self.identity)[None], len(texts), 0).astype(np.float32),
                  "all": np.full((len(texts), BUCKETS), REFINE_COUNT, np.float32)}
         total = np.zeros(len(texts))
+        words, known, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        others: list[list[str]] = [[] for _ in texts]
         while ranked:
             rest = []
             for d, own in enumerate(ranked):
@@ -275,20 +290,30 @@ class Mixer:
                         stop += 1
                     rest.append(own[stop:])
                     ranked[d] = own[:stop]
-            self._segments(ranked, state, total)
+            units, ids = self._segments(ranked, state, total)
+            n, frequent, sums, rare = self.words_of(units)
+            has_rare = np.zeros(len(units), bool)
+            has_rare[list(rare)] = True
+            for d, own in enumerate(ids):
+                words[d] += n[own].sum()
+                known[d] += frequent[own].sum()
+                base[d] += sums[own].sum()
+                others[d] += chain.from_iterable(map(rare.__getitem__, own[has_rare[own]].tolist()))
             ranked = rest if any(rest) else []
-        out = [0.0] * len(texts)
+        out: list = [None] * len(texts)
         for d, i in enumerate(order):
-            out[i] = float(total[d])
+            out[i] = float(total[d]), int(words[d]), int(known[d]), float(base[d]), others[d]
         return out
 
-    def _segments(self, segments: list[list[bytes]], state: dict, total: np.ndarray) -> None:
+    def _segments(self, segments: list[list[bytes]], state: dict, total: np.ndarray) -> tuple[list, list]:
+        """Run the texts' next segments; their distinct units, and each text's units as places in that list."""
         names = dict.fromkeys(chain.from_iterable(segments))
         x, gate, bits, first = self.inputs(list(names))
         number = dict(zip(names, range(len(names)))).__getitem__
-        many, first, paths = np.diff(first).astype(np.int32), first.astype(np.int32), []
+        many, first, paths, places = np.diff(first).astype(np.int32), first.astype(np.int32), [], []
         for own in segments:
             ids = np.fromiter(map(number, own), np.int32, len(own))
+            places.append(ids)
             n = many[ids]
             through = np.cumsum(n, dtype=np.int32)
             path = np.repeat(first[ids] - (through - n), n)
@@ -304,6 +329,7 @@ class Mixer:
             for i in range(0, len(rank), 32):        # few enough rows to stay in the cache
                 own = idx[i:i + 32]
                 self._step(x.take(own, axis=0), gate.take(own), bits.take(own), rank[i:i + 32], state, total)
+        return list(names), places
 
     @staticmethod
     def _step(x, gate, bits, rank, state, total) -> None:
@@ -354,47 +380,51 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     n_words, n_distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = n_words + n_train, n_distinct + (n_train > 0)
     share = math.log10(tokens + distinct + 1)
-    top = {r["word"].encode(): r["c"] for r in words.orderBy(F.desc("c"), "word").limit(FREQUENT_WORDS).collect()}
+    # The frequent words: all with counts from the least on that at most so many have.
+    ranks = words.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(FREQUENT_WORDS).collect()
+    room, least = FREQUENT_WORDS, None
+    for r in ranks:
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["c"]
+    frequent = words.where(F.col("c") >= least).collect() if least is not None else []
+    top = {r["word"].encode(): r["c"] for r in frequent}
     sent = spark.sparkContext.broadcast((code, tables(gathered), top))     # fixed size, and a fixed number of words
     mixers: dict[int, Mixer] = {}
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        code, table, top = sent.value
-        mixer = mixers.setdefault(0, Mixer(code, table))
+        if not mixers:
+            gc.disable()      # many small lists and no cycles
+            mixers[0] = Mixer(*sent.value)
         raw = [t.encode() for t in batch.column(1).to_pylist()]
-        logs: list[float] = []
+        found: list = []
         group: list[bytes] = []
         size = 0
         for text in raw:
             group.append(text)
             size += len(text)
             if size > GROUP:
-                logs += mixer.score(group)
+                found += mixers[0].score(group)
                 group, size = [], 0
-        logs += mixer.score(group)
-        n_tokens, known, base, rare = [], [], [], []
-        for text in raw:
-            own = Counter(text.lower().split())
-            n_tokens.append(sum(own.values()) + 1)
-            hits = [(n, top[w]) for w, n in own.items() if w in top]
-            known.append(sum(n for n, _ in hits) + (n_train > 0))
-            base.append(sum(n * math.log10(c + 1) for n, c in hits) + math.log10(n_train + 1))
-            rare.append([{"w": w.decode(), "k": n} for w, n in own.items() if w not in top])
-        item = pa.struct([("w", pa.string()), ("k", pa.int32())])
+        found += mixers[0].score(group)
+        log_p, n_words, known, base, rare = zip(*found)
+        ends = math.log10(n_train + 1)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(list(map(len, raw)), pa.int64()), pa.array(n_tokens, pa.int64()),
-             pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(logs, pa.float64()),
-             pa.array(rare, pa.list_(item))],
+            [batch.column(0), batch.column(2), pa.array(list(map(len, raw)), pa.int64()),
+             pa.array([n + 1 for n in n_words], pa.int64()), pa.array([n + (n_train > 0) for n in known], pa.int64()),
+             pa.array([b + ends for b in base], pa.float64()), pa.array(log_p, pa.float64()),
+             pa.array(rare, pa.list_(pa.string()))],
             names=["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "log_p", "rare"])
 
     first = map_batches(rows, run, f"doc_id {id_type}, held_out boolean, n_bytes long, n_tokens long, known long, "
-                                   "base double, log_p double, rare array<struct<w:string,k:int>>")
+                                   "base double, log_p double, rare array<string>")
     # The row numbers are written with the rows, so they stay what they are.
     first = materialize(first.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    rare = first.select("row", F.explode("rare").alias("r")).select("row", F.col("r.w").alias("word"), "r.k")
+    rare = first.select("row", F.explode("rare").alias("word"))
     more = (rare.join(words, "word").groupBy("row")
-                .agg(F.sum("k").alias("more_known"), F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("more_base")))
+                .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("more_base")))
     out = first.drop("rare").join(more, "row", "left")
     ten = math.log(10)
     return out.select(
