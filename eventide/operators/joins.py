@@ -28,6 +28,8 @@ def row_count_at_most(df: DataFrame, limit: int) -> int | None:
 # Above this optimizer size estimate a side is not even counted: it is left to the
 # shuffle join, which AQE still turns into a broadcast if the measured side is small.
 COUNT_ONLY_BELOW_BYTES = 2 << 30
+# What the optimizer says of local rows and the like, whose size it does not know.
+UNKNOWN_BYTES = 1 << 62
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -45,7 +47,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     counted at all (counting would compute it once more), so the check stays
     cheap for large inputs."""
     est = estimated_bytes(df)
-    if est is not None and est > COUNT_ONLY_BELOW_BYTES:
+    if est is not None and COUNT_ONLY_BELOW_BYTES < est < UNKNOWN_BYTES:
         return df
     return F.broadcast(df) if row_count_at_most(df, max_rows) is not None else df
 
@@ -82,8 +84,5 @@ def materialize(df: DataFrame) -> DataFrame:
     cut its lineage, so several later uses read it instead of recomputing it
     from the input.  Reliable ``checkpoint`` only, never a local one."""
     from eventide.session import ensure_checkpoint_dir
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    except Exception:  # noqa: BLE001 -- no checkpoint support: recompute instead
-        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

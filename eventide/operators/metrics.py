@@ -56,7 +56,7 @@ def histogram(df: DataFrame, value: str, buckets=DEFAULT_BUCKETS, group: list[st
     """M2: cumulative ``le`` buckets, one pass: (group..., le, count)."""
     v = F.col(value)
     aggs = [F.count_if(v <= F.lit(b)).alias(f"_b{i}") for i, (_, b) in enumerate(buckets)]
-    aggs.append(F.count(F.lit(1)).alias("_inf"))
+    aggs.append(F.count(v).alias("_inf"))      # NULL is no observation
     h = df.groupBy(*group).agg(*aggs)
     pairs = [F.struct(F.lit(s).alias("le"), F.col(f"_b{i}").alias("count"))
              for i, (s, _) in enumerate(buckets)]
@@ -77,7 +77,7 @@ def histogram_quantiles(df: DataFrame, value: str, qs: list[float], buckets=DEFA
     bounds = F.array(*[F.lit(b) for _, b in buckets])
     h = df.groupBy(*group).agg(
         F.array(*[F.count_if(v <= F.lit(b)).cast("double") for _, b in buckets]).alias("cum"),
-        F.count(F.lit(1)).cast("double").alias("total"))
+        F.count(v).cast("double").alias("total")).where("total > 0")
     h = h.select(*group, "cum", "total", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
     rank = F.col("q") * F.col("total")
     b = F.array_position(F.transform("cum", lambda c: c >= rank), True)  # 1-based, 0 = none
@@ -85,7 +85,7 @@ def histogram_quantiles(df: DataFrame, value: str, qs: list[float], buckets=DEFA
     start = F.when(b > 1, F.element_at(bounds, (b - 1).cast("int"))).otherwise(F.lit(0.0))
     end = F.element_at(bounds, b.cast("int"))
     cnt = F.element_at("cum", b.cast("int")) - prev_cum
-    interp = start + (end - start) * (rank - prev_cum) / cnt
+    interp = F.when(cnt > 0, start + (end - start) * (rank - prev_cum) / cnt).otherwise(start)
     last = F.lit(buckets[-1][1])
     first_nonpos = (b == 1) & (F.lit(buckets[0][1]) <= 0)
     est = (F.when(b == 0, last)

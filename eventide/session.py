@@ -8,6 +8,7 @@ unset (local tests) do we point it at a fresh directory of our own.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -43,9 +44,25 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="eventide-code-"), "eventide"), "zip",
+                               os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(made)      # Spark serves it to the executors
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     try:
@@ -57,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(cur)
         return cur.rstrip("/")
+    if sc and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="eventide-ckpt-")   # only when the cluster names none (tests)
     if sc:
         sc.setCheckpointDir(local)

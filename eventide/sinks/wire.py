@@ -80,10 +80,13 @@ def kafka_available(spark) -> bool:
 def publish(df: DataFrame, topic: str | None = None, path: str | None = None,
             bootstrap_servers: str | None = None) -> None:
     """K1: write (key, value[, topic, headers]) to Kafka, or to Parquet at ``path``."""
-    cols = [c for c in ("key", "value", "topic", "partition", "headers") if c in df.columns]
+    cols = [c for c in ("key", "value", "topic", "partition", "offset", "timestamp", "headers") if c in df.columns]
     out = df.select(*cols)
-    if bootstrap_servers and kafka_available(df.sparkSession):
-        w = out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers) \
+    if bootstrap_servers:
+        if not kafka_available(df.sparkSession):
+            raise ValueError("broker given, but Spark's Kafka connector is not on the classpath")
+        # The broker's partitioner hashes the key; offsets and times are the broker's.
+        w = out.drop("partition", "offset", "timestamp").write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers) \
                      .option("kafka.acks", "all")
         if topic:
             w = w.option("topic", topic)

@@ -21,6 +21,9 @@ MAX_LINE_BYTES = 1024 * 1024
 LINE_TOO_LONG = "sse: line exceeds 1 MiB"
 PARSE_ERROR = "json unmarshal: payload is not a valid change event"
 MISSING_TS_ERROR = "parse: timestamp field is missing"
+TS_RANGE_ERROR = "parse: timestamp is out of range"
+# Epoch seconds that can be a time: from 1970 to the year 9999.  Milliseconds fall outside.
+TS_MAX = 253_402_300_799
 UNKNOWN = "unknown"
 
 
@@ -79,10 +82,11 @@ def parse_change_event_all(df: DataFrame, payload: str = "payload",
     Absent or null fields take the zero value ("" / 0 / false); the parse
     time column ``parsed_timestamp`` equals ``timestamp``.  Malformed text or
     a wrong type rejects the row with an error message (classified
-    ``decode_error`` by P3).  An empty payload is no event at all.
+    ``decode_error`` by P3); so does a timestamp that is no epoch second.  An empty payload is no event at all.
     """
     p = _parsed(df, payload, JSON_PAYLOAD)
-    ok = F.col(f"_j.{CORRUPT}").isNull()
+    whole = F.col(f"_j.{CORRUPT}").isNull()
+    ok = whole & F.coalesce(F.col("_j.timestamp"), F.lit(0)).between(0, TS_MAX)
     zero = {"id": F.lit(0).cast("long"), "namespace": F.lit(0), "timestamp": F.lit(0).cast("long"),
             "bot": F.lit(False)}
     cols = []
@@ -96,7 +100,8 @@ def parse_change_event_all(df: DataFrame, payload: str = "payload",
         cols.append(F.when(ok, v).alias(c))
     return (p.where(F.col("_j").isNotNull())
              .select(*keep, F.col(payload), *cols,
-                     F.when(ok, F.lit(None).cast("string")).otherwise(F.lit(PARSE_ERROR))
+                     F.when(ok, F.lit(None).cast("string")).when(whole, F.lit(TS_RANGE_ERROR))
+                      .otherwise(F.lit(PARSE_ERROR))
                      .alias("error_message")))
 
 
@@ -125,13 +130,15 @@ def parse_defaults_all(df: DataFrame, payload: str = "payload",
     p = _parsed(df, payload, TRANSFORM_FIELDS)
     bad = F.col(f"_j.{CORRUPT}").isNotNull() | F.col("_j").isNull()
     no_ts = F.col("_j.timestamp").isNull()
-    ok = ~bad & ~no_ts
+    in_range = F.col("_j.timestamp").between(0, TS_MAX)
+    ok = ~bad & ~no_ts & in_range
     return p.select(
         *keep, F.col(payload),
         F.when(ok, F.coalesce(F.col("_j.wiki"), F.lit(UNKNOWN))).alias("wiki"),
         F.when(ok, F.coalesce(F.col("_j.type"), F.lit(UNKNOWN))).alias("type"),
         F.when(ok, F.col("_j.timestamp")).alias("timestamp"),
-        F.when(bad, F.lit(PARSE_ERROR)).when(no_ts, F.lit(MISSING_TS_ERROR)).alias("error_message"))
+        F.when(bad, F.lit(PARSE_ERROR)).when(no_ts, F.lit(MISSING_TS_ERROR))
+         .when(~in_range, F.lit(TS_RANGE_ERROR)).alias("error_message"))
 
 
 def parse_defaults(df: DataFrame, payload: str = "payload",

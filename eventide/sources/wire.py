@@ -52,11 +52,14 @@ def registry_frame(spark: SparkSession, entries=None) -> DataFrame:
 def wire_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """S4 header: length, magic byte, schema id and the envelope error, if any."""
     v = F.col(value)
-    length = F.octet_length(v)
+    length = F.coalesce(F.octet_length(v), F.lit(0))
     magic = F.conv(F.hex(F.substring(v, 1, 1)), 16, 10).cast("int")
-    sid = F.conv(F.hex(F.substring(v, 2, 4)), 16, 10).cast("long").cast("int")
+    # Four unsigned bytes: no registry holds ids beyond an int, so those are unknown at once.
+    wide = F.conv(F.hex(F.substring(v, 2, 4)), 16, 10).cast("long")
+    sid = wide.try_cast("int")
     err = (F.when(length < 5, F.concat(F.lit(SHORT_MESSAGE + ": "), length.cast("string"), F.lit(" bytes")))
            .when(magic != 0, F.concat(F.lit(BAD_MAGIC + ": 0x"), F.lower(F.hex(F.substring(v, 1, 1)))))
+           .when(sid.isNull(), F.concat(F.lit("get schema "), wide.cast("string"), F.lit(": schema not found")))
            .otherwise(F.lit(None).cast("string")))
     return (df.withColumn("wire_length", length)
               .withColumn("magic", F.when(length >= 1, magic))

@@ -13,17 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from eventide.schema import ENVELOPE
 from eventide.sinks.wire import kafka_available
 
-# The source system's backpressure limit and fetch size.
-MAX_PENDING_ROWS = 10_000
+# Fixed value: the source system's fetch size.
 MAX_FETCH_BYTES = 10 * 1024 * 1024
 
 
 def read_topic(spark: SparkSession, topic: str, path: str | None = None,
                bootstrap_servers: str | None = None, starting_offsets: str = "latest",
-               max_offsets_per_trigger: int | None = MAX_PENDING_ROWS,
+               max_offsets_per_trigger: int | None = None,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """A topic as a streaming DataFrame of broker envelopes."""
-    if bootstrap_servers and kafka_available(spark):
+    """A topic as a streaming DataFrame of broker envelopes; without a
+    limit a trigger takes all that is new."""
+    if bootstrap_servers:
+        if not kafka_available(spark):
+            raise ValueError("broker given, but Spark's Kafka connector is not on the classpath")
         r = (spark.readStream.format("kafka")
              .option("kafka.bootstrap.servers", bootstrap_servers)
              .option("subscribe", topic)

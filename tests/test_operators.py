@@ -124,3 +124,22 @@ def test_slo_report_approx_close_to_exact(spark):
     for w in exact:
         assert abs(exact[w].p50_ms - approx[w].p50_ms) <= 0.05 * exact[w].p50_ms + 60
         assert exact[w].error_rate == approx[w].error_rate
+
+
+def test_dense_index_over_many_partitions(spark):
+    seed = ce_columns(change_events(spark, SF001)).repartition(9)
+    from pyspark.sql import Window
+    idx = dense_index(seed, ["id"])
+    ranked = idx.withColumn("want", F.row_number().over(Window.orderBy("id")) - 1)
+    assert ranked.where("_idx <> want").count() == 0
+    out = amplify(seed, 3000)
+    assert out.select("id").distinct().count() == 3000
+    assert out.agg(F.max("id")).first()[0] == 1003000
+
+
+def test_histogram_leaves_nulls_out_and_takes_quantile_zero(spark):
+    df = spark.createDataFrame([(0.3,), (None,)], "v double")
+    b = [("0.5", 0.5), ("1", 1.0)]
+    assert {r["le"]: r["count"] for r in metrics.histogram(df, "v", b).collect()} == {"0.5": 1, "1": 1, "+Inf": 1}
+    got = {r.q: r.value for r in metrics.histogram_quantiles(df, "v", [0.0, 1.0], b).collect()}
+    assert got == {0.0: 0.0, 1.0: 0.5}

@@ -109,3 +109,14 @@ def test_over_long_line_rejected(spark, tmp):
     ok, bad = sse_frames_with_rejects(spark, tmp)
     assert ok.count() == 1
     assert [r.error_message for r in bad.collect()] == ["sse: line exceeds 1 MiB"]
+
+
+def test_timestamps_out_of_range_are_rejects(spark):
+    from eventide.sources.json_events import TS_RANGE_ERROR, parse_change_event, parse_defaults
+    stamps = [9223372036854775807, 1700000000000, -5, 1700000000]
+    df = spark.createDataFrame([('{"id": 1, "wiki": "a", "type": "edit", "timestamp": %d}' % t,) for t in stamps],
+                               "payload string")
+    for parse in (parse_change_event, parse_defaults):
+        ok, bad = parse(df)
+        assert [r.timestamp for r in ok.collect()] == [1700000000]
+        assert [r.error_message for r in bad.collect()] == [TS_RANGE_ERROR] * 3

@@ -125,3 +125,12 @@ def test_encode_by_schema_matches_single_schema(spark):
     v1 = {r.id: bytes(r.value) for r in encode_wire(df.where("_w = 1").drop("_w"), 1, SCHEMA_V1_JSON).collect()}
     v2 = {r.id: bytes(r.value) for r in encode_wire(df.where("_w = 2").drop("_w"), 2, SCHEMA_V2_JSON).collect()}
     assert got == {**v1, **v2}
+
+
+def test_headers_out_of_range_are_rejects(spark):
+    from eventide.sources.wire import decode_all, registry_frame
+    rows = [(bytearray.fromhex(h),) for h in ("00FFFFFFFF00", "FFFFFFFFFF00", "")] + [(None,)]
+    df = spark.createDataFrame(rows, "value binary")
+    got = sorted(r.error_message for r in decode_all(df, registry_frame(spark)).collect())
+    assert got == ["bad magic byte: 0xff", "get schema 4294967295: schema not found",
+                   "short message: 0 bytes", "short message: 0 bytes"]
