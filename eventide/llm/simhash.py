@@ -177,7 +177,8 @@ def keep_one(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
     found = near_duplicates(docs, k, max_bits).select("doc_id", "component_id")
     found = materialize(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")),
                         "simhash-kept")
-    single = docs.join(found.where("n = 1"), "doc_id", "left_semi")
+    # Kept ids grow with the corpus, so they are always merged, never broadcast.
+    single = docs.join(found.where("n = 1").hint("merge"), "doc_id", "left_semi")
     nameless = docs.where("doc_id is null")
     if not found.where("n > 1").take(1):
         return single.unionByName(nameless)
