@@ -11,6 +11,7 @@ on what it holds.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import uuid
 from array import array
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm.bpe import Vocabulary, default_path, vocabulary
-from eventide.llm.common import map_batches
+from eventide.llm.common import map_batches, materialize
 from eventide.session import ensure_checkpoint_dir
 
 LEXICON_WORDS = 50_000        # proven bound of the lexicon: at most so many words ...
@@ -138,24 +139,32 @@ class Lexicon:
         return self.ids[self.starts[rank]:self.starts[rank + 1]].tolist()
 
 
+# The token ids of a piece, the same in decimal, and the bytes that they decode to.
+Run = tuple[tuple[int, ...], str, bytes]
+
+
 class Encoder:
     """Encodes and decodes texts in one worker process."""
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
         self.vocab, self.lexicon = vocab, lexicon
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, Run] = {}
+        self.special = {s: self.run_of((i,)) for s, i in vocab.special.items()}
+
+    def run_of(self, ids: tuple[int, ...]) -> Run:
+        return ids, ",".join(map(str, ids)), b"".join(self.vocab.bytes_of[i] for i in ids)
 
     def learn(self, pieces: list[str]) -> None:
         """Look the pieces up in the lexicon; merge those it lacks."""
         raw = [p.encode() for p in pieces]
         for piece, word, rank in zip(pieces, raw, self.lexicon.find(raw)):
-            self.known[piece] = tuple(self.lexicon.token_ids(rank)) if rank >= 0 else self.merged(piece)
+            self.known[piece] = self.run_of(tuple(self.lexicon.token_ids(rank)) if rank >= 0 else self.merged(piece))
 
     def merged(self, piece: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(self.vocab.merge(w.encode()) for w in self.vocab.words.findall(piece)))
 
-    def encode_batch(self, texts: list[str]) -> list[list[tuple[int, ...]]]:
-        """Token ids of each text, as runs of one piece each."""
+    def encode_batch(self, texts: list[str]) -> list[list[Run]]:
+        """Each text as runs of token ids, one run per piece."""
         cut = [[(n % 2, [seg] if n % 2 else self.vocab.pieces(seg)) for n, seg in enumerate(self.vocab.segments(t))]
                for t in texts]
         if len(self.known) > CACHED_PIECES:
@@ -163,26 +172,33 @@ class Encoder:
         fresh = {p for text in cut for special, ps in text if not special for p in ps} - self.known.keys()
         if fresh:
             self.learn(list(fresh))
-        known, special = self.known, self.vocab.special
-        return [[(special[p],) if is_special else known[p] for is_special, ps in text for p in ps] for text in cut]
+        of = self.known, self.special
+        return [[of[is_special][p] for is_special, ps in text for p in ps] for text in cut]
 
-    def decode(self, ids) -> str:
+    @staticmethod
+    def decode(runs: list[Run]) -> str:
         """The text of the token ids, special ones included."""
-        of = self.vocab.bytes_of
-        return b"".join([of[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join([r[2] for r in runs]).decode("utf-8", "replace")
 
 
 def frequent_pieces(docs: DataFrame, n: int = LEXICON_WORDS, text_col: str = "text") -> list[str]:
-    """The ``n`` most frequent pieces of all texts, ties in byte order.
+    """The most frequent pieces of all texts, at most ``n``; words of one count
+    are all taken or all left.
 
     Words between spaces are counted natively over the whole table; pieces
     longer than ``LEXICON_WORD_BYTES`` bytes stay out.
     """
     words = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), " ")).alias("w"))
-    top = (words.where(F.octet_length("w").between(1, LEXICON_WORD_BYTES - 1) & ~F.col("w").rlike(r"\s"))
-                .groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-                .orderBy(F.desc("n"), "w").limit(n))
-    return [" " + r["w"] for r in top.select("w").collect()]      # at most n short words
+    counted = materialize(words.where(F.octet_length("w").between(1, LEXICON_WORD_BYTES - 1) & ~F.col("w").rlike(r"\s"))
+                               .groupBy("w").agg(F.count(F.lit(1)).alias("n")), "lexicon-words")
+    # All words from the least count on that at most ``n`` words reach.
+    room, least = n, None
+    for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).limit(n).collect():
+        room -= r["k"]
+        if room < 0:
+            break
+        least = r["n"]
+    return [" " + r["w"] for r in counted.where(F.col("n") >= least).collect()] if least is not None else []
 
 
 def publish_lexicon(spark: SparkSession, block: bytes) -> str:
@@ -241,13 +257,14 @@ def encode_decode(docs: DataFrame, lexicon: str | None = None, path: str | None
         ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        gc.disable()          # many small objects and no cycles
         of = encoder(path, lexicon)
         counts, left, right = [], [], []
         for runs in of.encode_batch(batch.column(1).to_pylist()):
-            ids = list(chain.from_iterable(runs))
-            decoded = of.decode(ids)
-            counts.append(len(ids))
-            left.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() if digest else ids)
+            decoded = of.decode(runs)
+            counts.append(sum([len(r[0]) for r in runs]))
+            left.append(hashlib.sha256(",".join([r[1] for r in runs]).encode()).hexdigest() if digest
+                        else list(chain.from_iterable(r[0] for r in runs)))
             right.append(hashlib.sha256(decoded.encode()).hexdigest() if digest else decoded)
         kind = pa.string() if digest else pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays(

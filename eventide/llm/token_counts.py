@@ -14,6 +14,7 @@ two tokens into one.
 
 from __future__ import annotations
 
+import gc
 import re
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
@@ -177,6 +178,7 @@ def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None,
         + (", prefix_tokens array<int>" if with_prefixes else "")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        gc.disable()          # many small objects and no cycles
         of = counter(path)
         out: tuple[list, ...] = ([], [], [], [], [])
         for text in batch.column(1).to_pylist():
