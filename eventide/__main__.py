@@ -2,7 +2,7 @@
 
     python -m eventide ingest     --capture DIR --topic-dir DIR --dlq-dir DIR [--once]
     python -m eventide store      --topic-dir DIR --events DIR --dlq-dir DIR [--once] [--max-files N]
-    python -m eventide windows    --topic-dir DIR --out DIR [--once]
+    python -m eventide windows    --topic-dir DIR --out DIR [--once] [--max-files N]
     python -m eventide replay     --events DIR --from YYYY-MM-DD --to YYYY-MM-DD [--dry-run] --topic-dir DIR
     python -m eventide dlq-replay --dlq-dir DIR [--replay] [--dry-run] --out DIR
     python -m eventide amplify    --seed FILE_OR_DIR --n N --out DIR [--rate R] [--start-ts S]
@@ -45,10 +45,11 @@ def cmd_store(args):
     from eventide.streaming.sources import read_topic
     spark = _session(args)
     stream = read_topic(spark, jobs.TOPIC, path=args.topic_dir, bootstrap_servers=args.bootstrap_servers,
-                        starting_offsets="latest", max_files_per_trigger=args.max_files)
+                        starting_offsets="latest", max_files_per_trigger=args.max_files,
+                        max_offsets_per_trigger=args.max_offsets)
     q = jobs.start_store(spark, stream, args.events, args.dlq_dir, registry_frame(spark),
                          checkpoint=args.checkpoint, trigger=_trigger(args),
-                         bootstrap_servers=args.bootstrap_servers)
+                         bootstrap_servers=args.bootstrap_servers, max_records_per_file=args.max_records_per_file)
     q.awaitTermination()
 
 
@@ -57,7 +58,8 @@ def cmd_windows(args):
     from eventide.streaming.sources import payloads_from_topic, read_topic
     spark = _session(args)
     stream = read_topic(spark, jobs.TOPIC, path=args.topic_dir, bootstrap_servers=args.bootstrap_servers,
-                        starting_offsets="earliest")
+                        starting_offsets="earliest", max_files_per_trigger=args.max_files,
+                        max_offsets_per_trigger=args.max_offsets)
     q = jobs.start_windows(spark, payloads_from_topic(stream), args.out, checkpoint=args.checkpoint,
                            trigger=_trigger(args), bootstrap_servers=args.bootstrap_servers)
     q.awaitTermination()
@@ -66,6 +68,13 @@ def cmd_windows(args):
 def cmd_replay(args):
     from eventide.plans import jobs
     spark = _session(args)
+    if args.files_per_second and not args.dry_run:
+        q = jobs.start_replay_paced(spark, args.events, args.topic_dir, files_per_trigger=args.files_per_second,
+                                    checkpoint=args.checkpoint, bootstrap_servers=args.bootstrap_servers,
+                                    date_from=args.date_from, date_to=args.date_to)
+        q.processAllAvailable()
+        q.stop()
+        return
     t = jobs.replay(spark, args.events, args.date_from, args.date_to, topic_dir=args.topic_dir,
                     dry_run=args.dry_run, bootstrap_servers=args.bootstrap_servers).first()
     print(json.dumps({"files": t.files, "events": t.events, "dry_run": args.dry_run}))
@@ -79,7 +88,7 @@ def cmd_dlq_replay(args):
     spark = _session(args)
     dlq = spark.read.parquet(args.dlq_dir)
     summary = dlq_inspect(dlq).groupBy("original_topic", "error_type").count()
-    for r in summary.collect():          # one row per (topic, error type): bounded
+    for r in summary.toLocalIterator():      # topics are free header values: a partition at a time
         print(json.dumps(r.asDict()))
     if args.replay:
         out = dlq_replay(dlq, dry_run=args.dry_run)
@@ -107,6 +116,11 @@ def cmd_features(args):
     edit_stats(read_events(spark, args.events)).write.mode("overwrite").parquet(args.out)
 
 
+def _limits(parser):
+    parser.add_argument("--max-files", type=int, default=None, help="files a trigger, from a topic directory")
+    parser.add_argument("--max-offsets", type=int, default=None, help="messages a trigger, from a broker")
+
+
 def main(argv=None):
     p = argparse.ArgumentParser(prog="eventide")
     p.add_argument("--master", default=None)
@@ -127,13 +141,15 @@ def main(argv=None):
     s.add_argument("--topic-dir")
     s.add_argument("--events", required=True)
     s.add_argument("--dlq-dir")
-    s.add_argument("--max-files", type=int, default=None)
+    _limits(s)
+    s.add_argument("--max-records-per-file", type=int, default=None)
     s.add_argument("--once", action="store_true")
     s.set_defaults(fn=cmd_store)
 
     s = sub.add_parser("windows")
     s.add_argument("--topic-dir")
     s.add_argument("--out")
+    _limits(s)
     s.add_argument("--once", action="store_true")
     s.set_defaults(fn=cmd_windows)
 
@@ -143,6 +159,7 @@ def main(argv=None):
     s.add_argument("--to", dest="date_to", required=True)
     s.add_argument("--topic-dir")
     s.add_argument("--dry-run", action="store_true")
+    s.add_argument("--files-per-second", type=int, default=None, help="pace of the replay; default: none")
     s.set_defaults(fn=cmd_replay)
 
     s = sub.add_parser("dlq-replay")

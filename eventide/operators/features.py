@@ -36,14 +36,21 @@ def feature_events(ce: DataFrame) -> DataFrame:
 
 
 def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user",
-               approx_users: float | None = None) -> DataFrame:
+               approx_users: float | None = None, start: int | None = None,
+               end: int | None = None) -> DataFrame:
     """F2-F6 on the hourly grid.
 
     One aggregate per (key, hour) -- partial aggregation first, so a hot key
     is reduced per task -- then each hourly row is fanned out to the 24 grid
     hours it feeds (a fixed factor) and summed: one scan, no join.  Rows exist for every hour
     with ``edits_last_24h > 0``; quiet hours give 0 counts and NULL ratios.
+    ``start`` and ``end`` keep the rows with ``start <= feature_ts < end``; only
+    the events that they look back on are read.
     """
+    if start is not None:
+        ce = ce.where(F.col("timestamp") >= F.lit(start - DAY))
+    if end is not None:
+        ce = ce.where(F.col("timestamp") < F.lit(end))
     hr = F.floor(F.col("timestamp") / F.lit(HOUR)).cast("long")
     h = (ce.select(key, user, "bot", hr.alias("hr"))
            .groupBy(key, "hr")
@@ -60,6 +67,11 @@ def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user",
                    F.when(k == 0, F.col("b")).alias("b1"))
     g = fan.groupBy(key, "hr").agg(F.sum("n").cast("long").alias("n24"), F.max("n1").alias("n1"),
                                    F.max("u1").alias("u1"), F.max("b1").alias("b1"))
+    at = (F.col("hr") + 1) * HOUR
+    if start is not None:
+        g = g.where(at >= F.lit(start))
+    if end is not None:
+        g = g.where(at < F.lit(end))
     return g.select(
         key,
         ((F.col("hr") + 1) * HOUR).cast("long").alias("feature_ts"),
@@ -112,14 +124,15 @@ def latest_per_key(df: DataFrame, key: list[str], ts: str, start: int | None = N
     """F8: newest row per key with ``start <= ts < end`` (materialize incremental).
 
     ``max_by`` over a struct is a partial aggregate: one row per key per task
-    crosses the shuffle, however many rows a key has.
+    crosses the shuffle, however many rows a key has.  Of rows with the same
+    time the one with the largest other columns, in their order, is the newest.
     """
     if start is not None:
         df = df.where(F.col(ts) >= F.lit(start))
     if end is not None:
         df = df.where(F.col(ts) < F.lit(end))
     rest = [c for c in df.columns if c not in key]
-    best = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(ts)).alias("_b"))
+    best = df.groupBy(*key).agg(F.max(F.struct(ts, *(c for c in rest if c != ts))).alias("_b"))
     return best.select(*key, *[F.col(f"_b.{c}").alias(c) for c in rest])
 
 

@@ -57,7 +57,7 @@ WIKI_PARTITION = {"enwiki": 0, "dewiki": 1, "frwiki": 2, "wikidata": 3}
 
 def wire_messages(ce: DataFrame) -> DataFrame:
     """Broker envelopes of every event, Avro-encoded: odd ids with writer
-    schema 1 (v1), even ids with schema 2 (v2).  Damaged on purpose:
+    schema 1 (v1), even ids with schema 2 (v2: minor = namespace % 2, page_id = id).  Damaged on purpose:
     id % 40 = 0 three bytes, 1 magic byte 0xFF, 2 unknown schema id 999,
     3 the body cut by 3 bytes.  Offset = id, partition by wiki, and messages
     with id % 80 = 0 already carry an older error header."""
@@ -65,7 +65,8 @@ def wire_messages(ce: DataFrame) -> DataFrame:
     from eventide.sinks.wire import encode_wire_by, to_envelope
     from eventide.sources.wire import SCHEMA_V1_JSON, SCHEMA_V2_JSON
 
-    versioned = ce.withColumn("_writer", F.when(F.col("id") % 2 != 0, 1).otherwise(2))
+    versioned = (ce.withColumn("_writer", F.when(F.col("id") % 2 != 0, 1).otherwise(2))
+                   .withColumn("minor", (F.col("namespace") % 2).cast("int")).withColumn("page_id", F.col("id")))
     enc = encode_wire_by(versioned, "_writer", {1: SCHEMA_V1_JSON, 2: SCHEMA_V2_JSON}).drop("_writer")
     m = F.col("id") % 40
     v = F.col("value")

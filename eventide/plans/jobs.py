@@ -21,10 +21,10 @@ from eventide.functions.columns import event_key
 from eventide.operators.dedup import dedup_events
 from eventide.operators.windows import WATERMARK, union_json, window_counts_union
 from eventide.session import scratch_path
-from eventide.sinks.parquet import FLUSH_INTERVAL, FLUSH_MAX_ROWS, write_events
+from eventide.sinks.parquet import FLUSH_INTERVAL, write_events
 from eventide.sinks.wire import encode_wire, kafka_available, publish, to_dlq, to_envelope
-from eventide.sources.json_events import frames_split, parse_change_event, parse_defaults
-from eventide.sources.replay import read_events
+from eventide.sources.json_events import frames_to_payloads, parse_change_event, parse_defaults
+from eventide.sources.replay import check_range, read_events, read_partitions
 from eventide.sources.wire import SCHEMA_V1_JSON, decode_all, rejected_rows, valid_rows
 
 TOPIC = "recentchanges"
@@ -50,17 +50,20 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, d
                  checkpoint: str | None = None, trigger: dict | None = None,
                  schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON,
                  bootstrap_servers: str | None = None, line_sep: str = "\n\n"):
-    """3.1: S1 -> S2 -> K2 -> K1; over-long frames and JSON rejects go to the
-    dead-letter directory.  ``line_sep`` is the frame separator ("\r\n\r\n" for CRLF captures)."""
+    """3.1: S1 -> S2 -> K2 -> K1; JSON rejects go to the dead-letter directory.  ``line_sep`` is the frame separator ("\r\n\r\n" for CRLF captures)."""
     frames = spark.readStream.option("lineSep", line_sep).text(capture_dir)
     ckpt = _checkpoint(spark, "ingest", checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         key = batch_key(ckpt, batch_id)
         df.persist()
-        payloads, too_long = frames_split(df)
-        valid, bad_json = parse_change_event(payloads)
-        rejected = bad_json.unionByName(too_long)
+        try:
+            write(df, key)
+        finally:
+            df.unpersist()
+
+    def write(df: DataFrame, key: str) -> None:
+        valid, rejected = parse_change_event(frames_to_payloads(df))
         enc = encode_wire(valid, schema_id, schema_json)
         env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
         _write_batch(env, topic_dir, key, TOPIC, bootstrap_servers)
@@ -72,7 +75,6 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, d
             F.lit(None).cast("long").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"),
             F.array().cast("array<struct<key:string,value:binary>>").alias("headers"), "error_message")
         _write_dlq(to_dlq(rej, DLQ_TOPIC), dlq_dir, key, bootstrap_servers)
-        df.unpersist()
 
     w = frames.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
@@ -108,7 +110,6 @@ def _write_dlq(dlq: DataFrame, path: str | None, key: str, bootstrap_servers: st
         publish(dlq, DLQ_TOPIC, bootstrap_servers=bootstrap_servers)
         return
     from eventide.functions.columns import H_ORIGINAL_TOPIC, dt_col, header
-    from eventide.operators.joins import collect_small
     spark = dlq.sparkSession
     rows = (dlq.withColumn("dt", dt_col(F.unix_seconds(F.col("timestamp"))))
                .withColumn("_orig", header(H_ORIGINAL_TOPIC)))
@@ -118,17 +119,31 @@ def _write_dlq(dlq: DataFrame, path: str | None, key: str, bootstrap_servers: st
         from eventide.schema import ENVELOPE
         schema = T.StructType(ENVELOPE.fields + [T.StructField("dt", T.StringType()),
                                                  T.StructField("batch_id", T.StringType())])
-        days = [r[0] for r in collect_small(rows.select("dt").distinct(), 100_000)]
-        if days:
-            stored = (spark.read.schema(schema).parquet(path)      # explicit: fine on an empty folder
-                      .where(F.col("dt").isin(days) & (F.col("batch_id") != F.lit(key)))
-                      .select(header(H_ORIGINAL_TOPIC).alias("_orig"), "partition", "offset").distinct())
-            rows = rows.join(stored, on=["_orig", "partition", "offset"], how="left_anti")
+        stored = (_read_touched(spark, path, rows.select("dt"), schema)
+                  .where(F.col("batch_id") != F.lit(key))
+                  .select("dt", header(H_ORIGINAL_TOPIC).alias("_orig"), "partition", "offset").distinct())
+        rows = rows.join(stored, on=["dt", "_orig", "partition", "offset"], how="left_anti")
     (rows.drop("_orig").withColumn("batch_id", F.lit(key))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("dt", "batch_id").parquet(path))
 
 
+# Up to so many partition directories are read by their paths; a batch that touches
+# more reads the whole tree, whose rows the joins below match on the partition as well.
+READ_BY_PATH = 1000
+
+
+def _read_touched(spark: SparkSession, root: str, parts: DataFrame, schema) -> DataFrame:
+    """Stored rows of the partitions (columns of ``parts``) that a batch touches,
+    and perhaps of others."""
+    touched = parts.distinct().limit(READ_BY_PATH + 1).collect()      # bounded by the limit
+    if len(touched) > READ_BY_PATH:
+        return spark.read.schema(schema).parquet(root)                # explicit schema: fine on an empty folder
+    default = "__HIVE_DEFAULT_PARTITION__"
+    return read_partitions(spark, root, ["/".join(f"{c}={default if r[c] is None else r[c]}" for c in parts.columns)
+                                         for r in touched], schema)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -138,33 +153,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def drop_stored(events: DataFrame, events_dir: str, key: str) -> DataFrame:
     """Remove events already stored by *other* batches (re-deliveries, replays of old
     days, section 7.4).  Only the key columns of the (day, hour) partitions this
-    batch touches are read -- a live batch spans an hour or two -- because the
-    list of those partitions (bounded by the batch's time span) becomes a
-    partition filter.  The batch's own files are excluded, so re-running it
-    still replaces them instead of dropping everything."""
+    batch touches are listed and read -- a live batch spans an hour or two -- so
+    a batch costs the same however much is stored besides.  The batch's own files
+    are excluded, so re-running it still replaces them instead of dropping
+    everything."""
     spark = events.sparkSession
     if not _exists(spark, events_dir):
         return events
     from eventide.functions.columns import dt_col, hour_col
     from eventide.operators.dedup import anti_join_existing
-    from eventide.operators.joins import collect_small
     from eventide.sources.replay import STORED
     from pyspark.sql import types as T
-    touched = collect_small(events.select(dt_col("timestamp").alias("dt"), hour_col("timestamp").alias("hour"))
-                            .distinct(), 100_000)
-    if not touched:
-        return events
-    # one flat set-membership test over partition columns only (an OR chain of
-    # hundreds of terms would be deep); it is still a partition filter
-    prune = F.concat_ws(" ", F.col("dt"), F.col("hour")).isin([f"{r.dt} {r.hour}" for r in touched])
+    placed = events.withColumn("dt", dt_col("timestamp")).withColumn("hour", hour_col("timestamp"))
     schema = T.StructType(STORED.fields + [T.StructField("batch_id", T.StringType())])
-    stored = (spark.read.schema(schema).parquet(events_dir)
-              .where(prune & (F.col("batch_id") != F.lit(str(key)))))
-    return anti_join_existing(events, stored.select("wiki", "id"))
+    stored = _read_touched(spark, events_dir, placed.select("dt", "hour"), schema) \
+        .where(F.col("batch_id") != F.lit(str(key)))
+    return anti_join_existing(placed, stored, key=["dt", "hour", "wiki", "id"]).drop("dt", "hour")
 
 
 def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
-                registry: DataFrame, bootstrap_servers: str | None = None) -> None:
+                registry: DataFrame, bootstrap_servers: str | None = None,
+                max_records_per_file: int | None = None) -> None:
     """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup (within the
     batch and against stored days) -> dt/hour files.
 
@@ -178,18 +187,21 @@ def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
         _write_dlq(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
                    dlq_dir, key, bootstrap_servers)
         events = drop_stored(dedup_events(valid_rows(dec)), events_dir, key)
-        write_events(events, events_dir, batch_id=key, max_records_per_file=FLUSH_MAX_ROWS)
+        write_events(events, events_dir, batch_id=key, max_records_per_file=max_records_per_file)
     finally:
         dec.unpersist()
 
 
 def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, dlq_dir: str | None,
                 registry: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
-                bootstrap_servers: str | None = None):
-    """3.2 as a stream: offsets are committed by the checkpoint after ``store_batch`` returns."""
+                bootstrap_servers: str | None = None, max_records_per_file: int | None = None):
+    """3.2 as a stream: offsets are committed by the checkpoint after ``store_batch`` returns.
+    Files have the size that the rebalance aims at; ``max_records_per_file`` (the source
+    system: ``FLUSH_MAX_ROWS``) makes them smaller."""
     ckpt = _checkpoint(spark, "store", checkpoint)
     w = topic_stream.writeStream.foreachBatch(
-        lambda df, bid: store_batch(df, batch_key(ckpt, bid), events_dir, dlq_dir, registry, bootstrap_servers)
+        lambda df, bid: store_batch(df, batch_key(ckpt, bid), events_dir, dlq_dir, registry, bootstrap_servers,
+                                    max_records_per_file)
     ).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
@@ -238,12 +250,17 @@ def replay(spark: SparkSession, events_dir: str, date_from: str, date_to: str,
 def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str | None, files_per_trigger: int = 1,
                        interval: str = "1 second", checkpoint: str | None = None,
                        schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON, trigger: dict | None = None,
-                       bootstrap_servers: str | None = None):
-    """Replay stored events as a paced stream -- at most ``files_per_trigger``
-    files every ``interval`` -- instead of a per-row timer."""
+                       bootstrap_servers: str | None = None, date_from: str | None = None,
+                       date_to: str | None = None):
+    """Replay stored events, of the days ``[date_from, date_to]`` if given, as a
+    paced stream -- at most ``files_per_trigger`` files every ``interval`` -- instead
+    of a per-row timer."""
     from eventide.sources.replay import STORED
     from eventide.streaming.sources import read_event_files
     stored = read_event_files(spark, events_dir, STORED, max_files_per_trigger=files_per_trigger)
+    if date_from is not None or date_to is not None:
+        check_range(date_from, date_to)
+        stored = stored.where(F.col("dt").between(F.lit(date_from), F.lit(date_to)))
     ckpt = _checkpoint(spark, "replay", checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:

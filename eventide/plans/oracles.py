@@ -103,6 +103,20 @@ WITH {CE}
 SELECT id, concat(wiki, '/', title) AS event_key, {DT} AS dt, {HOUR} AS hour
 FROM ce WHERE {DT} BETWEEN '2024-01-08' AND '2024-01-14'""")
 
+_IN_RANGE = f"{DT} BETWEEN '2024-01-08' AND '2024-01-14'"
+oracle("replay_totals", f"""
+WITH {CE}
+SELECT count(*) AS events, count(*) > 0 AS has_files FROM ce WHERE {_IN_RANGE}""")
+
+oracle("replay_job", f"""
+WITH {CE}
+SELECT {CE_COLS} FROM ce WHERE {_IN_RANGE}""")
+
+oracle("publish_partitions", f"""
+WITH {CE}
+SELECT concat(wiki, '/', title) AS event_key, count(*) AS messages, CAST(1 AS BIGINT) AS partitions
+FROM ce WHERE {_IN_RANGE} GROUP BY 1""")
+
 DUPS = f"""{CE},
 d0 AS (SELECT {CE_COLS} FROM ce
        UNION ALL
@@ -451,4 +465,6 @@ FROM w WHERE s + 60000 <= (SELECT w FROM lim)""")
 
 oracle("evolve_wire_v2", f"""
 WITH {CE}
-SELECT {CE_COLS}, 0 AS minor, CAST(NULL AS BIGINT) AS page_id FROM ce WHERE {M40} > 3""")
+SELECT {CE_COLS}, CASE WHEN id % 2 = 0 THEN CAST(namespace % 2 AS INT) ELSE 0 END AS minor,
+       CASE WHEN id % 2 = 0 THEN id END AS page_id
+FROM ce WHERE {M40} > 3""")

@@ -178,6 +178,36 @@ def q_replay_range(spark, sf_dir):
     return back.select("id", C.event_key().alias("event_key"), "dt", "hour")
 
 
+def _replayed(spark, sf_dir):
+    """R5 of the range over the whole stored table: its totals, and the topic it wrote."""
+    from eventide.plans import jobs
+    topic = scratch_path(spark, "replay-topic")
+    return jobs.replay(spark, _stored(spark, sf_dir), REPLAY_FROM, REPLAY_TO, topic_dir=topic), topic
+
+
+@query("replay_totals")
+def q_replay_totals(spark, sf_dir):
+    """A5: events of the replayed range, and whether files were counted."""
+    totals, _ = _replayed(spark, sf_dir)
+    return totals.select("events", (F.col("files") > 0).alias("has_files"))
+
+
+@query("replay_job")
+def q_replay_job(spark, sf_dir):
+    """R5 end to end: stored days -> wire messages -> topic, decoded back."""
+    _, topic = _replayed(spark, sf_dir)
+    valid, _ = decode_wire(spark.read.parquet(topic).select("value"), registry_frame(spark))
+    return valid
+
+
+@query("publish_partitions")
+def q_publish_partitions(spark, sf_dir):
+    """K1: per key of the replayed topic, its messages and the partitions they are in."""
+    _, topic = _replayed(spark, sf_dir)
+    return (spark.read.parquet(topic).groupBy(F.col("key").cast("string").alias("event_key"))
+            .agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("partition").alias("partitions")))
+
+
 @query("dedup_events")
 def q_dedup_events(spark, sf_dir):
     return dedup_events(inject.with_duplicates(change_events(spark, sf_dir)))
@@ -452,7 +482,7 @@ def q_feature_asof(spark, sf_dir):
 
 @query("feature_latest")
 def q_feature_latest(spark, sf_dir):
-    stats = features.edit_stats(change_events(spark, sf_dir))
+    stats = features.edit_stats(change_events(spark, sf_dir), start=LATEST_FROM, end=LATEST_TO)
     return features.latest_per_key(stats, ["wiki"], "feature_ts", LATEST_FROM, LATEST_TO)
 
 

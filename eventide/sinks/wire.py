@@ -15,6 +15,9 @@ from eventide.functions import avro
 from eventide.functions import columns as C
 from eventide.operators.joins import spread_for_python
 
+# Partitions of a topic that is kept as a directory.
+TOPIC_PARTITIONS = 12
+
 
 def header_bytes(schema_id: int) -> bytes:
     """Magic byte 0x00 and the schema id as 4 big-endian bytes."""
@@ -48,16 +51,16 @@ def encode_wire_by(df: DataFrame, schema_id_col: str, schemas: dict, out: str =
 
 
 def to_envelope(df: DataFrame, topic: str, key: Column, value: str = "value",
-                partitions: int | None = None, partition: Column | None = None,
+                partitions: int = TOPIC_PARTITIONS, partition: Column | None = None,
                 offset: Column | None = None, timestamp: Column | None = None) -> DataFrame:
     """K1 shape: key, value, topic, partition, offset, timestamp, headers.
 
-    Same key -> same partition (``pmod(hash(key), partitions)``); a broker
-    assigns real offsets, so callers that model a topic pass them in.
+    Same key -> same partition (``pmod(hash(key), partitions)``) of a topic
+    directory; a broker partitions by the key itself.  A broker also assigns
+    real offsets, so callers that model a topic pass them in.
     """
     if partition is None:
-        partition = (F.pmod(F.hash(key), F.lit(partitions)) if partitions
-                     else F.lit(0)).cast("int")
+        partition = F.pmod(F.hash(key), F.lit(partitions)).cast("int")
     return df.select(
         key.cast("binary").alias("key"),
         F.col(value).alias("value"),

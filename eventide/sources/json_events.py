@@ -16,9 +16,6 @@ from eventide.schema import CHANGE_EVENT_COLUMNS, JSON_PAYLOAD, STRING_COLUMNS
 
 CORRUPT = "_corrupt"
 DATA_PREFIX = "data: "
-# Fixed value: the longest line the source system's line reader accepts (1 MiB).
-MAX_LINE_BYTES = 1024 * 1024
-LINE_TOO_LONG = "sse: line exceeds 1 MiB"
 PARSE_ERROR = "json unmarshal: payload is not a valid change event"
 MISSING_TS_ERROR = "parse: timestamp field is missing"
 TS_RANGE_ERROR = "parse: timestamp is out of range"
@@ -27,24 +24,13 @@ TS_MAX = 253_402_300_799
 UNKNOWN = "unknown"
 
 
-def frames_split(frames: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Frames -> (payloads, rejected frames).  A payload is the frame's ``data: ``
-    lines, prefix removed, joined with no separator; a frame with a line over
-    1 MiB is rejected whole (the source system's reader fails on it)."""
+def frames_to_payloads(frames: DataFrame, col: str = "value") -> DataFrame:
+    """Payload of each frame that has one: its ``data: `` lines, prefix removed,
+    joined with no separator.  Lines may have any length."""
     lines = F.split(F.col(col), "\r?\n")
     data = F.filter(lines, lambda l: l.startswith(DATA_PREFIX))
     payload = F.array_join(F.transform(data, lambda l: F.substring(l, len(DATA_PREFIX) + 1, 1 << 30)), "")
-    too_long = F.exists(lines, lambda l: F.octet_length(l) > MAX_LINE_BYTES)
-    tagged = frames.select(payload.alias("payload"), too_long.alias("_long"), F.col(col).alias("_frame"))
-    ok = tagged.where(~F.col("_long") & (F.length("payload") > 0)).select("payload")
-    bad = tagged.where(F.col("_long")).select(F.col("_frame").alias("payload"),
-                                              F.lit(LINE_TOO_LONG).alias("error_message"))
-    return ok, bad
-
-
-def frames_to_payloads(frames: DataFrame, col: str = "value") -> DataFrame:
-    """Payload of each acceptable frame (see ``frames_split``)."""
-    return frames_split(frames, col)[0]
+    return frames.select(payload.alias("payload")).where(F.length("payload") > 0)
 
 
 def sse_frames(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFrame:
@@ -52,12 +38,6 @@ def sse_frames(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFr
     return frames_to_payloads(spark.read.option("lineSep", line_sep).text(path))
 
 
-def sse_frames_with_rejects(spark: SparkSession, path: str,
-                            line_sep: str = "\n\n") -> tuple[DataFrame, DataFrame]:
-    """S1 with the frames that carry an over-long line as rejects."""
-    return frames_split(spark.read.option("lineSep", line_sep).text(path))
-
-
 def sse_frames_stream(spark: SparkSession, path: str, line_sep: str = "\n\n",
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """S1 over a directory that receives new capture files."""

@@ -102,13 +102,11 @@ def test_incompatible_schema_rejected(spark):
         raise AssertionError("narrowing must be rejected")
 
 
-def test_over_long_line_rejected(spark, tmp):
-    from eventide.sources.json_events import sse_frames_with_rejects
-    big = '{"id": 5, "comment": "' + "x" * (1024 * 1024) + '"}'
+def test_long_lines_are_kept(spark, tmp):
+    from eventide.sources.json_events import sse_frames
+    big = "x" * (2 << 20)
     _write(tmp, f"data: {FRAME1}\n\ndata: {big}\n\n")
-    ok, bad = sse_frames_with_rejects(spark, tmp)
-    assert ok.count() == 1
-    assert [r.error_message for r in bad.collect()] == ["sse: line exceeds 1 MiB"]
+    assert sorted(len(r.payload) for r in sse_frames(spark, tmp).collect()) == sorted([len(FRAME1), len(big)])
 
 
 def test_timestamps_out_of_range_are_rejects(spark):

@@ -109,3 +109,38 @@ def test_read_back_empty_and_100_rows(spark, tmp):
     back = read_events(spark, hundred)
     assert sorted(r.id for r in back.select("id").collect()) == list(range(1000, 1100))
     assert back.drop("dt", "hour").orderBy("id").collect() == _events(spark, range(1000, 1100)).orderBy("id").collect()
+
+
+def test_rows_without_identity_are_kept(spark):
+    from eventide.operators.dedup import dedup_events
+    one = _events(spark, [0, 0, 7])
+    df = one.unionByName(one).unionByName(one.limit(1).withColumn("id", F.lit(None).cast("long")))
+    got = sorted((r.id is None, r.id or 0) for r in dedup_events(df).collect())
+    assert got == [(False, 0)] * 4 + [(False, 7), (True, 0)]
+
+
+def test_range_reads_only_its_days(spark, tmp):
+    write_events(_events(spark, range(1, 5), ts0=1718000000), tmp)
+    write_events(_events(spark, range(5, 9), ts0=1718000000 + 3 * 86400), tmp)
+    back = read_events(spark, tmp, "2024-06-10", "2024-06-12")
+    assert sorted(r.id for r in back.collect()) == [1, 2, 3, 4]
+    assert all("dt=2024-06-10" in f for f in back.inputFiles())
+    assert read_events(spark, tmp, "2023-01-01", "2023-01-02").count() == 0
+
+
+def test_touched_partitions_beyond_the_path_limit(spark, tmp, monkeypatch):
+    from eventide.plans import jobs
+    stored = _events(spark, range(1, 5))
+    write_events(stored, tmp, batch_id="a")
+    new = _events(spark, range(3, 8))
+    for limit in (1000, 0):
+        monkeypatch.setattr(jobs, "READ_BY_PATH", limit)
+        assert sorted(r.id for r in jobs.drop_stored(new, tmp, "b").collect()) == [5, 6, 7]
+        assert sorted(r.id for r in jobs.drop_stored(new, tmp, "a").collect()) == [3, 4, 5, 6, 7]
+
+
+def test_same_key_same_partition(spark):
+    from eventide.sinks.wire import to_envelope
+    df = spark.range(1000).select((F.col("id") % 50).cast("string").alias("k"), F.lit(b"v").alias("value"))
+    rows = to_envelope(df, "t", F.col("k")).groupBy("key").agg(F.collect_set("partition").alias("p")).collect()
+    assert all(len(r.p) == 1 for r in rows) and len({r.p[0] for r in rows}) > 1
