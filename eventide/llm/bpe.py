@@ -30,6 +30,25 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Recent:
+    """What was computed last, in two generations: a full one becomes the
+    older one, and what is asked for again moves to the younger."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Vocabulary:
     """Token bytes by id, id by token bytes, and the rank of each merge."""
 
@@ -41,10 +60,12 @@ class Vocabulary:
         self.id_of = {raw(s): i for s, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.rank = {}
+        self.rank, self.merged = {}, []           # of a pair of ids; the id that the merge of a rank makes
         for n, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank[raw(a), raw(b)] = n
+            a, b = map(raw, pair if isinstance(pair, list) else pair.split(" "))
+            self.rank[self.id_of[a], self.id_of[b]] = n
+            self.merged.append(self.id_of[a + b])
+        self.id_of_byte = [self.id_of[bytes([b])] for b in range(256)]
         self.longest = max(map(len, self.id_of))
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -62,27 +83,25 @@ class Vocabulary:
     def merge(self, word: bytes) -> list[int]:
         """Exact BPE of one pre-token: the lowest-ranked adjacent pair merges
         first, leftmost on ties."""
-        if (whole := self.id_of.get(word)) is not None and len(word) == 1:
-            return [whole]
         if len(word) > 48:
             return self._merge_long(word)
-        parts, rank = [word[i:i + 1] for i in range(len(word))], self.rank
-        while len(parts) > 1:
-            best, at = NONE, -1
-            for i in range(len(parts) - 1):
-                r = rank.get((parts[i], parts[i + 1]), NONE)
-                if r < best:
-                    best, at = r, i
-            if at < 0:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.id_of[p] for p in parts]
+        ids, rank = [self.id_of_byte[b] for b in word], self.rank.get
+        ranks = [rank(pair, NONE) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NONE:
+            at = ranks.index(best)
+            ids[at:at + 2] = [self.merged[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((ids[at - 1], ids[at]), NONE)
+            if at < len(ranks):
+                ranks[at] = rank((ids[at], ids[at + 1]), NONE)
+        return ids
 
     def _merge_long(self, word: bytes) -> list[int]:
         """The same by a heap over linked parts, for pre-tokens of any length."""
-        parts: list[bytes | None] = [word[i:i + 1] for i in range(len(word))]
+        parts: list[int | None] = [self.id_of_byte[b] for b in word]
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap: list[tuple[int, int, bytes, bytes]] = []
+        heap: list[tuple[int, int, int, int]] = []
 
         def offer(i: int) -> None:
             if i >= 0 and (j := after[i]) < len(parts):
@@ -93,17 +112,17 @@ class Vocabulary:
         for i in range(len(parts) - 1):
             offer(i)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
             if parts[i] != a or j >= len(parts) or parts[j] != b:
                 continue
-            parts[i], parts[j] = a + b, None
+            parts[i], parts[j] = self.merged[r], None
             after[i] = after[j]
             if after[j] < len(parts):
                 before[after[j]] = i
             offer(before[i])
             offer(i)
-        return [self.id_of[p] for p in parts if p is not None]
+        return [p for p in parts if p is not None]
 
 
 @lru_cache(maxsize=2)

@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.bpe import Vocabulary, default_path, vocabulary
+from eventide.llm.bpe import Recent, Vocabulary, default_path, vocabulary
 from eventide.llm.common import map_batches
 
-CACHED_PIECES = 200_000
+CACHED = 200_000              # entries of one generation of what is remembered
+HEAD = 6                      # bytes of a word whose counts all words that begin alike share
 CONTRACTED = ("'re", "'ve", "'ll")
 SPACES = re.compile(r"\s\s+")
 
@@ -78,11 +79,11 @@ class PrefixCounter:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.pieces: dict[str, tuple[int, tuple[int, ...]]] = {}
+        self.pieces, self.words, self.heads = Recent(CACHED), Recent(CACHED), Recent(CACHED)
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def compatible(self, a: int, b: int) -> bool:
-        if len(self.pairs) >= 4 * CACHED_PIECES:
+        if len(self.pairs) >= 4 * CACHED:
             self.pairs.clear()
         known = self.pairs[a, b] = self.vocab.merge(self.vocab.bytes_of[a] + self.vocab.bytes_of[b]) == [a, b]
         return known
@@ -91,8 +92,13 @@ class PrefixCounter:
         """Token count of each byte prefix of a pre-token, the empty one first."""
         id_of, longest, pairs = self.vocab.id_of.get, self.vocab.longest, self.pairs.get
         counts, last = [0], [-1]
-        for end in range(1, len(word) + 1):
-            for start in range(end - 1, max(0, end - longest) - 1, -1):
+        if long := len(word) > HEAD:
+            if (head := self.heads.get(word[:HEAD])) is not None:
+                counts, last = head[0].copy(), head[1].copy()
+        for end in range(len(counts), len(word) + 1):
+            if long and end == HEAD + 1 and head is None:
+                self.heads.put(word[:HEAD], (counts.copy(), last.copy()))
+            for start in range(end - 1, -1 if end <= longest else end - longest - 1, -1):
                 token = id_of(word[start:end])
                 if token is None:
                     continue
@@ -105,33 +111,49 @@ class PrefixCounter:
                 break
         return counts
 
+    def word_entry(self, word: str) -> tuple[int, ...]:
+        """Tokens of each non-empty character prefix of a pre-token."""
+        if (known := self.words.get(word)) is not None:
+            return known
+        counts = self.word_counts(raw := word.encode())
+        if len(raw) != len(word):
+            counts = [counts[i] for i in accumulate((len(c.encode()) for c in word), initial=0)]
+        if word in CONTRACTED:      # cut short, the quote and the letter are two pre-tokens
+            counts[2] = 2
+        own = tuple(counts[1:])
+        if len(word) <= 64:
+            self.words.put(word, own)
+        return own
+
     def piece_counts(self, piece: str) -> tuple[int, tuple[int, ...]]:
         """Tokens of the piece, and of each of its non-empty character prefixes."""
+        if (known := self.pieces.get(piece)) is not None:
+            return known
+        words = self.vocab.words.findall(piece)
+        if len(words) == 1 and len(piece) > 1 and not piece.isspace():
+            own = self.words.young.get(piece) or self.word_entry(piece)
+            entry = own[-1], own
+        else:
+            entry = self.joined(piece, words)
+        if len(piece) <= 64:
+            self.pieces.put(piece, entry)
+        return entry
+
+    def joined(self, piece: str, words: list[str]) -> tuple[int, tuple[int, ...]]:
         before, out = 0, []
-        for word in self.vocab.words.findall(piece):
-            counts = self.word_counts(raw := word.encode())
-            total = counts[-1]
-            if len(raw) != len(word):
-                counts = [counts[i] for i in accumulate((len(c.encode()) for c in word), initial=0)]
-            if word in CONTRACTED:      # cut short, the quote and the letter are two pre-tokens
-                counts[2] = 2
-            out += [before + c for c in counts[1:]] if before else counts[1:]
-            before += total
+        for word in words:
+            own = self.words.young.get(word) or self.word_entry(word)
+            out += [before + c for c in own] if before else own
+            before += own[-1]
         # White space at the end of a prefix is one pre-token as long as nothing visible follows.
         for run in SPACES.finditer(piece):
             held = out[run.start() - 1] if run.start() else 0
-            for i in range(run.start() + 1, run.end()):
-                out[i] = held + len(self.vocab.merge(piece[run.start():i + 1].encode()))
-        entry = before, tuple(out)
-        if len(piece) <= 64:
-            if len(self.pieces) >= CACHED_PIECES:
-                self.pieces.clear()
-            self.pieces[piece] = entry
-        return entry
+            out[run.start() + 1:run.end()] = [held + c for c in self.word_entry(run.group())[1:]]
+        return before, tuple(out)
 
     def table(self, text: str) -> PrefixTable:
         """The counts of all prefixes of ``text``."""
-        pieces, entries, cached = [], [], self.pieces.get
+        pieces, entries, cached = [], [], self.pieces.young.get
         for n, segment in enumerate(self.vocab.segments(text)):
             if n % 2:     # a special string: ordinary text, after what stands before it, until its last character
                 tail = pieces[-1] if pieces and pieces[-1] not in self.vocab.special else ""
