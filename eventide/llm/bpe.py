@@ -85,12 +85,12 @@ class Vocabulary:
         first, leftmost on ties."""
         if len(word) > 48:
             return self._merge_long(word)
-        ids, rank = [self.id_of_byte[b] for b in word], self.rank.get
+        ids, rank, merged = [self.id_of_byte[b] for b in word], self.rank.get, self.merged
         ranks = [rank(pair, NONE) for pair in zip(ids, ids[1:])]
         while ranks and (best := min(ranks)) != NONE:
             at = ranks.index(best)
-            ids[at:at + 2] = [self.merged[best]]
-            del ranks[at]
+            ids[at] = merged[best]
+            del ids[at + 1], ranks[at]
             if at:
                 ranks[at - 1] = rank((ids[at - 1], ids[at]), NONE)
             if at < len(ranks):

@@ -23,13 +23,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.bpe import Vocabulary, default_path, vocabulary
+from eventide.llm.bpe import Recent, Vocabulary, default_path, vocabulary
 from eventide.llm.common import map_batches, materialize
 from eventide.session import ensure_checkpoint_dir
 
 LEXICON_WORDS = 50_000        # proven bound of the lexicon: at most so many words ...
 LEXICON_WORD_BYTES = 24       # ... of so many bytes
-CACHED_PIECES = 200_000
+CACHED = 150_000              # pieces, or words, of one generation of what is remembered
 MAGIC = 0x4C455831
 
 
@@ -149,10 +149,14 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
         self.vocab, self.lexicon = vocab, lexicon
         self.known: dict[str, Run] = {}
+        self.before: dict[str, Run] = {}          # the generation before
+        self.words = Recent(2 * CACHED)
+        self.raw = [vocab.bytes_of.get(i, b"") for i in range(max(vocab.bytes_of) + 1)]
+        self.decimal = [str(i) for i in range(len(self.raw))]
         self.special = {s: self.run_of((i,)) for s, i in vocab.special.items()}
 
     def run_of(self, ids: tuple[int, ...]) -> Run:
-        return ids, ",".join(map(str, ids)), b"".join(self.vocab.bytes_of[i] for i in ids)
+        return ids, ",".join([self.decimal[i] for i in ids]), b"".join([self.raw[i] for i in ids])
 
     def learn(self, pieces: list[str]) -> None:
         """Look the pieces up in the lexicon; merge those it lacks."""
@@ -161,17 +165,29 @@ class Encoder:
             self.known[piece] = self.run_of(tuple(self.lexicon.token_ids(rank)) if rank >= 0 else self.merged(piece))
 
     def merged(self, piece: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.vocab.merge(w.encode()) for w in self.vocab.words.findall(piece)))
+        ids: list[int] = []
+        for word in self.vocab.words.findall(piece):
+            if (own := self.words.get(word)) is None:
+                own = self.vocab.merge(word.encode())
+                if len(word) <= 64:
+                    self.words.put(word, own)
+            ids += own
+        return tuple(ids)
 
     def encode_batch(self, texts: list[str]) -> list[list[Run]]:
         """Each text as runs of token ids, one run per piece."""
         cut = [[(n % 2, [seg] if n % 2 else self.vocab.pieces(seg)) for n, seg in enumerate(self.vocab.segments(t))]
                for t in texts]
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        fresh = {p for text in cut for special, ps in text if not special for p in ps} - self.known.keys()
+        if len(self.known) > CACHED:
+            self.before, self.known = self.known, {}
+        fresh = []
+        for piece in {p for text in cut for special, ps in text if not special for p in ps} - self.known.keys():
+            if (run := self.before.get(piece)) is None:
+                fresh.append(piece)
+            else:
+                self.known[piece] = run
         if fresh:
-            self.learn(list(fresh))
+            self.learn(fresh)
         of = self.known, self.special
         return [[of[is_special][p] for is_special, ps in text for p in ps] for text in cut]
 
