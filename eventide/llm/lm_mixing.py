@@ -2,9 +2,12 @@
 
 Text is coded bit by bit: each byte takes a path in a prefix tree over bytes
 (frequent bytes have short ones), and an end symbol closes the text.  For
-every bit, one predictor per context order looks up its hashed context: the
-last bytes of the current word and the place in the tree.  What the tables
-hold is counted over all training documents.  The predictions are mixed in the
+every bit, one predictor per context order looks up its context: the last
+bytes of the current word and the place in the tree.  What follows each
+context is counted exactly over all training documents, in a table that grows
+with them.  The most frequent contexts are broadcast, as many as fit a fixed
+table; all others are joined to the texts that have them, so that where a
+context is kept never changes a score.  The predictions are mixed in the
 logistic domain by weights that the longest known context gates; an adaptive
 table then refines the mixed probability.  Weights and refinement start alike
 for each document and learn from what it has shown so far, so the score is a
@@ -24,17 +27,18 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.common import in_fold, map_batches, materialize
 
 ORDERS = (1, 2, 3, 5)
-TABLE_BITS = 20               # slots of each order's table: fixed, so the model that is broadcast has a proven size
-RANGE_BITS = 16               # slots that are summed in one row
+TABLE_BITS = 20               # slots an order of the table that is broadcast; contexts beyond it are joined
+LOAD = 0.6                    # part of its slots that is filled at most
+EMPTY = np.uint64(2 ** 64 - 1)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+REMEMBERED = 3_000_000        # bits of units whose predictions a worker remembers
 FREQUENT_WORDS = 100_000      # words whose counts are broadcast; all others are joined
 FLUSH_UNITS = 300_000
 FOLDS, HELD_OUT = 7, 2
@@ -78,34 +82,54 @@ def prefix_code(counts: list[int]) -> Code:
     lengths = np.array([len(p) for p in paths])
     flat = [x for p in paths for x in reversed(p)]
     return Code(np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths,
-                np.array([n for n, _ in flat], np.uint32) * np.uint32(0x9E3779B1), np.array([b for _, b in flat], np.int8))
+                np.array([n - len(counts) for n, _ in flat], np.uint8), np.array([b for _, b in flat], np.int8))
 
 
-def bit_slots(units: list[bytes], code: Code) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(slot of each order, bit, bits of each unit) for the bits of all units."""
+def grams_of(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of each byte, bytes of each unit): the byte itself below the
+    bytes before it in its unit, the nearest one lowest, zero where none is."""
     sizes = np.fromiter(map(len, units), np.int64, len(units))
     raw = np.frombuffer(b"".join(units), np.uint8)
-    ends = np.cumsum(sizes)
-    place = np.arange(len(raw), dtype=np.int32) - np.repeat((ends - sizes).astype(np.int32), sizes)
-    lengths = code.lengths[raw]
-    through = np.cumsum(lengths)
-    at = np.arange(through[-1] if len(raw) else 0) + np.repeat(code.starts[raw] - (through - lengths), lengths)
-    nodes, bits = code.nodes[at], code.bits[at]
-    slots, packed = [], np.zeros(len(raw), np.uint64)
+    place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    grams = raw.astype(np.uint64)
     for back in range(1, max(ORDERS) + 1):
         before = np.zeros(len(raw), np.uint64)
         before[back:] = raw[:-back]
         before[place < back] = 0
-        packed |= before << np.uint64(8 * (back - 1))
-        if back in ORDERS:
-            mixed = (packed * np.uint64(0x9E3779B97F4A7C15) + np.uint64(back)) >> np.uint64(29)
-            own = np.repeat(mixed.astype(np.uint32), lengths)
-            own ^= nodes
-            own *= np.uint32(0x85EBCA6B)
-            own >>= np.uint32(32 - TABLE_BITS)
-            slots.append(own)
-    bits_of = np.add.reduceat(lengths, ends - sizes) if len(units) else np.zeros(0, np.int64)
-    return slots, bits, bits_of
+        grams |= before << np.uint64(8 * back)
+    return grams, sizes
+
+
+def context_keys(grams: np.ndarray, k: int) -> np.ndarray:
+    """The contexts of the grams for the ``k``-th order, exactly: 40 bits under the order."""
+    return (grams >> np.uint64(8)) & np.uint64((1 << 8 * ORDERS[k]) - 1) | np.uint64(k << 8 * max(ORDERS))
+
+
+def bits_along(symbols: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, bit, bits of each symbol) on the paths of the symbols."""
+    lengths = code.lengths[symbols]
+    through = np.cumsum(lengths)
+    at = np.arange(through[-1] if len(symbols) else 0) + np.repeat(code.starts[symbols] - (through - lengths), lengths)
+    return code.nodes[at], code.bits[at], lengths
+
+
+def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], *(np.add.reduceat(c[order], first) if len(keys) else c for c in counts)
+
+
+def predictions(contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """(key, value) of each context and tree node, from rows (context, symbol
+    that follows, count): the stretched probability of a one as multiples of
+    1 / UNIT.  Keys are in order."""
+    nodes, bits, lengths = bits_along(symbols, code)
+    n = np.repeat(counts.astype(np.int64), lengths)
+    keys = np.repeat(contexts.astype(np.uint64) << np.uint64(8), lengths) | nodes
+    keys, n0, n1 = summed(keys, np.where(bits == 0, n, 0), np.where(bits == 1, n, 0))
+    return keys, np.rint(UNIT * np.log((n1 + 0.2) / (n0 + 0.2))).astype(np.int16)
 
 
 def cut(text: bytes) -> list[bytes]:
@@ -133,127 +157,145 @@ def byte_counts(docs: DataFrame, text_col: str) -> list[int]:
     return [of.get(s, 0) for s in range(256)]
 
 
-def _packed(own: np.ndarray) -> bytes:
-    """Non-empty slots and their counts, compressed."""
-    at = np.flatnonzero(own.any(axis=1))
-    return zstandard.ZstdCompressor(level=1).compress(
-        np.concatenate([at.astype(np.uint32), own[at].astype(np.uint32).ravel()]).tobytes())
-
-
-def _add_packed(total: np.ndarray, blob: bytes) -> None:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint32)
-    n = len(data) // 3
-    total[data[:n]] += data[n:].reshape(-1, 2)
-
-
-def gather(train: DataFrame, code: Code, text_col: str) -> DataFrame:
+def gather(train: DataFrame, text_col: str) -> DataFrame:
     """One pass over the training texts, written: rows (word, n) with word
-    counts, and rows (order, span, task, blob) with the counts of the zeros
-    and ones of each table slot, as far as a task has met them."""
+    counts, and rows (gram, n) with counts of bytes after their contexts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()          # many small objects and no cycles
         units: Counter = Counter()
-        tables = [np.zeros((1 << TABLE_BITS, 2), np.uint32) for _ in ORDERS]
-
-        def rows(word=(), n=(), order=(), span=(), blob=()):
-            size, none = len(word) or len(order), lambda t: pa.nulls(len(word) or len(order), t)
-            return pa.RecordBatch.from_arrays([
-                pa.array(word, pa.string()) if len(word) else none(pa.string()),
-                pa.array(n, pa.int64()) if len(word) else none(pa.int64()),
-                pa.array(order, pa.int32()) if len(order) else none(pa.int32()),
-                pa.array(span, pa.int32()) if len(order) else none(pa.int32()),
-                pa.array(blob, pa.binary()) if len(order) else none(pa.binary())],
-                names=["word", "n", "ord", "span", "blob"]) if size else None
-
-        def learn() -> pa.RecordBatch | None:
-            names = list(units)
+
+        def learn() -> Iterator[pa.RecordBatch]:
+            names, found = list(units), []
             for i in range(0, len(names), 50_000):
                 part = names[i:i + 50_000]
-                slots, bits, bits_of = bit_slots(part, code)
-                weight = np.repeat(np.fromiter(map(units.__getitem__, part), np.float64, len(part)), bits_of)
-                for table, slot in zip(tables, slots):
-                    both = np.bincount(slot.astype(np.int64) * 2 + bits, weight, 2 << TABLE_BITS)
-                    table += both.astype(np.uint32).reshape(-1, 2)
+                grams, sizes = grams_of(part)
+                found.append(summed(grams, np.repeat(np.fromiter(map(units.__getitem__, part), np.int64, len(part)), sizes)))
             words: dict[bytes, int] = {}       # no word crosses a space, so units hold whole words
             for unit, n in units.items():
                 for word in unit.rstrip(MARK).lower().split():
                     words[word] = words.get(word, 0) + n
             units.clear()
-            return rows([w.decode() for w in words], list(words.values()))
+            if found:
+                grams, n = summed(*map(np.concatenate, zip(*found)))
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)],
+                                                 names=["word", "gram", "n"])
+            if words:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([w.decode() for w in words], pa.string()), pa.nulls(len(words), pa.int64()),
+                    pa.array(list(words.values()), pa.int64())], names=["word", "gram", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 units.update(cut(text.encode()))
-                if len(units) > FLUSH_UNITS and (done := learn()):
-                    yield done
-        if done := learn():
-            yield done
-        width = 1 << RANGE_BITS
-        for o, table in enumerate(tables):
-            spans = [s for s in range(len(table) // width) if table[s * width:(s + 1) * width].any()]
-            if spans:
-                yield rows(order=[o] * len(spans), span=spans, blob=[_packed(table[s * width:(s + 1) * width]) for s in spans])
+                if len(units) > FLUSH_UNITS:
+                    yield from learn()
+        yield from learn()
 
     texts = train.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return materialize(texts.mapInArrow(run, "word string, n long, ord int, span int, blob binary")
-                            .withColumn("task", F.spark_partition_id()), "lm-gathered")
-
-
-def tables(gathered: DataFrame) -> np.ndarray:
-    """(orders, slots) stretched probabilities of a one, as multiples of
-    1 / UNIT; UNSEEN where no training text has been.  Summed in two rounds,
-    so that no group grows with the number of tasks; the result has a fixed
-    size."""
-    width = 1 << RANGE_BITS
-
-    def add(key, group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((width, 2), np.uint32)
-        for blob in group["blob"]:
-            _add_packed(total, blob)
-        return pd.DataFrame({"ord": [key[0]], "span": [key[1]], "blob": [_packed(total)]})
-
-    def finish(key, group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((width, 2), np.uint32)
-        for blob in group["blob"]:
-            _add_packed(total, blob)
-        n0, n1 = total[:, 0].astype(np.float64), total[:, 1].astype(np.float64)
-        value = np.where(n0 + n1 > 0, np.rint(UNIT * np.log((n1 + 0.2) / (n0 + 0.2))), UNSEEN)
-        return pd.DataFrame({"ord": [key[0]], "span": [key[1]], "blob": [value.astype(np.int16).tobytes()]})
-
-    blobs = gathered.where("blob is not null")
-    tasks = blobs.agg(F.countDistinct("task")).first()[0]
-    schema = "ord int, span int, blob binary"
-    fan = max(1, math.ceil(math.sqrt(tasks)))
-    summed = blobs.withColumn("fan", F.pmod("task", F.lit(fan))).groupBy("ord", "span", "fan").applyInPandas(add, schema)
-    out = np.full((len(ORDERS), 1 << TABLE_BITS), UNSEEN, np.int16)
-    for r in summed.groupBy("ord", "span").applyInPandas(finish, schema).collect():      # 2 bytes a slot
-        out[r["ord"], r["span"] * width:(r["span"] + 1) * width] = np.frombuffer(r["blob"], np.int16)
-    return out
+    return materialize(texts.mapInArrow(run, "word string, gram long, n long"), "lm-gathered")
+
+
+def contexts_of(gathered: DataFrame, code: Code) -> DataFrame:
+    """One row per context that a training text has, of all orders, written:
+    its key, how often it was met as ``rank`` (eight steps each time it
+    doubles), at most how many tree nodes it has, and what follows: symbols
+    and their counts.  Counts are exact longs; the table grows with the texts."""
+    grams = materialize(gathered.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams")
+    rows = None
+    for k, order in enumerate(ORDERS):
+        own = grams.select(F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
+                            .bitwiseOR(F.lit(k << 8 * (max(ORDERS) + 1))).alias("gram"), "n")
+        if order < max(ORDERS):
+            own = own.groupBy("gram").agg(F.sum("n").alias("n"))
+        rows = own if rows is None else rows.unionByName(own)
+    symbol = F.col("gram").bitwiseAND(F.lit(255)).cast("int")
+    length = F.element_at(F.lit(code.lengths.tolist()), symbol + 1)
+    out = (rows.groupBy(F.shiftright("gram", 8).alias("key"))
+               .agg(F.floor(F.log2(F.sum("n")) * 8).cast("int").alias("rank"), F.sum(length).alias("nodes"),
+                    F.collect_list(F.struct(symbol.alias("symbol"), "n")).alias("next")))
+    return materialize(out.withColumn("nodes", F.least("nodes", F.lit(255))), "lm-contexts")
+
+
+def flat(keys: pa.Array, following: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows (context, symbol, count) of contexts and their lists."""
+    many = np.diff(following.offsets.to_numpy())
+    items = following.flatten()
+    return (np.repeat(keys.to_numpy(zero_copy_only=False).view(np.uint64), many),
+            items.field("symbol").to_numpy(zero_copy_only=False), items.field("n").to_numpy(zero_copy_only=False))
+
+
+def hashed(keys: np.ndarray, values: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """(table, its exact keys): each entry lies in the first free slot from its own on."""
+    spread = keys * SPREAD
+    order = np.argsort(spread)
+    own = (spread[order] >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+    at = np.maximum.accumulate(own - np.arange(len(own))) + np.arange(len(own))
+    size = max(slots, int(at[-1]) + 1 if len(at) else 0) + 1
+    table, held = np.full(size, UNSEEN, np.int16), np.full(size, EMPTY, np.uint64)
+    table[at], held[at] = values[order], keys[order]
+    return table, held
 
 
 class Mixer:
-    """Scores texts with the gathered tables; texts of a batch step together."""
+    """Scores texts with the gathered counts; texts of a batch step together.
+
+    ``table`` and ``keys`` hold the frequent contexts (``hashed``); without
+    keys none is known.  ``others`` are the predictions of the other contexts
+    of the texts that are scored next."""
 
-    def __init__(self, code: Code, table: np.ndarray, top: dict[bytes, int]):
-        self.code, self.table = code, table
+    def __init__(self, code: Code, table: np.ndarray, top: dict[bytes, int], keys: np.ndarray | None = None):
+        self.code, self.table, self.keys = code, table, keys
+        self.others = (np.zeros(0, np.uint64), np.zeros(0, np.int16))
+        self.forget()
         self.logs = {w: math.log10(n + 1) for w, n in top.items()}
         # Most weight on the longest order that a gate stands for, to begin with.
         self.start = np.array([[0.75, 0.12, 0.12, 0.12], [0.12, 0.3, 0.65, 0.12], [0.12, 0.12, 0.25, 0.75]], np.float32)
         middle = (np.arange(BUCKETS) - BUCKETS / 2 + 0.5) / 2.0
         self.identity = (1 / (1 + np.exp(-middle))).astype(np.float32)
 
-    def inputs(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(stretched predictions, gate, bit, first bit of each unit) with one
-        empty row at the end."""
-        slots, bits, bits_of = bit_slots(units, self.code)
-        x = np.zeros((len(bits) + 1, len(ORDERS)), np.float32)
-        gate = np.zeros(len(bits) + 1, np.int8)
-        for k, slot in enumerate(slots):
-            value = self.table[k][slot]
+    def forget(self) -> None:
+        """Empty what is remembered of units: one empty row is left."""
+        self.units: dict[bytes, tuple[int, int]] = {}
+        self.x = np.zeros((1, len(ORDERS)), np.float32)
+        self.gate, self.bits = np.zeros(1, np.int8), np.full(1, -1, np.int8)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The values of the keys; UNSEEN where no training text has been."""
+        out = np.full(len(keys), UNSEEN, np.int16)
+        if self.keys is not None:
+            slots = 1 << (len(self.keys) - 1).bit_length() - 1
+            at = ((keys * SPREAD) >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+            left = np.arange(len(keys))
+            while len(left):
+                held = self.keys[at]
+                hit = held == keys[left]
+                out[left[hit]] = self.table[at[hit]]
+                more = ~hit & (held != EMPTY)
+                left, at = left[more], at[more] + 1
+        names, values = self.others
+        if len(names):
+            left = np.flatnonzero(out == UNSEEN)
+            at = np.minimum(np.searchsorted(names, keys[left]), len(names) - 1)
+            hit = names[at] == keys[left]
+            out[left[hit]] = values[at[hit]]
+        return out
+
+    def remember(self, units: list[bytes]) -> None:
+        """Work out stretched predictions, gate and bit of each bit of new units."""
+        grams, sizes = grams_of(units)
+        nodes, bits, lengths = bits_along((grams & np.uint64(255)).astype(np.uint8), self.code)
+        x = np.zeros((len(bits), len(ORDERS)), np.float32)
+        gate = np.zeros(len(bits), np.int8)
+        for k in range(len(ORDERS)):
+            value = self.find(np.repeat(context_keys(grams, k) << np.uint64(8), lengths) | nodes)
             known = value != UNSEEN
-            x[:-1, k] = value * (known * np.float32(1 / UNIT))
-            gate[:-1][known] = GATE_OF[k]
-        return x, gate, np.append(bits, np.int8(-1)), np.concatenate([[0], np.cumsum(bits_of)])
+            x[:, k] = value * (known * np.float32(1 / UNIT))
+            gate[known] = GATE_OF[k]
+        many = np.add.reduceat(lengths, np.cumsum(sizes) - sizes)
+        first = len(self.bits) + np.cumsum(many) - many
+        self.units.update(zip(units, zip(first.tolist(), many.tolist())))
+        self.x, self.gate = np.concatenate([self.x, x]), np.concatenate([self.gate, gate])
+        self.bits = np.concatenate([self.bits, bits])
 
     def words_of(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, list[str]]]:
         """Of each unit: its words, the frequent ones, the sum of their
@@ -308,9 +350,14 @@ class Mixer:
     def _segments(self, segments: list[list[bytes]], state: dict, total: np.ndarray) -> tuple[list, list]:
         """Run the texts' next segments; their distinct units, and each text's units as places in that list."""
         names = dict.fromkeys(chain.from_iterable(segments))
-        x, gate, bits, first = self.inputs(list(names))
+        if len(self.bits) > REMEMBERED:
+            self.forget()
+        if new := [u for u in names if u not in self.units]:
+            self.remember(new)
+        x, gate, bits = self.x, self.gate, self.bits
         number = dict(zip(names, range(len(names)))).__getitem__
-        many, first, paths, places = np.diff(first).astype(np.int32), first.astype(np.int32), [], []
+        first, many = np.array([self.units[u] for u in names], np.int32).reshape(-1, 2).T
+        paths, places = [], []
         for own in segments:
             ids = np.fromiter(map(number, own), np.int32, len(own))
             places.append(ids)
@@ -322,7 +369,7 @@ class Mixer:
         rank = np.argsort([-len(p) for p in paths], kind="stable")
         for s in range(0, max((len(p) for p in paths), default=0), STEP):
             rank = rank[[len(paths[d]) > s for d in rank]]
-            idx = np.full((len(rank), STEP), len(bits) - 1, np.int32)
+            idx = np.zeros((len(rank), STEP), np.int32)
             for r, d in enumerate(rank):
                 part = paths[d][s:s + STEP]
                 idx[r, :len(part)] = part
@@ -359,6 +406,24 @@ class Mixer:
         state["ones"][rank] = ones + np.bincount(flat, one.ravel(), n * BUCKETS).reshape(-1, BUCKETS)
 
 
+def asked(rows: DataFrame, sent_keys) -> DataFrame:
+    """(row, key): the contexts of each text that are not among the broadcast ones."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known = sent_keys.value
+        numbers, keys = [], []
+        for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            grams = np.unique(grams_of(list(set(cut(text.encode()))))[0])
+            own = np.unique(np.concatenate([context_keys(grams, k) for k in range(len(ORDERS))]))
+            if len(known):
+                own = own[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] != own]
+            numbers.append(np.full(len(own), number, np.int64))
+            keys.append(own.view(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(numbers)), pa.array(np.concatenate(keys))],
+                                          names=["row", "key"])
+
+    return map_batches(rows.select("row", "text"), run, "row long, key long")
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score (both log10) and bits_per_byte.
@@ -375,7 +440,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts = byte_counts(train, "text")
     code = prefix_code(counts)
     n_train = counts[END]
-    gathered = gather(train, code, "text")
+    gathered = gather(train, "text")
     words = materialize(gathered.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     n_words, n_distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = n_words + n_train, n_distinct + (n_train > 0)
@@ -390,7 +455,34 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         least = r["c"]
     frequent = words.where(F.col("c") >= least).collect() if least is not None else []
     top = {r["word"].encode(): r["c"] for r in frequent}
-    sent = spark.sparkContext.broadcast((code, tables(gathered), top))     # fixed size, and a fixed number of words
+    # The frequent contexts in the same way, by rank, as many as the table holds.
+    contexts = contexts_of(gathered, code)
+    room, slots = int(LOAD * (len(ORDERS) << TABLE_BITS)), len(ORDERS) << TABLE_BITS
+    least_rank, all_sent = None, True
+    for r in contexts.groupBy("rank").agg(F.sum("nodes").alias("n")).orderBy(F.desc("rank")).collect():
+        room -= r["n"]
+        if room < 0:
+            all_sent = False
+            break
+        least_rank = r["rank"]
+    few = (contexts.where(F.col("rank") >= least_rank) if least_rank is not None else contexts.limit(0)) \
+        .select("key", "next").toArrow().combine_chunks()
+    if few.num_rows:
+        sent_keys = np.sort(few.column(0).chunk(0).to_numpy().view(np.uint64))
+        table = hashed(*predictions(*flat(few.column(0).chunk(0), few.column(1).chunk(0)), code), slots)
+    else:
+        sent_keys, table = np.zeros(0, np.uint64), (np.zeros(1, np.int16), None)
+    sent = spark.sparkContext.broadcast((code, table[0], top, table[1]))     # fixed size, and a fixed number of words
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if all_sent:
+        rows = rows.withColumn("others", F.lit(None).cast("array<struct<key:bigint,next:array<struct<symbol:int,n:bigint>>>>"))
+    else:
+        # The row numbers are written with the rows, so they stay what they are.
+        rows = materialize(rows, "lm-rows")
+        rest = contexts.where(F.col("rank") < least_rank) if least_rank is not None else contexts
+        needed = (asked(rows, spark.sparkContext.broadcast(sent_keys)).join(rest.select("key", "next").hint("merge"), "key")
+                  .groupBy("row").agg(F.collect_list(F.struct("key", "next")).alias("others")))
+        rows = rows.join(needed.hint("merge"), "row", "left").select(*rows.columns, "others")
     mixers: dict[int, Mixer] = {}
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
@@ -399,6 +491,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             gc.disable()      # many small lists and no cycles
             mixers[0] = Mixer(*sent.value)
         raw = [t.encode() for t in batch.column(1).to_pylist()]
+        others = batch.column(4).flatten()
+        if len(others):
+            _, once = np.unique(others.field("key").to_numpy(zero_copy_only=False), return_index=True)
+            others = others.take(pa.array(once))
+            mixers[0].others = predictions(*flat(others.field("key"), others.field("next")), mixers[0].code)
+        else:
+            mixers[0].others = (np.zeros(0, np.uint64), np.zeros(0, np.int16))
         found: list = []
         group: list[bytes] = []
         size = 0
@@ -415,13 +514,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             [batch.column(0), batch.column(2), pa.array(list(map(len, raw)), pa.int64()),
              pa.array([n + 1 for n in n_words], pa.int64()), pa.array([n + (n_train > 0) for n in known], pa.int64()),
              pa.array([b + ends for b in base], pa.float64()), pa.array(log_p, pa.float64()),
-             pa.array(rare, pa.list_(pa.string()))],
-            names=["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "log_p", "rare"])
+             pa.array(rare, pa.list_(pa.string())), batch.column(3)],
+            names=["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "log_p", "rare", "row"])
 
     first = map_batches(rows, run, f"doc_id {id_type}, held_out boolean, n_bytes long, n_tokens long, known long, "
-                                   "base double, log_p double, rare array<string>")
-    # The row numbers are written with the rows, so they stay what they are.
-    first = materialize(first.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+                                   "base double, log_p double, rare array<string>, row long")
+    first = materialize(first, "lm-scored")      # the row numbers with the rows, so they stay what they are
     rare = first.select("row", F.explode("rare").alias("word"))
     more = (rare.join(words, "word").groupBy("row")
                 .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("more_base")))

@@ -315,6 +315,30 @@ def test_context_mixing_is_a_distribution_and_learns():
     assert [b[0] for b in both] == pytest.approx([mixer.score([t])[0][0] for t in (b"zq zq", b"", b"x" * 5000)], abs=1e-3)
 
 
+def test_context_mixing_counts_every_context(spark, monkeypatch):
+    """The counts grow with the texts, exactly, and where a context is kept changes no score."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghij") + " " * (rng.random() < 0.12) for _ in range(400)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, None), (99, "")], "doc_id long, text string")
+    train = docs.where("doc_id < 60 or doc_id is null")
+    code = lm_mixing.prefix_code(lm_mixing.byte_counts(train, "text"))
+    rows = lm_mixing.contexts_of(lm_mixing.gather(train, "text"), code).collect()
+    want = defaultdict(Counter)
+    for t in [*texts, ""]:
+        for unit in lm_mixing.cut(t.encode()):
+            for i, k in itertools.product(range(len(unit)), range(len(lm_mixing.ORDERS))):
+                own = unit[max(0, i - lm_mixing.ORDERS[k]):i]
+                want[k << 40 | int.from_bytes(own, "big")][unit[i]] += 1
+    assert {r.key: {x.symbol: x.n for x in r.next} for r in rows} == want
+    assert all(r.rank == math.floor(math.log2(sum(want[r.key].values())) * 8) for r in rows)
+    whole = sorted((r.doc_id or -1, r.score) for r in lm_mixing.score(docs).collect())
+    for bits in (9, 1):       # only some of the contexts are broadcast, or none
+        monkeypatch.setattr(lm_mixing, "TABLE_BITS", bits)
+        parts = sorted((r.doc_id or -1, r.score) for r in lm_mixing.score(docs).collect())
+        assert [i for i, _ in parts] == [i for i, _ in whole]
+        assert [x for _, x in parts] == pytest.approx([x for _, x in whole], rel=1e-5)
+
+
 def test_chat_snapshots(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (2, 2, "user", "bye"),
             (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "bye"), (4, 5, "user", "hi"), (5, 0, "user", "other"),
