@@ -339,6 +339,22 @@ def test_context_mixing_counts_every_context(spark, monkeypatch):
         assert [x for _, x in parts] == pytest.approx([x for _, x in whole], rel=1e-5)
 
 
+def test_context_mixing_counts_beyond_32_bits(spark):
+    """Counts of two tasks whose sum exceeds 2^32 keep their sum."""
+    gathered = spark.createDataFrame([(None, 97, 3_000_000_000), (None, 97, 3_000_000_000), (None, 98, 7)],
+                                     "word string, gram long, n long")
+    rows = lm_mixing.contexts_of(gathered, code := lm_mixing.prefix_code([1] * 256)).collect()
+    assert len(rows) == len(lm_mixing.ORDERS)
+    for r in rows:
+        assert {x.symbol: x.n for x in r.next} == {97: 6_000_000_000, 98: 7}
+    symbols, counts = np.array([97, 98]), np.array([6_000_000_000, 7])
+    keys, values = lm_mixing.predictions(np.zeros(2, np.uint64), symbols, counts, code)
+    at = code.starts[97]
+    own = values[keys == code.nodes[at]][0]      # the root: nearly all went one way
+    sure = math.log((6_000_000_000 + 0.2) / 0.2)
+    assert abs(abs(own) / lm_mixing.UNIT - sure) < 0.01 or abs(own) / lm_mixing.UNIT > 15
+
+
 def test_chat_snapshots(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (2, 2, "user", "bye"),
             (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "bye"), (4, 5, "user", "hi"), (5, 0, "user", "other"),
