@@ -159,30 +159,45 @@ def near_duplicates(docs: DataFrame, k: int = 4, max_bits: int = 4, seed: int =
     of it has an id.  Extra columns are not looked at.
     """
     prints = materialize(fingerprints(docs, k, seed, id_col, text_col), "simhash-prints")
+    return prints.join(_named(prints, max_bits), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _named(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints of rows (doc_id,
+    fp), written: the root is a fingerprint, one for each component."""
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     parts = materialize(connected_components(links(nodes, max_bits)), "simhash-components")
     of_node = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left") \
                    .withColumn("root", F.coalesce("root", "fp"))
     least = of_node.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = materialize(of_node.join(least, "root").select("fp", "component_id"), "simhash-named")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return materialize(of_node.join(least, "root").select("fp", "root", "component_id"), "simhash-named")
 
 
 def keep_one(docs: DataFrame, k: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one document of each near-duplicate component: the one
-    with its smallest id.  Rows that repeat this id collapse to the one with
-    the least text (null counts as empty).  Documents without id cannot be
-    named as members and stay."""
-    found = near_duplicates(docs, k, max_bits).select("doc_id", "component_id")
-    found = materialize(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")),
-                        "simhash-kept")
-    # Kept ids grow with the corpus, so they are always merged, never broadcast.
-    single = docs.join(found.where("n = 1").hint("merge"), "doc_id", "left_semi")
-    nameless = docs.where("doc_id is null")
-    if not found.where("n > 1").take(1):
-        return single.unionByName(nameless)
-    row = F.struct(*(F.col(c) for c in docs.columns))
-    repeated = (docs.join(found.where("n > 1"), "doc_id", "left_semi").groupBy("doc_id")
-                    .agg(F.min_by(row, F.coalesce("text", F.lit(""))).alias("row")).select("row.*"))
-    return single.unionByName(repeated).unionByName(nameless)
+    """``docs`` with one row of each near-duplicate component: the one with
+    its smallest id, of several such the one with the least text (null counts
+    as empty).  Components are told apart by their fingerprints, so an id that
+    occurs with different texts stands for each of them.  Documents without id
+    cannot be named as members and stay."""
+    number = next(c for c in ("_row", *(f"_row{i}" for i in range(len(docs.columns)))) if c not in docs.columns)
+    # The row numbers are written with the rows, so they stay what they are.
+    stored = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "simhash-rows")
+    both = stored.select(F.struct("doc_id", F.col(number).alias("row")).alias("doc_id"), "text")
+    prints = materialize(fingerprints(both, k).select("doc_id.doc_id", "doc_id.row", "fp"), "simhash-prints")
+    named = _named(prints, max_bits)
+    # Kept rows grow with the corpus, so they are always merged, never broadcast.
+    least = (prints.join(named.hint("merge"), "fp").where("doc_id = component_id")
+                   .groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row")))
+    least = materialize(least, "simhash-kept")
+    kept = least.select(F.col("row").alias(number))
+    repeated = least.where("n > 1").select("root")
+    if repeated.take(1):
+        rows = (prints.join(named.hint("merge"), "fp").where("doc_id = component_id")
+                      .join(repeated.hint("merge"), "root").select("root", F.col("row").alias(number)))
+        texts = stored.select(number, F.coalesce("text", F.lit("")).alias("text"))
+        chosen = (texts.join(rows.hint("merge"), number).groupBy("root")
+                       .agg(F.min_by(number, F.struct("text", number)).alias(number)).select(number))
+        kept = least.where("n = 1").select(F.col("row").alias(number)).unionByName(chosen)
+    single = stored.join(kept.hint("merge"), number, "left_semi")
+    return single.unionByName(stored.where("doc_id is null")).select(*docs.columns)

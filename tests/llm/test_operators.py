@@ -146,6 +146,16 @@ def test_keep_one_keeps_a_row_of_each_component(spark, odd_docs):
     assert ids.count(7) <= 1 and 6 not in ids and 5 in ids and 9 not in ids and 8 in ids and None in ids
 
 
+def test_keep_one_with_reused_ids(spark):
+    """An id that occurs with different texts loses no component and keeps no second row of one."""
+    alpha, beta, gamma = (" ".join(f"{x}{i}" for i in range(400)) for x in "abc")
+    rows = [(5, alpha), (5, beta), (9, beta + " more"), (3, gamma), (5, gamma), (5, alpha), (None, alpha)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, _row int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text[0]) for r in kept.collect()) == Counter([(5, "a"), (5, "b"), (3, "c"), (None, "a")])
+
+
 def vectors_table(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
 
