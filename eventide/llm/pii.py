@@ -4,7 +4,11 @@ Detected entities get keyed replacements of their own type: digits for
 digits, letters for letters of the same script and case, valid check digits,
 reserved mail domains, titles and first names of the same gender.  The
 replacement depends only on the key, the type and the normal form of the
-entity, so all mentions of one entity change alike.  Two checks over the whole
+entity, so all mentions of one entity change alike.  Persons are resolved
+within a text: a titled name gives its gender to all mentions of that person,
+and later mentions of the full name or the surname without a title are linked.
+Surnames and first names are drawn apart, so a shared surname stays shared in
+all texts; a first name alone is no mention.  Two checks over the whole
 corpus keep entities apart: no two get the same surrogate, and none gets
 another entity's own value; losers draw again until none is left.
 """
@@ -14,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
 import pyarrow as pa
@@ -64,32 +69,98 @@ def luhn_ok(digits: str) -> bool:
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normal form) of the entities of a whole text.  Equal
     normal forms are one entity, however they are written."""
-    found = []
+    found, titled = [], []
     for m in FINDER.finditer(text):
         kind = m.lastgroup if m.lastgroup not in ("secret_value", "title", "name") else None
         kind = kind or next(k for k, _ in PATTERNS if m.group(k) is not None)
         start, end = m.span({"secret": "secret_value", "person": "name"}.get(kind, 0))
         value = text[start:end]
+        if kind == "person":
+            end -= 2 if value.endswith("'s") else 0
+            titled.append((start, end, TITLES[m.group("title")], text[start:end]))
+            continue
         if kind == "card" and not luhn_ok("".join(c for c in value if c.isdigit())):
             kind = "number"
-        found.append((start, end, kind, normal_form(kind, value, m.group("title") if kind == "person" else "")))
-    return found
-
-
-def normal_form(kind: str, value: str, title: str = "") -> str:
+        found.append((start, end, kind, normal_form(kind, value)))
+    return sorted(found + persons(text, titled, found)) if titled else found
+
+
+def persons(text: str, titled: list[tuple[int, int, str, str]], others: list[tuple]) -> list[tuple[int, int, str, str]]:
+    """The mentions of the persons of a text, given its titled ones (start,
+    end, gender of the title, name): full names as gender:first surname, with
+    one gender for each person, and surnames alone as n:surname."""
+    genders: dict[str, str] = {}              # of each full name, in the order of the text
+    first_at: dict[str, int] = {}             # the first titled mention of each surname
+    bearers: dict[str, list[str]] = {}        # full names of each surname
+    for start, _, gender, name in titled:
+        surname = name.rpartition(" ")[2]
+        first_at.setdefault(surname, start)
+        if " " in name:
+            if name not in genders:
+                bearers.setdefault(surname, []).append(name)
+                genders[name] = "n"
+            if genders[name] == "n":
+                genders[name] = gender
+    for name, gender in genders.items():
+        if gender == "n":
+            genders[name] = GENDER_OF.get(name.split(" ")[0], "n")
+    for _, _, gender, name in titled:         # a surname with a title tells the gender of its only bearer
+        own = bearers.get(name, ())
+        if gender != "n" and len(own) == 1 and genders[own[0]] == "n":
+            genders[own[0]] = gender
+
+    def mention(start: int, end: int, name: str) -> tuple[int, int, str, str]:
+        return start, end, "person", f"{genders.get(name, 'n')}:{name}"
+
+    out = [mention(start, end, name) for start, end, _, name in titled]
+    taken = sorted([(a, b) for a, b, *_ in out] + [(a, b) for a, b, *_ in others])
+    starts = [a for a, _ in taken]
+    for surname, from_on in first_at.items():
+        at = text.find(surname)
+        while at >= 0:
+            start, end = at, at + len(surname)
+            at = text.find(surname, end)
+            full = next((n for n in bearers.get(surname, ()) if text.endswith(n, 0, end) and _whole(text, end - len(n), end)), None)
+            if full:
+                start = end - len(full)
+            elif start < from_on or not _whole(text, start, end):
+                continue
+            i = bisect_right(starts, end - 1)
+            if not i or taken[i - 1][1] <= start:
+                out.append(mention(start, end, full or surname))
+    # A surname may be a word of another person's name: of mentions that overlap the first and longest counts.
+    kept: list[tuple[int, int, str, str]] = []
+    for m in sorted(out, key=lambda m: (m[0], -m[1])):
+        if not kept or m[0] >= kept[-1][1]:
+            kept.append(m)
+    return kept
+
+
+def _whole(text: str, start: int, end: int) -> bool:
+    """Whether the span is no part of a longer word."""
+    before, after = text[start - 1:start], text[end:end + 1]
+    return not (before.isalnum() or before in ("_", "-", "'", "@")) and not (after.isalnum() or after in ("_", "-", "@"))
+
+
+def normal_form(kind: str, value: str) -> str:
     if kind == "email":
         return value.lower()
     if kind in ("card", "number", "phone", "ssn"):
         return "".join(c for c in value if c.isdigit())
     if kind == "iban":
         return value.replace(" ", "")
-    if kind == "person":        # a name keeps its gender: that of the title, or of the first name
-        first = value.split(" ")[0]
-        gender = TITLES.get(title, "n")
-        return f"{gender if gender != 'n' else GENDER_OF.get(first, 'n')}:{value}"
     return value
 
 
+def drawn_parts(kind: str, form: str) -> list[tuple[str, str]]:
+    """(kind, form) of what is drawn for an entity: itself, but for a person
+    the surname and, if known, the first name among those with this surname."""
+    if kind != "person":
+        return [(kind, form)]
+    surname = form[2:].rpartition(" ")[2]
+    return [("surname", surname), *([("first_name", form)] if " " in form else [])]
+
+
 class Draws:
     """A keyed stream of numbers for one entity and draw."""
 
@@ -159,13 +230,14 @@ def surrogate(kind: str, form: str, key: bytes = DEFAULT_KEY, draw: int = 0) ->
         head, _, rest = form.partition("KEY-----")
         body, _, tail = rest.rpartition("-----END")
         return f"{head}KEY-----{_reshape(body, draws)}-----END{tail}"
-    if kind == "person":
-        gender, name = form[0], form[2:]
-        words = name.split(" ")
-        if len(words) > 1 and name[0].isascii():
-            names = FIRST_NAMES[gender] if gender in FIRST_NAMES else sorted(GENDER_OF)
-            return f"{gender}:" + " ".join([names[draws.below(len(names))], *(_reshape(w, draws) for w in words[1:])])
-        return f"{gender}:{_reshape(name, draws)}"
+    if kind == "first_name":     # with the real surname: first names have to differ only within one
+        first, _, surname = form[2:].partition(" ")
+        if not first[0].isascii():
+            return f"{_reshape(first, draws)} {surname}"
+        names = FIRST_NAMES[form[0]] if form[0] in FIRST_NAMES else sorted(GENDER_OF)
+        return "-".join(names[draws.below(len(names))] for _ in range(1 + draw // 8)) + f" {surname}"
+    if kind == "surname":        # short ones are few, so later draws are longer
+        return _reshape(form + "a" * (draw // 8), draws)
     return _reshape(form, draws)
 
 
@@ -178,13 +250,20 @@ def written_like(kind: str, original: str, replaced: str) -> str:
     if kind == "iban":
         letters = iter(replaced)
         return "".join(c if c == " " else next(letters) for c in original)
-    if kind == "person":
-        return replaced[2:]
     if kind == "email" and original.isupper():
         return replaced.upper()
     return replaced
 
 
+def replacement(kind: str, form: str, original: str, key: bytes, redraws: dict[tuple[str, str], int]) -> str:
+    """What a mention becomes."""
+    made = [surrogate(k, f, key, n) if (n := redraws.get((k, f), 0)) else first_draw(k, f, key)
+            for k, f in drawn_parts(kind, form)]
+    if kind == "person":
+        return " ".join([*(m.rpartition(" ")[0] for m in made[1:]), made[0]])
+    return written_like(kind, original, made[0])
+
+
 @lru_cache(maxsize=100_000)
 def first_draw(kind: str, form: str, key: bytes) -> str:
     return surrogate(kind, form, key, 0)
@@ -196,7 +275,7 @@ def redrawn(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text") -
     the same type.  Of several that drew the same one the first by form keeps it."""
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = sorted({(k, f) for t in batch.column(0).to_pylist() for _, _, k, f in detect(t)})
+        own = sorted({part for t in batch.column(0).to_pylist() for _, _, k, f in detect(t) for part in drawn_parts(k, f)})
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.string()),
                                            pa.array([f for _, f in own], pa.string())], names=["kind", "form"])
 
@@ -248,7 +327,7 @@ def replace(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text", w
         def mention(batch: pa.RecordBatch) -> pa.RecordBatch:
             sums, kinds, forms = [], [], []
             for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for k, f in {(k, f) for _, _, k, f in detect(t)}:
+                for k, f in {part for _, _, k, f in detect(t) for part in drawn_parts(k, f)}:
                     sums.append(s)
                     kinds.append(k)
                     forms.append(f)
@@ -276,9 +355,7 @@ def replace(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text", w
                 other = {(d["kind"], d["form"]): d["draw"] for d in redraws or ()}
                 out, done, length = [], 0, 0
                 for start, end, kind, form in detect(text):
-                    n = other.get((kind, form), 0)
-                    new = written_like(kind, text[start:end],
-                                       surrogate(kind, form, key, n) if n else first_draw(kind, form, key))
+                    new = replacement(kind, form, text[start:end], key, other)
                     out += [text[done:start], new]
                     length += start - done
                     own.append({"kind": kind, "start": start, "stop": end, "new_start": length,

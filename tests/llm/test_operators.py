@@ -266,6 +266,23 @@ def test_pii_patterns_alone(kind, text):
     assert {k for _, _, k, _ in pii.detect(text)} == {kind}
 
 
+def test_pii_persons_are_one_in_a_text(spark):
+    texts = ["Dr. Anna Weber spoke. Mrs. Weber left; Anna Weber came back and Weber's car with her, not Weberei.",
+             "Dr. John Smith met Mr. John Smith. Mr. Smith and John Smith are one, Mr. Piet Smith is not.",
+             "Herr Weber"] + [f"Mr. Name{chr(97 + i)} Crowd" for i in range(26)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in pii.replace(docs).orderBy("doc_id").collect()]
+    surname = got[2].split()[1]
+    first = got[0].split()[1]
+    assert first in pii.FIRST_NAMES["f"] and surname != "Weber"
+    assert got[0] == texts[0].replace("Anna", first).replace("Weberei", "#").replace("Weber", surname).replace("#", "Weberei")
+    one, other, smith = got[1].split()[1], got[1].split()[-4], got[1].split()[2]
+    assert one in pii.FIRST_NAMES["m"] and other.split("-")[0] in pii.FIRST_NAMES["m"] and one != other
+    assert got[1] == texts[1].replace("John", one).replace("Piet", other).replace("Smith", smith)
+    assert len({t.split()[1] for t in got[3:]}) == 26 and len({t.split()[2] for t in got[3:]}) == 1
+    assert pii.replacement("person", "n:Ann Lee", "Ann Lee", b"k", {}) != "Ann Lee"
+
+
 def test_pii_collisions_are_drawn_again(spark):
     # One digit may change, so five entities have just the other five values.
     own = [f"------{i}" for i in range(5)]
