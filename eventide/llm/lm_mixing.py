@@ -46,7 +46,8 @@ END = 255                     # a byte that UTF-8 never uses closes each text
 MARK = bytes([END])
 UNSEEN = -32768
 UNIT = 1024.0                 # of a stored stretched probability
-STEP = 1024                   # bits after which weights and refinement learn
+STEP = 1024                   # bits after which weights and refinement learn, at most:
+FIRST_STEPS = (0, 16, 32, 64, 128, 256, 512)   # a text begins with shorter steps, so that short ones learn too
 SEGMENT = 1 << 18             # bytes of one text that are laid out at once, and
 GROUP = 5 << 18               # of texts that step together, about
 GATE_OF = (0, 1, 1, 2)        # by the longest known order; weights are kept for each gate
@@ -322,6 +323,7 @@ class Mixer:
         total = np.zeros(len(texts))
         words, known, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
         others: list[list[str]] = [[] for _ in texts]
+        begin = True
         while ranked:
             rest = []
             for d, own in enumerate(ranked):
@@ -332,7 +334,8 @@ class Mixer:
                         stop += 1
                     rest.append(own[stop:])
                     ranked[d] = own[:stop]
-            units, ids = self._segments(ranked, state, total)
+            units, ids = self._segments(ranked, state, total, FIRST_STEPS if begin else (0,))
+            begin = False
             n, frequent, sums, rare = self.words_of(units)
             has_rare = np.zeros(len(units), bool)
             has_rare[list(rare)] = True
@@ -347,8 +350,9 @@ class Mixer:
             out[i] = float(total[d]), int(words[d]), int(known[d]), float(base[d]), others[d]
         return out
 
-    def _segments(self, segments: list[list[bytes]], state: dict, total: np.ndarray) -> tuple[list, list]:
-        """Run the texts' next segments; their distinct units, and each text's units as places in that list."""
+    def _segments(self, segments: list[list[bytes]], state: dict, total: np.ndarray,
+                  steps: tuple[int, ...]) -> tuple[list, list]:
+        """Run the texts' next segments, in the given steps to begin with; their distinct units, and each text's units as places in that list."""
         names = dict.fromkeys(chain.from_iterable(segments))
         if len(self.bits) > REMEMBERED:
             self.forget()
@@ -367,11 +371,15 @@ class Mixer:
             path += np.arange(len(path), dtype=np.int32)
             paths.append(path)
         rank = np.argsort([-len(p) for p in paths], kind="stable")
-        for s in range(0, max((len(p) for p in paths), default=0), STEP):
+        longest = max((len(p) for p in paths), default=0)
+        stops = [*steps, *range(STEP, longest + STEP, STEP)]
+        for s, stop in zip(stops, stops[1:]):
             rank = rank[[len(paths[d]) > s for d in rank]]
-            idx = np.zeros((len(rank), STEP), np.int32)
+            if not len(rank):
+                break
+            idx = np.zeros((len(rank), stop - s), np.int32)
             for r, d in enumerate(rank):
-                part = paths[d][s:s + STEP]
+                part = paths[d][s:stop]
                 idx[r, :len(part)] = part
             for i in range(0, len(rank), 32):        # few enough rows to stay in the cache
                 own = idx[i:i + 32]

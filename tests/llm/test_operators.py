@@ -396,6 +396,17 @@ def test_context_mixing_counts_beyond_32_bits(spark):
     assert abs(abs(own) / lm_mixing.UNIT - sure) < 0.01 or abs(own) / lm_mixing.UNIT > 15
 
 
+def test_context_mixing_learns_in_short_texts():
+    """A text of fewer bits than the longest step is not scored by the first weights alone."""
+    code = lm_mixing.prefix_code([0] * 256)
+    mixer = lm_mixing.Mixer(code, np.zeros(1, np.int16), {})
+    mixer.find = lambda keys: np.full(len(keys), 1000, np.int16)      # each order is sure of a one, wrongly
+    text = b"\x00" * 60
+    bits = sum(int(code.lengths[b]) for b in text + lm_mixing.MARK)
+    assert bits < lm_mixing.STEP
+    assert mixer.score([text])[0][0] / 60 > -5            # -11.9 by the first weights alone
+
+
 def test_chat_snapshots(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi"), (2, 1, "assistant", "yo"), (2, 2, "user", "bye"),
             (3, 0, "user", "hi"), (3, 1, "assistant", "yo"), (3, 2, "user", "bye"), (4, 5, "user", "hi"), (5, 0, "user", "other"),
