@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from eventide.llm import chat, graph_search, kd_search, lm_mixing, packing, pii, simhash, toxicity
+from pyspark.sql import functions as F
+
+from eventide.llm import chat, decontamination, graph_search, kd_search, lm_mixing, packing, pii, simhash, toxicity
 from eventide.llm.bpe_lexicon import encode_decode
 from eventide.llm.common import in_fold, read_table
 from eventide.llm.token_counts import token_counts
@@ -52,9 +54,15 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_decontamination(spark, sf_dir):
+    found = decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        "contaminated")
+
+
 QUERIES = {f.__name__: f for f in (op1_graph_search, op2_simhash, op3_kd_search, op4_token_counts,
                                    op5_best_fit_packing, op6_bpe_lexicon, op7_context_mixing, op8_pii_surrogates,
-                                   op9_toxicity, op10_chat_formatting)}
+                                   op9_toxicity, op10_chat_formatting, op13_decontamination)}
 # Exact top-k by brute force, and maximal conversations by whole turn lists.
 ORACLES: dict[str, str] = {
     "op3_kd_search": """
@@ -73,4 +81,5 @@ r AS (
 SELECT * FROM r WHERE rank <= 5
 """,
     "op10_chat_formatting": chat.FORMAT_SQL,
+    "op13_decontamination": decontamination.DECONTAMINATION_SQL,
 }
