@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import functions as F
 
-from eventide.llm import chat, decontamination, graph_search, kd_search, lm_mixing, packing, pii, simhash, toxicity
+from eventide.llm import (chat, decontamination, graph_search, kd_search, lm_mixing, packing, periodic_runs, pii, simhash,
+                          toxicity)
 from eventide.llm.bpe_lexicon import encode_decode
 from eventide.llm.common import in_fold, read_table
 from eventide.llm.token_counts import token_counts
@@ -54,6 +58,29 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
 
 
+def every_tenth_periodic(doc_ids: list, edges: np.ndarray) -> np.ndarray:
+    """The word that each word becomes: one document in ten, by a hash of its id, is periodic from some word on."""
+    place = np.arange(edges[-1])
+    for doc_id, start, stop in zip(doc_ids, edges, edges[1:]):
+        h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), int(stop - start)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            place[start + a:stop] = start + a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+    return place
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(read_table(spark, sf_dir, "documents"), min_words=24, min_exponent=3,
+                                    rewrite=every_tenth_periodic)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", periodic_runs.most_repeated(F.col("runs")))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.floor(F.expr("1000 * best.length div best.period")).cast("long").alias("exponent_milli"),
+                       F.sha2(F.concat_ws("", line), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_decontamination(spark, sf_dir):
     found = decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
@@ -62,7 +89,8 @@ def op13_decontamination(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_graph_search, op2_simhash, op3_kd_search, op4_token_counts,
                                    op5_best_fit_packing, op6_bpe_lexicon, op7_context_mixing, op8_pii_surrogates,
-                                   op9_toxicity, op10_chat_formatting, op13_decontamination)}
+                                   op9_toxicity, op10_chat_formatting, op12_periodic_runs,
+                                   op13_decontamination)}
 # Exact top-k by brute force, and maximal conversations by whole turn lists.
 ORACLES: dict[str, str] = {
     "op3_kd_search": """
