@@ -7,8 +7,8 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from eventide.llm import (chat, decontamination, graph_search, kd_search, lm_mixing, packing, periodic_runs, pii, simhash,
-                          toxicity)
+from eventide.llm import (chat, decontamination, graph_search, hard_negatives, kd_search, lm_mixing, packing,
+                          periodic_runs, pii, simhash, toxicity)
 from eventide.llm.bpe_lexicon import encode_decode
 from eventide.llm.common import in_fold, read_table
 from eventide.llm.token_counts import token_counts
@@ -58,6 +58,12 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", shifted), every=100, k=5,
+                               percent=80, scale=256)
+
+
 def every_tenth_periodic(doc_ids: list, edges: np.ndarray) -> np.ndarray:
     """The word that each word becomes: one document in ten, by a hash of its id, is periodic from some word on."""
     place = np.arange(edges[-1])
@@ -89,8 +95,8 @@ def op13_decontamination(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_graph_search, op2_simhash, op3_kd_search, op4_token_counts,
                                    op5_best_fit_packing, op6_bpe_lexicon, op7_context_mixing, op8_pii_surrogates,
-                                   op9_toxicity, op10_chat_formatting, op12_periodic_runs,
-                                   op13_decontamination)}
+                                   op9_toxicity, op10_chat_formatting, op11_hard_negatives,
+                                   op12_periodic_runs, op13_decontamination)}
 # Exact top-k by brute force, and maximal conversations by whole turn lists.
 ORACLES: dict[str, str] = {
     "op3_kd_search": """
@@ -109,5 +115,6 @@ r AS (
 SELECT * FROM r WHERE rank <= 5
 """,
     "op10_chat_formatting": chat.FORMAT_SQL,
+    "op11_hard_negatives": hard_negatives.HARD_NEGATIVES_SQL,
     "op13_decontamination": decontamination.DECONTAMINATION_SQL,
 }
