@@ -28,11 +28,12 @@ from eventide.llm.common import materialize
 from eventide.operators.joins import broadcast_if_small
 
 SHARD_VECTORS = 4096
-LEAF = 32
+LEAF = 128
 FANOUT = 8
 QUERY_BLOCK = 1024
 EXACT = 1 << 53
 LONG = (1 << 63) - 1
+NO_WINDOW = {"positive_id": None, "positive_score": None}
 
 
 # --- the tree -----------------------------------------------------------------
@@ -99,46 +100,52 @@ class Tree:
     def exact(self, q: np.ndarray) -> bool:
         return self.largest * float(np.abs(q).max()) * len(q) < EXACT
 
-    def scores(self, at: int, q: np.ndarray, seen: dict):
-        """Exact products with the vectors of leaf ``at``; ``seen`` keeps them for the next window of this search."""
-        if at not in seen:
-            rows = self.v[self.nodes[at, 0]:self.nodes[at, 1]]
-            seen[at] = (rows @ q).astype(np.int64) if self.exact(q) else \
-                np.array([sum(int(x) * int(y) for x, y in zip(row, q)) for row in rows], object)
-        return seen[at]
-
-    def best(self, q: np.ndarray, own: int, k: int, bounds, seen: dict, most=None, percent: int = 0) -> list[tuple[int, int]]:
-        """The k best (score, id) but for the id ``own``; with ``most`` only
-        scores with percent * most <= 100 * score <= 100 * most."""
-        if most is not None and most < 0:
-            return []
-        least = None if most is None else -(-percent * most // 100)
-        lower, upper = bounds
-        found: list = []                         # min-heap of (score, -id)
+    def scores(self, start: int, end: int, q: np.ndarray):
+        if self.exact(q):
+            return (self.v[start:end] @ q).astype(np.int64)
+        return np.array([sum(int(x) * int(y) for x, y in zip(row, q)) for row in self.v[start:end]], object)
+
+    def best(self, q: np.ndarray, own: int, k: int, windows: list) -> list[list[tuple[int, int]]]:
+        """For each of ``windows``, (least, most) with None for no bound, the k
+        best (score, id) within it but for the id ``own``, by one traversal."""
+        lower, upper = self.intervals(q)
+        found: list[list] = [[] for _ in windows]          # min-heaps of (score, -id)
+        need = [-np.inf if least is None else least for least, _ in windows]     # below it nothing is of use
+        most = [np.inf if top is None else top for _, top in windows]
+        floor, ceiling = min(need), max(most)
         queue = [(-upper[-1], len(upper) - 1)]
         while queue:
             top, at = heapq.heappop(queue)
-            if len(found) == k and -top < found[0][0] or least is not None and -top < least:
+            if -top < floor:
                 break                            # the queue's best upper end: no open box can hold more
-            if most is not None and lower[at] > most:
+            if lower[at] > ceiling or not any(n <= -top and lower[at] <= m for n, m in zip(need, most)):
                 continue
             start, end, leaf = self.nodes[at]
             if not leaf:
                 for child in range(start, end):
-                    heapq.heappush(queue, (-upper[child], child))
+                    if upper[child] >= floor:
+                        heapq.heappush(queue, (-upper[child], child))
                 continue
-            scores = self.scores(at, q, seen)
-            ok = np.ones(len(scores), bool) if most is None else (scores >= least) & (scores <= most)
-            if len(found) == k:
-                ok &= scores >= found[0][0]
-            for i in np.flatnonzero(ok):
-                for one in self.ids[start + i]:
-                    if one != own:
-                        if len(found) < k:
-                            heapq.heappush(found, (int(scores[i]), -one))
-                        elif (scores[i], -one) > found[0]:
-                            heapq.heapreplace(found, (int(scores[i]), -one))
-        return [(s, -i) for s, i in found]
+            scores = self.scores(start, end, q)
+            hits = np.flatnonzero((scores >= floor) & (scores <= ceiling))
+            if not len(hits):
+                continue
+            scores = scores[hits]
+            for heap, w in zip(found, range(len(windows))):
+                ok = (scores >= need[w]) & (scores <= most[w])
+                if ok.sum() > k + 1:                       # with ``own`` k + 1 rows may be wanted, and their ties
+                    ok &= scores >= np.sort(scores[ok])[-k - 1]
+                for i in np.flatnonzero(ok):
+                    for one in self.ids[start + hits[i]]:
+                        if one != own:
+                            if len(heap) < k:
+                                heapq.heappush(heap, (int(scores[i]), -one))
+                            elif (scores[i], -one) > heap[0]:
+                                heapq.heapreplace(heap, (int(scores[i]), -one))
+                if len(heap) == k:
+                    need[w] = max(need[w], heap[0][0])
+            floor = min(need)
+        return [[(s, -i) for s, i in heap] for heap in found]
 
 
 # --- shards and searches ----------------------------------------------------------
@@ -199,11 +206,12 @@ def visit(blocks: DataFrame, index: DataFrame, k: int, percent: int, name: str)
                     tree = Tree(v.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1), ids.to_pylist())
                 out: list[tuple] = []
                 for x in batch.column(2)[i].as_py():
-                    q, seen = np.array(x["v"], np.float64), {}
-                    bounds = tree.intervals(q)
-                    for p in x["wanted"] or [{"positive_id": None, "positive_score": None}]:
-                        out += [(x["vec_id"], *p.values(), j, s) for s, j in
-                                tree.best(q, x["vec_id"], k, bounds, seen, p["positive_score"], percent)]
+                    asked = [p for p in x["wanted"] or [NO_WINDOW] if p["positive_score"] is None or p["positive_score"] >= 0]
+                    windows = [(None, None) if p["positive_score"] is None else
+                               (-(-percent * p["positive_score"] // 100), p["positive_score"]) for p in asked]
+                    if windows:
+                        found = tree.best(np.array(x["v"], np.float64), x["vec_id"], k, windows)
+                        out += [(x["vec_id"], *p.values(), j, s) for p, some in zip(asked, found) for s, j in some]
                 columns = list(zip(*out)) or [()] * 5
                 clip = lambda c: [None if s is None else max(-LONG - 1, min(LONG, s)) for s in c]
                 yield pa.RecordBatch.from_arrays(
