@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from bisect import bisect_right
 from functools import lru_cache
 
@@ -191,9 +192,17 @@ def _alphabet(c: str) -> str | None:
     for low, high in ((0x3B1, 0x3C9), (0x391, 0x3A9), (0x430, 0x44F), (0x410, 0x42F), (0x5D0, 0x5EA), (0x4E00, 0x9FA5)):
         if low <= ord(c) <= high:
             return "".join(chr(x) for x in range(low, high + 1) if chr(x).isalpha())
-    if c.isalpha():      # Latin letters with marks
+    if "\u00c0" <= c <= "\u024f" and c.isalpha():      # Latin letters with marks
         return "àáâäèéêëìíîïòóôöùúûü" if c.islower() else "ÀÁÂÄÈÉÊËÌÍÎÏÒÓÔÖÙÚÛÜ"
-    return None
+    return _neighbours(c) if c.isalpha() else None
+
+
+@lru_cache(maxsize=10_000)
+def _neighbours(c: str) -> str:
+    """The letters around ``c`` of its script and case: a letter's name begins with its script."""
+    same = lambda x: (unicodedata.category(x), unicodedata.name(x, "").split(" ")[0])
+    start = ord(c) & ~31
+    return "".join(x for x in map(chr, range(start, start + 32)) if same(x) == same(c))
 
 
 def _reshape(form: str, draws: Draws, hexadecimal: bool = False) -> str:
@@ -206,43 +215,49 @@ def _reshape(form: str, draws: Draws, hexadecimal: bool = False) -> str:
 
 
 def surrogate(kind: str, form: str, key: bytes = DEFAULT_KEY, draw: int = 0) -> str:
-    """The replacement of a normal form, itself in normal form."""
+    """The replacement of a normal form, itself in normal form.  Later draws of
+    short forms are longer, so that no type runs out of surrogates."""
     draws = Draws(key, kind, form, draw)
+    longer = draw // 8
     if kind == "email":
         local, _, domain = form.partition("@")
-        return f"{_reshape(local, draws)}@{_reshape(domain.split('.')[0], draws)}.example.com"
+        return f"{_reshape(local + 'a' * longer, draws)}@{_reshape(domain.split('.')[0], draws)}.example.com"
     if kind == "ip":
-        return ".".join(["10", *(str(draws.below(256)) for _ in range(3))])
+        first = "10" if not longer else str(1 + draws.below(223))
+        return ".".join([first, *(str(draws.below(256)) for _ in range(3))])
     if kind == "phone":          # the country code stays; the rest keeps its length
         keep = len(form) - 9 if len(form) > 10 else 0
-        return form[:max(0, keep - 1)] + _reshape(form[max(0, keep - 1):], draws)
+        return form[:max(0, keep - 1)] + _reshape(form[max(0, keep - 1):] + "0" * longer, draws)
     if kind == "card":
-        body = form[0] + _reshape(form[1:-1], draws)
+        body = form[0] + _reshape(form[1:-1] + "0" * longer, draws)
         return next(body + d for d in "0123456789" if luhn_ok(body + d))
     if kind == "iban":
-        body = _reshape(form[4:], draws)
+        body = _reshape(form[4:] + "0" * longer, draws)
         number = int("".join(str(int(c, 36)) for c in body + form[:2] + "00"))
         return f"{form[:2]}{98 - number % 97:02d}{body}"
     if kind == "aws_key":
-        return form[:4] + _reshape(form[4:], draws)
+        return form[:4] + _reshape(form[4:] + "A" * longer, draws)
     if kind == "service_token":
         at = max(form.find("_"), form.find("-")) + 1 if not form.startswith("sk-") else 3
-        return form[:at] + _reshape(form[at:], draws)
+        return form[:at] + _reshape(form[at:] + "a" * longer, draws)
     if kind == "secret":
+        if not any(map(_alphabet, form)):       # a masked one has no letter or digit to replace
+            form = "a" * len(form)
+        form += "a" * longer
         return _reshape(form, draws, hexadecimal=bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", form)))
     if kind == "private_key":
         head, _, rest = form.partition("KEY-----")
         body, _, tail = rest.rpartition("-----END")
-        return f"{head}KEY-----{_reshape(body, draws)}-----END{tail}"
+        return f"{head}KEY-----{_reshape(body + 'a' * longer, draws)}-----END{tail}"
     if kind == "first_name":     # with the real surname: first names have to differ only within one
         first, _, surname = form[2:].partition(" ")
         if not first[0].isascii():
-            return f"{_reshape(first, draws)} {surname}"
+            return f"{_reshape(first + first[-1] * longer, draws)} {surname}"
         names = FIRST_NAMES[form[0]] if form[0] in FIRST_NAMES else sorted(GENDER_OF)
         return "-".join(names[draws.below(len(names))] for _ in range(1 + draw // 8)) + f" {surname}"
-    if kind == "surname":        # short ones are few, so later draws are longer
-        return _reshape(form + "a" * (draw // 8), draws)
-    return _reshape(form, draws)
+    if kind == "surname":
+        return _reshape(form + "a" * longer, draws)
+    return _reshape(form + "0" * longer, draws)
 
 
 def written_like(kind: str, original: str, replaced: str) -> str:
@@ -250,10 +265,10 @@ def written_like(kind: str, original: str, replaced: str) -> str:
     signs and brackets; for mail addresses the same case."""
     if kind in ("card", "number", "phone", "ssn"):
         digits = iter(replaced)
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join([next(digits) if c.isdigit() else c for c in original] + list(digits))
     if kind == "iban":
         letters = iter(replaced)
-        return "".join(c if c == " " else next(letters) for c in original)
+        return "".join([c if c == " " else next(letters) for c in original] + list(letters))
     if kind == "email" and original.isupper():
         return replaced.upper()
     return replaced
