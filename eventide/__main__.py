@@ -68,12 +68,9 @@ def cmd_windows(args):
 def cmd_replay(args):
     from eventide.plans import jobs
     spark = _session(args)
-    if args.files_per_second and not args.dry_run:
-        q = jobs.start_replay_paced(spark, args.events, args.topic_dir, files_per_trigger=args.files_per_second,
-                                    checkpoint=args.checkpoint, bootstrap_servers=args.bootstrap_servers,
-                                    date_from=args.date_from, date_to=args.date_to)
-        q.processAllAvailable()
-        q.stop()
+    if args.events_per_second and not args.dry_run:
+        jobs.start_replay_paced(spark, args.events, args.topic_dir, args.date_from, args.date_to, args.events_per_second,
+                                checkpoint=args.checkpoint, bootstrap_servers=args.bootstrap_servers).await_end()
         return
     t = jobs.replay(spark, args.events, args.date_from, args.date_to, topic_dir=args.topic_dir,
                     dry_run=args.dry_run, bootstrap_servers=args.bootstrap_servers).first()
@@ -159,7 +156,7 @@ def main(argv=None):
     s.add_argument("--to", dest="date_to", required=True)
     s.add_argument("--topic-dir")
     s.add_argument("--dry-run", action="store_true")
-    s.add_argument("--files-per-second", type=int, default=None, help="pace of the replay; default: none")
+    s.add_argument("--events-per-second", type=float, default=None, help="pace of the replay; default: none")
     s.set_defaults(fn=cmd_replay)
 
     s = sub.add_parser("dlq-replay")

@@ -29,6 +29,11 @@ SIZE_STRING_COLUMNS = ["type", "title", "title_url", "comment", "user", "server_
 ROW_OVERHEAD_BYTES = 64
 
 
+# Epoch seconds that can be a time: from 1970 to the year 9999.  Milliseconds fall outside.
+TS_MAX = 253_402_300_799
+TS_RANGE_ERROR = "parse: timestamp is out of range"
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -60,8 +65,9 @@ def utc_to_epoch(c) -> Column:
 
 def ntz_from_epoch(c="timestamp") -> Column:
     """Epoch seconds as a zone-less timestamp (wall clock in UTC), so that
-    formatting does not depend on the session time zone."""
-    return F.timestamp_add("SECOND", _c(c), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    formatting does not depend on the session time zone; NULL if they are no event time."""
+    at = F.when(_c(c).between(0, TS_MAX), _c(c))
+    return F.timestamp_add("SECOND", at, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def utc_text(c="parsed_timestamp") -> Column:
@@ -106,8 +112,8 @@ def hour_col(ts_seconds="timestamp") -> Column:
 
 
 def event_time(ts_seconds="timestamp") -> Column:
-    """Event time as TimestampType (watermarks need a zoned timestamp)."""
-    return F.timestamp_seconds(_c(ts_seconds))
+    """Event time as TimestampType (watermarks need a zoned timestamp); NULL if it is none."""
+    return F.timestamp_seconds(F.when(_c(ts_seconds).between(0, TS_MAX), _c(ts_seconds)))
 
 
 def estimated_bytes(*cols: str) -> Column:

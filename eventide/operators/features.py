@@ -51,27 +51,37 @@ def edit_stats(ce: DataFrame, key: str = "wiki", user: str = "user",
         ce = ce.where(F.col("timestamp") >= F.lit(start - DAY))
     if end is not None:
         ce = ce.where(F.col("timestamp") < F.lit(end))
+    g = grid_of_hours(hour_counts(ce, key, user, approx_users), key)
+    at = F.col("feature_ts")
+    if start is not None:
+        g = g.where(at >= F.lit(start))
+    if end is not None:
+        g = g.where(at < F.lit(end))
+    return g
+
+
+def hour_counts(ce: DataFrame, key: str = "wiki", user: str = "user", approx_users: float | None = None) -> DataFrame:
+    """(key, hr, n, u, b): events, distinct users and bot events per key and hour since 1970."""
     hr = F.floor(F.col("timestamp") / F.lit(HOUR)).cast("long")
-    h = (ce.select(key, user, "bot", hr.alias("hr"))
-           .groupBy(key, "hr")
-           .agg(F.count(F.lit(1)).alias("n"),
-                (F.approx_count_distinct(user, approx_users) if approx_users
-                 else F.count_distinct(user)).alias("u"),
-                F.sum(F.col("bot").cast("int")).cast("long").alias("b")))
-    # fan each hourly row out to the 24 grid hours it feeds; offset 0 also
+    return (ce.select(key, user, "bot", hr.alias("hr"))
+              .groupBy(key, "hr")
+              .agg(F.count(F.lit(1)).alias("n"),
+                   (F.approx_count_distinct(user, approx_users) if approx_users
+                    else F.count_distinct(user)).alias("u"),
+                   F.sum(F.col("bot").cast("int")).cast("long").alias("b")))
+
+
+def grid_of_hours(h: DataFrame, key: str = "wiki", window: int = 24) -> DataFrame:
+    """The statistics at the end of each hour that ``hour_counts`` rows feed."""
+    # fan each hourly row out to the grid hours it feeds; offset 0 also
     # carries the hour's own counts, so one aggregate yields both windows
     k = F.col("_k")
-    fan = h.select(key, "hr", "n", "u", "b", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_k")) \
+    fan = h.select(key, "hr", "n", "u", "b", F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("_k")) \
            .select(key, (F.col("hr") + k).alias("hr"), "n",
                    F.when(k == 0, F.col("n")).alias("n1"), F.when(k == 0, F.col("u")).alias("u1"),
                    F.when(k == 0, F.col("b")).alias("b1"))
     g = fan.groupBy(key, "hr").agg(F.sum("n").cast("long").alias("n24"), F.max("n1").alias("n1"),
                                    F.max("u1").alias("u1"), F.max("b1").alias("b1"))
-    at = (F.col("hr") + 1) * HOUR
-    if start is not None:
-        g = g.where(at >= F.lit(start))
-    if end is not None:
-        g = g.where(at < F.lit(end))
     return g.select(
         key,
         ((F.col("hr") + 1) * HOUR).cast("long").alias("feature_ts"),

@@ -86,6 +86,26 @@ def wire_messages(ce: DataFrame) -> DataFrame:
                           .otherwise(F.col("headers")))
 
 
+def redelivered_topic(ce: DataFrame) -> DataFrame:
+    """Wire messages of every event, each delivered twice.  Message number n (the event id) has partition
+    n % 4 and offset n / 4, as a broker counts.  n % 97 = 0: the event has no id (0).  Damaged:
+    n % 40 = 3 the body cut by 3 bytes, 5 a time of Long.MAX, 6 a negative one, 7 one in milliseconds."""
+    from eventide.functions.columns import event_key
+    from eventide.sinks.wire import encode_wire, to_envelope
+    from eventide.sources.wire import SCHEMA_V1_JSON
+    m = F.col("_n") % 40
+    late = (F.when(m == 5, F.lit((1 << 63) - 1)).when(m == 6, -F.col("timestamp")).when(m == 7, F.col("timestamp") * 1000)
+            .otherwise(F.col("timestamp")))
+    rows = (ce.withColumn("_n", F.col("id")).withColumn("_at", F.timestamp_seconds("timestamp"))
+              .withColumn("id", F.when(F.col("_n") % 97 == 0, F.lit(0).cast("long")).otherwise(F.col("id")))
+              .withColumn("timestamp", late.cast("long")))
+    enc = encode_wire(rows, 1, SCHEMA_V1_JSON)
+    cut = F.when(F.col("_n") % 40 == 3, F.expr("substring(value, 1, octet_length(value) - 3)")).otherwise(F.col("value"))
+    env = to_envelope(enc.withColumn("value", cut), TOPIC, event_key(), partition=F.col("_n") % 4,
+                      offset=F.floor(F.col("_n") / 4), timestamp=F.col("_at"))
+    return env.unionByName(env)
+
+
 def legacy_dlq(dlq: DataFrame) -> DataFrame:
     """Dead-letter rows from an older writer lack ``x-original-topic`` (offset % 80 = 3)."""
     stripped = F.filter("headers", lambda h: h["key"] != F.lit("x-original-topic"))

@@ -14,18 +14,28 @@ overwrites an earlier run (K6, D13).
 
 from __future__ import annotations
 
+import time
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from eventide.functions.columns import event_key
+from eventide.functions.columns import event_key, event_time
+from eventide.operators import offsets
 from eventide.operators.dedup import dedup_events
+from eventide.operators.generate import dense_index
 from eventide.operators.windows import WATERMARK, union_json, window_counts_union
+from eventide.plans.feature_store import commit_partitions
+from eventide.schema import CHANGE_EVENT_COLUMNS, CHANGE_EVENT_V1
 from eventide.session import scratch_path
-from eventide.sinks.parquet import FLUSH_INTERVAL, write_events
-from eventide.sinks.wire import encode_wire, kafka_available, publish, to_dlq, to_envelope
+from eventide.sinks.parquet import FLUSH_INTERVAL, with_partitions, write_events
+from eventide.sinks.wire import encode_wire, publish, to_dlq, to_envelope, use_broker
 from eventide.sources.json_events import frames_to_payloads, parse_change_event, parse_defaults
 from eventide.sources.replay import check_range, read_events, read_partitions
 from eventide.sources.wire import SCHEMA_V1_JSON, decode_all, rejected_rows, valid_rows
+from eventide.streaming.sources import clock
 
 TOPIC = "recentchanges"
 DLQ_TOPIC = "recentchanges-dlq"
@@ -65,7 +75,7 @@ def start_ingest(spark: SparkSession, capture_dir: str, topic_dir: str | None, d
     def write(df: DataFrame, key: str) -> None:
         valid, rejected = parse_change_event(frames_to_payloads(df))
         enc = encode_wire(valid, schema_id, schema_json)
-        env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
+        env = to_envelope(enc, TOPIC, event_key(), timestamp=event_time("timestamp"))
         _write_batch(env, topic_dir, key, TOPIC, bootstrap_servers)
         rej = rejected.select(
             F.lit(None).cast("binary").alias("key"), F.col("payload").cast("binary").alias("value"),
@@ -84,12 +94,12 @@ def _write_batch(df: DataFrame, path: str | None, key: str, topic: str | None =
                  bootstrap_servers: str | None = None) -> None:
     """Per-batch write of envelope rows.
 
-    To Kafka (``topic``) when the connector and servers are given: at-least-once,
+    To Kafka (``topic``) when servers are given: at-least-once,
     consumers deduplicate (T6/D1).  Otherwise Parquet under ``path`` in a
     ``batch_id=`` partition with dynamic overwrite, so a re-run batch replaces
     its own files.
     """
-    if bootstrap_servers and kafka_available(df.sparkSession):
+    if use_broker(df.sparkSession, bootstrap_servers):
         publish(df, topic, bootstrap_servers=bootstrap_servers)
         return
     (df.withColumn("batch_id", F.lit(key))
@@ -106,7 +116,7 @@ def _write_dlq(dlq: DataFrame, path: str | None, key: str, bootstrap_servers: st
     fresh checkpoint re-reading old messages adds no second copy.  Rows
     without coordinates (JSON rejects) cannot be matched and are kept.
     """
-    if bootstrap_servers and kafka_available(dlq.sparkSession):
+    if use_broker(dlq.sparkSession, bootstrap_servers):
         publish(dlq, DLQ_TOPIC, bootstrap_servers=bootstrap_servers)
         return
     from eventide.functions.columns import H_ORIGINAL_TOPIC, dt_col, header
@@ -171,25 +181,51 @@ def drop_stored(events: DataFrame, events_dir: str, key: str) -> DataFrame:
     return anti_join_existing(placed, stored, key=["dt", "hour", "wiki", "id"]).drop("dt", "hour")
 
 
+def _one_per_message(df: DataFrame) -> DataFrame:
+    """One row for each (topic, partition, offset); rows that lack one of them all stay."""
+    has = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    return df.where(has).dropDuplicates(list(offsets.COORDINATES)).unionByName(df.where(~has))
+
+
+# Stored beside each event: the message that it came in.
+SOURCE = ("source_topic", "source_partition", "source_offset")
+
+
 def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
                 registry: DataFrame, bootstrap_servers: str | None = None,
-                max_records_per_file: int | None = None) -> None:
-    """3.2 for one micro-batch: decode; rejects -> DLQ; valid -> dedup (within the
-    batch and against stored days) -> dt/hour files.
+                max_records_per_file: int | None = None, in_order: bool = False) -> None:
+    """3.2 for one micro-batch: drop messages stored before; decode; rejects -> DLQ;
+    valid -> dedup (within the batch and against stored days) -> dt/hour files;
+    then commit the batch's offsets and partitions.
 
     The decoded batch is persisted because several steps read it.  Both writes
-    replace their own ``batch_id`` partition, so a replayed batch adds nothing twice.
+    replace their own ``batch_id`` partition and the offsets are committed after
+    them, so a replayed batch adds nothing twice: what it left behind is
+    overwritten, whatever was committed is not seen by itself (K6).
+    ``in_order``: the source reads every offset of a partition in order.
     """
-    keep = ("key", "topic", "partition", "offset", "broker_timestamp", "headers")
+    spark = df.sparkSession
+    run, _, number = key.rpartition("-")
+    manifest = f"{events_dir.rstrip('/')}/{offsets.OFFSETS_DIR}"
+    df = df.persist()                       # read once from the topic, whatever is asked of it
     msgs = df.withColumnRenamed("timestamp", "broker_timestamp")
+    before = offsets.committed(spark, manifest, run, int(number))
+    if before is not None:
+        msgs = offsets.drop_covered(msgs, before)
+    keep = ("key", "topic", "partition", "offset", "broker_timestamp", "headers")
     dec = decode_all(msgs, registry, keep=keep).persist()     # decoded once, read by both sinks
     try:
-        _write_dlq(to_dlq(rejected_rows(dec, keep=keep), DLQ_TOPIC, ts_col="broker_timestamp"),
-                   dlq_dir, key, bootstrap_servers)
-        events = drop_stored(dedup_events(valid_rows(dec)), events_dir, key)
-        write_events(events, events_dir, batch_id=key, max_records_per_file=max_records_per_file)
+        rejects = _one_per_message(rejected_rows(dec, keep=keep))
+        _write_dlq(to_dlq(rejects, DLQ_TOPIC, ts_col="broker_timestamp"), dlq_dir, key, bootstrap_servers)
+        valid = valid_rows(dec, keep=offsets.COORDINATES).withColumnsRenamed(dict(zip(offsets.COORDINATES, SOURCE)))
+        events = drop_stored(dedup_events(valid, delivery=SOURCE), events_dir, key)
+        write_events(events, events_dir, batch_id=key, max_records_per_file=max_records_per_file, keep=SOURCE)
+        done = offsets.offset_spans(dec) if in_order else offsets.offset_ranges(dec)
+        commit_partitions(with_partitions(valid), events_dir, run, int(number))
+        offsets.commit(spark, manifest, run, int(number), done)
     finally:
         dec.unpersist()
+        df.unpersist()
 
 
 def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, dlq_dir: str | None,
@@ -201,7 +237,7 @@ def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, d
     ckpt = _checkpoint(spark, "store", checkpoint)
     w = topic_stream.writeStream.foreachBatch(
         lambda df, bid: store_batch(df, batch_key(ckpt, bid), events_dir, dlq_dir, registry, bootstrap_servers,
-                                    max_records_per_file)
+                                    max_records_per_file, in_order=bool(bootstrap_servers))
     ).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 
@@ -221,7 +257,7 @@ def start_windows(spark: SparkSession, payloads: DataFrame, out_dir: str | None,
     a broker, as text files (the file sink's commit log makes that exactly-once)."""
     out = windows_stream(payloads).writeStream.outputMode("append") \
         .option("checkpointLocation", _checkpoint(spark, "windows", checkpoint))
-    if bootstrap_servers and kafka_available(spark):
+    if use_broker(spark, bootstrap_servers):
         q = out.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", AGG_TOPIC)
     else:
         q = out.format("text").option("path", out_dir)
@@ -242,34 +278,78 @@ def replay(spark: SparkSession, events_dir: str, date_from: str, date_to: str,
     if dry_run:
         return totals
     enc = encode_wire(stored.drop("dt", "hour"), schema_id, schema_json)
-    env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
+    env = to_envelope(enc, TOPIC, event_key(), timestamp=event_time("timestamp"))
     publish(env, TOPIC, path=topic_dir, bootstrap_servers=bootstrap_servers)
     return totals
 
 
-def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str | None, files_per_trigger: int = 1,
-                       interval: str = "1 second", checkpoint: str | None = None,
-                       schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON, trigger: dict | None = None,
-                       bootstrap_servers: str | None = None, date_from: str | None = None,
-                       date_to: str | None = None):
-    """Replay stored events, of the days ``[date_from, date_to]`` if given, as a
-    paced stream -- at most ``files_per_trigger`` files every ``interval`` -- instead
-    of a per-row timer."""
-    from eventide.sources.replay import STORED
-    from eventide.streaming.sources import read_event_files
-    stored = read_event_files(spark, events_dir, STORED, max_files_per_trigger=files_per_trigger)
-    if date_from is not None or date_to is not None:
-        check_range(date_from, date_to)
-        stored = stored.where(F.col("dt").between(F.lit(date_from), F.lit(date_to)))
-    ckpt = _checkpoint(spark, "replay", checkpoint)
+class PacedReplay(NamedTuple):
+    """A running paced replay: its query, and after how many ticks it is done."""
+    query: StreamingQuery
+    ticks: int
+
+    def await_end(self, poll_seconds: float = 0.1) -> None:
+        """Wait for the last tick, then stop the clock (which would go on for ever)."""
+        while self.query.isActive:
+            last = self.query.lastProgress
+            if not self.ticks or last and last["batchId"] >= self.ticks - 1:
+                break
+            time.sleep(poll_seconds)
+        self.query.stop()
+        if self.query.exception():
+            raise self.query.exception()
+
+
+# Ticks whose events lie in one folder of the release table.
+TICKS_PER_BLOCK = 4096
+
+
+def release_table(spark: SparkSession, events_dir: str, date_from: str, date_to: str, per_tick: int, path: str) -> DataFrame:
+    """The events of the days, numbered by event time and written under ``path`` in
+    blocks of ticks, in order; what is there whole is used again, so that a
+    restart releases the same events at the same ticks."""
+    schema = T.StructType([*CHANGE_EVENT_V1.fields, T.StructField("release", T.LongType()), T.StructField("block", T.LongType())])
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        stored = read_events(spark, events_dir, date_from, date_to).select(*CHANGE_EVENT_COLUMNS)
+        first = ["timestamp", "wiki", "id"]
+        order = [*first, *(c for c in CHANGE_EVENT_COLUMNS if c not in first)]
+        listed = dense_index(stored, order, out="release") \
+            .withColumn("block", F.floor(F.col("release") / F.lit(per_tick * TICKS_PER_BLOCK)).cast("long"))
+        listed.sortWithinPartitions("block", "release").write.mode("overwrite").partitionBy("block").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str | None, date_from: str, date_to: str,
+                       events_per_second: float, interval_seconds: float = 1.0, checkpoint: str | None = None,
+                       schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON,
+                       bootstrap_servers: str | None = None) -> PacedReplay:
+    """Replay the stored events of ``[date_from, date_to]`` in order of event
+    time at ``events_per_second``: each tick of a clock, one every
+    ``interval_seconds``, releases the next ``events_per_second * interval_seconds``.
+
+    The range is listed by its days' paths and numbered once; a tick reads only
+    its own block of that table, cut to its rows by the file statistics.  A
+    trigger that comes late releases its own tick, so no interval gets more.
+    A restart of the checkpoint goes on at the tick that was not committed.
+    """
+    check_range(date_from, date_to)
+    per_tick = max(1, int(events_per_second * interval_seconds))
+    ckpt = _checkpoint(spark, "replay", checkpoint).rstrip("/")
+    table = release_table(spark, events_dir, date_from, date_to, per_tick, f"{ckpt}-release-{per_tick}")
+    ticks = -(-table.count() // per_tick)
+    span = per_tick * TICKS_PER_BLOCK
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        enc = encode_wire(df.drop("dt", "hour"), schema_id, schema_json)
-        env = to_envelope(enc, TOPIC, event_key(), timestamp=F.timestamp_seconds("timestamp"))
+        if batch_id >= ticks:               # the clock ticks once a batch: its number is the tick
+            return
+        lo, hi = batch_id * per_tick, (batch_id + 1) * per_tick
+        due = table.where(F.col("block").between(lo // span, (hi - 1) // span) & (F.col("release") >= lo) & (F.col("release") < hi))
+        enc = encode_wire(due.select(*CHANGE_EVENT_COLUMNS), schema_id, schema_json)
+        env = to_envelope(enc, TOPIC, event_key(), timestamp=event_time("timestamp"))
         _write_batch(env, topic_dir, batch_key(ckpt, batch_id), TOPIC, bootstrap_servers)
 
-    w = stored.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
-    return w.trigger(**(trigger or {"processingTime": interval})).start()
+    w = clock(spark, interval_seconds).writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
+    return PacedReplay(w.trigger(processingTime=f"{max(1, int(interval_seconds * 1000))} milliseconds").start(), ticks)
 
 
 def start_top_wikis(spark: SparkSession, payloads: DataFrame, out_dir: str, k: int = 3,

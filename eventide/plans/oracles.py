@@ -112,6 +112,12 @@ oracle("replay_job", f"""
 WITH {CE}
 SELECT {CE_COLS} FROM ce WHERE {_IN_RANGE}""")
 
+oracle("replay_paced", f"""
+WITH {CE}
+SELECT id, concat(wiki, '/', title) AS event_key, timestamp,
+       CAST((row_number() OVER (ORDER BY timestamp, wiki, id) - 1) // 2000 AS BIGINT) AS tick
+FROM ce WHERE {_IN_RANGE}""")
+
 oracle("publish_partitions", f"""
 WITH {CE}
 SELECT concat(wiki, '/', title) AS event_key, count(*) AS messages, CAST(1 AS BIGINT) AS partitions
@@ -294,6 +300,28 @@ SELECT id, wiki, timestamp,
        + """
 FROM j""")
 
+_STATS = ["edits_last_hour", "edits_last_24h", "unique_users_last_hour", "bot_fraction", "avg_edits_per_user"]
+oracle("feature_service", f"""
+WITH {EDIT_STATS},
+r AS (SELECT *, CAST(timestamp + CASE WHEN id % 13 = 0 THEN 400 * 86400 WHEN id % 10 = 0 THEN -1800
+             ELSE (id % 120) * 86400 + (id % 7) * 1800 END AS BIGINT) AS request_ts FROM ce),
+j AS (SELECT r.*, r.request_ts BETWEEN r.timestamp AND r.timestamp + 90 * 86400 AS fresh,
+             f.feature_ts AS stats_feature_ts, r.request_ts - f.feature_ts <= 365 * 86400 AS f_fresh,
+             {", ".join("f." + c for c in _STATS)}
+      FROM r ASOF LEFT JOIN f ON r.wiki = f.wiki AND r.request_ts >= f.feature_ts)
+SELECT id AS event_id, wiki, request_ts, CASE WHEN fresh THEN timestamp END AS event_feature_ts,
+  CASE WHEN fresh THEN timestamp END AS event_timestamp, CASE WHEN fresh THEN type END AS type,
+  CASE WHEN fresh THEN namespace END AS namespace, CASE WHEN fresh THEN title END AS title,
+  CASE WHEN fresh THEN "user" END AS "user", CASE WHEN fresh THEN CAST(bot AS INT) END AS bot,
+  CASE WHEN fresh THEN server_name END AS server_name, CASE WHEN fresh THEN comment END AS comment,
+  CASE WHEN f_fresh THEN stats_feature_ts END AS stats_feature_ts,
+  {", ".join(f"CASE WHEN f_fresh THEN {c} END AS {c}" for c in _STATS)}
+FROM j""")
+
+oracle("feature_incremental", f"""
+WITH {EDIT_STATS}
+SELECT * FROM f""")
+
 oracle("feature_latest", f"""
 WITH {EDIT_STATS}
 SELECT wiki, feature_ts, edits_last_hour, edits_last_24h, unique_users_last_hour, bot_fraction,
@@ -468,3 +496,10 @@ WITH {CE}
 SELECT {CE_COLS}, CASE WHEN id % 2 = 0 THEN CAST(namespace % 2 AS INT) ELSE 0 END AS minor,
        CASE WHEN id % 2 = 0 THEN id END AS page_id
 FROM ce WHERE {M40} > 3""")
+
+# Each message was delivered twice and read by two runs; n % 40 in (3, 5, 6, 7) is damaged.
+oracle("store_redelivery", f"""
+WITH {CE}
+SELECT CAST(CASE WHEN id % 97 = 0 THEN 0 ELSE id END AS BIGINT) AS id, type, namespace, title, title_url, comment, timestamp,
+       "user", bot, server_url, server_name, server_script_url, wiki, parsed_timestamp
+FROM ce WHERE id % 40 NOT IN (3, 5, 6, 7)""")

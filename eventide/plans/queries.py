@@ -200,6 +200,21 @@ def q_replay_job(spark, sf_dir):
     return valid
 
 
+PACE, PACE_INTERVAL = 10_000, 0.2         # events per second; seconds between releases
+
+
+@query("replay_paced")
+def q_replay_paced(spark, sf_dir):
+    """The range replayed at ``PACE``: each event with the tick that released it."""
+    from eventide.plans import jobs
+    topic = scratch_path(spark, "paced-topic")
+    jobs.start_replay_paced(spark, _stored(spark, sf_dir), topic, REPLAY_FROM, REPLAY_TO, PACE, PACE_INTERVAL,
+                            checkpoint=scratch_path(spark, "paced-ckpt")).await_end()
+    sent = spark.read.parquet(topic).withColumn("tick", F.substring_index("batch_id", "-", -1).cast("long"))
+    valid, _ = decode_wire(sent.select("value", "tick"), registry_frame(spark), keep=("tick",))
+    return valid.select("id", C.event_key().alias("event_key"), "timestamp", "tick")
+
+
 @query("publish_partitions")
 def q_publish_partitions(spark, sf_dir):
     """K1: per key of the replayed topic, its messages and the partitions they are in."""
@@ -299,6 +314,21 @@ def q_store_job(spark, sf_dir):
     return ce_columns(read_events(spark, events))
 
 
+@query("store_redelivery")
+def q_store_redelivery(spark, sf_dir):
+    """K6: a topic that holds every message twice, read by two runs of the store job with
+    checkpoints of their own: each event is stored once, those without an id too."""
+    from eventide.plans import jobs
+    from eventide.streaming.sources import read_topic
+    topic = scratch_path(spark, "redelivery-topic")
+    inject.redelivered_topic(ce_columns(change_events(spark, sf_dir))).write.parquet(topic)
+    events, dlq = scratch_path(spark, "redelivery-events"), scratch_path(spark, "redelivery-dlq")
+    for run in ("first", "second"):
+        jobs.start_store(spark, read_topic(spark, inject.TOPIC, path=topic), events, dlq, registry_frame(spark),
+                         checkpoint=scratch_path(spark, f"redelivery-{run}"), trigger={"availableNow": True}).awaitTermination()
+    return ce_columns(read_events(spark, events))
+
+
 @query("ingest_job")
 def q_ingest_job(spark, sf_dir):
     """3.1 end to end as a stream: an event-stream capture of every event
@@ -480,6 +510,39 @@ def q_feature_asof(spark, sf_dir):
                               "timestamp", "feature_ts", ttl=ASOF_TTL)
 
 
+@query("feature_service")
+def q_feature_service(spark, sf_dir):
+    """Both views at their declared times to live, for a request per event:
+    before it, within 120 days after it, or 400 days after it."""
+    from eventide.plans.feature_store import feature_service
+    stored = features.feature_source(spark, _stored(spark, sf_dir))
+    ce = change_events(spark, sf_dir)
+    after = (F.when(F.col("id") % 13 == 0, F.lit(400 * features.DAY)).when(F.col("id") % 10 == 0, F.lit(-1800))
+             .otherwise((F.col("id") % 120) * features.DAY + (F.col("id") % 7) * 1800))
+    asked = ce.select(F.col("id").alias("event_id"), "wiki", (F.col("timestamp") + after).cast("long").alias("request_ts"))
+    return feature_service(asked, stored, materialize(features.edit_stats(ce)))
+
+
+DELIVERY_ENDS = (1704931200, 1705795200)     # 2024-01-11 and 2024-01-21, UTC
+
+
+@query("feature_incremental")
+def q_feature_incremental(spark, sf_dir):
+    """F8: the events stored in three deliveries, one in twenty late by one or two of
+    them, with an incremental materialization after each: the whole grid."""
+    from eventide.plans import feature_store
+    from eventide.sinks.parquet import with_partitions
+    ce = ce_columns(change_events(spark, sf_dir))
+    on_time = (F.when(F.col("timestamp") < DELIVERY_ENDS[0], 0).when(F.col("timestamp") < DELIVERY_ENDS[1], 1).otherwise(2))
+    events, store = scratch_path(spark, "incremental-events"), scratch_path(spark, "incremental-store")
+    for n in range(3):
+        part = ce.where(F.when(F.col("id") % 20 == 0, F.lit(2)).otherwise(on_time) == n)
+        write_events(part, events, batch_id=f"deliveries-{n:010d}")
+        feature_store.commit_partitions(with_partitions(part), events, "deliveries", n)
+        feature_store.materialize_incremental(spark, events, store)
+    return feature_store.read_grid(spark, store)
+
+
 @query("feature_latest")
 def q_feature_latest(spark, sf_dir):
     stats = features.edit_stats(change_events(spark, sf_dir), start=LATEST_FROM, end=LATEST_TO)

@@ -80,14 +80,19 @@ def kafka_available(spark) -> bool:
         return False
 
 
+def use_broker(spark, bootstrap_servers: str | None) -> bool:
+    """Whether to write to a broker; one that is named but cannot be reached through Spark is an error."""
+    if bootstrap_servers and not kafka_available(spark):
+        raise ValueError("broker given, but Spark's Kafka connector is not on the classpath")
+    return bool(bootstrap_servers)
+
+
 def publish(df: DataFrame, topic: str | None = None, path: str | None = None,
             bootstrap_servers: str | None = None) -> None:
     """K1: write (key, value[, topic, headers]) to Kafka, or to Parquet at ``path``."""
     cols = [c for c in ("key", "value", "topic", "partition", "offset", "timestamp", "headers") if c in df.columns]
     out = df.select(*cols)
-    if bootstrap_servers:
-        if not kafka_available(df.sparkSession):
-            raise ValueError("broker given, but Spark's Kafka connector is not on the classpath")
+    if use_broker(df.sparkSession, bootstrap_servers):
         # The broker's partitioner hashes the key; offsets and times are the broker's.
         w = out.drop("partition", "offset", "timestamp").write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers) \
                      .option("kafka.acks", "all")

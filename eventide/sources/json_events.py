@@ -12,15 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventide.functions.columns import TS_MAX, TS_RANGE_ERROR
 from eventide.schema import CHANGE_EVENT_COLUMNS, JSON_PAYLOAD, STRING_COLUMNS
 
 CORRUPT = "_corrupt"
 DATA_PREFIX = "data: "
 PARSE_ERROR = "json unmarshal: payload is not a valid change event"
 MISSING_TS_ERROR = "parse: timestamp field is missing"
-TS_RANGE_ERROR = "parse: timestamp is out of range"
-# Epoch seconds that can be a time: from 1970 to the year 9999.  Milliseconds fall outside.
-TS_MAX = 253_402_300_799
 UNKNOWN = "unknown"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions import avro
+from eventide.functions.columns import TS_MAX, TS_RANGE_ERROR
 from eventide.operators.joins import broadcast_if_small, collect_small, spread_for_python
 from eventide.schema import CHANGE_EVENT_V1, CHANGE_EVENT_V2, REGISTRY, V2_DEFAULTS, align_schema
 
@@ -113,15 +114,15 @@ def _decode_spark_avro(inputs: DataFrame, known: dict, value: str, passthrough:
 
 
 def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
-               keep: tuple[str, ...] = (), engine: str = "arrow") -> DataFrame:
+               keep: tuple[str, ...] = (), engine: str = "auto") -> DataFrame:
     """S4 in one pass: every message -> ``keep`` + ``value`` + the decoded v2
     field superset + ``error_message`` (NULL for a good message).
 
     Envelope and registry checks are SQL expressions; the rows then make a
     single trip through the Arrow-batched body decoder (envelope rejects ride
     along undecoded), so valid rows and rejects come from the same scan.
-    ``engine="spark-avro"`` decodes with Spark's ``from_avro`` instead (no
-    Python); ``"auto"`` uses it when the module is on the classpath.  (It is
+    ``engine="auto"`` decodes with Spark's ``from_avro`` (no Python) when the module
+    is on the classpath, else with the Arrow codec.  (It is
     not installed where this was built, so the Arrow codec is the tested path.)
     """
     schemas = collect_small(registry.select("schema_id", "schema"), max_rows=100_000)
@@ -144,7 +145,7 @@ def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
     passthrough = list(keep) + [value]
     inputs = env.select(*passthrough, "schema_id", "envelope_error")
     if engine == "spark-avro" or (engine == "auto" and avro_available(df.sparkSession)):
-        return _decode_spark_avro(inputs, known, value, passthrough)
+        return _reject_bad_times(_decode_spark_avro(inputs, known, value, passthrough))
     out_schema = T.StructType([inputs.schema[c] for c in passthrough] + decoded_fields
                               + [T.StructField("error_message", T.StringType())])
 
@@ -152,7 +153,15 @@ def decode_all(df: DataFrame, registry: DataFrame, value: str = "value",
         return avro.decoder(get_known(), arrow_fields, value_col=value, keep=passthrough,
                             err_col="envelope_error")(batches)
 
-    return spread_for_python(inputs).mapInArrow(run, out_schema)
+    return _reject_bad_times(spread_for_python(inputs).mapInArrow(run, out_schema))
+
+
+def _reject_bad_times(decoded: DataFrame) -> DataFrame:
+    """A body may decode and yet hold a time that is none (negative, milliseconds):
+    a reject like any other, before a sink forms its day of it."""
+    times = [F.coalesce(F.col(c), F.lit(0)).between(0, TS_MAX) for c in ("timestamp", "parsed_timestamp")]
+    bad = F.col("error_message").isNull() & ~(times[0] & times[1])
+    return decoded.withColumn("error_message", F.when(bad, F.lit(TS_RANGE_ERROR)).otherwise(F.col("error_message")))
 
 
 def valid_rows(decoded: DataFrame, target: T.StructType = CHANGE_EVENT_V1,

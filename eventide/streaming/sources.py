@@ -45,13 +45,19 @@ def read_topic(spark: SparkSession, topic: str, path: str | None = None,
 
 def read_event_files(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
                      fmt: str = "parquet") -> DataFrame:
-    """Stored events (or any fixed-schema files) as a stream; T9 pacing via files per trigger."""
+    """Stored events (or any fixed-schema files) as a stream, so many files per trigger."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.format(fmt).load(path)
 
 
+def clock(spark: SparkSession, interval_seconds: float) -> DataFrame:
+    """Ticks 0, 1, 2, ... (``value``), one in each micro-batch, whatever the triggers do."""
+    return (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1)
+            .option("advanceMillisPerBatch", max(1, int(interval_seconds * 1000))).load())
+
+
 def payloads_from_topic(messages: DataFrame, value: str = "value") -> DataFrame:
     """JSON payloads of a topic whose values are UTF-8 text (the windowing job's input)."""
     from pyspark.sql import functions as F

@@ -173,12 +173,34 @@ def test_replay_job_and_paced_replay(spark, tmp):
     jobs.replay(spark, events_dir, "2024-01-02", "2024-01-03", topic_dir=topic)
     valid, _ = decode_wire(spark.read.parquet(topic).select("value"), registry_frame(spark))
     assert valid.count() == want
-    paced = os.path.join(tmp, "paced")
-    q = jobs.start_replay_paced(spark, events_dir, paced, files_per_trigger=50,
-                                checkpoint=os.path.join(tmp, "ck"), trigger={"availableNow": True})
-    q.awaitTermination()
-    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
-    assert len(batches) >= 2 and spark.read.parquet(paced).count() == ce.count()
+
+
+def test_paced_replay_releases_its_rate_and_goes_on_after_a_restart(spark, tmp):
+    from eventide.sinks.parquet import write_events
+    ce = ce_columns(change_events(spark, SF001))
+    events_dir, topic, ck = (os.path.join(tmp, x) for x in ("events", "topic", "ck"))
+    write_events(ce.unionByName(ce.limit(3)), events_dir)                 # repeated rows are released each
+    want = read_events(spark, events_dir, "2024-01-02", "2024-01-04").count()
+    start = lambda: jobs.start_replay_paced(spark, events_dir, topic, "2024-01-02", "2024-01-04", events_per_second=100,
+                                            interval_seconds=0.2, checkpoint=ck)
+    job = start()
+    assert job.ticks == -(-want // 20) > 2
+    while not (job.query.lastProgress and job.query.lastProgress["batchId"] >= 1):
+        time.sleep(0.05)
+    job.query.stop()                                                       # stopped half-way
+    start().await_end()
+    sent = spark.read.parquet(topic)
+    sizes = [r["count"] for r in sent.groupBy("batch_id").count().orderBy("batch_id").collect()]
+    assert sum(sizes) == want and set(sizes[:-1]) == {20} and sizes[-1] <= 20
+    last = None
+    for low, high in sent.groupBy("batch_id").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")) \
+                         .orderBy("batch_id").select("a", "b").collect():
+        assert last is None or last <= low
+        last = high
+    nothing = jobs.start_replay_paced(spark, events_dir, os.path.join(tmp, "none"), "2020-01-01", "2020-01-02", 100,
+                                      checkpoint=os.path.join(tmp, "ck2"))
+    nothing.await_end()
+    assert nothing.ticks == 0 and not os.path.exists(os.path.join(tmp, "none"))
 
 
 def test_windows_job_from_topic_to_json_files(spark, tmp):
