@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.operators.carry import asof_carry
-from eventide.operators.features import (DAY, EDIT_STATS_TTL, EVENT_FEATURES_TTL, HOUR, feature_events, grid_of_hours,
+from eventide.operators.features import (DAY, EDIT_STATS_TTL, EVENT_FEATURES_TTL, HOUR, grid_of_hours,
                                          hour_counts)
 from eventide.operators.joins import materialize
 from eventide.operators.offsets import _fs
