@@ -103,11 +103,14 @@ def rate_per_second(df: DataFrame, ts: str, group: list[str], width_seconds: int
 
 def consumer_lag(latest: DataFrame, committed: DataFrame, key: list[str]) -> DataFrame:
     """M6: per partition, latest offset minus committed offset."""
-    j = latest.join(committed, on=key, how="left")
-    return j.select(*key, "end_offset",
-                    F.coalesce(F.col("committed_offset"), F.lit(0)).cast("long").alias("committed_offset"),
-                    (F.col("end_offset") - F.coalesce(F.col("committed_offset"), F.lit(0)))
-                    .cast("long").alias("lag"))
+    return lag_of(latest.join(committed, on=key, how="left"), key)
+
+
+def lag_of(offsets: DataFrame, key: list[str]) -> DataFrame:
+    """M6 where one row per partition has both offsets: nothing committed counts as 0."""
+    done = F.coalesce(F.col("committed_offset"), F.lit(0)).cast("long")
+    return offsets.select(*key, "end_offset", done.alias("committed_offset"),
+                          (F.col("end_offset") - done).cast("long").alias("lag"))
 
 
 def flush_batch_sizes(df: DataFrame, ts: str, group: list[str], interval_seconds: int = 30,
@@ -148,7 +151,7 @@ def slo_report(df: DataFrame, group: list[str], latency_ms: str, is_error: str,
         vc = materialize(df.groupBy(*group, latency_ms).agg(
             F.count(F.lit(1)).alias("_c"), F.sum(F.col(is_error).cast("long")).alias("_e"),
             F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax")))
-        q = exact_quantiles(None, group, latency_ms, [0.5, 0.95, 0.99], chunk_width=100.0,
+        q = exact_quantiles(None, group, latency_ms, [0.5, 0.95, 0.99],
                             counts=vc.where(F.col(latency_ms).isNotNull()).select(*group, latency_ms, "_c"))
         r = vc.groupBy(*group).agg(
             (F.sum("_e") / F.sum("_c")).alias("error_rate"),

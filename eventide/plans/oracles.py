@@ -121,7 +121,7 @@ FROM ce WHERE {_IN_RANGE}""")
 oracle("publish_partitions", f"""
 WITH {CE}
 SELECT concat(wiki, '/', title) AS event_key, count(*) AS messages, CAST(1 AS BIGINT) AS partitions
-FROM ce WHERE {_IN_RANGE} GROUP BY 1""")
+FROM ce GROUP BY 1""")
 
 DUPS = f"""{CE},
 d0 AS (SELECT {CE_COLS} FROM ce

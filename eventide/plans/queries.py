@@ -217,8 +217,12 @@ def q_replay_paced(spark, sf_dir):
 
 @query("publish_partitions")
 def q_publish_partitions(spark, sf_dir):
-    """K1: per key of the replayed topic, its messages and the partitions they are in."""
-    _, topic = _replayed(spark, sf_dir)
+    """K1: every event published; per key, its messages and the partitions they are in."""
+    from eventide.sinks.wire import encode_wire, publish, to_envelope
+    from eventide.sources.wire import SCHEMA_V1_JSON
+    topic = scratch_path(spark, "published-topic")
+    enc = encode_wire(ce_columns(change_events(spark, sf_dir)), 1, SCHEMA_V1_JSON)
+    publish(to_envelope(enc, inject.TOPIC, C.event_key(), timestamp=C.event_time()), inject.TOPIC, path=topic)
     return (spark.read.parquet(topic).groupBy(F.col("key").cast("string").alias("event_key"))
             .agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("partition").alias("partitions")))
 
@@ -588,10 +592,9 @@ def q_metric_error_rate(spark, sf_dir):
 def q_metric_lag(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select(
         (F.col("user_id") % 4).cast("int").alias("partition"), "event_type")
-    latest = ev.groupBy("partition").agg(F.count(F.lit(1)).alias("end_offset"))
-    committed = ev.where(F.col("event_type") != "error").groupBy("partition") \
-                  .agg(F.count(F.lit(1)).alias("committed_offset"))
-    return metrics.consumer_lag(latest, committed, ["partition"])
+    offsets = ev.groupBy("partition").agg(F.count(F.lit(1)).alias("end_offset"),
+                                          F.count_if(F.col("event_type") != "error").alias("committed_offset"))
+    return metrics.lag_of(offsets, ["partition"])
 
 
 @query("metric_batch_size")

@@ -75,7 +75,7 @@ def test_exact_quantiles_match_numpy(spark):
     groups = rng.integers(0, 3, 3000)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, vals)], "g int, v double")
     got = {(r.g, r.q): r.v for r in exact_quantiles(df, ["g"], "v", [0.0, 0.5, 0.95, 0.99, 1.0],
-                                                     chunk_width=7.0).collect()}
+                                                     fine=7).collect()}
     for g in range(3):
         x = vals[groups == g]
         for q in (0.0, 0.5, 0.95, 0.99, 1.0):
