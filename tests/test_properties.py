@@ -145,7 +145,7 @@ def test_exact_quantiles_with_ties(spark, rows, width):
     from eventide.operators.quantiles import exact_quantiles
     df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g string, v double")
     qs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = {(r.g, r.q): r.v for r in exact_quantiles(df, ["g"], "v", qs, fine=width).collect()}
+    got = {(r.g, r.q): r.v for r in exact_quantiles(df, ["g"], "v", qs, fine=1 + int(width)).collect()}
     for g in {g for g, _ in rows}:
         x = np.array([v for gg, v in rows if gg == g], dtype=float)
         for q in qs:
