@@ -13,6 +13,7 @@ import json
 import re
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import regex
 
@@ -20,6 +21,7 @@ DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SPACES_MEET = re.compile(r"\s |\ \s")
 NONE = 1 << 60
+TOGETHER = 1 << 15            # pre-tokens that take their merges together
 
 
 def byte_of_char() -> dict[str, int]:
@@ -66,6 +68,9 @@ class Vocabulary:
             self.rank[self.id_of[a], self.id_of[b]] = n
             self.merged.append(self.id_of[a + b])
         self.id_of_byte = [self.id_of[bytes([b])] for b in range(256)]
+        pairs = np.array([(a << 32) | b for a, b in self.rank] or [-1], np.int64)
+        self.pair_order = np.argsort(pairs)
+        self.pair_keys, self.merged_ids = pairs[self.pair_order], np.array(self.merged or [0], np.int64)
         self.longest = max(map(len, self.id_of))
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -97,6 +102,51 @@ class Vocabulary:
                 ranks[at] = rank((ids[at], ids[at + 1]), NONE)
         return ids
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge rank of each pair of ids, ``NONE`` where they never merge."""
+        key = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == key) & (right >= 0), self.pair_order[at], NONE)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many pre-tokens: those of like length take their next merge together."""
+        out: list[list[int]] = [[]] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        by_length, first = np.argsort(lengths, kind="stable"), 0
+        for width in (2, 4, 6, 8, 12, 16, 24, 48):
+            last = int(np.searchsorted(lengths, width, "right", sorter=by_length))
+            for start in range(first, last, TOGETHER):
+                rows = by_length[start:min(last, start + TOGETHER)]
+                for i, ids in zip(rows.tolist(), self._merge_rows([words[i] for i in rows], width)):
+                    out[i] = ids
+            first = last
+        for i in by_length[first:].tolist():
+            out[i] = self._merge_long(words[i])
+        return out
+
+    def _merge_rows(self, words: list[bytes], width: int) -> list[list[int]]:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width)
+        column = np.arange(width)
+        ids = np.where(column < size[:, None], np.array(self.id_of_byte)[letters], -1)
+        ranks = np.full(ids.shape, NONE)               # of the pair that begins in a column
+        ranks[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
+        live = np.arange(len(words))
+        while len(live):
+            at = ranks[live].argmin(axis=1)            # the lowest rank, leftmost on ties
+            best = ranks[live, at]
+            live, at, best = live[best != NONE], at[best != NONE], best[best != NONE]
+            kept = np.minimum(column + (column > at[:, None]), width - 1)
+            for grid, blank in ((ids, -1), (ranks, NONE)):
+                grid[live] = np.take_along_axis(grid[live], kept, axis=1)
+                grid[live, -1] = blank
+            ids[live, at] = self.merged_ids[best]
+            size[live] -= 1
+            after, inner = np.minimum(at + 1, width - 1), at > 0
+            ranks[live, at] = np.where(after > at, self._ranks(ids[live, at], ids[live, after]), NONE)
+            ranks[live[inner], at[inner] - 1] = self._ranks(ids[live[inner], at[inner] - 1], ids[live[inner], at[inner]])
+        return [row[:n] for row, n in zip(ids.tolist(), size.tolist())]
+
     def _merge_long(self, word: bytes) -> list[int]:
         """The same by a heap over linked parts, for pre-tokens of any length."""
         parts: list[int | None] = [self.id_of_byte[b] for b in word]

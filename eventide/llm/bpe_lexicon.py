@@ -13,12 +13,16 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import re
 import uuid
 from array import array
+from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +33,7 @@ from eventide.session import ensure_checkpoint_dir
 
 LEXICON_WORDS = 50_000        # proven bound of the lexicon: at most so many words ...
 LEXICON_WORD_BYTES = 24       # ... of so many bytes
-CACHED = 150_000              # pieces, or words, of one generation of what is remembered
+CACHED = 300_000              # pieces of one generation of what is remembered
 MAGIC = 0x4C455831
 
 
@@ -139,8 +143,9 @@ class Lexicon:
         return self.ids[self.starts[rank]:self.starts[rank + 1]].tolist()
 
 
-# The token ids of a piece, the same in decimal, and the bytes that they decode to.
-Run = tuple[tuple[int, ...], str, bytes]
+# A space that meets another white-space character: such texts are cut one by one.
+SPACES_MEET = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+STEP_BYTES = 8 << 20          # texts worked on together, unless one alone is longer
 
 
 class Encoder:
@@ -148,53 +153,118 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
         self.vocab, self.lexicon = vocab, lexicon
-        self.known: dict[str, Run] = {}
-        self.before: dict[str, Run] = {}          # the generation before
-        self.words = Recent(2 * CACHED)
-        self.raw = [vocab.bytes_of.get(i, b"") for i in range(max(vocab.bytes_of) + 1)]
-        self.decimal = [str(i) for i in range(len(self.raw))]
-        self.special = {s: self.run_of((i,)) for s, i in vocab.special.items()}
-
-    def run_of(self, ids: tuple[int, ...]) -> Run:
-        return ids, ",".join([self.decimal[i] for i in ids]), b"".join([self.raw[i] for i in ids])
-
-    def learn(self, pieces: list[str]) -> None:
-        """Look the pieces up in the lexicon; merge those it lacks."""
-        raw = [p.encode() for p in pieces]
-        for piece, word, rank in zip(pieces, raw, self.lexicon.find(raw)):
-            self.known[piece] = self.run_of(tuple(self.lexicon.token_ids(rank)) if rank >= 0 else self.merged(piece))
-
-    def merged(self, piece: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for word in self.vocab.words.findall(piece):
-            if (own := self.words.get(word)) is None:
-                own = self.vocab.merge(word.encode())
-                if len(word) <= 64:
-                    self.words.put(word, own)
-            ids += own
-        return tuple(ids)
-
-    def encode_batch(self, texts: list[str]) -> list[list[Run]]:
-        """Each text as runs of token ids, one run per piece."""
-        cut = [[(n % 2, [seg] if n % 2 else self.vocab.pieces(seg)) for n, seg in enumerate(self.vocab.segments(t))]
-               for t in texts]
-        if len(self.known) > CACHED:
-            self.before, self.known = self.known, {}
-        fresh = []
-        for piece in {p for text in cut for special, ps in text if not special for p in ps} - self.known.keys():
-            if (run := self.before.get(piece)) is None:
-                fresh.append(piece)
+        self.known = Recent(CACHED)
+        size = max(vocab.bytes_of) + 1
+        self.raw = pa.array([vocab.bytes_of.get(i, b"") for i in range(size)], pa.large_binary())
+        self.decimal = pa.array([b"%d," % i for i in range(size)], pa.large_binary())
+        self.special = {s: (i,) for s, i in vocab.special.items()}
+        self.odd = "|".join([SPACES_MEET, *map(re.escape, vocab.special)])
+
+    def merged(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """Token ids of each piece by exact merging; the words that are new are merged together."""
+        split = [self.vocab.words.findall(p) for p in pieces]
+        fresh = list(set(chain.from_iterable(split)))
+        own = dict(zip(fresh, map(tuple, self.vocab.merge_all([w.encode() for w in fresh]))))
+        return [own[words[0]] if len(words) == 1 else tuple(chain.from_iterable([own[w] for w in words]))
+                for words in split]
+
+    def ids_of(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """Token ids of each piece: remembered, in the lexicon, or merged."""
+        found = [self.known.get(p) for p in pieces]
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        ranks = self.lexicon.find([pieces[i].encode() for i in fresh]) if fresh else []
+        lacking = []
+        for i, rank in zip(fresh, ranks):
+            if (ids := self.special.get(pieces[i])) is not None:
+                found[i] = ids
+            elif rank >= 0:
+                found[i] = tuple(self.lexicon.token_ids(rank))
             else:
-                self.known[piece] = run
-        if fresh:
-            self.learn(fresh)
-        of = self.known, self.special
-        return [[of[is_special][p] for is_special, ps in text for p in ps] for text in cut]
-
-    @staticmethod
-    def decode(runs: list[Run]) -> str:
+                lacking.append(i)
+        for i, ids in zip(lacking, self.merged([pieces[i] for i in lacking])):
+            found[i] = ids
+        for i in fresh:
+            if len(pieces[i]) <= 256:
+                self.known.put(pieces[i], found[i])
+        return found
+
+    def cut(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct pieces of the texts, the piece at each place, and where
+        each text begins and the last one ends.  Texts without special strings
+        whose spaces stand alone are cut at every space at once."""
+        odd = pc.match_substring_regex(texts, self.odd)
+        if pc.any(odd).as_py():
+            pieces, ends = [], [0]
+            for text in texts.to_pylist():
+                for n, segment in enumerate(self.vocab.segments(text)):
+                    pieces += [segment] if n % 2 else self.vocab.pieces(segment)
+                ends.append(len(pieces))
+            coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+            return strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False), np.array(ends)
+        parts = pc.split_pattern(texts, " ")
+        coded, ends = parts.flatten().dictionary_encode(), parts.offsets.to_numpy().astype(np.int64)
+        ends -= ends[0]
+        words, place = strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        place[ends[:-1]] += len(words)             # the first word of a text has no space before it
+        seen = np.zeros(2 * len(words), bool)
+        seen[place] = True
+        used, renumbered = np.flatnonzero(seen), np.cumsum(seen) - 1
+        return ([words[u - len(words)] if u >= len(words) else " " + words[u] for u in used.tolist()],
+                renumbered[place], ends)
+
+    def encode(self, texts: pa.Array) -> Encoded:
+        """The token ids of each text; Python only touches distinct pieces."""
+        pieces, place, ends = self.cut(texts)
+        own = self.ids_of(pieces)
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter(chain.from_iterable(own), np.int64, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        taken = sizes[place]                       # tokens at each place, and the ids of all in a row
+        before = np.concatenate([[0], np.cumsum(taken)])
+        ids = flat[np.arange(before[-1]) + np.repeat(starts[place] - before[:-1], taken)]
+        return Encoded(self, ids, before[ends])
+
+
+class Encoded(NamedTuple):
+    """Token ids of some texts in a row; ``ends`` is where each begins and the last ends."""
+
+    by: Encoder
+    ids: np.ndarray
+    ends: np.ndarray
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.ends)
+
+    def _laid_out(self, of_id: pa.Array) -> list[memoryview]:
+        """For each text what ``of_id`` holds of its tokens, one after the other."""
+        line = of_id.take(pa.array(self.ids))
+        _, offsets, data = line.buffers()
+        at = np.frombuffer(offsets, np.int64)[line.offset + self.ends] if len(line) else self.ends * 0
+        data = memoryview(data) if data is not None else memoryview(b"")
+        return [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def decimals(self) -> list[memoryview]:
+        """The ids of each text in decimal, joined by commas."""
+        return [text[:-1] for text in self._laid_out(self.by.decimal)]
+
+    def decoded(self) -> list[str]:
         """The text of the token ids, special ones included."""
-        return b"".join([r[2] for r in runs]).decode("utf-8", "replace")
+        return [str(text, "utf-8", "replace") for text in self._laid_out(self.by.raw)]
+
+
+def strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def steps(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive texts of at most ``STEP_BYTES`` together, or a single longer one."""
+    total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        base = int(total[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, base + STEP_BYTES, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def frequent_pieces(docs: DataFrame, n: int = LEXICON_WORDS, text_col: str = "text") -> list[str]:
@@ -251,7 +321,8 @@ def build_lexicon(docs: DataFrame, path: str | None = None, n_words: int = LEXIC
     """Compile the corpus' frequent pieces and hand them to the executors."""
     vocab = vocabulary(path or default_path())
     maker = Encoder(vocab, None)
-    words = {p.encode(): list(maker.merged(p)) for p in frequent_pieces(docs, n_words, text_col)}
+    pieces = frequent_pieces(docs, n_words, text_col)
+    words = {p.encode(): list(ids) for p, ids in zip(pieces, maker.merged(pieces))}
     return publish_lexicon(docs.sparkSession, compile_lexicon(words))
 
 
@@ -276,15 +347,19 @@ def encode_decode(docs: DataFrame, lexicon: str | None = None, path: str | None
         gc.disable()          # many small objects and no cycles
         of = encoder(path, lexicon)
         counts, left, right = [], [], []
-        for runs in of.encode_batch(batch.column(1).to_pylist()):
-            decoded = of.decode(runs)
-            counts.append(sum([len(r[0]) for r in runs]))
-            left.append(hashlib.sha256(",".join([r[1] for r in runs]).encode()).hexdigest() if digest
-                        else list(chain.from_iterable(r[0] for r in runs)))
-            right.append(hashlib.sha256(decoded.encode()).hexdigest() if digest else decoded)
+        for texts in steps(batch.column(1)):
+            got = of.encode(texts)
+            counts.append(got.counts())
+            decoded = got.decoded()
+            if digest:
+                left += [hashlib.sha256(d).hexdigest() for d in got.decimals()]
+                right += [hashlib.sha256(d.encode()).hexdigest() for d in decoded]
+            else:
+                left += [got.ids[a:b].tolist() for a, b in zip(got.ends, got.ends[1:])]
+                right += decoded
         kind = pa.string() if digest else pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(left, kind), pa.array(right, pa.string())],
+            [batch.column(0), pa.array(np.concatenate(counts), pa.int64()), pa.array(left, kind), pa.array(right, pa.string())],
             names=["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"])])
 
     return map_batches(rows, run, schema)
