@@ -151,7 +151,7 @@ STEP_BYTES = 8 << 20          # texts worked on together, unless one alone is lo
 class Encoder:
     """Encodes and decodes texts in one worker process."""
 
-    def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
+    def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None):
         self.vocab, self.lexicon = vocab, lexicon
         self.known = Recent(CACHED)
         size = max(vocab.bytes_of) + 1
@@ -172,7 +172,7 @@ class Encoder:
         """Token ids of each piece: remembered, in the lexicon, or merged."""
         found = [self.known.get(p) for p in pieces]
         fresh = [i for i, ids in enumerate(found) if ids is None]
-        ranks = self.lexicon.find([pieces[i].encode() for i in fresh]) if fresh else []
+        ranks = self.lexicon.find([pieces[i].encode() for i in fresh]) if self.lexicon and fresh else [-1] * len(fresh)
         lacking = []
         for i, rank in zip(fresh, ranks):
             if (ids := self.special.get(pieces[i])) is not None:
@@ -212,6 +212,12 @@ class Encoder:
         return ([words[u - len(words)] if u >= len(words) else " " + words[u] for u in used.tolist()],
                 renumbered[place], ends)
 
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text."""
+        pieces, place, ends = self.cut(texts)
+        sizes = np.array([len(ids) for ids in self.ids_of(pieces)] or [0], np.int64)
+        return np.diff(np.concatenate([[0], np.cumsum(sizes[place])])[ends])
+
     def encode(self, texts: pa.Array) -> Encoded:
         """The token ids of each text; Python only touches distinct pieces."""
         pieces, place, ends = self.cut(texts)
@@ -303,16 +309,16 @@ def publish_lexicon(spark: SparkSession, block: bytes) -> str:
     return name
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str | None], Encoder] = {}
 
 
-def encoder(vocab_path: str, lexicon_name: str) -> Encoder:
-    """One encoder per worker process for the lexicon in use; its file is memory-mapped."""
+def encoder(vocab_path: str, lexicon_name: str | None = None) -> Encoder:
+    """One encoder per worker process for the lexicon in use, if any; its file is memory-mapped."""
     key = vocab_path, lexicon_name
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        block = np.memmap(SparkFiles.get(lexicon_name), np.uint8, "r")
-        _ENCODERS[key] = Encoder(vocabulary(vocab_path), Lexicon(block))
+        lexicon = Lexicon(np.memmap(SparkFiles.get(lexicon_name), np.uint8, "r")) if lexicon_name else None
+        _ENCODERS[key] = Encoder(vocabulary(vocab_path), lexicon)
     return _ENCODERS[key]
 
 

@@ -1,10 +1,15 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Pieces go, longest first, into the open bin that they fill best.  If none has
-room, a bin of the capacity with the least expected cost per token opens: a
-large bin is cheap per token only while enough shorter pieces remain to fill
-it.  At the end each bin shrinks to the smallest capacity that holds its
-contents.
+room, a bin opens.  Each permitted capacity is then filled on trial with the
+pieces still to come, longest first, and shrunk to what it got; the one with
+the least cost per token it holds opens.  Where hardly any piece fits the rest
+of a large bin, a smaller one wins.  At the end each bin shrinks to the
+smallest capacity that holds its contents.
+
+A trial does not see what older bins will still take.  So a shard is also
+packed with each capacity as the least one opened, and the cheapest packing
+stays: several lengths together never cost more than the best one alone.
 
 Pieces are dealt evenly into shards of bounded size, which are packed side by
 side; each shard leaves at most a few bins unfilled.
@@ -12,66 +17,116 @@ side; each shard leaves at most a few bins unfilled.
 
 from __future__ import annotations
 
+import gc
 from bisect import bisect_left, insort
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import materialize
+from eventide.llm.bpe import default_path
+from eventide.llm.bpe_lexicon import encoder, steps
+from eventide.llm.common import map_batches, materialize
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 BIN_OVERHEAD = 64          # cost of a sequence besides its capacity, in tokens
 SHARD_PIECES = 20_000
 
 
-def least_cost_capacity(length: int, smaller: int, capacities: tuple[int, ...], overhead: int) -> int:
-    """The capacity for a new bin whose first piece has ``length`` tokens,
-    when ``smaller`` tokens remain in pieces to come: the least cost per token
-    that it can be expected to hold, the larger one on ties."""
-    fits = [c for c in capacities if c >= length]
-    return min(fits, key=lambda c: ((c + overhead) / min(c, length + smaller), -c))
+def trial_fill(falling: list[int], after: int, gap: int) -> int:
+    """Tokens that a gap takes of the pieces from ``after`` on, longest first.
+    ``falling`` holds the negated lengths, longest piece first."""
+    left, at = gap, after
+    while left:
+        at = bisect_left(falling, -left, at)           # the first piece that fits
+        if at == len(falling):
+            break
+        left += falling[at]
+        at += 1
+    return gap - left
 
 
-def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES,
-         overhead: int = BIN_OVERHEAD) -> tuple[list[int], list[int], list[int]]:
-    """(bin, offset) of each piece, in the given order, and each bin's final
-    capacity.  No piece may exceed the largest capacity."""
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    remaining = sum(lengths)
-    where, offset = [0] * len(lengths), [0] * len(lengths)
-    used: list[int] = []
+def least_cost_capacity(falling: list[int], at: int, capacities: tuple[int, ...], overhead: int) -> int:
+    """The capacity for a new bin that begins with piece ``at``: the least cost
+    for each token that a trial fill gets into it, the larger one on ties."""
+    def cost(capacity: int) -> float:
+        held = -falling[at] + trial_fill(falling, at + 1, capacity + falling[at])
+        return (capacities[bisect_left(capacities, held)] + overhead) / held
+
+    return min((c for c in capacities if c >= -falling[at]), key=lambda c: (cost(c), -c))
+
+
+def _packed(falling: list[int], capacities: tuple[int, ...], opens) -> tuple[list[int], list[int], list[int]]:
+    """Best fit of the pieces in their order: bin and offset of each, and the
+    tokens of each bin; ``opens`` gives the capacity of a new bin for a piece."""
+    where, offset, used = [0] * len(falling), [0] * len(falling), []
     room: list[tuple[int, int]] = []           # open bins by free tokens, then by age
-    for i in order:
-        n = lengths[i]
-        remaining -= n
+    for i, negated in enumerate(falling):
+        n = -negated
         at = bisect_left(room, (n, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
             b = len(used)
             used.append(0)
-            free = least_cost_capacity(n, remaining, capacities, overhead)
+            free = opens(i)
         where[i], offset[i] = b, used[b]
         used[b] += n
         if free > n:
             insort(room, (free - n, b))
-    final = [next(c for c in capacities if c >= u) for u in used]
-    return where, offset, final
+    return where, offset, used
+
+
+def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES,
+         overhead: int = BIN_OVERHEAD) -> tuple[list[int], list[int], list[int]]:
+    """(bin, offset) of each piece, in the given order, and each bin's final
+    capacity.  No piece may exceed the largest capacity."""
+    capacities = tuple(sorted(set(capacities)))
+    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    falling = [-lengths[i] for i in order]
+
+    def shrunk(used: list[int]) -> list[int]:
+        return [capacities[bisect_left(capacities, u)] for u in used]
+
+    rules = [lambda i: least_cost_capacity(falling, i, capacities, overhead)]
+    rules += [lambda i, least=c: capacities[bisect_left(capacities, max(least, -falling[i]))] for c in capacities]
+    best = min((_packed(falling, capacities, rule) for rule in rules),
+               key=lambda p: sum(shrunk(p[2])) + overhead * len(p[2]))
+    where, offset = [0] * len(lengths), [0] * len(lengths)
+    for i, b, o in zip(order, best[0], best[1]):
+        where[i], offset[i] = b, o
+    return where, offset, shrunk(best[2])
+
+
+def with_token_lengths(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """doc_id and n: the tokens of each whole text in the vocabulary file
+    ``path``, and one end mark; a null text holds only the end mark."""
+    path = path or default_path()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        gc.disable()          # many small objects and no cycles
+        n = np.concatenate([encoder(path).count(texts) for texts in steps(batch.column(1))])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n + 1, pa.int64())], names=["doc_id", "n"])
+
+    return map_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long")
 
 
 def word_tokens(text_col: str = "text"):
-    """Tokens of a text as this operator counts them by default: its words
-    between ASCII white space, and one end mark.  Counted as the places where
-    a visible character follows white space or the beginning."""
+    """A ``length`` for callers without a vocabulary: the words of a text
+    between ASCII white space, and one end mark."""
     return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + F.lit(1)
 
 
 def best_fit(docs: DataFrame, length=None, capacities: tuple[int, ...] = CAPACITIES, overhead: int = BIN_OVERHEAD,
-             shard_pieces: int = SHARD_PIECES, id_col: str = "doc_id") -> DataFrame:
+             shard_pieces: int = SHARD_PIECES, id_col: str = "doc_id", path: str | None = None) -> DataFrame:
     """One row per piece of a document: where it lies in which sequence.
 
-    ``length`` is the token count of a row (default ``word_tokens``).  A
+    ``length`` is the token count of a row (default: ``with_token_lengths`` of
+    the vocabulary file ``path``, and of ``text``).  A
     document longer than the largest capacity is cut into full sequences and
     a rest; nothing is truncated.  Result: doc_id, piece (from 0), first_token
     and n_tokens of the piece, bin_id, capacity (after downsizing), bin_tokens,
@@ -81,8 +136,8 @@ def best_fit(docs: DataFrame, length=None, capacities: tuple[int, ...] = CAPACIT
     """
     capacities = tuple(sorted(set(capacities)))
     longest = capacities[-1]
-    length = word_tokens() if length is None else length
-    sized = docs.select(F.col(id_col).alias("doc_id"), length.cast("long").alias("n")).where("n > 0")
+    sized = (with_token_lengths(docs, path, id_col) if length is None
+             else docs.select(F.col(id_col).alias("doc_id"), length.cast("long").alias("n")).where("n > 0"))
     sized = materialize(sized, "packing-lengths")
     pieces = (sized.withColumn("piece", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / longest).cast("int"))))
                    .withColumn("first_token", F.col("piece").cast("long") * longest)
