@@ -208,18 +208,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> T
     return ToxicModel(scores, DRIFT, lam, log_k, slope, offset)
 
 
+def fresh_name(docs: DataFrame, name: str) -> str:
+    """``name``, or with more underscores in front if ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def score(docs: DataFrame, model: ToxicModel, with_passages: bool = False) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` of each whole text;
     a null or empty text has no segments.  ``with_passages`` adds the
     significant ones: first token, token after the last, minus log10 of the
-    chance.  Rows, null ids and extra columns are passed through."""
+    chance.  Rows, null ids and extra columns are passed through; an input
+    column named like a result is replaced by it, any other stays."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)     # words of the bounded sample
     passages = "array<struct<first:int,after:int,evidence:double>>"
-    schema = "_score double" + (f", _passages {passages}" if with_passages else "")
-    names = [c for c in docs.columns if c not in ("score", "predicted", "passages")]
-    keep = docs.select(*names, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
-    full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
+    results = ["score", "predicted", *(["passages"] if with_passages else [])]
+    names = [c for c in docs.columns if c.lower() not in results]
+    text, value, spans_ = (fresh_name(docs, n) for n in ("_text", "_score", "_passages"))
+    schema = f"`{value}` double" + (f", `{spans_}` {passages}" if with_passages else "")
+    keep = docs.select(*[F.col(f"`{c}`") for c in names], F.coalesce(F.col("text"), F.lit("")).alias(text))
+    full = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema[:-1])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = sent.value
@@ -235,8 +246,18 @@ def score(docs: DataFrame, model: ToxicModel, with_passages: bool = False) -> Da
         if with_passages:
             cols.append(pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32()),
                                                             ("evidence", pa.float64())]))))
-        return pa.RecordBatch.from_arrays(cols, names=[*names, "_score", *(["_passages"] if with_passages else [])])
+        return pa.RecordBatch.from_arrays(cols, names=[*names, value, *([spans_] if with_passages else [])])
 
     out = map_batches(keep, run, f"{full}, {schema}")
-    return out.select(*names, F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-                      *([F.col("_passages").alias("passages")] if with_passages else []))
+    return out.select(*[F.col(f"`{c}`") for c in names], F.col(value).alias("score"),
+                      (F.col(value) >= 0.5).cast("int").alias("predicted"),
+                      *([F.col(spans_).alias("passages")] if with_passages else []))
+
+
+def reject(docs: DataFrame, model: ToxicModel) -> DataFrame:
+    """``docs`` without those predicted toxic, with their own columns whatever
+    their names; null and empty texts stay."""
+    scored = {c: fresh_name(docs, "_" + c) for c in docs.columns if c.lower() in ("score", "predicted")}
+    kept = score(docs.withColumnsRenamed(scored), model).where("predicted = 0").drop("score", "predicted")
+    return kept.withColumnsRenamed({new: old for old, new in scored.items()}).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
