@@ -111,3 +111,25 @@ def legacy_dlq(dlq: DataFrame) -> DataFrame:
     stripped = F.filter("headers", lambda h: h["key"] != F.lit("x-original-topic"))
     return dlq.withColumn("headers", F.when(F.col("offset") % 80 == 3, stripped)
                           .otherwise(F.col("headers")))
+
+
+def schema_versions(events: DataFrame) -> DataFrame:
+    """A schema registry with one version per event, numbered by its id, below
+    its user's subject.  By the id: field ``id`` is int, long or a union with
+    null (n % 3); ``title`` is bytes (n % 5 = 0) or string; ``minor`` is there
+    if n is even, with a default if n % 4 = 0; ``score`` is float (n % 7 = 1) or
+    null-or-double with default null (n % 7 = 2), else missing; n % 50 = 7 is
+    an enum, no record."""
+    n = F.col("event_id")
+    kind = F.when(n % 3 == 0, F.lit('"int"')).when(n % 3 == 1, F.lit('"long"')).otherwise(F.lit('["null","long"]'))
+    title = F.when(n % 5 == 0, F.lit('"bytes"')).otherwise(F.lit('{"type":"string"}'))
+    minor = F.when(n % 4 == 0, F.lit('{"name":"minor","type":"int","default":0}')) \
+             .when(n % 4 == 2, F.lit('{"name":"minor","type":"int"}'))
+    score = F.when(n % 7 == 1, F.lit('{"name":"score","type":"float"}')) \
+             .when(n % 7 == 2, F.lit('{"name":"score","type":["null","double"],"default":null}'))
+    fields = F.concat_ws(",", F.concat(F.lit('{"name":"id","type":'), kind, F.lit("}")),
+                         F.concat(F.lit('{"name":"title","type":'), title, F.lit("}")), minor, score)
+    record = F.concat(F.lit('{"type":"record","name":"Event","fields":['), fields, F.lit("]}"))
+    enum = F.lit('{"type":"enum","name":"Event","symbols":["A"]}')
+    return events.select(F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("subject"),
+                         n.cast("int").alias("version"), F.when(n % 50 == 7, enum).otherwise(record).alias("schema"))

@@ -213,6 +213,27 @@ SELECT id AS source_id, schema_id,
   coalesce(schema_id IN (1, 2), false) AS found
 FROM m""")
 
+def _schema_problems(r: str, w: str) -> str:
+    """What keeps version ``r`` from reading ``w``, from the rules that made the schemas."""
+    return f"""CASE WHEN {w} IS NULL OR {r} IS NULL THEN '' WHEN {r} % 50 = 7 OR {w} % 50 = 7 THEN 'not a record'
+    ELSE concat_ws('; ',
+      CASE WHEN {r} % 3 = 0 AND {w} % 3 = 1 THEN 'id: cannot read long'
+           WHEN {r} % 3 = 0 AND {w} % 3 = 2 THEN 'id: cannot read null|long'
+           WHEN {r} % 3 = 1 AND {w} % 3 = 2 THEN 'id: cannot read null' END,
+      CASE WHEN {r} % 4 = 2 AND {w} % 2 = 1 THEN 'minor: missing, no default' END,
+      CASE WHEN {r} % 7 = 1 AND {w} % 7 = 2 THEN 'score: cannot read null|double'
+           WHEN {r} % 7 = 1 AND {w} % 7 <> 1 THEN 'score: missing, no default' END) END"""
+
+
+oracle("schema_compatibility", f"""
+WITH v AS (
+  SELECT user_id, event_id AS n, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS p
+  FROM (SELECT DISTINCT user_id, event_id FROM events)),
+c AS (SELECT *, {_schema_problems("n", "p")} AS b, {_schema_problems("p", "n")} AS f FROM v)
+SELECT concat('user-', CAST(user_id AS VARCHAR)) AS subject, n AS version, p AS previous_version,
+  b = '' AS backward, f = '' AS forward, b = '' AND f = '' AS "full", b AS backward_problems, f AS forward_problems
+FROM c""")
+
 _V = f"{M40} > 3"
 oracle("decode_wire", f"""
 WITH {CE}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import columns as C
 from eventide.operators import features, metrics, reliability, windows
+from eventide.operators.compatibility import compatibility
 from eventide.operators.dedup import dedup_events
 from eventide.operators.generate import amplify
 from eventide.operators.joins import materialize
@@ -362,6 +363,14 @@ def q_schema_lookup(spark, sf_dir):
     return out.select(F.col("offset").alias("source_id"), "schema_id", "subject", "version", "found")
 
 
+@query("schema_compatibility")
+def q_schema_compatibility(spark, sf_dir):
+    found = compatibility(inject.schema_versions(read_table(spark, sf_dir, "events")))
+    return found.select("subject", "version", "previous_version", "backward", "forward", "full",
+                        F.array_join("backward_problems", "; ").alias("backward_problems"),
+                        F.array_join("forward_problems", "; ").alias("forward_problems"))
+
+
 @query("decode_wire")
 def q_decode_wire(spark, sf_dir):
     # valid rows and rejects from one decode pass: no branch re-runs the decoder
