@@ -157,35 +157,34 @@ class Encoder:
         size = max(vocab.bytes_of) + 1
         self.raw = pa.array([vocab.bytes_of.get(i, b"") for i in range(size)], pa.large_binary())
         self.decimal = pa.array([b"%d," % i for i in range(size)], pa.large_binary())
-        self.special = {s: (i,) for s, i in vocab.special.items()}
+        self.special = {s: [i] for s, i in vocab.special.items()}
         self.odd = "|".join([SPACES_MEET, *map(re.escape, vocab.special)])
 
-    def merged(self, pieces: list[str]) -> list[tuple[int, ...]]:
+    def merged(self, pieces: list[str]) -> list[list[int]]:
         """Token ids of each piece by exact merging; the words that are new are merged together."""
         split = [self.vocab.words.findall(p) for p in pieces]
         fresh = list(set(chain.from_iterable(split)))
-        own = dict(zip(fresh, map(tuple, self.vocab.merge_all([w.encode() for w in fresh]))))
-        return [own[words[0]] if len(words) == 1 else tuple(chain.from_iterable([own[w] for w in words]))
+        own = dict(zip(fresh, self.vocab.merge_all([w.encode() for w in fresh])))
+        return [own[words[0]] if len(words) == 1 else list(chain.from_iterable([own[w] for w in words]))
                 for words in split]
 
-    def ids_of(self, pieces: list[str]) -> list[tuple[int, ...]]:
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
         """Token ids of each piece: remembered, in the lexicon, or merged."""
-        found = [self.known.get(p) for p in pieces]
+        found = self.known.get_all(pieces)
         fresh = [i for i, ids in enumerate(found) if ids is None]
-        ranks = self.lexicon.find([pieces[i].encode() for i in fresh]) if self.lexicon and fresh else [-1] * len(fresh)
+        new = [pieces[i] for i in fresh]
+        ranks = self.lexicon.find([p.encode() for p in new]) if self.lexicon and new else [-1] * len(new)
         lacking = []
-        for i, rank in zip(fresh, ranks):
-            if (ids := self.special.get(pieces[i])) is not None:
-                found[i] = ids
-            elif rank >= 0:
-                found[i] = tuple(self.lexicon.token_ids(rank))
+        for i, piece, rank in zip(fresh, new, ranks):
+            if rank >= 0:
+                found[i] = self.lexicon.token_ids(rank)
+            elif piece in self.special:
+                found[i] = self.special[piece]
             else:
                 lacking.append(i)
         for i, ids in zip(lacking, self.merged([pieces[i] for i in lacking])):
             found[i] = ids
-        for i in fresh:
-            if len(pieces[i]) <= 256:
-                self.known.put(pieces[i], found[i])
+        self.known.put_all({p: found[i] for i, p in zip(fresh, new) if len(p) <= 256})
         return found
 
     def cut(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -328,7 +327,7 @@ def build_lexicon(docs: DataFrame, path: str | None = None, n_words: int = LEXIC
     vocab = vocabulary(path or default_path())
     maker = Encoder(vocab, None)
     pieces = frequent_pieces(docs, n_words, text_col)
-    words = {p.encode(): list(ids) for p, ids in zip(pieces, maker.merged(pieces))}
+    words = {p.encode(): ids for p, ids in zip(pieces, maker.merged(pieces))}
     return publish_lexicon(docs.sparkSession, compile_lexicon(words))
 
 
