@@ -50,19 +50,6 @@ class Recent:
             self.old, self.young = self.young, {}
         self.young[key] = value
 
-    def get_all(self, keys: list) -> list:
-        found = list(map(self.young.get, keys))
-        again = {key: self.old[key] for key, value in zip(keys, found) if value is None and key in self.old}
-        if again:
-            self.put_all(again)
-            found = [again.get(key) if value is None else value for key, value in zip(keys, found)]
-        return found
-
-    def put_all(self, values: dict) -> None:
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young.update(values)
-
 
 class Vocabulary:
     """Token bytes by id, id by token bytes, and the rank of each merge."""
