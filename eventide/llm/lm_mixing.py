@@ -28,10 +28,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import in_fold, map_batches, materialize
+from eventide.llm.common import BATCH_ROWS, batch_rows, in_fold, map_batches, materialize
 
 ORDERS = (1, 2, 3, 5)
 TABLE_BITS = 20               # slots an order of the table that is broadcast; contexts beyond it are joined
@@ -50,6 +51,7 @@ STEP = 1024                   # bits after which weights and refinement learn, a
 FIRST_STEPS = (0, 16, 32, 64, 128, 256, 512)   # a text begins with shorter steps, so that short ones learn too
 SEGMENT = 1 << 18             # bytes of one text that are laid out at once, and
 GROUP = 5 << 18               # of texts that step together, about
+BLOCK = 1 << 22               # bytes of text that ask for their contexts together, about
 GATE_OF = (0, 1, 1, 2)        # by the longest known order; weights are kept for each gate
 GATES = 3
 RATE, DAMP = 2.0, 48.0
@@ -414,22 +416,100 @@ class Mixer:
         state["ones"][rank] = ones + np.bincount(flat, one.ravel(), n * BUCKETS).reshape(-1, BUCKETS)
 
 
-def asked(rows: DataFrame, sent_keys) -> DataFrame:
-    """(row, key): the contexts of each text that are not among the broadcast ones."""
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """The rows (row, doc_id, held_out, text) in blocks of about ``BLOCK`` bytes
+    of text, or one longer text: a list per column, and the first ``row`` as ``block``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            ends = pa.array([0, table.num_rows], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, c.combine_chunks()) for c in table.columns]
+            return pa.RecordBatch.from_arrays([table.column("row")[:1].combine_chunks(), *lists],
+                                              names=["block", *table.column_names])
+
+        size = 0
+        for batch in batches:
+            at = 0
+            for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist(), 1):
+                size += n + 1
+                if size > BLOCK:
+                    held.append(batch.slice(at, i - at))
+                    yield block()
+                    held.clear()
+                    size, at = 0, i
+            if at < batch.num_rows:
+                held.append(batch.slice(at))
+        if held:
+            yield block()
+
+    lists = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in rows.schema)
+    return rows.mapInArrow(run, f"block long, {lists}")
+
+
+def asked(blocks: DataFrame, sent_keys) -> DataFrame:
+    """(block, key): the contexts of each block's texts that are not among the broadcast ones."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = sent_keys.value
         numbers, keys = [], []
-        for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            grams = np.unique(grams_of(list(set(cut(text.encode()))))[0])
+        for number, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+            units = set().union(*(cut(t.encode()) for t in texts.values.to_pylist()))
+            grams = np.unique(grams_of(list(units))[0])
             own = np.unique(np.concatenate([context_keys(grams, k) for k in range(len(ORDERS))]))
             if len(known):
                 own = own[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] != own]
             numbers.append(np.full(len(own), number, np.int64))
             keys.append(own.view(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(numbers)), pa.array(np.concatenate(keys))],
-                                          names=["row", "key"])
+                                          names=["block", "key"])
+
+    return map_batches(blocks.select("block", "text"), run, "block long, key long")
+
+
+def scored(blocks: DataFrame, sent, id_type: str, n_train: int) -> DataFrame:
+    """One row per document of the blocks, written: its score, its words and
+    what the frequent ones add to the base score; the other words as ``rare``."""
+    mixers: dict[int, Mixer] = {}
+
+    def block(texts: list[bytes], others: pa.Array) -> list:
+        mixer = mixers[0]
+        items = others.field("next").flatten().to_numpy(zero_copy_only=False)
+        keys = np.repeat(others.field("key").to_numpy(zero_copy_only=False).view(np.uint64),
+                         others.field("next").value_lengths().to_numpy(zero_copy_only=False))
+        mixer.others = predictions(keys, items & 255, items >> 8, mixer.code)
+        found: list = []
+        group: list[bytes] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size > GROUP:
+                found += mixer.score(group)
+                group, size = [], 0
+        return found + mixer.score(group)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not mixers:
+            gc.disable()      # many small lists and no cycles
+            mixers[0] = Mixer(*sent.value)
+        numbers, ids, held, texts = (batch.column(c).flatten() for c in ("row", "doc_id", "held_out", "text"))
+        raw = [t.encode() for t in texts.to_pylist()]
+        found: list = []
+        for i, n in enumerate(batch.column("text").value_lengths().to_pylist()):
+            found += block(raw[len(found):len(found) + n], batch.column("others").slice(i, 1).flatten())
+        log_p, n_words, known, base, rare = zip(*found)
+        ends = math.log10(n_train + 1)
+        return pa.RecordBatch.from_arrays(
+            [ids, held, pa.array(list(map(len, raw)), pa.int64()),
+             pa.array([n + 1 for n in n_words], pa.int64()), pa.array([n + (n_train > 0) for n in known], pa.int64()),
+             pa.array([b + ends for b in base], pa.float64()), pa.array(log_p, pa.float64()),
+             pa.array(rare, pa.list_(pa.string())), numbers],
+            names=["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "log_p", "rare", "row"])
 
-    return map_batches(rows.select("row", "text"), run, "row long, key long")
+    # Written: the row numbers stay what they are.
+    return materialize(map_batches(blocks, run, f"doc_id {id_type}, held_out boolean, n_bytes long, n_tokens long, known long, "
+                                                "base double, log_p double, rare array<string>, row long"), "lm-scored")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -481,53 +561,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     else:
         sent_keys, table = np.zeros(0, np.uint64), (np.zeros(1, np.int16), None)
     sent = spark.sparkContext.broadcast((code, table[0], top, table[1]))     # fixed size, and a fixed number of words
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    if all_sent:
-        rows = rows.withColumn("others", F.lit(None).cast("array<struct<key:bigint,next:array<struct<symbol:int,n:bigint>>>>"))
-    else:
-        # The row numbers are written with the rows, so they stay what they are.
-        rows = materialize(rows, "lm-rows")
-        rest = contexts.where(F.col("rank") < least_rank) if least_rank is not None else contexts
-        needed = (asked(rows, spark.sparkContext.broadcast(sent_keys)).join(rest.select("key", "next").hint("merge"), "key")
-                  .groupBy("row").agg(F.collect_list(F.struct("key", "next")).alias("others")))
-        rows = rows.join(needed.hint("merge"), "row", "left").select(*rows.columns, "others")
-    mixers: dict[int, Mixer] = {}
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not mixers:
-            gc.disable()      # many small lists and no cycles
-            mixers[0] = Mixer(*sent.value)
-        raw = [t.encode() for t in batch.column(1).to_pylist()]
-        others = batch.column(4).flatten()
-        if len(others):
-            _, once = np.unique(others.field("key").to_numpy(zero_copy_only=False), return_index=True)
-            others = others.take(pa.array(once))
-            mixers[0].others = predictions(*flat(others.field("key"), others.field("next")), mixers[0].code)
+    # The row numbers are written with the rows, so they stay what they are.
+    with batch_rows(spark, BATCH_ROWS):
+        blocks = materialize(in_blocks(rows), "lm-blocks")
+    with batch_rows(spark, 1):      # one row is a whole block
+        if all_sent:
+            blocks = blocks.withColumn("others", F.lit(None).cast("array<struct<key:bigint,next:array<bigint>>>"))
         else:
-            mixers[0].others = (np.zeros(0, np.uint64), np.zeros(0, np.int16))
-        found: list = []
-        group: list[bytes] = []
-        size = 0
-        for text in raw:
-            group.append(text)
-            size += len(text)
-            if size > GROUP:
-                found += mixers[0].score(group)
-                group, size = [], 0
-        found += mixers[0].score(group)
-        log_p, n_words, known, base, rare = zip(*found)
-        ends = math.log10(n_train + 1)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(list(map(len, raw)), pa.int64()),
-             pa.array([n + 1 for n in n_words], pa.int64()), pa.array([n + (n_train > 0) for n in known], pa.int64()),
-             pa.array([b + ends for b in base], pa.float64()), pa.array(log_p, pa.float64()),
-             pa.array(rare, pa.list_(pa.string())), batch.column(3)],
-            names=["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "log_p", "rare", "row"])
-
-    first = map_batches(rows, run, f"doc_id {id_type}, held_out boolean, n_bytes long, n_tokens long, known long, "
-                                   "base double, log_p double, rare array<string>, row long")
-    first = materialize(first, "lm-scored")      # the row numbers with the rows, so they stay what they are
+            rest = contexts.where(F.col("rank") < least_rank) if least_rank is not None else contexts
+            packed = F.transform("next", lambda x: F.shiftleft(x["n"], 8).bitwiseOR(x["symbol"].cast("long")))
+            needed = (asked(blocks, spark.sparkContext.broadcast(sent_keys))
+                      .join(rest.select("key", packed.alias("next")).hint("merge"), "key")
+                      .groupBy("block").agg(F.collect_list(F.struct("key", "next")).alias("others")))
+            blocks = blocks.join(needed.hint("merge"), "block", "left").select(*blocks.columns, "others")
+        first = scored(blocks, sent, id_type, n_train)
     rare = first.select("row", F.explode("rare").alias("word"))
     more = (rare.join(words, "word").groupBy("row")
                 .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("more_base")))
