@@ -51,7 +51,7 @@ STEP = 1024                   # bits after which weights and refinement learn, a
 FIRST_STEPS = (0, 16, 32, 64, 128, 256, 512)   # a text begins with shorter steps, so that short ones learn too
 SEGMENT = 1 << 18             # bytes of one text that are laid out at once, and
 GROUP = 5 << 18               # of texts that step together, about
-BLOCK = 1 << 22               # bytes of text that ask for their contexts together, about
+BLOCK = 1 << 20               # bytes of text that ask for their contexts together, about
 GATE_OF = (0, 1, 1, 2)        # by the longest known order; weights are kept for each gate
 GATES = 3
 RATE, DAMP = 2.0, 48.0
