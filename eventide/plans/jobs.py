@@ -193,7 +193,8 @@ SOURCE = ("source_topic", "source_partition", "source_offset")
 
 def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
                 registry: DataFrame, bootstrap_servers: str | None = None,
-                max_records_per_file: int | None = None, in_order: bool = False) -> None:
+                max_records_per_file: int | None = None, in_order: bool = False,
+                max_bytes_per_file: int | None = None) -> None:
     """3.2 for one micro-batch: drop messages stored before; decode; rejects -> DLQ;
     valid -> dedup (within the batch and against stored days) -> dt/hour files;
     then commit the batch's offsets and partitions.
@@ -219,7 +220,8 @@ def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
         _write_dlq(to_dlq(rejects, DLQ_TOPIC, ts_col="broker_timestamp"), dlq_dir, key, bootstrap_servers)
         valid = valid_rows(dec, keep=offsets.COORDINATES).withColumnsRenamed(dict(zip(offsets.COORDINATES, SOURCE)))
         events = drop_stored(dedup_events(valid, delivery=SOURCE), events_dir, key)
-        write_events(events, events_dir, batch_id=key, max_records_per_file=max_records_per_file, keep=SOURCE)
+        write_events(events, events_dir, batch_id=key, max_records_per_file=max_records_per_file, keep=SOURCE,
+                     max_bytes_per_file=max_bytes_per_file)
         done = offsets.offset_spans(dec) if in_order else offsets.offset_ranges(dec)
         commit_partitions(with_partitions(valid), events_dir, run, int(number))
         offsets.commit(spark, manifest, run, int(number), done)
@@ -230,14 +232,15 @@ def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
 
 def start_store(spark: SparkSession, topic_stream: DataFrame, events_dir: str, dlq_dir: str | None,
                 registry: DataFrame, checkpoint: str | None = None, trigger: dict | None = None,
-                bootstrap_servers: str | None = None, max_records_per_file: int | None = None):
+                bootstrap_servers: str | None = None, max_records_per_file: int | None = None,
+                max_bytes_per_file: int | None = None):
     """3.2 as a stream: offsets are committed by the checkpoint after ``store_batch`` returns.
     Files have the size that the rebalance aims at; ``max_records_per_file`` (the source
-    system: ``FLUSH_MAX_ROWS``) makes them smaller."""
+    system: ``FLUSH_MAX_ROWS``) and ``max_bytes_per_file`` (``FLUSH_MAX_BYTES``) make them smaller."""
     ckpt = _checkpoint(spark, "store", checkpoint)
     w = topic_stream.writeStream.foreachBatch(
         lambda df, bid: store_batch(df, batch_key(ckpt, bid), events_dir, dlq_dir, registry, bootstrap_servers,
-                                    max_records_per_file, in_order=bool(bootstrap_servers))
+                                    max_records_per_file, bool(bootstrap_servers), max_bytes_per_file)
     ).option("checkpointLocation", ckpt)
     return w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL})).start()
 

@@ -94,6 +94,24 @@ SELECT id, CAST(64 + octet_length(encode(type)) + octet_length(encode(title))
   + octet_length(encode(server_script_url)) + octet_length(encode(wiki)) AS BIGINT) AS estimated_bytes
 FROM ce""")
 
+oracle("flush_by_bytes", f"""
+WITH {CE},
+sized AS (
+  SELECT {DT} AS dt, {HOUR} AS hour, timestamp, id, CAST(64 + octet_length(encode(type)) + octet_length(encode(title))
+    + octet_length(encode(title_url)) + octet_length(encode(comment)) + octet_length(encode("user"))
+    + octet_length(encode(server_url)) + octet_length(encode(server_name))
+    + octet_length(encode(server_script_url)) + octet_length(encode(wiki)) AS BIGINT) AS size
+  FROM ce),
+step AS (SELECT 1024 - max(size) AS step FROM sized WHERE size <= 512),
+summed AS (
+  SELECT *, size > 512 AS big, row_number() OVER w AS nth, sum(size) OVER w - size AS bytes_before
+  FROM sized WINDOW w AS (PARTITION BY dt, hour, size > 512 ORDER BY timestamp, id % 16, id))
+SELECT dt, hour, min(timestamp) AS first_ts, max(timestamp) AS last_ts, count(*) AS events,
+       CAST(sum(size) AS BIGINT) AS estimated_bytes
+FROM (SELECT *, CASE WHEN big THEN nth ELSE (nth - 1) // 6 END AS r,
+             CASE WHEN big THEN 0 ELSE CAST(bytes_before AS BIGINT) // step END AS b FROM summed, step)
+GROUP BY dt, hour, big, r, b""")
+
 oracle("partition_counts", f"""
 WITH {CE}
 SELECT {DT} AS dt, {HOUR} AS hour, count(*) AS events FROM ce GROUP BY 1, 2""")

@@ -167,6 +167,23 @@ def _stored(spark, sf_dir):
     return path
 
 
+# Limits of ``flush_by_bytes``: the given hours hold some tens of rows, so the source
+# system's own (1,000 rows, 10 MB) would cut none of them.
+FLUSH_ROWS, FLUSH_BYTES = 6, 1024
+
+
+@query("flush_by_bytes")
+def q_flush_by_bytes(spark, sf_dir):
+    """K4: every event stored with files limited by rows and estimated bytes; one row per file."""
+    path = scratch_path(spark, "flushed")
+    write_events(ce_columns(change_events(spark, sf_dir)), path, max_records_per_file=FLUSH_ROWS,
+                 max_bytes_per_file=FLUSH_BYTES)
+    back = read_events(spark, path).withColumn("_at", F.col("_metadata.file_path"))
+    return back.groupBy("dt", "hour", "_at").agg(
+        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"), F.count(F.lit(1)).alias("events"),
+        F.sum(C.estimated_bytes()).alias("estimated_bytes")).drop("_at")
+
+
 @query("partition_counts")
 def q_partition_counts(spark, sf_dir):
     back = read_events(spark, _stored(spark, sf_dir))
