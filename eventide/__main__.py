@@ -49,7 +49,8 @@ def cmd_store(args):
                         max_offsets_per_trigger=args.max_offsets)
     q = jobs.start_store(spark, stream, args.events, args.dlq_dir, registry_frame(spark),
                          checkpoint=args.checkpoint, trigger=_trigger(args),
-                         bootstrap_servers=args.bootstrap_servers, max_records_per_file=args.max_records_per_file)
+                         bootstrap_servers=args.bootstrap_servers, max_records_per_file=args.max_records_per_file,
+                         max_bytes_per_file=args.max_bytes_per_file)
     q.awaitTermination()
 
 
@@ -140,6 +141,7 @@ def main(argv=None):
     s.add_argument("--dlq-dir")
     _limits(s)
     s.add_argument("--max-records-per-file", type=int, default=None)
+    s.add_argument("--max-bytes-per-file", type=int, default=None, help="estimated bytes of a file's rows at most")
     s.add_argument("--once", action="store_true")
     s.set_defaults(fn=cmd_store)
 
