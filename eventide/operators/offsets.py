@@ -31,29 +31,48 @@ def known(messages: DataFrame) -> DataFrame:
     return messages.select(*COORDINATES).where("topic is not null and partition is not null and offset is not null")
 
 
-def merge_ranges(ranges: DataFrame) -> DataFrame:
-    """The fewest ranges (topic, partition, first, last) that cover the same offsets."""
-    w = Window.partitionBy("topic", "partition").orderBy("first", "last")
+def _islands(ranges: DataFrame) -> DataFrame:
+    """The ranges of each (topic, partition, _chunk) merged where they meet; a null chunk is one like any other."""
+    place = ["topic", "partition", "_chunk"]
+    w = Window.partitionBy(*place).orderBy("first", "last")
     reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(reach.isNull() | (F.col("first") > reach + 1), 1).otherwise(0)
     island = F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranges.select("topic", "partition", "first", "last").distinct().withColumn("_starts", starts)
-                  .withColumn("_island", island).groupBy("topic", "partition", "_island")
+    return (ranges.withColumn("_starts", starts).withColumn("_island", island).groupBy(*place, "_island")
                   .agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_island"))
 
 
+def _join_chunks(pieces: DataFrame, chunk: int) -> DataFrame:
+    """Merge ranges across chunks, within which they are merged already: only
+    those at an edge of their chunk, two a chunk at most, can go on in another."""
+    edge = (F.pmod("first", F.lit(chunk)) == 0) | (F.pmod("last", F.lit(chunk)) == chunk - 1)
+    return _islands(pieces.withColumn("_chunk", F.when(~edge, F.col("_chunk")))).drop("_chunk")
+
+
+def merge_ranges(ranges: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The fewest ranges (topic, partition, first, last) that cover the same offsets.
+
+    They are cut at multiples of ``chunk`` and merged within these chunks, so a
+    partition with most of the ranges is not one task."""
+    at = lambda c: F.floor(F.col(c) / F.lit(chunk)).cast("long")
+    cut = ranges.select("topic", "partition", "first", "last", F.explode(F.sequence(at("first"), at("last"))).alias("_chunk"))
+    begin = F.col("_chunk") * chunk
+    return _join_chunks(_islands(cut.withColumn("first", F.greatest("first", begin))
+                                    .withColumn("last", F.least("last", begin + (chunk - 1)))), chunk)
+
+
 def offset_ranges(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The ranges of consecutive offsets among ``messages``.
 
     Offsets are ordered within chunks of ``chunk``, so a partition with most
-    of the messages is not one task; only the ends of the chunks' ranges are
+    of the messages is not one task; only ranges at the edges of chunks are
     merged per partition."""
     w = Window.partitionBy("topic", "partition", "_chunk").orderBy("offset")
     pieces = (known(messages).distinct().withColumn("_chunk", F.floor(F.col("offset") / F.lit(chunk)).cast("long"))
               .withColumn("_island", F.col("offset") - F.row_number().over(w))
               .groupBy("topic", "partition", "_chunk", "_island")
-              .agg(F.min("offset").alias("first"), F.max("offset").alias("last")))
-    return merge_ranges(pieces)
+              .agg(F.min("offset").alias("first"), F.max("offset").alias("last")).drop("_island"))
+    return _join_chunks(pieces, chunk)
 
 
 def offset_spans(messages: DataFrame) -> DataFrame:
@@ -127,7 +146,7 @@ def commit(spark: SparkSession, root: str, run: str, batch: int, ranges: DataFra
     kept for a restart that runs this batch again; those before them go."""
     before = _last_before(spark, root, run, batch)
     every = ranges if before is None else merge_ranges(before.unionByName(ranges))
-    every.coalesce(1).write.mode("overwrite").parquet(f"{root}/run={run}/batch={batch:010d}")
+    every.write.mode("overwrite").parquet(f"{root}/run={run}/batch={batch:010d}")
     there = [n for n in _numbers(spark, root, run) if n < batch]
     for old in there[:-1]:
         fs, p = _fs(spark, f"{root}/run={run}/batch={old:010d}")

@@ -47,6 +47,27 @@ def test_ranges_match_brute_force(spark):
     assert [s[:2] for s in spans] == sorted({c[:2] for c in cells}) and spans[0][3] == max(o for t, p, o in cells if (t, p) == spans[0][:2])
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1 << 16])
+def test_merged_ranges_cross_chunks(spark, chunk):
+    rng = random.Random(3)
+    spans = [("a", rng.randint(0, 1), lo, lo + rng.choice((0, 0, 1, 3, 40))) for lo in (rng.randint(0, 600) for _ in range(150))]
+    spans += [("b", 0, 10, 500), ("b", 0, 20, 30), ("b", 0, 501, 501), ("b", 0, 503, 503)]
+    cells = {(t, p, o) for t, p, lo, hi in spans for o in range(lo, hi + 1)}
+    assert _ranges(offsets.merge_ranges(spark.createDataFrame(spans, offsets.RANGES), chunk=chunk)) == _brute(cells)
+
+
+def test_scattered_ranges_are_not_written_by_one_task(spark, tmp):
+    every = spark.range(200_000).selectExpr("'t' AS topic", "0 AS partition", "id * 2 AS offset")     # no two adjoin
+    root = os.path.join(tmp, "_offsets")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")             # else so few rows share a task
+    try:
+        offsets.commit(spark, root, "r", 0, offsets.offset_ranges(every, chunk=1 << 14))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spark.read.parquet(os.path.join(root, "run=r", "batch=0000000000")).count() == 200_000
+    assert len([f for f in os.listdir(os.path.join(root, "run=r", "batch=0000000000")) if f.startswith("part-")]) > 1
+
+
 @pytest.mark.parametrize("bucket", [8, 1 << 20])
 def test_covered_messages_are_dropped(spark, bucket):
     rng = random.Random(2)
