@@ -28,7 +28,7 @@ from eventide.operators.dedup import dedup_events
 from eventide.operators.generate import dense_index
 from eventide.operators.windows import WATERMARK, union_json, window_counts_union
 from eventide.plans.feature_store import commit_partitions
-from eventide.schema import CHANGE_EVENT_COLUMNS, CHANGE_EVENT_V1
+from eventide.schema import CHANGE_EVENT_COLUMNS, ENVELOPE
 from eventide.session import scratch_path
 from eventide.sinks.parquet import FLUSH_INTERVAL, with_partitions, write_events
 from eventide.sinks.wire import encode_wire, publish, to_dlq, to_envelope, use_broker
@@ -126,7 +126,6 @@ def _write_dlq(dlq: DataFrame, path: str | None, key: str, bootstrap_servers: st
     if _exists(spark, path):
         from pyspark.sql import types as T
 
-        from eventide.schema import ENVELOPE
         schema = T.StructType(ENVELOPE.fields + [T.StructField("dt", T.StringType()),
                                                  T.StructField("batch_id", T.StringType())])
         stored = (_read_touched(spark, path, rows.select("dt"), schema)
@@ -303,22 +302,24 @@ class PacedReplay(NamedTuple):
             raise self.query.exception()
 
 
-# Ticks whose events lie in one folder of the release table.
-TICKS_PER_BLOCK = 4096
+# Messages that lie in one folder, and file, of the release table.
+BLOCK_MESSAGES = 1 << 17
 
 
-def release_table(spark: SparkSession, events_dir: str, date_from: str, date_to: str, per_tick: int, path: str) -> DataFrame:
-    """The events of the days, numbered by event time and written under ``path`` in
-    blocks of ticks, in order; what is there whole is used again, so that a
-    restart releases the same events at the same ticks."""
-    schema = T.StructType([*CHANGE_EVENT_V1.fields, T.StructField("release", T.LongType()), T.StructField("block", T.LongType())])
+def release_table(spark: SparkSession, events_dir: str, date_from: str, date_to: str, path: str,
+                  schema_id: int = 1, schema_json: str = SCHEMA_V1_JSON) -> DataFrame:
+    """The wire messages of the days' events, numbered by event time and written
+    under ``path`` in blocks, in order; what is there whole is used again, so
+    that a restart releases the same events at the same ticks."""
+    schema = T.StructType([*ENVELOPE.fields, T.StructField("release", T.LongType()), T.StructField("block", T.LongType())])
     if not _exists(spark, f"{path}/_SUCCESS"):
         stored = read_events(spark, events_dir, date_from, date_to).select(*CHANGE_EVENT_COLUMNS)
         first = ["timestamp", "wiki", "id"]
         order = [*first, *(c for c in CHANGE_EVENT_COLUMNS if c not in first)]
-        listed = dense_index(stored, order, out="release") \
-            .withColumn("block", F.floor(F.col("release") / F.lit(per_tick * TICKS_PER_BLOCK)).cast("long"))
-        listed.sortWithinPartitions("block", "release").write.mode("overwrite").partitionBy("block").parquet(path)
+        enc = encode_wire(dense_index(stored, order, out="release"), schema_id, schema_json)
+        env = to_envelope(enc, TOPIC, event_key(), timestamp=event_time("timestamp"), keep=("release",)) \
+            .withColumn("block", F.floor(F.col("release") / F.lit(BLOCK_MESSAGES)).cast("long"))
+        env.repartition("block").sortWithinPartitions("block", "release").write.mode("overwrite").partitionBy("block").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -330,26 +331,26 @@ def start_replay_paced(spark: SparkSession, events_dir: str, topic_dir: str | No
     time at ``events_per_second``: each tick of a clock, one every
     ``interval_seconds``, releases the next ``events_per_second * interval_seconds``.
 
-    The range is listed by its days' paths and numbered once; a tick reads only
-    its own block of that table, cut to its rows by the file statistics.  A
+    The range is listed by its days' paths, numbered and encoded once; a tick
+    reads only its own block of that table, cut to its rows by the file
+    statistics, and does nothing but send them, however long the range.  A
     trigger that comes late releases its own tick, so no interval gets more.
     A restart of the checkpoint goes on at the tick that was not committed.
     """
     check_range(date_from, date_to)
     per_tick = max(1, int(events_per_second * interval_seconds))
     ckpt = _checkpoint(spark, "replay", checkpoint).rstrip("/")
-    table = release_table(spark, events_dir, date_from, date_to, per_tick, f"{ckpt}-release-{per_tick}")
+    table = release_table(spark, events_dir, date_from, date_to, f"{ckpt}-messages-{schema_id}-{per_tick}", schema_id, schema_json)
     ticks = -(-table.count() // per_tick)
-    span = per_tick * TICKS_PER_BLOCK
+    columns = ENVELOPE.fieldNames()
 
     def batch(df: DataFrame, batch_id: int) -> None:
         if batch_id >= ticks:               # the clock ticks once a batch: its number is the tick
             return
         lo, hi = batch_id * per_tick, (batch_id + 1) * per_tick
-        due = table.where(F.col("block").between(lo // span, (hi - 1) // span) & (F.col("release") >= lo) & (F.col("release") < hi))
-        enc = encode_wire(due.select(*CHANGE_EVENT_COLUMNS), schema_id, schema_json)
-        env = to_envelope(enc, TOPIC, event_key(), timestamp=event_time("timestamp"))
-        _write_batch(env, topic_dir, batch_key(ckpt, batch_id), TOPIC, bootstrap_servers)
+        blocks = F.col("block").between(lo // BLOCK_MESSAGES, (hi - 1) // BLOCK_MESSAGES)
+        due = table.where(blocks & (F.col("release") >= lo) & (F.col("release") < hi))
+        _write_batch(due.select(*columns), topic_dir, batch_key(ckpt, batch_id), TOPIC, bootstrap_servers)
 
     w = clock(spark, interval_seconds).writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
     return PacedReplay(w.trigger(processingTime=f"{max(1, int(interval_seconds * 1000))} milliseconds").start(), ticks)

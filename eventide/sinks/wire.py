@@ -52,8 +52,8 @@ def encode_wire_by(df: DataFrame, schema_id_col: str, schemas: dict, out: str =
 
 def to_envelope(df: DataFrame, topic: str, key: Column, value: str = "value",
                 partitions: int = TOPIC_PARTITIONS, partition: Column | None = None,
-                offset: Column | None = None, timestamp: Column | None = None) -> DataFrame:
-    """K1 shape: key, value, topic, partition, offset, timestamp, headers.
+                offset: Column | None = None, timestamp: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """K1 shape: key, value, topic, partition, offset, timestamp, headers; and the columns ``keep``.
 
     Same key -> same partition (``pmod(hash(key), partitions)``) of a topic
     directory; a broker partitions by the key itself.  A broker also assigns
@@ -69,6 +69,7 @@ def to_envelope(df: DataFrame, topic: str, key: Column, value: str = "value",
         (offset if offset is not None else F.lit(None)).cast("long").alias("offset"),
         (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp"),
         F.array().cast("array<struct<key:string,value:binary>>").alias("headers"),
+        *keep,
     )
 
 

@@ -203,6 +203,23 @@ def test_paced_replay_releases_its_rate_and_goes_on_after_a_restart(spark, tmp):
     assert nothing.ticks == 0 and not os.path.exists(os.path.join(tmp, "none"))
 
 
+def test_paced_replay_encodes_once_however_many_ticks(spark, tmp, monkeypatch):
+    from eventide.sinks.parquet import write_events
+    events_dir, topic = os.path.join(tmp, "events"), os.path.join(tmp, "topic")
+    write_events(ce_columns(change_events(spark, SF001)), events_dir)
+    want = read_events(spark, events_dir, "2024-01-02", "2024-01-04")
+    encoded, encode = [], jobs.encode_wire
+    monkeypatch.setattr(jobs, "encode_wire", lambda *a: encoded.append(1) or encode(*a))
+    monkeypatch.setattr(jobs, "BLOCK_MESSAGES", 30)              # a tick of 20 may lie in two blocks
+    job = jobs.start_replay_paced(spark, events_dir, topic, "2024-01-02", "2024-01-04", events_per_second=100,
+                                  interval_seconds=0.2, checkpoint=os.path.join(tmp, "ck"))
+    job.await_end()
+    assert job.ticks > 2 and len(encoded) == 1
+    valid, rejected = decode_wire(spark.read.parquet(topic), registry_frame(spark))
+    assert rejected.count() == 0
+    assert valid.exceptAll(want.select(*valid.columns)).count() == 0 and valid.count() == want.count()
+
+
 def test_windows_job_from_topic_to_json_files(spark, tmp):
     from eventide.streaming.sources import payloads_from_topic
     from eventide.schema import ENVELOPE
