@@ -11,17 +11,25 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SPACES_MEET = re.compile(r"\s |\ \s")
 NONE = 1 << 60
-TOGETHER = 1 << 15            # pre-tokens that take their merges together
+TOGETHER = 1 << 13            # pre-tokens that take their merges together
+WIDTHS = (2, 4, 6, 8, 12, 16, 24, 48)      # bytes of such pre-tokens; longer ones are merged one by one
+
+
+def offsets_of(column: pa.Array) -> np.ndarray:
+    """Where each value of a column with long offsets begins in its data, and where the last one ends."""
+    return np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
 
 
 def byte_of_char() -> dict[str, int]:
@@ -68,9 +76,12 @@ class Vocabulary:
             self.rank[self.id_of[a], self.id_of[b]] = n
             self.merged.append(self.id_of[a + b])
         self.id_of_byte = [self.id_of[bytes([b])] for b in range(256)]
+        self.first_ids = np.array(self.id_of_byte)
         pairs = np.array([(a << 32) | b for a, b in self.rank] or [-1], np.int64)
         self.pair_order = np.argsort(pairs)
         self.pair_keys, self.merged_ids = pairs[self.pair_order], np.array(self.merged or [0], np.int64)
+        # Of a pair of bytes, whose ranks are looked up most.
+        self.first_ranks = self._ranks(np.repeat(self.first_ids, 256), np.tile(self.first_ids, 256))
         self.longest = max(map(len, self.id_of))
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -111,41 +122,71 @@ class Vocabulary:
     def merge_all(self, words: list[bytes]) -> list[list[int]]:
         """``merge`` of many pre-tokens: those of like length take their next merge together."""
         out: list[list[int]] = [[]] * len(words)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        laid = pa.array(words, pa.large_binary())
+        for rows, ids, size in self._merge_groups(laid):
+            for i, own, n in zip(rows.tolist(), ids.tolist(), size.tolist()):
+                out[i] = own[:n]
+        for i in self._long(laid):
+            out[i] = self._merge_long(words[i])
+        return out
+
+    def merged_sizes(self, words: pa.LargeBinaryArray) -> np.ndarray:
+        """How many tokens ``merge`` makes of each pre-token."""
+        out = np.zeros(len(words), np.int64)
+        for rows, _, size in self._merge_groups(words):
+            out[rows] = size
+        for i in self._long(words):
+            out[i] = len(self._merge_long(words[i].as_py()))
+        return out
+
+    @staticmethod
+    def _long(words: pa.LargeBinaryArray) -> list[int]:
+        return np.flatnonzero(np.diff(offsets_of(words)) > WIDTHS[-1]).tolist()
+
+    def _merge_groups(self, words: pa.LargeBinaryArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(places, token ids, how many of them) of words of like length, up to the greatest width."""
+        starts, data = offsets_of(words), np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        lengths = np.diff(starts)
         by_length, first = np.argsort(lengths, kind="stable"), 0
-        for width in (2, 4, 6, 8, 12, 16, 24, 48):
+        first = int(np.searchsorted(lengths, 0, "right", sorter=by_length))
+        for width in WIDTHS:
             last = int(np.searchsorted(lengths, width, "right", sorter=by_length))
             for start in range(first, last, TOGETHER):
                 rows = by_length[start:min(last, start + TOGETHER)]
-                for i, ids in zip(rows.tolist(), self._merge_rows([words[i] for i in rows], width)):
-                    out[i] = ids
+                size, column = lengths[rows], np.arange(width)
+                letters = data[np.minimum(starts[rows, None] + column, len(data) - 1)]
+                yield rows, *self._merge_rows(letters, size)
             first = last
-        for i in by_length[first:].tolist():
-            out[i] = self._merge_long(words[i])
-        return out
 
-    def _merge_rows(self, words: list[bytes], width: int) -> list[list[int]]:
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        letters = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(-1, width)
-        column = np.arange(width)
-        ids = np.where(column < size[:, None], np.array(self.id_of_byte)[letters], -1)
+    def _merge_rows(self, letters: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The token ids of words given as rows of bytes, and how many each has."""
+        width = letters.shape[1]
+        size, column = size.copy(), np.arange(width)
+        inside = column < size[:, None]
+        ids = np.where(inside, self.first_ids[letters], -1)
         ranks = np.full(ids.shape, NONE)               # of the pair that begins in a column
-        ranks[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
-        live = np.arange(len(words))
-        while len(live):
-            at = ranks[live].argmin(axis=1)            # the lowest rank, leftmost on ties
-            best = ranks[live, at]
-            live, at, best = live[best != NONE], at[best != NONE], best[best != NONE]
-            kept = np.minimum(column + (column > at[:, None]), width - 1)
-            for grid, blank in ((ids, -1), (ranks, NONE)):
-                grid[live] = np.take_along_axis(grid[live], kept, axis=1)
-                grid[live, -1] = blank
-            ids[live, at] = self.merged_ids[best]
-            size[live] -= 1
-            after, inner = np.minimum(at + 1, width - 1), at > 0
-            ranks[live, at] = np.where(after > at, self._ranks(ids[live, at], ids[live, after]), NONE)
-            ranks[live[inner], at[inner] - 1] = self._ranks(ids[live[inner], at[inner] - 1], ids[live[inner], at[inner]])
-        return [row[:n] for row, n in zip(ids.tolist(), size.tolist())]
+        pairs = (letters[:, :-1].astype(np.int64) << 8) | letters[:, 1:]
+        ranks[:, :-1] = np.where(inside[:, 1:], self.first_ranks[pairs], NONE)
+        done_ids, done_size = ids, size
+        live = np.arange(len(ids))
+        while True:
+            at = ranks.argmin(axis=1)                  # the lowest rank, leftmost on ties
+            best = ranks[np.arange(len(live)), at]
+            going = best != NONE
+            if not going.all():
+                done_ids[live], done_size[live] = ids, size
+                live, ids, ranks, size, at, best = live[going], ids[going], ranks[going], size[going], at[going], best[going]
+            if not len(live):
+                return done_ids, done_size
+            row = np.arange(len(live))
+            kept = np.minimum(column + (column > at[:, None]), width - 1) + row[:, None] * width
+            ids, ranks = ids.take(kept), ranks.take(kept)
+            ids[:, -1], ranks[:, -1] = -1, NONE
+            ids[row, at] = self.merged_ids[best]
+            size = size - 1
+            after, inner = np.minimum(at + 1, width - 1), np.flatnonzero(at > 0)
+            ranks[row, at] = np.where(after > at, self._ranks(ids[row, at], ids[row, after]), NONE)
+            ranks[inner, at[inner] - 1] = self._ranks(ids[inner, at[inner] - 1], ids[inner, at[inner]])
 
     def _merge_long(self, word: bytes) -> list[int]:
         """The same by a heap over linked parts, for pre-tokens of any length."""

@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.bpe import Recent, Vocabulary, default_path, vocabulary
+from eventide.llm.bpe import Recent, Vocabulary, default_path, offsets_of, vocabulary
 from eventide.llm.common import map_batches, materialize
 from eventide.session import ensure_checkpoint_dir
 
@@ -148,12 +148,47 @@ SPACES_MEET = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 STEP_BYTES = 8 << 20          # texts worked on together, unless one alone is longer
 
 
+# A piece of visible ASCII without quotes, with a space before it or none, and other white space inside or behind.
+PLAIN = r"^ ?[!-&(-~][\t-\r!-&(-~]*$"
+KIND = np.full(256, 2, np.uint8)          # of an ASCII character: 0 a letter, 1 a digit, 2 another, 3 white space
+KIND[[*range(65, 91), *range(97, 123)]] = 0
+KIND[48:58] = 1
+KIND[[*range(9, 14), 32]] = 3
+
+
+def plain_words(pieces: pa.LargeStringArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The pre-tokens of plain pieces in a row, and how many each piece has.
+
+    One begins where the kind of the characters changes, but not behind the
+    piece's space; of white space before something visible, the last
+    character is one of its own."""
+    places = offsets_of(pieces)
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[places[0]:places[-1]]
+    starts = places[:-1] - places[0]
+    kind = KIND[data]
+    begins = np.ones(len(data) + 1, bool)
+    begins[1:-1] = kind[1:] != kind[:-1]
+    begins[starts] = True
+    white = np.flatnonzero(kind == 3)
+    lone = white[data[white] != 32]
+    last = lone[~begins[lone] & begins[lone + 1]]       # of several, in the middle or at the end of a piece
+    edge = np.zeros(len(data) + 1, bool)
+    edge[starts], edge[-1] = True, True
+    begins[last[~edge[last + 1]]] = True
+    spaces = white[data[white] == 32]
+    begins[spaces + 1] = False
+    at = np.flatnonzero(begins).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+    return words, np.diff(np.searchsorted(at, np.append(starts, len(data))))
+
+
 class Encoder:
     """Encodes and decodes texts in one worker process."""
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None):
         self.vocab, self.lexicon = vocab, lexicon
         self.known = Recent(CACHED)
+        self.sizes = pa.array([], pa.large_binary()), np.zeros(0, np.int64)     # pre-tokens and their tokens
         size = max(vocab.bytes_of) + 1
         self.raw = pa.array([vocab.bytes_of.get(i, b"") for i in range(size)], pa.large_binary())
         self.decimal = pa.array([b"%d," % i for i in range(size)], pa.large_binary())
@@ -212,11 +247,68 @@ class Encoder:
         return ([words[u - len(words)] if u >= len(words) else " " + words[u] for u in used.tolist()],
                 renumbered[place], ends)
 
+    def word_sizes(self, words: pa.LargeBinaryArray) -> np.ndarray:
+        """Tokens of each of the distinct pre-tokens: remembered, or merged."""
+        names, sizes = self.sizes
+        at = pc.index_in(words, value_set=names)
+        out = sizes.take(at.fill_null(0).to_numpy()) if len(names) else np.zeros(len(words), np.int64)
+        fresh = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        if len(fresh):
+            new = words.take(pa.array(fresh))
+            out[fresh] = own = self.vocab.merged_sizes(new)
+            short = np.flatnonzero(np.diff(offsets_of(new)) <= 64)[:CACHED]
+            new, own = new.take(pa.array(short)), own[short]
+            full = len(names) + len(new) > CACHED
+            self.sizes = (new, own) if full else (pa.concat_arrays([names, new]), np.concatenate([sizes, own]))
+        return out
+
+    def piece_sizes(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Tokens of each of the distinct pieces, none of which is a special string."""
+        plain = pc.match_substring_regex(pieces, PLAIN)
+        words, many = plain_words(pieces.filter(plain))
+        split = [self.vocab.words.findall(p) for p in strings(pieces.filter(pc.invert(plain)))]
+        mask, counts = plain.to_numpy(zero_copy_only=False), np.zeros(len(pieces), np.int64)
+        more = pa.array([w.encode() for w in chain.from_iterable(split)], pa.large_binary())
+        counts[mask], counts[~mask] = many, np.fromiter(map(len, split), np.int64, len(split))
+        coded = pa.concat_arrays([words, more]).dictionary_encode()
+        sizes = self.word_sizes(coded.dictionary)[coded.indices.to_numpy()]
+        # The words of the plain pieces come first.
+        through = np.concatenate([[0], np.cumsum(sizes)])
+        out, ends = np.zeros(len(pieces), np.int64), np.cumsum(np.concatenate([[0], counts[mask], counts[~mask]]))
+        both = np.diff(through[ends])
+        out[mask], out[~mask] = both[:len(many)], both[len(many):]
+        return out
+
     def count(self, texts: pa.Array) -> np.ndarray:
-        """Tokens of each text."""
-        pieces, place, ends = self.cut(texts)
-        sizes = np.array([len(ids) for ids in self.ids_of(pieces)] or [0], np.int64)
-        return np.diff(np.concatenate([[0], np.cumsum(sizes[place])])[ends])
+        """Tokens of each text; Python only touches distinct pieces that are not plain."""
+        out = np.zeros(len(texts), np.int64)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        if len(even := np.flatnonzero(~odd)):
+            own = texts if len(even) == len(texts) else texts.take(pa.array(even))
+            parts = pc.split_pattern(own, " ")
+            ends = parts.offsets.to_numpy().astype(np.int64)
+            ends -= ends[0]
+            coded = parts.flatten().dictionary_encode()
+            words, place = coded.dictionary.cast(pa.large_string()), coded.indices.to_numpy().astype(np.int64)
+            # The first word of a text has no space before it.
+            firsts, number = np.unique(place[ends[:-1]], return_inverse=True)
+            place[ends[:-1]] = len(words) + number
+            none, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+            spaced = pc.binary_join_element_wise(none, words, space)
+            sizes = self.piece_sizes(pa.concat_arrays([spaced, words.take(pa.array(firsts))]))
+            out[even] = np.diff(np.concatenate([[0], np.cumsum(sizes[place])])[ends])
+        if len(which := np.flatnonzero(odd)):
+            pieces, ends, special = [], [0], []
+            for text in texts.take(pa.array(which)).to_pylist():
+                segments = self.vocab.segments(text)
+                for segment in segments[::2]:
+                    pieces += self.vocab.pieces(segment)
+                ends.append(len(pieces))
+                special.append(len(segments) // 2)
+            coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+            sizes = self.piece_sizes(coded.dictionary)[coded.indices.to_numpy()]
+            out[which] = np.diff(np.concatenate([[0], np.cumsum(sizes)])[ends]) + special
+        return out
 
     def encode(self, texts: pa.Array) -> Encoded:
         """The token ids of each text; Python only touches distinct pieces."""

@@ -42,16 +42,27 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, usual)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of ``df`` inside the tasks."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str,
+                together: int = 0) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch of ``df`` inside the tasks; batches are
+    joined until they hold ``together`` bytes."""
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def joined() -> list[pa.RecordBatch]:
+            return held if len(held) < 2 else pa.Table.from_batches(held).combine_chunks().to_batches()
+
         for batch in batches:
             if batch.num_rows:
-                yield fn(batch)
+                held.append(batch)
+                if sum(b.nbytes for b in held) >= together:
+                    yield from map(fn, joined())
+                    held = []
+        yield from map(fn, joined())
 
     return df.mapInArrow(run, schema)
 

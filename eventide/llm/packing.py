@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm.bpe import default_path
-from eventide.llm.bpe_lexicon import encoder, steps
+from eventide.llm.bpe_lexicon import STEP_BYTES, encoder, steps
 from eventide.llm.common import map_batches, materialize
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -112,7 +112,7 @@ def with_token_lengths(docs: DataFrame, path: str | None = None, id_col: str = "
         n = np.concatenate([encoder(path).count(texts) for texts in steps(batch.column(1))])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n + 1, pa.int64())], names=["doc_id", "n"])
 
-    return map_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long")
+    return map_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n long", STEP_BYTES)
 
 
 def word_tokens(text_col: str = "text"):

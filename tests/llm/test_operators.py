@@ -10,11 +10,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from eventide.llm import bpe, bpe_lexicon, chat, graph_search, kd_search, lm_mixing, packing, pii, simhash, token_counts, toxicity
+from eventide.llm import (bpe, bpe_lexicon, chat, common, graph_search, kd_search, lm_mixing, packing, pii, simhash,
+                          token_counts, toxicity)
 from eventide.llm.common import read_table
 from eventide.llm.components import connected_components
 from tests.conftest import SF001
@@ -244,6 +247,31 @@ def test_packing_lengths_are_tokens(odd_docs, library):
     assert held == total
 
 
+def test_plain_words_are_the_pre_tokens(library):
+    """Pieces cut all at once, and token counts of texts that mix plain, odd and non-ASCII pieces."""
+    rng, vocab = random.Random(5), bpe_lexicon.vocabulary(bpe_lexicon.default_path())
+    pieces = [rng.choice(["", " "]) + "".join(rng.choice("abZ09.,-!\n\t") for _ in range(rng.randint(1, 12))) for _ in range(5000)]
+    column = pa.array(pieces, pa.large_string())
+    column = column.filter(pc.match_substring_regex(column, bpe_lexicon.PLAIN))
+    words, many = bpe_lexicon.plain_words(column)
+    words, at = [w.decode() for w in words.to_pylist()], 0
+    for piece, n in zip(column.to_pylist(), many.tolist()):
+        assert words[at:at + n] == vocab.words.findall(piece)
+        at += n
+    assert at == len(words) and len(column) > 2000
+    texts = ["".join(rng.choice("abZ 09.,-!\n\r' \u00e9\u00a0\x1c\u4e2d") for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["", " ", "\n\n", "a\n\n\nb", "x" * 300 + " y", *(f"a {s}b  c" for s in vocab.special)]
+    of = bpe_lexicon.Encoder(vocab, None)
+    for part in (texts[:500], texts[500:]):
+        assert of.count(pa.array(part)).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in part]
+
+
+def test_batches_are_joined(spark):
+    sizes = common.map_batches(spark.range(0, 4000, 1, 1), lambda b: pa.RecordBatch.from_arrays(
+        [pa.array([b.num_rows], pa.int64())], names=["n"]), "n long", together=8 * 1200)
+    assert [r.n for r in sizes.collect()] == [1536, 1536, 928]
+
+
 def least_packing_cost(lengths, capacities, overhead):
     """The optimum: every way to deal the pieces into bins."""
     best = float("inf")
