@@ -28,8 +28,10 @@ def dedup_events(df: DataFrame, key=KEY, order=ORDER, delivery=()) -> DataFrame:
     named = F.lit(bool(delivery))
     for c in delivery:
         named = named & F.col(f"_solo.{c}").isNotNull()
+    # Groups are sorted: by the id first, which settles most comparisons as a number.
+    by = sorted(key, key=lambda c: c != "id")
     best = (df.withColumn("_solo", F.when(nameless, row))
-              .groupBy(*key, "_solo")
+              .groupBy(*by, "_solo")
               .agg(F.min(row).alias("_b"), F.count(F.lit(1)).alias("_n"))
               .withColumn("_copies", F.when(F.col("_solo").isNull() | named, F.lit(1)).otherwise(F.col("_n")))
               .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))

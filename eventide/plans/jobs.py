@@ -198,7 +198,8 @@ def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
     valid -> dedup (within the batch and against stored days) -> dt/hour files;
     then commit the batch's offsets and partitions.
 
-    The decoded batch is persisted because several steps read it.  Both writes
+    The decoded batch is persisted because several steps read it, and the batch
+    itself if offsets are committed that it is compared with.  Both writes
     replace their own ``batch_id`` partition and the offsets are committed after
     them, so a replayed batch adds nothing twice: what it left behind is
     overwritten, whatever was committed is not seen by itself (K6).
@@ -207,9 +208,10 @@ def store_batch(df: DataFrame, key: str, events_dir: str, dlq_dir: str | None,
     spark = df.sparkSession
     run, _, number = key.rpartition("-")
     manifest = f"{events_dir.rstrip('/')}/{offsets.OFFSETS_DIR}"
-    df = df.persist()                       # read once from the topic, whatever is asked of it
-    msgs = df.withColumnRenamed("timestamp", "broker_timestamp")
     before = offsets.committed(spark, manifest, run, int(number))
+    if before is not None:
+        df = df.persist()                   # read once from the topic: for its offsets and for its messages
+    msgs = df.withColumnRenamed("timestamp", "broker_timestamp")
     if before is not None:
         msgs = offsets.drop_covered(msgs, before)
     keep = ("key", "topic", "partition", "offset", "broker_timestamp", "headers")

@@ -153,3 +153,14 @@ def test_a_broker_without_connector_is_an_error(spark, tmp):
         jobs._write_dlq(env, tmp, "r-0", "broker:9092")
     with pytest.raises(ValueError, match="connector"):
         jobs.start_windows(spark, spark.readStream.text(tmp).withColumnRenamed("value", "payload"), None, bootstrap_servers="broker:9092")
+
+
+def test_redelivered_messages_are_encoded_once(spark):
+    """Every message lies there twice, byte for byte, from one pass of the encoder."""
+    from eventide.schema import CHANGE_EVENT_V1
+    rows = [(n, "edit", 0, f"P{n}", "u", None, 1_700_000_000 + n, "x", False, "s", "s", "s", "enwiki", n) for n in range(1, 60)]
+    topic = inject.redelivered_topic(spark.createDataFrame(rows, CHANGE_EVENT_V1))
+    plan = topic._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    seen = topic.groupBy("partition", "offset", "key", "value", "timestamp").count().collect()
+    assert len(seen) == 59 and {r["count"] for r in seen} == {2}
