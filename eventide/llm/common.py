@@ -30,18 +30,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it again."""
+    spark = table.sparkSession
+    if files := table.inputFiles():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if folder.getParent().getName() != "scratch":
+            raise ValueError(f"not a scratch table: {folder}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """What runs inside sends Python workers so many rows a batch."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     usual = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, usual)
 
 
+def batch_rows(spark: SparkSession, rows: int):
+    """What runs inside sends Python workers so many rows a batch."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def shuffles_removed(spark: SparkSession):
+    """What is written inside leaves no shuffle files behind."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str,
                 together: int = 0) -> DataFrame:
     """Apply ``fn`` to each Arrow batch of ``df`` inside the tasks; batches are

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import BATCH_ROWS, batch_rows, in_fold, map_batches, materialize
+from eventide.llm.common import BATCH_ROWS, batch_rows, discard, in_fold, map_batches, materialize, shuffles_removed
 
 ORDERS = (1, 2, 3, 5)
 TABLE_BITS = 20               # slots an order of the table that is broadcast; contexts beyond it are joined
@@ -216,7 +216,9 @@ def contexts_of(gathered: DataFrame, code: Code) -> DataFrame:
     out = (rows.groupBy(F.shiftright("gram", 8).alias("key"))
                .agg(F.floor(F.log2(F.sum("n")) * 8).cast("int").alias("rank"), F.sum(length).alias("nodes"),
                     F.collect_list(F.struct(symbol.alias("symbol"), "n")).alias("next")))
-    return materialize(out.withColumn("nodes", F.least("nodes", F.lit(255))), "lm-contexts")
+    contexts = materialize(out.withColumn("nodes", F.least("nodes", F.lit(255))), "lm-contexts")
+    discard(grams)
+    return contexts
 
 
 def flat(keys: pa.Array, following: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -416,18 +418,28 @@ class Mixer:
         state["ones"][rank] = ones + np.bincount(flat, one.ravel(), n * BUCKETS).reshape(-1, BUCKETS)
 
 
+def packed(rows: pa.Table) -> bytes:
+    """The rows as one compressed value, as they are written and shuffled."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(value: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(value.as_buffer()).read_all().combine_chunks()
+
+
 def in_blocks(rows: DataFrame) -> DataFrame:
     """The rows (row, doc_id, held_out, text) in blocks of about ``BLOCK`` bytes
-    of text, or one longer text: a list per column, and the first ``row`` as ``block``."""
+    of text, or one longer text: all ``packed``, and the first ``row`` as ``block``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def block() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            ends = pa.array([0, table.num_rows], pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, c.combine_chunks()) for c in table.columns]
-            return pa.RecordBatch.from_arrays([table.column("row")[:1].combine_chunks(), *lists],
-                                              names=["block", *table.column_names])
+            table = pa.Table.from_batches(held).combine_chunks()
+            return pa.RecordBatch.from_arrays([table.column("row")[:1].combine_chunks(), pa.array([packed(table)], pa.binary())],
+                                              names=["block", "rows"])
 
         size = 0
         for batch in batches:
@@ -444,8 +456,7 @@ def in_blocks(rows: DataFrame) -> DataFrame:
         if held:
             yield block()
 
-    lists = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in rows.schema)
-    return rows.mapInArrow(run, f"block long, {lists}")
+    return rows.mapInArrow(run, "block long, rows binary")
 
 
 def asked(blocks: DataFrame, sent_keys) -> DataFrame:
@@ -453,8 +464,8 @@ def asked(blocks: DataFrame, sent_keys) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = sent_keys.value
         numbers, keys = [], []
-        for number, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            units = set().union(*(cut(t.encode()) for t in texts.values.to_pylist()))
+        for number, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
+            units = set().union(*(cut(t.encode()) for t in unpacked(rows).column("text").to_pylist()))
             grams = np.unique(grams_of(list(units))[0])
             own = np.unique(np.concatenate([context_keys(grams, k) for k in range(len(ORDERS))]))
             if len(known):
@@ -464,7 +475,7 @@ def asked(blocks: DataFrame, sent_keys) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(numbers)), pa.array(np.concatenate(keys))],
                                           names=["block", "key"])
 
-    return map_batches(blocks.select("block", "text"), run, "block long, key long")
+    return map_batches(blocks.select("block", "rows"), run, "block long, key long")
 
 
 def scored(blocks: DataFrame, sent, id_type: str, n_train: int) -> DataFrame:
@@ -493,15 +504,18 @@ def scored(blocks: DataFrame, sent, id_type: str, n_train: int) -> DataFrame:
         if not mixers:
             gc.disable()      # many small lists and no cycles
             mixers[0] = Mixer(*sent.value)
-        numbers, ids, held, texts = (batch.column(c).flatten() for c in ("row", "doc_id", "held_out", "text"))
-        raw = [t.encode() for t in texts.to_pylist()]
-        found: list = []
-        for i, n in enumerate(batch.column("text").value_lengths().to_pylist()):
-            found += block(raw[len(found):len(found) + n], batch.column("others").slice(i, 1).flatten())
+        tables = [unpacked(rows) for rows in batch.column("rows")]
+        raw, found = [], []
+        for i, rows in enumerate(tables):
+            own = [t.encode() for t in rows.column("text").to_pylist()]
+            found += block(own, batch.column("others").slice(i, 1).flatten())
+            raw += map(len, own)
+        numbers, ids, held = (pa.chunked_array([t.column(c).chunk(0) for t in tables]).combine_chunks()
+                              for c in ("row", "doc_id", "held_out"))
         log_p, n_words, known, base, rare = zip(*found)
         ends = math.log10(n_train + 1)
         return pa.RecordBatch.from_arrays(
-            [ids, held, pa.array(list(map(len, raw)), pa.int64()),
+            [ids, held, pa.array(raw, pa.int64()),
              pa.array([n + 1 for n in n_words], pa.int64()), pa.array([n + (n_train > 0) for n in known], pa.int64()),
              pa.array([b + ends for b in base], pa.float64()), pa.array(log_p, pa.float64()),
              pa.array(rare, pa.list_(pa.string())), numbers],
@@ -523,7 +537,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        in_fold(F.col(id_col), FOLDS, HELD_OUT).alias("held_out"))
-    spark = docs.sparkSession
+    with shuffles_removed(docs.sparkSession):
+        return _scores(rows)
+
+
+def _scores(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
     train = rows.where(~F.col("held_out"))
     counts = byte_counts(train, "text")
     code = prefix_code(counts)
@@ -545,6 +564,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     top = {r["word"].encode(): r["c"] for r in frequent}
     # The frequent contexts in the same way, by rank, as many as the table holds.
     contexts = contexts_of(gathered, code)
+    discard(gathered)
     room, slots = int(LOAD * (len(ORDERS) << TABLE_BITS)), len(ORDERS) << TABLE_BITS
     least_rank, all_sent = None, True
     for r in contexts.groupBy("rank").agg(F.sum("nodes").alias("n")).orderBy(F.desc("rank")).collect():
@@ -565,7 +585,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     id_type = rows.schema["doc_id"].dataType.simpleString()
     # The row numbers are written with the rows, so they stay what they are.
     with batch_rows(spark, BATCH_ROWS):
-        blocks = materialize(in_blocks(rows), "lm-blocks")
+        whole = blocks = materialize(in_blocks(rows), "lm-blocks")
     with batch_rows(spark, 1):      # one row is a whole block
         if all_sent:
             blocks = blocks.withColumn("others", F.lit(None).cast("array<struct<key:bigint,next:array<bigint>>>"))
@@ -577,6 +597,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                       .groupBy("block").agg(F.collect_list(F.struct("key", "next")).alias("others")))
             blocks = blocks.join(needed.hint("merge"), "block", "left").select(*blocks.columns, "others")
         first = scored(blocks, sent, id_type, n_train)
+    discard(whole)
     rare = first.select("row", F.explode("rare").alias("word"))
     more = (rare.join(words, "word").groupBy("row")
                 .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("more_base")))

@@ -5,6 +5,7 @@ columns of clashing names."""
 import hashlib
 import itertools
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -20,6 +21,7 @@ from eventide.llm import (bpe, bpe_lexicon, chat, common, graph_search, kd_searc
                           token_counts, toxicity)
 from eventide.llm.common import read_table
 from eventide.llm.components import connected_components
+from eventide.session import ensure_checkpoint_dir
 from tests.conftest import SF001
 
 WORDS = "the a of réseau straße <|endoftext|> it's we'll 123 x² 日本 -- ... \t \n end".split(" ")
@@ -532,3 +534,19 @@ def test_pipeline_stages(spark):
         assert after.columns == docs.columns and 0 < after.count() <= docs.count()
         docs = after
     assert {r.doc_id for r in c.run(spark, SF001).select("doc_id").collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_mixing_deletes_what_it_has_read(spark, odd_docs):
+    """The counts and the blocks of texts are written once, and are gone when the scores are there."""
+    def left():
+        kept = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "scratch")
+        return sorted(n for n in os.listdir(kept) if n.startswith(("lm-gathered", "lm-grams", "lm-blocks")))
+
+    os.makedirs(os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "scratch"), exist_ok=True)
+    before = left()
+    assert lm_mixing.score(odd_docs).count() == odd_docs.count()
+    assert left() == before
+    rows = pa.table({"row": [7, 8], "text": ["a", None]})
+    assert lm_mixing.unpacked(pa.scalar(lm_mixing.packed(rows), pa.binary())).equals(rows)
+    with pytest.raises(ValueError, match="not a scratch table"):
+        common.discard(spark.read.parquet(f"{SF001}/events.parquet"))
