@@ -21,12 +21,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared scratch folder and read it
-    back: it is computed once, and lost executors only cost a re-read."""
+def materialize(df: DataFrame, name: str, **options) -> DataFrame:
+    """Write ``df`` to a new table in the shared scratch folder, with the
+    writer's options, and read it back: it is computed once, and lost
+    executors only cost a re-read."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

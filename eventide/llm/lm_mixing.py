@@ -18,13 +18,12 @@ The base score is a smoothed unigram model of whole words.
 
 from __future__ import annotations
 
-import gc
 import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -39,21 +38,27 @@ TABLE_BITS = 20               # slots an order of the table that is broadcast; c
 LOAD = 0.6                    # part of its slots that is filled at most
 EMPTY = np.uint64(2 ** 64 - 1)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
-REMEMBERED = 3_000_000        # bits of units whose predictions a worker remembers
+REMEMBERED = 2_000_000        # bits of grams whose predictions a worker remembers
 FREQUENT_WORDS = 100_000      # words whose counts are broadcast; all others are joined
-FLUSH_UNITS = 300_000
+TOGETHER = 1 << 20            # bytes of text whose grams are sorted together
+FLUSH_GRAMS, FLUSH_WORDS = 2_000_000, 300_000
 FOLDS, HELD_OUT = 7, 2
 END = 255                     # a byte that UTF-8 never uses closes each text
 MARK = bytes([END])
+SPACE = 32
 UNSEEN = -32768
 UNIT = 1024.0                 # of a stored stretched probability
 STEP = 1024                   # bits after which weights and refinement learn, at most:
 FIRST_STEPS = (0, 16, 32, 64, 128, 256, 512)   # a text begins with shorter steps, so that short ones learn too
 SEGMENT = 1 << 18             # bytes of one text that are laid out at once, and
-GROUP = 5 << 18               # of texts that step together, about
-BLOCK = 1 << 20               # bytes of text that ask for their contexts together, about
+GROUP = 1 << 20               # of texts that step together, about
+BLOCK = 4 << 20               # bytes of text that ask for their contexts together, about
+# A block is one row: few of them are held before they are written, or read at once.
+FEW_ROWS = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 4, "parquet.page.size.row.check.min": 1}
+GROUPED = 10_000              # contexts of a block that are sent to its task at a time
 GATE_OF = (0, 1, 1, 2)        # by the longest known order; weights are kept for each gate
 GATES = 3
+ONE, NONE = 4, 8             # beside the gate of a bit: it is a one; there is no bit
 RATE, DAMP = 2.0, 48.0
 REFINE_COUNT, BUCKETS = 160.0, 32
 
@@ -88,19 +93,24 @@ def prefix_code(counts: list[int]) -> Code:
                 np.array([n - len(counts) for n, _ in flat], np.uint8), np.array([b for _, b in flat], np.int8))
 
 
-def grams_of(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(gram of each byte, bytes of each unit): the byte itself below the
-    bytes before it in its unit, the nearest one lowest, zero where none is."""
-    sizes = np.fromiter(map(len, units), np.int64, len(units))
-    raw = np.frombuffer(b"".join(units), np.uint8)
-    place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    grams = raw.astype(np.uint64)
+def grams_of(raw: np.ndarray) -> np.ndarray:
+    """The gram of each byte of closed texts that follow each other: the byte
+    itself below the bytes before it in its unit, the nearest one lowest, zero
+    where none is.  A unit ends with a space or an end mark."""
+    grams = np.zeros((len(raw), 8), np.uint8)
+    grams[:, 0] = raw
+    inner = np.where((raw == SPACE) | (raw == END), 0, 255).astype(np.uint8)
+    within = np.full(len(raw), 255, np.uint8)
     for back in range(1, max(ORDERS) + 1):
-        before = np.zeros(len(raw), np.uint64)
-        before[back:] = raw[:-back]
-        before[place < back] = 0
-        grams |= before << np.uint64(8 * back)
-    return grams, sizes
+        within[:back] = 0
+        within[back:] &= inner[:-back]
+        grams[back:, back] = raw[:-back] & within[back:]
+    return grams.view("<u8").ravel()
+
+
+def closed(texts: list[bytes]) -> np.ndarray:
+    """The bytes of all texts, each with its end mark."""
+    return np.frombuffer(MARK.join([*texts, b""]), np.uint8)
 
 
 def context_keys(grams: np.ndarray, k: int) -> np.ndarray:
@@ -135,6 +145,14 @@ def predictions(contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray, c
     return keys, np.rint(UNIT * np.log((n1 + 0.2) / (n0 + 0.2))).astype(np.int16)
 
 
+def counted_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of the texts in order, and how often each is met."""
+    grams = grams_of(closed(texts))
+    grams.sort()
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[first], np.diff(first, append=len(grams))
+
+
 def cut(text: bytes) -> list[bytes]:
     """The units of a text, its end mark included: after each space a new one begins."""
     parts = text.split(b" ")
@@ -164,35 +182,48 @@ def gather(train: DataFrame, text_col: str) -> DataFrame:
     """One pass over the training texts, written: rows (word, n) with word
     counts, and rows (gram, n) with counts of bytes after their contexts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()          # many small objects and no cycles
-        units: Counter = Counter()
-
-        def learn() -> Iterator[pa.RecordBatch]:
-            names, found = list(units), []
-            for i in range(0, len(names), 50_000):
-                part = names[i:i + 50_000]
-                grams, sizes = grams_of(part)
-                found.append(summed(grams, np.repeat(np.fromiter(map(units.__getitem__, part), np.int64, len(part)), sizes)))
-            words: dict[bytes, int] = {}       # no word crosses a space, so units hold whole words
-            for unit, n in units.items():
-                for word in unit.rstrip(MARK).lower().split():
-                    words[word] = words.get(word, 0) + n
-            units.clear()
-            if found:
-                grams, n = summed(*map(np.concatenate, zip(*found)))
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)],
-                                                 names=["word", "gram", "n"])
-            if words:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([w.decode() for w in words], pa.string()), pa.nulls(len(words), pa.int64()),
-                    pa.array(list(words.values()), pa.int64())], names=["word", "gram", "n"])
+        words: Counter = Counter()
+        texts: list[bytes] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def learn() -> None:
+            found.append(counted_grams(texts))
+            texts.clear()
+            if len(found) > 8:        # few lists are merged at a time
+                merged = summed(*map(np.concatenate, zip(*found)))
+                found[:] = [merged]
+
+        def learnt() -> Iterator[pa.RecordBatch]:
+            grams, n = summed(*map(np.concatenate, zip(*found)))
+            found.clear()
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.string()), pa.array(grams.view(np.int64)), pa.array(n)],
+                                             names=["word", "gram", "n"])
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([w.decode() for w in words], pa.string()), pa.nulls(len(words), pa.int64()),
+                pa.array(list(words.values()), pa.int64())], names=["word", "gram", "n"])
+            words.clear()
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                units.update(cut(text.encode()))
-                if len(units) > FLUSH_UNITS:
-                    yield from learn()
-        yield from learn()
+                texts.append(own := text.encode())
+                words.update(own.lower().split())
+                size += len(own) + 1
+                if size > TOGETHER:
+                    learn()
+                    size = 0
+                    if sum(len(n) for _, n in found) > FLUSH_GRAMS:
+                        yield from learnt()
+                if len(words) > FLUSH_WORDS:
+                    yield from counted()
+        if texts:
+            learn()
+        if found:
+            yield from learnt()
+        if words:
+            yield from counted()
 
     texts = train.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     return materialize(texts.mapInArrow(run, "word string, gram long, n long"), "lm-gathered")
@@ -259,10 +290,10 @@ class Mixer:
         self.identity = (1 / (1 + np.exp(-middle))).astype(np.float32)
 
     def forget(self) -> None:
-        """Empty what is remembered of units: one empty row is left."""
-        self.units: dict[bytes, tuple[int, int]] = {}
-        self.x = np.zeros((1, len(ORDERS)), np.float32)
-        self.gate, self.bits = np.zeros(1, np.int8), np.full(1, -1, np.int8)
+        """Empty what is remembered of grams: one empty row is left."""
+        self.grams, self.first = pa.array([], pa.uint64()), np.zeros(0, np.int32)
+        self.x = np.zeros((1, len(ORDERS)), np.int16)
+        self.kind = np.full(1, NONE, np.int8)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The values of the keys; UNSEEN where no training text has been."""
@@ -285,137 +316,133 @@ class Mixer:
             out[left[hit]] = values[at[hit]]
         return out
 
-    def remember(self, units: list[bytes]) -> None:
-        """Work out stretched predictions, gate and bit of each bit of new units."""
-        grams, sizes = grams_of(units)
+    def remember(self, grams: np.ndarray) -> None:
+        """Work out stretched predictions, gate and bit of each bit of new grams."""
         nodes, bits, lengths = bits_along((grams & np.uint64(255)).astype(np.uint8), self.code)
-        x = np.zeros((len(bits), len(ORDERS)), np.float32)
+        x = np.zeros((len(bits), len(ORDERS)), np.int16)
         gate = np.zeros(len(bits), np.int8)
         for k in range(len(ORDERS)):
             value = self.find(np.repeat(context_keys(grams, k) << np.uint64(8), lengths) | nodes)
             known = value != UNSEEN
-            x[:, k] = value * (known * np.float32(1 / UNIT))
+            x[:, k] = value * known
             gate[known] = GATE_OF[k]
-        many = np.add.reduceat(lengths, np.cumsum(sizes) - sizes)
-        first = len(self.bits) + np.cumsum(many) - many
-        self.units.update(zip(units, zip(first.tolist(), many.tolist())))
-        self.x, self.gate = np.concatenate([self.x, x]), np.concatenate([self.gate, gate])
-        self.bits = np.concatenate([self.bits, bits])
-
-    def words_of(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, list[str]]]:
-        """Of each unit: its words, the frequent ones, the sum of their
-        log10(count + 1); and the other words of the units that have some."""
-        logs, n, known, sums, rare = self.logs.get, [], [], [], {}
-        for i, unit in enumerate(units):
-            words = unit.rstrip(MARK).lower().split()
-            found = [x for w in words if (x := logs(w)) is not None]
-            n.append(len(words))
-            known.append(len(found))
-            sums.append(sum(found))
-            if len(found) < len(words):
-                rare[i] = [w.decode() for w in words if logs(w) is None]
-        return np.array(n, np.int64), np.array(known, np.int64), np.array(sums), rare
+        self.grams = pa.concat_arrays([self.grams, pa.array(grams)])
+        self.first = np.concatenate([self.first, (len(self.kind) + np.cumsum(lengths) - lengths).astype(np.int32)])
+        self.x, self.kind = np.concatenate([self.x, x]), np.concatenate([self.kind, gate + ONE * bits])
+
+    def words_of(self, text: bytes) -> tuple[int, int, float, list[str]]:
+        """Words, frequent words, the sum of their log10(count + 1), and the other words."""
+        words = text.lower().split()
+        found = list(map(self.logs.get, words))
+        rare = [w.decode() for w, x in zip(words, found) if x is None] if None in found else []
+        return len(words), len(words) - len(rare), sum(filter(None, found)), rare
 
     def score(self, texts: list[bytes]) -> list[tuple[float, int, int, float, list[str]]]:
         """Of each text: natural log probability, words, frequent words, the
         sum of their log10(count + 1), and the other words."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        ranked = [cut(texts[i]) for i in order]
         state = {"w": np.repeat(self.start[None], len(texts), 0),
                  "ones": np.repeat((REFINE_COUNT * self.identity)[None], len(texts), 0).astype(np.float32),
                  "all": np.full((len(texts), BUCKETS), REFINE_COUNT, np.float32)}
         total = np.zeros(len(texts))
-        words, known, base = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        others: list[list[str]] = [[] for _ in texts]
-        begin = True
+        ranked = [closed([texts[i]]) for i in order]
+        steps = FIRST_STEPS
         while ranked:
             rest = []
             for d, own in enumerate(ranked):
-                if len(texts[order[d]]) > SEGMENT:       # later segments of long texts, which come first
-                    size, stop = 0, 0
-                    while stop < len(own) and (size < SEGMENT or not stop):
-                        size += len(own[stop])
-                        stop += 1
+                if len(texts[order[d]]) > SEGMENT and len(own) > SEGMENT:       # later segments of long texts, which come first
+                    ends = np.flatnonzero(own[SEGMENT - 1:-1] == SPACE)
+                    stop = SEGMENT + int(ends[0]) if len(ends) else len(own)
                     rest.append(own[stop:])
                     ranked[d] = own[:stop]
-            units, ids = self._segments(ranked, state, total, FIRST_STEPS if begin else (0,))
-            begin = False
-            n, frequent, sums, rare = self.words_of(units)
-            has_rare = np.zeros(len(units), bool)
-            has_rare[list(rare)] = True
-            for d, own in enumerate(ids):
-                words[d] += n[own].sum()
-                known[d] += frequent[own].sum()
-                base[d] += sums[own].sum()
-                others[d] += chain.from_iterable(map(rare.__getitem__, own[has_rare[own]].tolist()))
-            ranked = rest if any(rest) else []
+                elif len(texts[order[d]]) > SEGMENT:
+                    rest.append(own[:0])
+            self._segments(ranked, state, total, steps)
+            steps = (0,)
+            ranked = rest if any(map(len, rest)) else []
         out: list = [None] * len(texts)
         for d, i in enumerate(order):
-            out[i] = float(total[d]), int(words[d]), int(known[d]), float(base[d]), others[d]
+            out[i] = (float(total[d]), *self.words_of(texts[i]))
         return out
 
-    def _segments(self, segments: list[list[bytes]], state: dict, total: np.ndarray,
-                  steps: tuple[int, ...]) -> tuple[list, list]:
-        """Run the texts' next segments, in the given steps to begin with; their distinct units, and each text's units as places in that list."""
-        names = dict.fromkeys(chain.from_iterable(segments))
-        if len(self.bits) > REMEMBERED:
+    def _segments(self, segments: list[np.ndarray], state: dict, total: np.ndarray, steps: tuple[int, ...]) -> None:
+        """Run the texts' next segments, in the given steps to begin with."""
+        raw = np.concatenate(segments)
+        met = pa.array(grams_of(raw)).dictionary_encode()
+        if len(self.kind) > REMEMBERED:
             self.forget()
-        if new := [u for u in names if u not in self.units]:
-            self.remember(new)
-        x, gate, bits = self.x, self.gate, self.bits
-        number = dict(zip(names, range(len(names)))).__getitem__
-        first, many = np.array([self.units[u] for u in names], np.int32).reshape(-1, 2).T
-        paths, places = [], []
-        for own in segments:
-            ids = np.fromiter(map(number, own), np.int32, len(own))
-            places.append(ids)
-            n = many[ids]
-            through = np.cumsum(n, dtype=np.int32)
-            path = np.repeat(first[ids] - (through - n), n)
-            path += np.arange(len(path), dtype=np.int32)
-            paths.append(path)
-        rank = np.argsort([-len(p) for p in paths], kind="stable")
-        longest = max((len(p) for p in paths), default=0)
+        place = pc.index_in(met.dictionary, value_set=self.grams)
+        if place.null_count:
+            self.remember(met.dictionary.filter(place.is_null()).to_numpy())
+            place = pc.index_in(met.dictionary, value_set=self.grams)
+        x, kind = self.x.view(np.int64).ravel(), self.kind        # four orders of 16 bits
+        n = self.code.lengths.astype(np.int32).take(raw)
+        through = np.cumsum(n, dtype=np.int32)
+        first = self.first.take(place.to_numpy()).take(met.indices.to_numpy())
+        path = np.repeat(first - (through - n), n)
+        path += np.arange(len(path), dtype=np.int32)
+        ends = np.concatenate([[0], through])[np.cumsum([0, *map(len, segments)])]
+        paths = [path[a:b] for a, b in zip(ends, ends[1:])]
+        sizes = np.diff(ends)
+        rank = np.argsort(-sizes, kind="stable")
+        longest = int(sizes.max(initial=0))
         stops = [*steps, *range(STEP, longest + STEP, STEP)]
+        held = np.empty((len(segments), STEP), np.int32)
         for s, stop in zip(stops, stops[1:]):
-            rank = rank[[len(paths[d]) > s for d in rank]]
+            rank = rank[sizes[rank] > s]
             if not len(rank):
                 break
-            idx = np.zeros((len(rank), stop - s), np.int32)
+            idx = held[:len(rank), :stop - s]
+            many = np.minimum(sizes[rank] - s, stop - s)
             for r, d in enumerate(rank):
                 part = paths[d][s:stop]
                 idx[r, :len(part)] = part
+                idx[r, len(part):] = 0
             for i in range(0, len(rank), 32):        # few enough rows to stay in the cache
                 own = idx[i:i + 32]
-                self._step(x.take(own, axis=0), gate.take(own), bits.take(own), rank[i:i + 32], state, total)
-        return list(names), places
+                self._step(x.take(own).view(np.int16).reshape(*own.shape, -1) * np.float32(1 / UNIT), kind.take(own), many[i:i + 32], rank[i:i + 32], state, total)
 
     @staticmethod
-    def _step(x, gate, bits, rank, state, total) -> None:
+    def _step(x, kind, many, rank, state, total) -> None:
+        """Score and learn a step of the texts ``rank``; the first ``many`` bits of each row are its own."""
         n, k = len(rank), x.shape[2]
-        rows = np.arange(n, dtype=np.int32)[:, None]
-        valid = bits >= 0
-        one = bits == 1
+        rows = np.arange(n)[:, None]
+        gate, one = kind & 3, (kind & ONE) >> 2
+        valid = kind != NONE if many.min() < x.shape[1] else None
         w = state["w"][rank]
-        z = np.einsum("ack,ack->ac", x, w.reshape(-1, k).take(rows * GATES + gate, axis=0))
+        gates = gate + rows * GATES
+        z = (x * w.reshape(-1, k).take(gates, axis=0)) @ np.ones(k, np.float32)
         np.clip(z, -15, 15, out=z)
-        p = 1 / (1 + np.exp(-z))
-        key = (z * 2 + BUCKETS / 2).astype(np.int32)
+        p = np.exp(-z)
+        p += 1
+        np.reciprocal(p, out=p)
+        z *= 2
+        z += BUCKETS / 2
+        key = z.astype(np.int64)
         np.clip(key, 0, BUCKETS - 1, out=key)
         key += rows * BUCKETS
         ones, seen = state["ones"][rank], state["all"][rank]
-        final = 0.5 * (p + (ones / seen).take(key))
+        final = (ones / seen).take(key)
+        final += p
+        final *= np.float32(0.5)
         np.clip(final, 2e-5, 1 - 2e-5, out=final)
-        logs = np.log(np.where(one, final, 1 - final))
-        logs *= valid
+        bit = one.astype(np.float32)
+        logs = np.log(np.abs(final - (1 - bit)))        # of final or of 1 - final
+        error = bit - p
+        key *= 2
+        key += one
+        if valid is not None:
+            logs *= valid
+            error *= valid
+            key[~valid] = 2 * n * BUCKETS
         total[rank] += logs.sum(axis=1, dtype=np.float64)
-        error = (one - p) * valid
         by_gate = error[:, None, :] * (gate[:, None, :] == np.arange(GATES, dtype=np.int8)[:, None])
-        count = np.count_nonzero(by_gate, axis=2)
+        count = np.bincount(gates.ravel(), minlength=n * GATES).reshape(n, GATES)
+        count[:, 0] -= x.shape[1] - many         # what fills a row up has gate 0
         state["w"][rank] = w + RATE * np.matmul(by_gate, x) / (DAMP + count)[:, :, None]
-        flat = key.ravel()
-        state["all"][rank] = seen + np.bincount(flat, valid.ravel(), n * BUCKETS).reshape(-1, BUCKETS)
-        state["ones"][rank] = ones + np.bincount(flat, one.ravel(), n * BUCKETS).reshape(-1, BUCKETS)
+        met = np.bincount(key.ravel(), minlength=2 * n * BUCKETS)[:2 * n * BUCKETS].reshape(n, BUCKETS, 2)
+        state["all"][rank] = seen + met.sum(axis=2)
+        state["ones"][rank] = ones + met[:, :, 1]
 
 
 def packed(rows: pa.Table) -> bytes:
@@ -465,8 +492,9 @@ def asked(blocks: DataFrame, sent_keys) -> DataFrame:
         known = sent_keys.value
         numbers, keys = [], []
         for number, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
-            units = set().union(*(cut(t.encode()) for t in unpacked(rows).column("text").to_pylist()))
-            grams = np.unique(grams_of(list(units))[0])
+            texts = [t.encode() for t in unpacked(rows).column("text").to_pylist()]
+            ends = np.cumsum([len(t) for t in texts]) // TOGETHER
+            grams = np.unique(np.concatenate([counted_grams(texts[a:b])[0] for a, b in pairwise([0, *(np.flatnonzero(np.diff(ends)) + 1), len(texts)])]))
             own = np.unique(np.concatenate([context_keys(grams, k) for k in range(len(ORDERS))]))
             if len(known):
                 own = own[known[np.minimum(np.searchsorted(known, own), len(known) - 1)] != own]
@@ -478,17 +506,23 @@ def asked(blocks: DataFrame, sent_keys) -> DataFrame:
     return map_batches(blocks.select("block", "rows"), run, "block long, key long")
 
 
-def scored(blocks: DataFrame, sent, id_type: str, n_train: int) -> DataFrame:
+def scored(blocks: DataFrame, needed: DataFrame, sent, id_type: str, n_train: int) -> DataFrame:
     """One row per document of the blocks, written: its score, its words and
-    what the frequent ones add to the base score; the other words as ``rare``."""
+    what the frequent ones add to the base score; the other words as ``rare``.
+    ``needed`` holds the contexts (block, key, next) that are not broadcast: they
+    reach their block's task sorted and in batches, so no list of them is collected."""
     mixers: dict[int, Mixer] = {}
 
-    def block(texts: list[bytes], others: pa.Array) -> list:
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not mixers:
+            mixers[0] = Mixer(*sent.value)
         mixer = mixers[0]
-        items = others.field("next").flatten().to_numpy(zero_copy_only=False)
-        keys = np.repeat(others.field("key").to_numpy(zero_copy_only=False).view(np.uint64),
-                         others.field("next").value_lengths().to_numpy(zero_copy_only=False))
+        following = right.column("next").combine_chunks()
+        items = following.flatten().to_numpy(zero_copy_only=False)
+        keys = np.repeat(right.column("key").to_numpy().view(np.uint64), following.value_lengths().to_numpy(zero_copy_only=False))
         mixer.others = predictions(keys, items & 255, items >> 8, mixer.code)
+        tables = [unpacked(rows) for rows in left.column("rows")]
+        texts = [t.encode() for rows in tables for t in rows.column("text").to_pylist()]
         found: list = []
         group: list[bytes] = []
         size = 0
@@ -498,32 +532,23 @@ def scored(blocks: DataFrame, sent, id_type: str, n_train: int) -> DataFrame:
             if size > GROUP:
                 found += mixer.score(group)
                 group, size = [], 0
-        return found + mixer.score(group)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not mixers:
-            gc.disable()      # many small lists and no cycles
-            mixers[0] = Mixer(*sent.value)
-        tables = [unpacked(rows) for rows in batch.column("rows")]
-        raw, found = [], []
-        for i, rows in enumerate(tables):
-            own = [t.encode() for t in rows.column("text").to_pylist()]
-            found += block(own, batch.column("others").slice(i, 1).flatten())
-            raw += map(len, own)
+        found += mixer.score(group)
         numbers, ids, held = (pa.chunked_array([t.column(c).chunk(0) for t in tables]).combine_chunks()
                               for c in ("row", "doc_id", "held_out"))
         log_p, n_words, known, base, rare = zip(*found)
         ends = math.log10(n_train + 1)
-        return pa.RecordBatch.from_arrays(
-            [ids, held, pa.array(raw, pa.int64()),
+        return pa.Table.from_arrays(
+            [ids, held, pa.array(map(len, texts), pa.int64()),
              pa.array([n + 1 for n in n_words], pa.int64()), pa.array([n + (n_train > 0) for n in known], pa.int64()),
              pa.array([b + ends for b in base], pa.float64()), pa.array(log_p, pa.float64()),
              pa.array(rare, pa.list_(pa.string())), numbers],
             names=["doc_id", "held_out", "n_bytes", "n_tokens", "known", "base", "log_p", "rare", "row"])
 
+    out = blocks.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
+        block, f"doc_id {id_type}, held_out boolean, n_bytes long, n_tokens long, known long, "
+               "base double, log_p double, rare array<string>, row long")
     # Written: the row numbers stay what they are.
-    return materialize(map_batches(blocks, run, f"doc_id {id_type}, held_out boolean, n_bytes long, n_tokens long, known long, "
-                                                "base double, log_p double, rare array<string>, row long"), "lm-scored")
+    return materialize(out, "lm-scored")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -585,19 +610,19 @@ def _scores(rows: DataFrame) -> DataFrame:
     id_type = rows.schema["doc_id"].dataType.simpleString()
     # The row numbers are written with the rows, so they stay what they are.
     with batch_rows(spark, BATCH_ROWS):
-        whole = blocks = materialize(in_blocks(rows), "lm-blocks")
-    with batch_rows(spark, 1):      # one row is a whole block
-        if all_sent:
-            blocks = blocks.withColumn("others", F.lit(None).cast("array<struct<key:bigint,next:array<bigint>>>"))
-        else:
-            rest = contexts.where(F.col("rank") < least_rank) if least_rank is not None else contexts
-            packed = F.transform("next", lambda x: F.shiftleft(x["n"], 8).bitwiseOR(x["symbol"].cast("long")))
-            needed = (asked(blocks, spark.sparkContext.broadcast(sent_keys))
-                      .join(rest.select("key", packed.alias("next")).hint("merge"), "key")
-                      .groupBy("block").agg(F.collect_list(F.struct("key", "next")).alias("others")))
-            blocks = blocks.join(needed.hint("merge"), "block", "left").select(*blocks.columns, "others")
-        first = scored(blocks, sent, id_type, n_train)
-    discard(whole)
+        blocks = materialize(in_blocks(rows), "lm-blocks", **FEW_ROWS)
+    wanted, needed = None, spark.createDataFrame([], "block long, key long, next array<long>")
+    if not all_sent:
+        rest = contexts.where(F.col("rank") < least_rank) if least_rank is not None else contexts
+        packed = F.transform("next", lambda x: F.shiftleft(x["n"], 8).bitwiseOR(x["symbol"].cast("long")))
+        with batch_rows(spark, 1):      # one row is a whole block
+            wanted = materialize(asked(blocks, spark.sparkContext.broadcast(sent_keys)), "lm-asked")
+        needed = wanted.join(rest.select("key", packed.alias("next")).hint("merge"), "key").select("block", "key", "next")
+    with batch_rows(spark, GROUPED):
+        first = scored(blocks, needed, sent, id_type, n_train)
+    discard(blocks)
+    if wanted is not None:
+        discard(wanted)
     rare = first.select("row", F.explode("rare").alias("word"))
     more = (rare.join(words, "word").groupBy("row")
                 .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("more_base")))

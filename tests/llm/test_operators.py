@@ -499,6 +499,44 @@ def test_context_mixing_counts_beyond_32_bits(spark):
     assert abs(abs(own) / lm_mixing.UNIT - sure) < 0.01 or abs(own) / lm_mixing.UNIT > 15
 
 
+def test_context_mixing_grams_are_those_of_units():
+    """Grams of whole texts are what each unit's own bytes say, also at the ends of texts and spaces."""
+    texts = [b"", b" ", b"ab cdefghij  k", b"no-space-here", "na\u00efve \u2603 ".encode(), b"ab cdefghij  k"]
+    want = [int.from_bytes(unit[max(0, i - 5):i + 1], "big") for t in texts for unit in lm_mixing.cut(t) for i in range(len(unit))]
+    assert lm_mixing.grams_of(lm_mixing.closed(texts)).tolist() == want
+    grams, n = lm_mixing.counted_grams(texts)
+    assert dict(zip(grams.tolist(), n.tolist())) == Counter(want)
+
+
+def test_context_mixing_long_texts_are_scored_in_segments(monkeypatch):
+    """A text longer than a segment goes on where its last unit ended, and alone scores as beside others."""
+    mixer = lm_mixing.Mixer(lm_mixing.prefix_code([0] * 256), np.zeros(1, np.int16), {b"ab": 1})
+    mixer.find = lambda keys: (keys % np.uint64(4001)).astype(np.int16) - 2000
+    texts = [b"ab cde " * 100, b"x" * 700, b"ab", b"ab cde " * 70 + b"y" * 300]
+    whole = mixer.score(texts)
+    monkeypatch.setattr(lm_mixing, "SEGMENT", 256)
+    parts = mixer.score(texts)
+    assert [r[1:] for r in parts] == [r[1:] for r in whole] and whole[0][1:3] == (200, 100)
+    assert parts[1][0] == pytest.approx(whole[1][0]) and parts[2][0] == pytest.approx(whole[2][0])     # units are not cut
+    assert [mixer.score([t])[0][0] for t in texts] == pytest.approx([r[0] for r in parts])
+
+
+def test_context_mixing_collects_no_contexts(spark, odd_docs, monkeypatch):
+    """Contexts that are not broadcast reach the texts without a list of all that a block asks for."""
+    plans = []
+    kept = lm_mixing.materialize
+
+    def seen(df, name, **options):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return kept(df, name, **options)
+
+    monkeypatch.setattr(lm_mixing, "materialize", seen)
+    monkeypatch.setattr(lm_mixing, "TABLE_BITS", 1)
+    assert lm_mixing.score(odd_docs).count() == odd_docs.count()
+    plan = dict(plans)["lm-scored"]
+    assert "Join" in plan and "collect_list" not in plan
+
+
 def test_context_mixing_learns_in_short_texts():
     """A text of fewer bits than the longest step is not scored by the first weights alone."""
     code = lm_mixing.prefix_code([0] * 256)
