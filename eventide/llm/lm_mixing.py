@@ -51,8 +51,8 @@ UNIT = 1024.0                 # of a stored stretched probability
 STEP = 1024                   # bits after which weights and refinement learn, at most:
 FIRST_STEPS = (0, 16, 32, 64, 128, 256, 512)   # a text begins with shorter steps, so that short ones learn too
 SEGMENT = 1 << 18             # bytes of one text that are laid out at once, and
-GROUP = 1 << 20               # of texts that step together, about
-BLOCK = 4 << 20               # bytes of text that ask for their contexts together, about
+GROUP = 3 << 18               # of texts that step together, about
+BLOCK = 2 << 20               # bytes of text that ask for their contexts together, about
 # A block is one row: few of them are held before they are written, or read at once.
 FEW_ROWS = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 4, "parquet.page.size.row.check.min": 1}
 GROUPED = 10_000              # contexts of a block that are sent to its task at a time
@@ -380,9 +380,11 @@ class Mixer:
         through = np.cumsum(n, dtype=np.int32)
         first = self.first.take(place.to_numpy()).take(met.indices.to_numpy())
         path = np.repeat(first - (through - n), n)
-        path += np.arange(len(path), dtype=np.int32)
         ends = np.concatenate([[0], through])[np.cumsum([0, *map(len, segments)])]
-        paths = [path[a:b] for a, b in zip(ends, ends[1:])]
+        paths = [path[a:b] for a, b in pairwise(ends.tolist())]
+        for own, at in zip(paths, ends.tolist()):
+            own += np.arange(at, at + len(own), dtype=np.int32)
+        del raw, met, place, n, through, first
         sizes = np.diff(ends)
         rank = np.argsort(-sizes, kind="stable")
         longest = int(sizes.max(initial=0))
@@ -523,6 +525,8 @@ def scored(blocks: DataFrame, needed: DataFrame, sent, id_type: str, n_train: in
         mixer.others = predictions(keys, items & 255, items >> 8, mixer.code)
         tables = [unpacked(rows) for rows in left.column("rows")]
         texts = [t.encode() for rows in tables for t in rows.column("text").to_pylist()]
+        tables = [rows.drop_columns("text") for rows in tables]
+        del following, items, keys
         found: list = []
         group: list[bytes] = []
         size = 0
